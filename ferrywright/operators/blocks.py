@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..scratch import cut
+from ..scratch import cut, cut_counted, small_table
 
 BLOCK_ROWS = 1_000_000
 MIN_BLOCK_ROWS = 250
@@ -46,7 +46,7 @@ class Blocks:
 
     def per_block(self, rows: list, schema: str) -> DataFrame:
         """A broadcastable frame with at most a few values per block."""
-        return F.broadcast(self.table.sparkSession.createDataFrame(rows, f"pid int, {schema}"))
+        return small_table(self.table.sparkSession, rows, f"pid int, {schema}")
 
 
 def build_blocks(df: DataFrame, order: str, block_rows: int | None = None) -> Blocks:
@@ -55,8 +55,7 @@ def build_blocks(df: DataFrame, order: str, block_rows: int | None = None) -> Bl
     By default a block has at most about ``BLOCK_ROWS`` rows, and there are as many blocks as the cluster
     runs tasks unless they would become tiny.
     """
-    narrow = cut(df, "unordered")
-    rows = narrow.count()
+    narrow, rows = cut_counted(df, "unordered")
     if block_rows:
         n_blocks = -(-rows // block_rows)
     else:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import broadcast_if_small
+from ..scratch import lookup_table
 
 
 def full_match(value: str | Column, pattern: str) -> Column:
@@ -35,4 +35,4 @@ def suppress_roots(df: DataFrame, replace_content: bool, *, path: str = "path",
 
 def exclude_keys(df: DataFrame, keys: DataFrame, *, key: str = "path") -> DataFrame:
     """Drop rows whose key is listed in ``keys``."""
-    return df.join(broadcast_if_small(keys.select(key).distinct()), key, "left_anti")
+    return df.join(lookup_table(keys.select(key).distinct(), "excluded"), key, "left_anti")

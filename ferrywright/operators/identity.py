@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.access import logical_acl
-from ..scratch import broadcast_if_small, cut
+from ..scratch import lookup_table
 from .reconcile import match_target
 
 
@@ -35,7 +35,7 @@ def translate_identities(df: DataFrame, identities: DataFrame) -> DataFrame:
     table be too large to broadcast, adaptive skew handling splits such rows of the left side.
     """
     known = identities.filter(F.col("cloud_identity").isNotNull()).select("local_identity", "cloud_identity")
-    lookup = broadcast_if_small(cut(known, "identities"))
+    lookup = lookup_table(known, "identities")
 
     def translated(frame: DataFrame, column: str) -> DataFrame:
         hit = lookup.select(F.col("local_identity").alias(column), F.col("cloud_identity").alias("_cloud"))
@@ -49,7 +49,7 @@ def translate_identities(df: DataFrame, identities: DataFrame) -> DataFrame:
             .select(F.col("acl").alias("_acl"))
             .distinct()
         )
-        entries = cut(lists, "acls").select("_acl", F.posexplode("_acl").alias("_pos", "_entry")).withColumn("name", F.col("_entry.name"))
+        entries = lists.select("_acl", F.posexplode("_acl").alias("_pos", "_entry")).withColumn("name", F.col("_entry.name"))
         entry = F.struct(
             "_pos",
             F.struct(F.col("_entry.scope"), F.col("_entry.type"), F.col("name"), F.col("_entry.perm")).alias("_entry"),
@@ -60,7 +60,7 @@ def translate_identities(df: DataFrame, identities: DataFrame) -> DataFrame:
             .groupBy("_acl")
             .agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["_entry"]).alias("_mapped"))
         )
-        table = broadcast_if_small(cut(mapped, "mapped_acls"), 20_000)
+        table = lookup_table(mapped, "mapped-acls", 20_000)
         out = (
             out.join(table, F.col("acl") == F.col("_acl"), "left")
             .withColumn("acl", F.coalesce("_mapped", "acl"))

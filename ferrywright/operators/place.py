@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,11 +13,12 @@ from pyspark.sql import types as T
 
 from ..errors import InvalidInputError
 from ..options import DEFAULT_MAX_MAPS, DEFAULT_TASKS_PER_BOX
-from ..scratch import cut
+from ..scratch import cut, small_table, store
 from .blocks import build_blocks
 
 UNLIMITED = 2**63 - 1
-MAX_BOXES = 10_000
+MAX_BOXES = 1_000
+SCAN_BLOCKS = 32
 
 # Throughput factor by the smallest listed capacity that holds a box. ``intended``
 # follows the documented sizes (100 TiB, 1 PiB); ``observed`` is what the original arithmetic yields.
@@ -67,27 +69,33 @@ def plan_splits(
         out.append((box.box_id, box.capacity, box.rank, n, first))
         first += n
     schema = "box_id int, capacity bigint, box_rank int, n_splits int, first_split int"
-    return boxes.sparkSession.createDataFrame(out, schema)
+    return small_table(boxes.sparkSession, out, schema)
 
 
-def _fill_block(order: str, size: str, box_id: int, rooms: dict[int, int]):
-    """One block in order against one box: a row is taken if it fits the room left when it is reached."""
+def _walk_block(size: str, box_ids: list[int], rooms: list[int]):
+    """Rows of one block, in order: each to the first box whose room, at that moment, holds it."""
 
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        room = rooms[int(pdf["pid"].iloc[0])]
-        free = pdf["_box"].isna().to_numpy()
-        sizes = pdf[size].to_numpy()
-        taken = []
-        for i, (is_free, n) in enumerate(zip(free.tolist(), sizes.tolist())):
-            if is_free and n <= room:
-                taken.append(i)
-                room -= n
-        boxes = pdf["_box"].to_numpy(dtype="float64", copy=True)
-        boxes[taken] = box_id
-        return pdf.assign(_box=pd.array(boxes, dtype="Int32"))
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left = np.array(rooms, dtype="int64")
+        for pdf in batches:
+            found = []
+            for n in pdf[size].tolist():
+                at = int((left >= n).argmax())
+                if left[at] < n:
+                    found.append(None)
+                    continue
+                found.append(box_ids[at])
+                if rooms[at] != UNLIMITED:
+                    left[at] -= n
+            yield pdf.assign(box_id=pd.array(found, dtype="Int32"))
 
-    return fill
+    return walk
+
+
+def _one_class(block, rooms: list[int]) -> int | None:
+    """The box that all rows of a block try first, -1 if none can hold any of them, None if they differ."""
+    tried = next((i for i, room in enumerate(rooms) if block.low <= room), -1)
+    return tried if tried < 0 or block.high <= rooms[tried] else None
 
 
 def first_fit(
@@ -102,16 +110,21 @@ def first_fit(
 ) -> DataFrame:
     """Each row, in ``order``, goes to the first box (smallest first) that still has room; exact.
 
-    Returns ``order, size, *keep, box_id``; ``box_id`` is null where no box had room.
+    Returns ``order, size, *keep, box_id``; ``box_id`` is null where no box had room. Sizes must not be
+    null or negative.
 
-    A box is filled by walking block totals. While the rows that fit the room left sum up to no more
-    than it, a block is taken whole by one comparison per row (``size <= threshold``). Only the block
-    in which the room runs out is gone through row by row, in a task that holds that one block. Each
-    round finishes a block, so a box never needs more rounds than there are blocks.
+    Blocks are taken in bulk as far as possible. With the rooms at some block given, call *candidates* of
+    a box the rows whose size is at most its room but above the rooms of all boxes before it. Rooms only
+    shrink, so no box before it can take them; and while the candidates of every box sum up to no more than
+    its room, each of them fits when its turn comes. So all blocks up to the first at which some sum
+    exceeds its room are placed by comparing sizes with fixed limits, from sums per block and box. That
+    one block is walked row by row in a task that streams it, and bulk placement goes on after it with
+    the rooms it left. Each round finishes at least a block, whatever the sizes are.
 
-    ``previous`` (``order, box_id``) pins rows to boxes chosen by an earlier run; their size is
-    deducted first. ``size`` must not be null or negative.
+    ``previous`` (``order, box_id``) pins rows to boxes chosen by an earlier run; their size is deducted
+    first.
     """
+    spark = df.sparkSession
     ranked = collect_boxes(boxes)
     columns = [order, size, *keep]
     pinned = None
@@ -120,106 +133,83 @@ def first_fit(
         pinned = cut(df.select(*columns).join(known, order), "pinned")
         used = {r.box_id: r.used for r in pinned.groupBy("box_id").agg(F.sum(size).alias("used")).collect()}
         ranked = [
-            Box(b.box_id, b.capacity if b.capacity == UNLIMITED else max(0, b.capacity - used.get(b.box_id, 0)), b.rank)
+            b if b.capacity == UNLIMITED else Box(b.box_id, max(0, b.capacity - used.get(b.box_id, 0)), b.rank)
             for b in ranked
         ]
         df = df.join(known.select(order), order, "left_anti")
 
     blocks = build_blocks(df.select(*columns), order, block_rows)
-    table, stats = blocks.table, {r.pid: r for r in blocks.stats(size)}
-    pids = sorted(stats)
-    # Plain blocks: thresholds by box. A row there is unplaced iff its size exceeds all of them.
-    steps: dict[int, list[tuple[int, int]]] = {pid: [] for pid in pids}
-    # Blocks in which some box ran full: their rows carry the box, in ``mixed``.
-    mixed: DataFrame | None = None
-    mixed_pids: set[int] = set()
-    row_schema = T.StructType([f for f in table.schema.fields] + [T.StructField("_box", T.IntegerType())])
-
-    def reached(pid: int) -> int:
-        return max((limit for limit, _ in steps[pid]), default=-1)
-
-    def fitting(room: int, candidates: list[int]) -> dict[int, int]:
-        """Bytes of unplaced rows of size up to ``room`` in each candidate block."""
-        sums, scan, looked_up = {}, [], []
-        for pid in candidates:
-            if pid in mixed_pids:
-                looked_up.append(pid)
-            elif reached(pid) >= min(stats[pid].high, room) or stats[pid].low > room:
-                sums[pid] = 0
-            elif reached(pid) < stats[pid].low and stats[pid].high <= room:
-                sums[pid] = stats[pid].total
+    stats = blocks.stats(size)
+    box_ids, rooms = [b.box_id for b in ranked], [b.capacity for b in ranked]
+    unlimited = [room == UNLIMITED for room in rooms]
+    walked: list[str] = []
+    rounds: list[list[int]] = []  # limits of each round, in box order
+    round_of: list[tuple[int, int]] = []  # (pid, round) of blocks placed in bulk
+
+    def scan(at: int, window: int) -> dict[int, dict[int, int]]:
+        """Bytes of the candidates of each box in the next blocks that statistics do not decide."""
+        wanted = [b.pid for b in stats[at : at + window] if _one_class(b, rooms) is None]
+        limits = small_table(spark, [(rooms,)], "_limits array<bigint>")
+        rows = blocks.table.filter(F.col("pid").between(wanted[0], wanted[-1])).select("pid", size)
+        tried = F.array_position(F.transform("_limits", lambda r: F.col(size) <= r), True) - 1
+        sums = rows.join(limits).groupBy("pid", tried.alias("at")).agg(F.sum(size).alias("total"))
+        out: dict[int, dict[int, int]] = {pid: {} for pid in wanted}
+        for r in sums.collect():  # a number per block and box
+            if r.pid in out and r["at"] >= 0:
+                out[r.pid][r["at"]] = r.total
+        return out
+
+    at = 0
+    while at < len(stats) and box_ids:
+        limits, window, sums = list(rooms), SCAN_BLOCKS, {}
+        rounds.append(limits)
+        left = list(rooms)
+        while at < len(stats):
+            block = stats[at]
+            only = _one_class(block, limits)
+            if only is not None:
+                need = {} if only < 0 else {only: block.total}
             else:
-                scan.append(pid)
-        parts = []
-        if scan:
-            limits = blocks.per_block([(pid, reached(pid)) for pid in scan], "_limit bigint")
-            parts.append(
-                table.filter(F.col("pid").between(scan[0], scan[-1]) & (F.col(size) <= room))
-                .join(limits, "pid")
-                .filter(F.col(size) > F.col("_limit"))
-                .select("pid", size)
-            )
-        if looked_up:
-            wanted = F.col("pid").between(looked_up[0], looked_up[-1])
-            parts.append(mixed.filter(wanted & F.col("_box").isNull() & (F.col(size) <= room)).select("pid", size))
-        if parts:
-            rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-            sums |= {r.pid: r.total for r in rows.groupBy("pid").agg(F.sum(size).alias("total")).collect()}
-        return sums
-
-    def choose_box(pid: int):
-        box = F.lit(None).cast("int")
-        for limit, box_id in reversed(steps[pid]):
-            box = F.when(F.col(size) <= limit, F.lit(box_id)).otherwise(box)
-        return box
-
-    for box in ranked:
-        room, start = box.capacity, 0
-        spans: list[tuple[int, int, int]] = []
-        while start < len(pids) and room >= 0:
-            ahead = pids[start:]
-            sums = fitting(room, ahead)
-            left, stop = room, len(pids)
-            for at, pid in enumerate(ahead, start):
-                need = sums.get(pid, 0)
-                if need > left:
-                    stop = at
-                    break
-                left -= need if box.capacity != UNLIMITED else 0
-            if stop > start:
-                spans.append((pids[start], pids[stop - 1], room))
-                for pid in pids[start:stop]:
-                    if pid not in mixed_pids and reached(pid) < room:
-                        steps[pid].append((room, box.box_id))
-            room = left
-            if stop == len(pids):
+                if block.pid not in sums:
+                    sums, window = scan(at, window), 2 * window
+                need = sums[block.pid]
+            if any(n > left[i] for i, n in need.items()):
                 break
-            full = pids[stop]
-            if full in mixed_pids:
-                rows = mixed.filter(F.col("pid") == full)
-            else:
-                rows = table.filter(F.col("pid") == full).withColumn("_box", choose_box(full))
-            filled = cut(
-                rows.groupBy("pid").applyInPandas(_fill_block(order, size, box.box_id, {full: room}), row_schema), "full"
-            )
-            room -= filled.filter(F.col("_box") == box.box_id).agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-            others = None if mixed is None else mixed.filter(F.col("pid") != full)
-            mixed = filled if others is None else others.unionByName(filled)
-            mixed_pids.add(full)
-            start = stop + 1
-        if mixed is not None:
-            taken = F.lit(False)
-            for low, high, limit in spans:
-                taken = taken | (F.col("pid").between(low, high) & (F.col(size) <= limit))
-            mixed = cut(
-                mixed.withColumn("_box", F.when(F.col("_box").isNull() & taken, box.box_id).otherwise(F.col("_box"))),
-                "mixed",
-            )
-
-    choices = [(pid, [{"limit": limit, "box": box_id} for limit, box_id in steps[pid]]) for pid in pids if pid not in mixed_pids]
-    decided = blocks.per_block(choices, "_steps array<struct<limit:bigint,box:int>>")
-    hit = F.try_element_at(F.filter("_steps", lambda s: F.col(size) <= s["limit"]), F.lit(1))
-    placed = table.join(decided, "pid").select(*columns, hit["box"].alias("box_id"))
-    if mixed is not None:
-        placed = placed.unionByName(mixed.select(*columns, F.col("_box").alias("box_id")))
+            for i, n in need.items():
+                left[i] -= 0 if unlimited[i] else n
+            round_of.append((block.pid, len(rounds) - 1))
+            at += 1
+        rooms = left
+        if at == len(stats):
+            break
+        rows = blocks.table.filter(F.col("pid") == stats[at].pid).select("pid", *columns)
+        in_order = rows.coalesce(1).sortWithinPartitions(order)
+        schema = T.StructType([*rows.schema.fields, T.StructField("box_id", T.IntegerType())])
+        taken = {f"b{i}": F.sum(F.when(F.col("box_id") == box_id, F.col(size))) for i, box_id in enumerate(box_ids)}
+        path, seen = store(in_order.mapInPandas(_walk_block(size, box_ids, rooms), schema), "walked", **taken)
+        walked.append(path)
+        rooms = [r if unlimited[i] else r - (seen[f"b{i}"] or 0) for i, r in enumerate(rooms)]
+        at += 1
+
+    # A limit matters only where it exceeds all limits before it.
+    choices = []
+    for i, limits in enumerate(rounds):
+        steps, top = [], -1
+        for limit, box_id in zip(limits, box_ids):
+            if limit > top:
+                steps.append({"limit": limit, "box": box_id})
+                top = limit
+        choices.append((i, steps))
+    bulk = (
+        blocks.table.join(small_table(spark, round_of, "pid int, _round int"), "pid")
+        .join(small_table(spark, choices, "_round int, _steps array<struct<limit:bigint,box:int>>"), "_round")
+        .withColumn("_step", F.try_element_at(F.filter("_steps", lambda s: F.col(size) <= s["limit"]), F.lit(1)))
+        .select(*columns, F.col("_step.box").alias("box_id"))
+    )
+    if not box_ids:
+        bulk = blocks.table.select(*columns, F.lit(None).cast("int").alias("box_id"))
+    placed = bulk
+    if walked:
+        schema = T.StructType([*bulk.schema.fields])
+        placed = placed.unionByName(spark.read.schema(schema).parquet(*walked))
     return placed if pinned is None else placed.unionByName(pinned.select(*columns, "box_id"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import checksums_equal
 from ..options import SyncOptions
-from ..scratch import broadcast_if_small, cut
+from ..scratch import lookup_table
 
 TARGET_COLUMNS = ("is_dir", "length", "block_size", "checksum")
 
@@ -48,7 +48,7 @@ def prefix_checksums(
 
     Candidates are stored and counted; when few, they are broadcast and the content is not shuffled.
     """
-    few = broadcast_if_small(cut(candidates.select(key, "tgt_length"), "candidates"))
+    few = lookup_table(candidates.select(key, "tgt_length"), "candidates")
     prefix = F.substring(F.col(value), F.lit(1), F.col("tgt_length").cast("int"))
     return content.join(few, key).select(key, F.md5(prefix).alias("prefix_checksum"))
 

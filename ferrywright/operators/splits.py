@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..errors import InvalidInputError
 from ..options import split_ratio
+from ..scratch import small_table
 from .blocks import build_blocks, index_blocks
 
 # Fixed value: chunks that are filled side by side.
@@ -85,7 +86,7 @@ def uniform_split(
             T.StructField("_starts", T.ArrayType(order_type)),
         ]
     )
-    small = F.broadcast(df.sparkSession.createDataFrame(per_block, starts_schema))
+    small = small_table(df.sparkSession, per_block, starts_schema)
     inside = F.size(F.filter("_starts", lambda s: s <= F.col(order)))
     return blocks.table.join(small, "pid").select(order, size, *keep, (F.col("_base") + inside).alias("split_id"))
 
@@ -248,9 +249,7 @@ def balance(
     )
     cycle = F.col("_phase")["cycle"]
     local = F.element_at(cycle, ((F.col("_pos") - F.col("_phase")["start"]) % F.size(cycle)).cast("int") + 1)
-    first = F.broadcast(
-        df.sparkSession.createDataFrame([(b, f) for b, (_, f) in splits.items()], "box_id int, _first int")
-    )
+    first = small_table(df.sparkSession, [(b, f) for b, (_, f) in splits.items()], "box_id int, _first int")
     return (
         table.withColumn("_rn", F.row_number().over(inside))
         .join(lookup, ["pid", "box_id", "_size"])

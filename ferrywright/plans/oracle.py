@@ -78,7 +78,7 @@ BOXES = """boxes as (
 
 # Sequential first fit: one step per row, the room of all boxes as a list.
 PLACED = f"""{BOXES},
- rows_ as (select doc_id as seq, n_chars as length, row_number() over (order by doc_id) as rn from documents),
+ rows_ as materialized (select doc_id as seq, n_chars as length, row_number() over (order by doc_id) as rn from documents),
  caps as (select list(size_bytes order by pos) as room, list(box_id order by pos) as ids from ranked),
  walk as (
   select cast(0 as bigint) as rn, cast(null as bigint) as seq, cast(null as bigint) as length, room, cast(0 as bigint) as hit from caps
@@ -93,7 +93,7 @@ PLACED = f"""{BOXES},
 # Sequential balancing: per box, splits as a list from most to least space, the one loaded last first among equals.
 # Capacities below 100 TiB have factor 1; five boxes of six splits are scaled to 20 in all, hence four each.
 BALANCED = f"""{PLACED},
- nums as (select *, row_number() over (partition by box_id order by length desc, seq) as k from placed where box_id is not null),
+ nums as materialized (select *, row_number() over (partition by box_id order by length desc, seq) as k from placed where box_id is not null),
  firsts as (select box_id, size_bytes, (pos - 1) * 4 as first_split from ranked),
  deal as (
   select box_id, cast(0 as bigint) as k, cast(null as bigint) as seq, cast(null as bigint) as length, cast(null as bigint) as split,
@@ -111,7 +111,7 @@ BALANCED = f"""{PLACED},
 
 def uniform(rows: str, n: int) -> str:
     """Sequential next fit over (seq, length) rows: one step per row."""
-    return f"""rows_ as (select *, row_number() over (order by seq) as rn from ({rows})),
+    return f"""rows_ as materialized (select *, row_number() over (order by seq) as rn from ({rows})),
  lim as (select cast(ceil(sum(length) / {n}) as bigint) as lim from rows_),
  walk as (
   select rn, seq, length, length as open_, cast(0 as bigint) as split_id from rows_ where rn = 1
@@ -199,9 +199,9 @@ ORACLE: dict[str, str] = {
  union all select '/src/{{src0,src2}}/f?/*', path from src where regexp_full_match(path, '/src/(src0|src2)/f[^/]/[^/]*')
  union all select '/src/*/*/1?.txt', path from src where regexp_full_match(path, '/src/[^/]*/[^/]*/1[^/]\\.txt')""",
     "unmatched_globs": f"""with {SRC}
- select glob from (values ('/src/src1/*/*.txt', '/src/src1/[^/]*/[^/]*\\.txt'), ('/src/src?/en/*[13579].txt', '/src/src[^/]/en/[^/]*[13579]\\.txt'),
+ select "glob" from (select * from (values ('/src/src1/*/*.txt', '/src/src1/[^/]*/[^/]*\\.txt'), ('/src/src?/en/*[13579].txt', '/src/src[^/]/en/[^/]*[13579]\\.txt'),
   ('/src/{{src0,src2}}/f?/*', '/src/(src0|src2)/f[^/]/[^/]*'), ('/src/*/*/1?.txt', '/src/[^/]*/[^/]*/1[^/]\\.txt'),
-  ('/src/*/none/*', '/src/[^/]*/none/[^/]*'), ('/src/*', '/src/[^/]*')) g(glob, re)
+  ('/src/*/none/*', '/src/[^/]*/none/[^/]*'), ('/src/*', '/src/[^/]*')) g("glob", re)) g
  where not exists (select 1 from src where regexp_full_match(path, re))""",
     "sort_manifest": f"with {SRC} select rel_path, length, row_number() over (order by rel_path) - 1 as idx from src",
     "randomize": f"with {SRC} select path, length, row_number() over (order by md5(concat('42:', path)), path) - 1 as seq from src",

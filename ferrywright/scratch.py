@@ -9,8 +9,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .errors import InvalidInputError
 
@@ -33,17 +36,46 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def store(df: DataFrame, name: str, partition_by: list[str] | None = None, **metrics: Column) -> tuple[str, dict]:
+    """Write ``df`` to a new scratch table; returns its path and the aggregates observed while writing.
+
+    The aggregates are taken in the stage that writes, whose tasks count once even if they are repeated.
+    """
+    path = scratch_path(df.sparkSession, name)
+    if not metrics:
+        df.write.parquet(path, partitionBy=partition_by)
+        return path, {}
+    seen = Observation()
+    df.observe(seen, *[m.alias(n) for n, m in metrics.items()]).write.parquet(path, partitionBy=partition_by)
+    return path, seen.get
+
+
 def cut(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once and return the stored table."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path, partitionBy=partition_by)
+    path, _ = store(df, name, partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when it has at most ``limit`` narrow rows, else leave it to a shuffle join.
+def cut_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Like ``cut``, with the number of rows written."""
+    path, seen = store(df, name, rows=F.count(F.lit(1)))
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen["rows"]
+
+
+def lookup_table(df: DataFrame, name: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Store the narrow rows of ``df`` and mark them for broadcast when there are at most ``limit``.
 
-    The check reads no more than ``limit + 1`` rows; pass a stored or cheap frame.
+    Larger ones are left to a shuffle join, where adaptive skew handling splits hot keys of the other side.
     """
-    few = df.limit(limit + 1).count() <= limit
-    return F.broadcast(df) if few else df
+    stored, rows = cut_counted(df, name)
+    return F.broadcast(stored) if rows <= limit else stored
+
+
+def small_table(spark: SparkSession, rows: list, schema: str | T.StructType) -> DataFrame:
+    """A broadcast table of driver-side records, such as a few values per block, box or split."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows)) if rows else [[] for _ in schema]
+    arrow = to_arrow_schema(schema)
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)]
+    # The Arrow path makes this a relation inside the plan, with no job to produce it.
+    return F.broadcast(spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow)))

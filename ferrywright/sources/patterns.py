@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..errors import InvalidInputError
 from ..operators.filters import full_match
+from ..scratch import small_table
 
 MAX_PATTERNS = 10_000
 
@@ -65,9 +66,8 @@ def match_globs(df: DataFrame, globs: list[str], path: str = "path") -> DataFram
 
 def unmatched_globs(df: DataFrame, globs: list[str], path: str = "path") -> DataFrame:
     """``glob`` of patterns that match no row."""
-    spark = df.sparkSession
     hits = match_globs(df.select(path), globs, path).select("glob").distinct()
-    wanted = spark.createDataFrame([(g,) for g in dict.fromkeys(globs)], "glob string")
+    wanted = small_table(df.sparkSession, [(g,) for g in dict.fromkeys(globs)], "glob string")
     return wanted.join(hits, "glob", "left_anti")
 
 
