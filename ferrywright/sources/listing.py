@@ -15,7 +15,7 @@ from ..errors import InvalidInputError, MigrationError
 from ..files import local_path, open_fs
 from ..functions.paths import relative_path, source_root, uri_path
 from ..operators.filters import suppress_roots
-from ..scratch import cut
+from ..scratch import store
 
 # Retries per directory and the first pause between them, doubled each time.
 MAX_RETRIES = 3
@@ -127,9 +127,13 @@ def _lister(only_self: bool, pause: float):
     return run
 
 
-def _list(paths: DataFrame, only_self: bool, tasks: int, pause: float) -> DataFrame:
-    spread = paths.select("source", "path").repartition(tasks)
-    return cut(spread.mapInPandas(_lister(only_self, pause), FOUND), "listing")
+def _list(paths: DataFrame, n_paths: int, only_self: bool, tasks: int, pause: float) -> tuple[DataFrame, dict]:
+    """Rows of one round, stored, with the numbers of paths and of directories to go on with."""
+    spread = paths.select("source", "path").repartition(max(1, min(tasks, n_paths)))
+    listed = spread.mapInPandas(_lister(only_self, pause), FOUND)
+    to_open = F.count_if(F.col("is_dir") & F.col("error").isNull())
+    path, seen = store(listed, "listing", paths=F.count(F.lit(1)), dirs=to_open)
+    return paths.sparkSession.read.schema(listed.schema).parquet(path), seen
 
 
 def list_tree(
@@ -151,19 +155,20 @@ def list_tree(
     if not isinstance(roots, DataFrame):
         roots = spark.createDataFrame([(r,) for r in roots], "path string")
     roots = roots.select(F.col("path").alias("source"), "path")
-    level = _list(roots, True, tasks, pause)
+    level, seen = _list(roots, tasks, True, tasks, pause)
     missing = missing_roots(level).first()
     if missing is not None:
         raise InvalidInputError(f"{missing.path} doesn't exist")
-    n_sources = level.count()
+    n_sources = seen["paths"]
     if n_sources == 0:
         raise InvalidInputError("Nothing to process: no source paths")
     bases = level.select(
         "source", source_root("path", "is_dir", n_sources, replace_content).alias("root")
     ).distinct()
     levels = [level]
-    while not (frontier := level.filter(F.col("is_dir") & F.col("error").isNull())).isEmpty():
-        level = _list(frontier, False, tasks, pause)
+    while seen["dirs"]:
+        frontier = level.filter(F.col("is_dir") & F.col("error").isNull())
+        level, seen = _list(frontier, seen["dirs"], False, tasks, pause)
         levels.append(level)
     found = levels[0]
     for level in levels[1:]:
