@@ -194,6 +194,33 @@ def copy_files(plan: DataFrame, options: SyncOptions, *, pause: float = FIRST_PA
     return cut(work.mapInPandas(run, RESULT), "copy-result")
 
 
+def file_checksums(df: DataFrame, limit: str | None = None, name: str = "checksum", key: str = "rel_path") -> DataFrame:
+    """``key, name``: md5 of the file at ``path``, or of its first ``limit`` bytes; null for directories.
+
+    Hashing reads whole files, so pass only the rows whose checksum decides something.
+    """
+    up_to = F.lit(None).cast("bigint") if limit is None else F.col(limit)
+
+    def run(batches):
+        for pdf in batches:
+            sums = []
+            for path, is_dir, n in zip(pdf["path"], pdf["is_dir"], pdf["_limit"]):
+                if is_dir:
+                    sums.append(None)
+                    continue
+                with _open_source(path) as source:
+                    sums.append(_hash_of(source, None if pd.isna(n) else int(n)).hexdigest())
+            yield pd.DataFrame({key: pdf[key], name: sums})
+
+    rows = df.select(key, "path", "is_dir", up_to.alias("_limit"))
+    return rows.mapInPandas(run, f"{key} string, {name} string")
+
+
+def file_prefixes(candidates: DataFrame) -> DataFrame:
+    """Prefix checksums of append candidates that are files, for ``reconcile``."""
+    return file_checksums(candidates, "tgt_length", "prefix_checksum")
+
+
 def copy_chunks(files: DataFrame, chunk_bytes: int, options: SyncOptions, parallelism: int) -> DataFrame:
     """Copy byte ranges of large files as separate tasks into part files next to the target.
 

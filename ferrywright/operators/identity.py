@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.access import logical_acl
-from ..scratch import lookup_table
+from ..functions.access import acl_entry, logical_acl
+from ..scratch import cut_counted, small_table
 from .reconcile import match_target
 
+LOOKUP_ROWS = 100_000
+
 
 def collect_identities(df: DataFrame) -> DataFrame:
     """``local_identity``: every owner, group and non-blank ACL name. Duplicates vanish before the shuffle."""
@@ -26,47 +28,76 @@ def merge_identities(found: DataFrame, known: DataFrame | None = None) -> DataFr
     return found.join(known.select("local_identity", "cloud_identity"), "local_identity", "left")
 
 
-def translate_identities(df: DataFrame, identities: DataFrame) -> DataFrame:
-    """Replace owner, group and ACL names by their cloud identity; unmapped ones and nulls stay as they are.
+def _translate_in_place(df: DataFrame, table: DataFrame, rows: int) -> DataFrame:
+    """Translate inside each row, without a shuffle, by a table that is broadcast as one row.
 
-    The map is joined by broadcast when its checked size allows it. ACLs are translated once per distinct
-    list, because directory trees repeat them: only distinct lists are opened and put together again, and
-    rows get theirs back by one join. A list that a third of all rows share is one row there; should the
-    table be too large to broadcast, adaptive skew handling splits such rows of the left side.
+    A lookup in a Spark map goes through its entries, so the table is a list of small maps, and the hash of
+    a name says which.
+    """
+    buckets = max(1, rows // 4)
+
+    def bucket(name):
+        return F.pmod(F.hash(name), F.lit(buckets))
+
+    maps: list[dict] = [{} for _ in range(buckets)]
+    for r in table.select(bucket("local_identity").alias("b"), "local_identity", "cloud_identity").collect():
+        maps[r.b][r.local_identity] = r.cloud_identity
+    names = small_table(
+        df.sparkSession, [([list(m.items()) for m in maps],)], "_names array<map<string,string>>"
+    )
+
+    def mapped(name):
+        return F.coalesce(F.try_element_at(F.get("_names", bucket(name)), name), name)
+
+    out = {c: mapped(F.col(c)) for c in ("owner", "group")}
+    if "acl" in df.columns:
+        out["acl"] = F.transform(
+            "acl", lambda e: acl_entry(e["scope"], e["type"], mapped(e["name"]), e["perm"])
+        )
+    return df.join(names).withColumns(out).drop("_names")
+
+
+def _translate_by_joins(df: DataFrame, table: DataFrame) -> DataFrame:
+    """Translate by shuffle joins, where adaptive skew handling splits hot owners.
+
+    ACLs are translated once per distinct list, because directory trees repeat them: only distinct lists are
+    opened and put together again, and rows get theirs back by one join. A list that a third of all rows
+    share is one row there.
     """
-    known = identities.filter(F.col("cloud_identity").isNotNull()).select("local_identity", "cloud_identity")
-    lookup = lookup_table(known, "identities")
 
     def translated(frame: DataFrame, column: str) -> DataFrame:
-        hit = lookup.select(F.col("local_identity").alias(column), F.col("cloud_identity").alias("_cloud"))
+        hit = table.select(F.col("local_identity").alias(column), F.col("cloud_identity").alias("_cloud"))
         return frame.join(hit, column, "left").withColumn(column, F.coalesce("_cloud", column)).drop("_cloud")
 
-    columns = df.columns
     out = translated(translated(df, "owner"), "group")
-    if "acl" in columns:
-        lists = (
-            df.filter(F.exists("acl", lambda e: F.trim(e["name"]) != ""))
-            .select(F.col("acl").alias("_acl"))
-            .distinct()
-        )
-        entries = lists.select("_acl", F.posexplode("_acl").alias("_pos", "_entry")).withColumn("name", F.col("_entry.name"))
-        entry = F.struct(
-            "_pos",
-            F.struct(F.col("_entry.scope"), F.col("_entry.type"), F.col("name"), F.col("_entry.perm")).alias("_entry"),
-        )
-        # A list holds a few dozen entries by the limits of file systems.
-        mapped = (
-            translated(entries, "name")
-            .groupBy("_acl")
-            .agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["_entry"]).alias("_mapped"))
-        )
-        table = lookup_table(mapped, "mapped-acls", 20_000)
-        out = (
-            out.join(table, F.col("acl") == F.col("_acl"), "left")
-            .withColumn("acl", F.coalesce("_mapped", "acl"))
-            .drop("_acl", "_mapped")
-        )
-    return out.select(*columns)
+    if "acl" not in df.columns:
+        return out
+    has_names = F.exists("acl", lambda e: F.trim(e["name"]) != "")
+    lists = df.filter(has_names).select(F.col("acl").alias("_acl")).distinct()
+    entries = lists.select("_acl", F.posexplode("_acl").alias("_pos", "_entry")).withColumn("name", F.col("_entry.name"))
+    entry = F.struct("_pos", acl_entry(F.col("_entry.scope"), F.col("_entry.type"), F.col("name"), F.col("_entry.perm")))
+    # A list holds a few dozen entries by the limits of file systems.
+    mapped = (
+        translated(entries, "name")
+        .groupBy("_acl")
+        .agg(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["col2"]).alias("_mapped"))
+    )
+    return (
+        out.join(mapped, F.col("acl") == F.col("_acl"), "left")
+        .withColumn("acl", F.coalesce("_mapped", "acl"))
+        .drop("_acl", "_mapped")
+    )
+
+
+def translate_identities(df: DataFrame, identities: DataFrame, limit: int = LOOKUP_ROWS) -> DataFrame:
+    """Replace owner, group and ACL names by their cloud identity; unmapped ones and nulls stay as they are.
+
+    The map is stored and counted first: with up to ``limit`` entries it is broadcast, else joined.
+    """
+    known = identities.filter(F.col("cloud_identity").isNotNull()).select("local_identity", "cloud_identity")
+    table, rows = cut_counted(known, "identities")
+    out = _translate_in_place(df, table, rows) if rows <= limit else _translate_by_joins(df, table)
+    return out.select(*df.columns)
 
 
 def unmapped_identities(found: DataFrame, identities: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.access import comparable_map
+from ..options import SyncOptions
 from .reconcile import match_target
 
 
@@ -61,3 +62,20 @@ def preserve_plan(
     rows = match_target(src.select(key, *dict.fromkeys([*columns, *keep])), tgt, key, tuple(columns)).filter("tgt_exists")
     setters = F.array_compact(F.array(F.lit(None).cast("string"), *[F.when(test, F.lit(name)) for name, test in tests]))
     return rows.select(key, *keep, setters.alias("setters"))
+
+
+def create_attributes(df: DataFrame, options: SyncOptions, *, replication: int, block_size: int) -> DataFrame:
+    """Add ``want_replication`` and ``want_block_size``, with which a copy creates each file.
+
+    They are those of the source if to be preserved, else the given defaults of the target. Preserving the
+    checksum type needs equal block sizes too.
+    """
+    keep_blocks = bool(options.preserve & {"blocksize", "checksumtype"})
+    return df.withColumns(
+        {
+            "want_replication": (
+                F.col("replication") if "replication" in options.preserve else F.lit(replication).cast("smallint")
+            ),
+            "want_block_size": F.col("block_size") if keep_blocks else F.lit(block_size).cast("bigint"),
+        }
+    )

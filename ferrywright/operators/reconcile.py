@@ -7,12 +7,14 @@ to adaptive skew handling.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import checksums_equal
 from ..options import SyncOptions
-from ..scratch import lookup_table
+from ..scratch import cut, lookup_table
 
 TARGET_COLUMNS = ("is_dir", "length", "block_size", "checksum")
 
@@ -34,11 +36,14 @@ def _same_content(options: SyncOptions) -> Column:
     return F.coalesce(same, F.lit(False))
 
 
+def _appendable(rows: DataFrame, options: SyncOptions) -> DataFrame:
+    shorter = F.col("tgt_exists") & ~F.col("is_dir") & ~F.col("tgt_is_dir") & (F.col("tgt_length") < F.col("length"))
+    return rows.filter(shorter & ~_same_content(options))
+
+
 def append_candidates(src: DataFrame, tgt: DataFrame, options: SyncOptions, key: str = "rel_path") -> DataFrame:
     """Files whose target is a shorter file: only their content has to be hashed up to the target length."""
-    rows = match_target(src, tgt, key)
-    shorter = rows.tgt_exists & ~F.col("is_dir") & ~F.col("tgt_is_dir") & (F.col("tgt_length") < F.col("length"))
-    return rows.filter(shorter & ~_same_content(options))
+    return _appendable(match_target(src, tgt, key), options)
 
 
 def prefix_checksums(
@@ -78,16 +83,20 @@ def reconcile(
     options: SyncOptions,
     *,
     key: str = "rel_path",
-    prefixes: DataFrame | None = None,
+    prefixes: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add ``action`` to each source row: MKDIR, SKIP, APPEND, OVERWRITE or CONFLICT.
 
-    ``prefixes`` (``key, prefix_checksum``) enables APPEND; rows it does not name are overwritten.
+    ``prefixes`` enables APPEND: it gets the append candidates and returns ``key, prefix_checksum``. The
+    joined status rows are stored before, so that neither side is read or joined twice.
     """
     rows = match_target(src, tgt, key)
-    if prefixes is not None:
-        rows = rows.join(prefixes.select(key, "prefix_checksum"), key, "left")
-    return rows.withColumn("action", action_column(options, prefixes is not None))
+    appending = options.append and prefixes is not None
+    if appending:
+        rows = cut(rows, "matched")
+        found = prefixes(_appendable(rows, options)).select(key, "prefix_checksum")
+        rows = rows.join(found, key, "left")
+    return rows.withColumn("action", action_column(options, appending))
 
 
 def vanished_sources(listed: DataFrame, fresh: DataFrame, key: str = "path") -> DataFrame:

@@ -33,7 +33,7 @@ def uniform_split(
 
     Returns ``order, size, *keep, split_id``. ``total`` is the byte count the limit is derived from, by
     default the sum of ``size``. Blocks in which no split starts are passed by their byte total; in the
-    others the starts are found by a task that holds that block, and only they come back.
+    others the starts are found by a task that streams that block, and only they come back.
     """
     if n < 1:
         raise InvalidInputError("n must be positive")
@@ -42,28 +42,32 @@ def uniform_split(
     total = sum(r.total for r in stats) if total is None else total
     limit = -(-total // n)
     order_type = blocks.table.schema[order].dataType
-    start_schema = T.StructType(
-        [T.StructField("starts", T.ArrayType(order_type)), T.StructField("open_bytes", T.LongType())]
+    found_schema = T.StructType(
+        [
+            T.StructField("batch", T.IntegerType()),
+            T.StructField("starts", T.ArrayType(order_type)),
+            T.StructField("open_bytes", T.LongType()),
+        ]
     )
 
-    def find_starts(open_bytes: int, any_before: bool):
-        def find(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(order, kind="stable")
-            sizes = pdf[size].to_numpy(dtype="int64")
-            upto = np.cumsum(sizes)
-            # ``base``: running total at which the open split began; it holds ``open_bytes`` already.
-            starts, base, at = [], -open_bytes, 0
-            while True:
-                at = max(int(np.searchsorted(upto, base + limit, side="right")), at)
-                if at == 0 and not any_before and len(upto):
-                    at = max(int(np.searchsorted(upto[1:], base + limit, side="right")) + 1, 1)
-                if at >= len(upto):
-                    break
-                starts.append(at)
-                base = int(upto[at]) - int(sizes[at])
-                at += 1
-            left = int(upto[-1]) - base if len(upto) else open_bytes
-            return pd.DataFrame({"starts": [pdf[order].iloc[starts].tolist()], "open_bytes": [left]})
+    def find_starts(opened: int, at_begin: bool):
+        def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            open_bytes = opened
+            for number, pdf in enumerate(batches):
+                sizes = pdf[size].to_numpy(dtype="int64")
+                upto = np.cumsum(sizes)
+                starts, at = [], 0
+                if at_begin and number == 0:
+                    open_bytes, upto, at = int(sizes[0]), upto - sizes[0], 1
+                # ``base``: running total at which the open split began; it holds ``open_bytes`` already.
+                base = -open_bytes
+                while (at := max(int(np.searchsorted(upto, base + limit, side="right")), at)) < len(upto):
+                    starts.append(at)
+                    base = int(upto[at]) - int(sizes[at])
+                    at += 1
+                open_bytes = int(upto[-1]) - base
+                found = pdf[order].iloc[starts].tolist()
+                yield pd.DataFrame({"batch": [number], "starts": [found], "open_bytes": [open_bytes]})
 
         return find
 
@@ -71,9 +75,11 @@ def uniform_split(
     for i, block in enumerate(stats):
         starts = []
         if opened + block.total > limit:
-            one = blocks.table.filter(F.col("pid") == block.pid).select("pid", order, size)
-            found = one.groupBy("pid").applyInPandas(find_starts(opened, i > 0), start_schema).first()
-            starts, opened = list(found.starts), found.open_bytes
+            rows = blocks.table.filter(F.col("pid") == block.pid).select(order, size)
+            in_order = rows.coalesce(1).sortWithinPartitions(order)
+            # Only starts come back: there are at most about two per split in all.
+            found = sorted(in_order.mapInPandas(find_starts(opened, i == 0), found_schema).collect())
+            starts, opened = [s for r in found for s in r.starts], found[-1].open_bytes
         else:
             opened += block.total
         per_block.append((block.pid, base_id, starts))

@@ -180,10 +180,17 @@ def region_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nation_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A box per nation of 0 to 240 TiB; one has no size."""
-    key = F.col("n_nationkey").cast("bigint")
-    size = F.when(key == 7, F.lit(-1)).otherwise(key * F.lit(10 * 1024**4)).cast("bigint")
-    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("box_id"), size.alias("size_bytes"))
+    """A box per nation, of 100 TiB where it has as many customers as the average; one has no size."""
+    customers = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey"))
+    counts = customers.agg(F.count("*").alias("n"))
+    every = table(spark, sf_dir, "customer").agg(F.count("*").alias("n_all"))  # one row
+    nations = table(spark, sf_dir, "nation").join(counts, "n_nationkey", "left").join(F.broadcast(every))
+    average = F.floor(F.coalesce("n", F.lit(0)) * F.lit(25 * 1000) / F.col("n_all"))
+    size = F.when(F.col("n_nationkey") == 7, F.lit(-1)).otherwise(average * F.lit(100 * 1024**4 // 1000))
+    return nations.select(
+        F.col("n_nationkey").cast("int").alias("box_id"), "n_name", F.coalesce("n", F.lit(0)).alias("n_customers"),
+        size.cast("bigint").alias("size_bytes"),
+    )
 
 
 def order_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,6 +71,10 @@ def full_acl(manifest: str, entries: str = "entries", key: str = "seq") -> str:
  union all select s.{key}, 5, e.n, e.scope, e.type, e.name, e.perm from {manifest} s join {entries} e on e.seq = s.{key} where e.scope = 'default'"""
 
 
+CUSTOMERS = """counted as (
+ select cast(n_nationkey as bigint) as box_id, n_name, (select count(*) from customer where c_nationkey = n_nationkey) as n,
+  (select count(*) from customer) as n_all from nation)"""
+
 BOXES = """boxes as (
  select cast(r_regionkey as bigint) as box_id, r_name as dns,
   cast((select sum(n_chars) from documents) as bigint) // 20 * (r_regionkey + 1) as size_bytes from region),
@@ -289,13 +293,15 @@ ORACLE: dict[str, str] = {
   concat(case when doc_id % 3 = 0 then 'R' else 'B' end, case when doc_id % 5 = 0 then '' else 'U' end, 'P',
    case when doc_id % 5 = 0 then 'A' else '' end, case when doc_id % 2 = 0 then 'T' else '' end) as packed
  from documents""",
-    "boxes_config": """select cast(n_nationkey as bigint) as box_id, n_name as dns, case when n_nationkey % 3 = 0 then 'own' else 'shared' end as container,
-  case when n_nationkey % 4 <> 0 then cast(n_nationkey as bigint) * 1000 end as size_bytes,
-  case when n_nationkey % 2 = 0 then concat('wasb://', case when n_nationkey % 3 = 0 then 'own' else 'shared' end, '@', n_name, '/') else n_name end as target_uri
- from nation""",
-    "plan_splits": f"""with caps as (select cast(n_nationkey as bigint) as box_id,
-  case when n_nationkey = 7 then 9223372036854775807 else cast(n_nationkey as bigint) * 10995116277760 end as cap from nation)
+    "boxes_config": f"""with {CUSTOMERS} select box_id, n_name as dns, case when box_id % 3 = 0 then 'own' else 'shared' end as container,
+  case when box_id % 4 <> 0 then n * 1000 end as size_bytes,
+  case when box_id % 2 = 0 then concat('wasb://', case when box_id % 3 = 0 then 'own' else 'shared' end, '@', n_name, '/') else n_name end as target_uri
+ from counted""",
+    "plan_splits": f"""with {CUSTOMERS}, caps as (select box_id,
+  case when box_id = 7 then 9223372036854775807 else n * 25000 // n_all * 109951162777 end as cap from counted)
  {split_plan("intended", 20)} union all {split_plan("intended", 1000)} union all {split_plan("observed", 100)}""",
+    "create_attributes": f"""with {SRC} select l as letters, rel_path, case when l = 'rb' then replication else 2 end as want_replication,
+  case when l = 'u' then 1048576 else block_size end as want_block_size from src, (values ('u'), ('rb'), ('c')) t(l)""",
     "first_fit_placement": f"with recursive {PLACED} select seq, length, box_id from placed",
     "skipped_files": f"""with recursive {PLACED}
  select concat('/src',{NAME},' - cannot locate on any target box') as line from placed p join documents d on d.doc_id = p.seq where box_id is null""",

@@ -44,11 +44,9 @@ def entry_text(e):
 def planned_sync(spark: SparkSession, sf_dir: str, options: SyncOptions = SYNC) -> DataFrame:
     """What a run would do with each document."""
     src, tgt = derived.source_manifest(spark, sf_dir), derived.target_manifest(spark, sf_dir)
-    prefixes = None
-    if options.append:
-        candidates = reconcile.append_candidates(src, tgt, options)
-        prefixes = reconcile.prefix_checksums(candidates, derived.content(spark, sf_dir))
-    return reconcile.reconcile(src, tgt, options, prefixes=prefixes)
+    return reconcile.reconcile(
+        src, tgt, options, prefixes=lambda few: reconcile.prefix_checksums(few, derived.content(spark, sf_dir))
+    )
 
 
 def placed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,6 +334,18 @@ def preserve_plan(spark, sf_dir):
     return plan.select("rel_path", joined("setters"))
 
 
+@query
+def create_attributes(spark, sf_dir):
+    """Replication and block size each copied document is created with, for three sets of attributes."""
+    src = derived.source_manifest(spark, sf_dir)
+    out = None
+    for letters in ("u", "rb", "c"):
+        wanted = metadata.create_attributes(src, SyncOptions(preserve=letters), replication=2, block_size=derived.MB)
+        part = wanted.select(F.lit(letters).alias("letters"), "rel_path", bigint("want_replication"), "want_block_size")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query
 def xattr_filter(spark, sf_dir):
     rows = derived.xattr_manifest(spark, sf_dir)
@@ -372,19 +382,20 @@ def attribute_sets(spark, sf_dir):
 
 @query
 def boxes_config(spark, sf_dir):
-    """A target configuration written as JSON from the nation table, and read again."""
-    nation = derived.table(spark, sf_dir, "nation")
-    size = F.when(F.col("n_nationkey") % 4 != 0, F.col("n_nationkey").cast("bigint") * 1000).otherwise(F.lit(-1))
+    """A target configuration written as JSON, with a box per nation sized by its customers, and read again."""
+    boxes = derived.nation_boxes(spark, sf_dir)
+    key = F.col("box_id")
     box = F.struct(
         F.col("n_name").alias("boxDns"),
-        F.when(F.col("n_nationkey") % 2 == 0, "key").otherwise("").alias("accountKey"),
-        size.alias("sizeInBytes"),
-        F.when(F.col("n_nationkey") % 3 == 0, "own").otherwise("").alias("container"),
+        F.when(key % 2 == 0, "key").otherwise("").alias("accountKey"),
+        F.when(key % 4 != 0, F.col("n_customers") * 1000).otherwise(F.lit(-1)).alias("sizeInBytes"),
+        F.when(key % 3 == 0, "own").otherwise("").alias("container"),
     )
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", box.alias("b")))), lambda x: x["b"])
+    # One entry per nation: a list of fixed length.
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("box_id", box.alias("b")))), lambda x: x["b"])
     text = F.to_json(F.struct(F.lit("shared").alias("container"), listed.alias("boxes")))
     path = scratch_path(spark, "boxes")
-    nation.agg(text.alias("value")).write.text(path)  # one row per nation: a fixed, small table
+    boxes.agg(text.alias("value")).write.text(path)
     return config.read_boxes(spark, path).select(bigint("box_id"), "dns", "container", "size_bytes", "target_uri")
 
 

@@ -23,10 +23,10 @@ FIRST_PAUSE_SEC = 2.0
 BATCH_ROWS = 5_000
 
 FOUND = (
-    "source string, path string, is_dir boolean, length bigint, mtime bigint, atime bigint, perm int, sticky boolean, "
+    "root string, path string, is_dir boolean, length bigint, mtime bigint, atime bigint, perm int, sticky boolean, "
     "owner string, `group` string, error string"
 )
-COLUMNS = ["source", "path", "is_dir", "length", "mtime", "atime", "perm", "sticky", "owner", "group", "error"]
+COLUMNS = ["root", "path", "is_dir", "length", "mtime", "atime", "perm", "sticky", "owner", "group", "error"]
 
 
 def _names():
@@ -52,10 +52,10 @@ def _names():
     return user, group
 
 
-def _local_row(source, path, info, user, group):
+def _local_row(root, path, info, user, group):
     is_dir = stat.S_ISDIR(info.st_mode)
     return (
-        source,
+        root,
         path,
         is_dir,
         0 if is_dir else info.st_size,
@@ -69,17 +69,17 @@ def _local_row(source, path, info, user, group):
     )
 
 
-def _entries(source: str, path: str, only_self: bool) -> Iterator[tuple]:
+def _entries(root: str, path: str, only_self: bool) -> Iterator[tuple]:
     """Status rows of one path or of its children, from a mounted or a remote file system."""
     local = local_path(path)
     if local is not None:
         user, group = _names()
         if only_self:
-            yield _local_row(source, path, os.stat(local), user, group)
+            yield _local_row(root, path, os.stat(local), user, group)
             return
         with os.scandir(local) as found:
             for entry in found:
-                yield _local_row(source, f"{path.rstrip('/')}/{entry.name}", entry.stat(), user, group)
+                yield _local_row(root, f"{path.rstrip('/')}/{entry.name}", entry.stat(), user, group)
         return
     from pyarrow import fs
 
@@ -91,32 +91,32 @@ def _entries(source: str, path: str, only_self: bool) -> Iterator[tuple]:
         is_dir = info.type == fs.FileType.Directory
         full = path if only_self else f"{path.rstrip('/')}/{info.base_name}"
         mtime = None if info.mtime_ns is None else info.mtime_ns // 1_000_000
-        yield (source, full, is_dir, 0 if is_dir else info.size, mtime, None, None, False, None, None, None)
+        yield (root, full, is_dir, 0 if is_dir else info.size, mtime, None, None, False, None, None, None)
 
 
 def _lister(only_self: bool, pause: float):
     """Task that lists directories, retrying each; what stays unreadable becomes an error row."""
 
-    def listed(source, path):
+    def listed(root, path):
         for attempt in range(MAX_RETRIES + 1):
             if attempt:
                 time.sleep(pause * 2 ** (attempt - 1))
             try:
-                yield from _entries(source, path, only_self)
+                yield from _entries(root, path, only_self)
                 return
             except FileNotFoundError:
                 if only_self:
-                    yield (source, path, False, 0, None, None, None, None, None, None, "not found")
+                    yield (root, path, False, 0, None, None, None, None, None, None, "not found")
                 return
             except OSError as e:
                 reason = str(e)
-        yield (source, path, True, 0, None, None, None, None, None, None, reason)
+        yield (root, path, True, 0, None, None, None, None, None, None, reason)
 
     def run(batches):
         for pdf in batches:
             rows = []
-            for source, path in zip(pdf["source"], pdf["path"]):
-                for row in listed(source, path):
+            for root, path in zip(pdf["root"], pdf["path"]):
+                for row in listed(root, path):
                     rows.append(row)
                     if len(rows) >= BATCH_ROWS:
                         yield pd.DataFrame(rows, columns=COLUMNS)
@@ -129,7 +129,7 @@ def _lister(only_self: bool, pause: float):
 
 def _list(paths: DataFrame, n_paths: int, only_self: bool, tasks: int, pause: float) -> tuple[DataFrame, dict]:
     """Rows of one round, stored, with the numbers of paths and of directories to go on with."""
-    spread = paths.select("source", "path").repartition(max(1, min(tasks, n_paths)))
+    spread = paths.select("root", "path").repartition(max(1, min(tasks, n_paths)))
     listed = spread.mapInPandas(_lister(only_self, pause), FOUND)
     to_open = F.count_if(F.col("is_dir") & F.col("error").isNull())
     path, seen = store(listed, "listing", paths=F.count(F.lit(1)), dirs=to_open)
@@ -154,7 +154,7 @@ def list_tree(
     tasks = tasks or spark.sparkContext.defaultParallelism
     if not isinstance(roots, DataFrame):
         roots = spark.createDataFrame([(r,) for r in roots], "path string")
-    roots = roots.select(F.col("path").alias("source"), "path")
+    roots = roots.select(F.col("path").alias("root"), "path")
     level, seen = _list(roots, tasks, True, tasks, pause)
     missing = missing_roots(level).first()
     if missing is not None:
@@ -162,9 +162,8 @@ def list_tree(
     n_sources = seen["paths"]
     if n_sources == 0:
         raise InvalidInputError("Nothing to process: no source paths")
-    bases = level.select(
-        "source", source_root("path", "is_dir", n_sources, replace_content).alias("root")
-    ).distinct()
+    # The root travels with the rows from here on, so none has to be looked up again.
+    level = level.withColumn("root", source_root("path", "is_dir", n_sources, replace_content))
     levels = [level]
     while seen["dirs"]:
         frontier = level.filter(F.col("is_dir") & F.col("error").isNull())
@@ -176,13 +175,8 @@ def list_tree(
     errors = found.filter(F.col("error").isNotNull()).select("path", "error")
     if strict and (first := errors.first()) is not None:
         raise MigrationError(f"Cannot list {first.path}: {first.error}")
-    listing = (
-        found.filter(F.col("error").isNull())
-        .drop("error")
-        .join(bases, "source")
-        .withColumn("rel_path", relative_path("root", "path"))
-        .drop("source")
-    )
+    listing = found.filter(F.col("error").isNull()).drop("error")
+    listing = listing.withColumn("rel_path", relative_path("root", "path"))
     return suppress_roots(listing, replace_content), errors
 
 

@@ -35,23 +35,15 @@ def list_one(spark, root, **options):
     return rows
 
 
-def with_hashes(rows):
-    """Content hashes by Spark, for the small trees of these tests."""
-    local = F.udf(lambda p, d: None if d else hashlib.md5(open(p, "rb").read()).hexdigest(), "string")
-    return rows.withColumn("checksum", local("path", "is_dir"))
+def status_of(spark, root):
+    rows = list_one(spark, root, replace_content=True)
+    return rows.join(copyjob.file_checksums(rows), "rel_path").withColumn("block_size", F.lit(1))
 
 
 def plan_copy(spark, src_root, dst_root, options):
-    src = with_hashes(list_one(spark, src_root, replace_content=True)).withColumn("block_size", F.lit(1))
-    tgt = src.limit(0)
-    if dst_root.exists():
-        tgt = with_hashes(list_one(spark, dst_root, replace_content=True)).withColumn("block_size", F.lit(1))
-    prefixes = None
-    if options.append:
-        found = reconcile.append_candidates(src, tgt, options)
-        head = F.udf(lambda p, n: hashlib.md5(open(p, "rb").read(n)).hexdigest(), "string")
-        prefixes = found.select("rel_path", head("path", "tgt_length").alias("prefix_checksum"))
-    plan = reconcile.reconcile(src, tgt, options, prefixes=prefixes)
+    src = status_of(spark, src_root)
+    tgt = status_of(spark, dst_root) if dst_root.exists() else src.limit(0)
+    plan = reconcile.reconcile(src, tgt, options, prefixes=copyjob.file_prefixes)
     return plan.withColumns(
         {"target_uri": paths.target_uri(F.lit(str(dst_root)), "rel_path"), "split_id": F.pmod(F.hash("rel_path"), F.lit(3))}
     )
@@ -101,14 +93,14 @@ def test_unreadable_directories_are_reported(spark, tree, monkeypatch):
     rows = listing._lister(False, 0.0)
     calls = []
 
-    def broken(source, path, only_self):
+    def broken(root, path, only_self):
         calls.append(path)
         raise PermissionError("denied")
 
     monkeypatch.setattr(listing, "_entries", broken)
     import pandas as pd
 
-    out = pd.concat(rows([pd.DataFrame({"source": ["/s"], "path": ["/s"]})]))
+    out = pd.concat(rows([pd.DataFrame({"root": ["/s"], "path": ["/s"]})]))
     assert len(calls) == listing.MAX_RETRIES + 1
     assert out[["path", "error"]].values.tolist() == [["/s", "denied"]]
 

@@ -201,3 +201,19 @@ def test_uniform_split_of_orders_as_by_one_pass(spark, sf):
         want[s] = (n + 1, total + r.length, first)
     got = QUERIES["uniform_split_orders"](spark, sf).collect()
     assert {r.split_id: (r.records, r.bytes, r.first_seq) for r in got} == want
+
+
+def test_strategies(spark):
+    from ferrywright.operators.strategy import assign_splits
+
+    rows = manifest(spark, [5, 50, 5, 5, 5])
+    boxes = boxes_of(spark, [20])
+    got = {r.seq: (r.box_id, r.split_id) for r in assign_splits(rows, boxes=boxes, tasks_per_box=2).collect()}
+    assert got == {0: (0, 0), 1: (None, None), 2: (0, 1), 3: (0, 1), 4: (0, 0)}
+    uniform = assign_splits(rows, "uniform", max_maps=2).orderBy("seq").collect()
+    assert [r.split_id for r in uniform] == [0, 1, 2, 2, 2]
+    dynamic = assign_splits(rows, "dynamic", max_maps=2).orderBy("seq").collect()
+    assert [r.split_id for r in dynamic] == sequential.deal(5, 2, 2)
+    for bad in (dict(strategy="other"), dict(strategy="first_fit")):
+        with pytest.raises(InvalidInputError):
+            assign_splits(rows, **bad)

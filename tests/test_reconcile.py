@@ -14,9 +14,9 @@ def status(spark, rows):
 
 
 def actions(spark, options, src, tgt, prefixes=None):
-    if prefixes is not None:
-        prefixes = spark.createDataFrame(prefixes, "rel_path string, prefix_checksum string")
-    rows = reconcile.reconcile(status(spark, src), status(spark, tgt), options, prefixes=prefixes)
+    known = spark.createDataFrame(prefixes or [], "rel_path string, prefix_checksum string")
+    given = (lambda rows: known) if prefixes else None
+    rows = reconcile.reconcile(status(spark, src), status(spark, tgt), options, prefixes=given)
     return {r.rel_path: r.action for r in rows.collect()}
 
 
@@ -200,17 +200,12 @@ def test_translate_identities(spark):
     assert {r[0] for r in identity.unmapped_identities(found.na.drop(), ids).collect()} == {"u3", "u5", "p2", "", "g"}
 
 
-def test_large_maps_are_not_broadcast(spark, monkeypatch):
-    """Beyond the checked size the lookup is a shuffle join with the same result."""
-    from ferrywright import scratch
-
+def test_large_maps_are_joined(spark):
+    """Beyond the checked size the translation is by shuffle joins, with the same result."""
     src = derived.source_with_acl(spark, "/root/testdata/sf0.001").select("rel_path", "owner", "group", "acl")
     ids = derived.identity_map(spark, "/root/testdata/sf0.001")
     few = sorted(map(str, identity.translate_identities(src, ids).collect()))
-    original = scratch.lookup_table
-    monkeypatch.setattr(identity, "lookup_table", lambda df, name, limit=0: original(df, name, 0))
-    plan = identity.translate_identities(src, ids)
-    assert sorted(map(str, plan.collect())) == few
+    assert few == sorted(map(str, identity.translate_identities(src, ids, limit=0).collect()))
 
 
 def test_acl_transfer_plan(spark):
