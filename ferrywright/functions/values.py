@@ -41,10 +41,14 @@ def percent(done: str | Column, total: str | Column) -> Column:
     return F.bround(done * 100.0 / F.nullif(total, F.lit(0.0)), 1)
 
 
+def int_div(n: str | Column, by: str | Column | int) -> Column:
+    """Integer division, exact for large numbers."""
+    return F.call_function("div", _col(n), F.lit(by) if isinstance(by, int) else _col(by))
+
+
 def bytes_per_second(n: str | Column, millis: str | Column) -> Column:
     """Bytes per whole second; below one second the bytes themselves."""
-    seconds = F.floor(_col(millis) / F.lit(1000)).cast("bigint")
-    return F.when(seconds == 0, _col(n)).otherwise(F.floor(_col(n) / F.nullif(seconds, F.lit(0)))).cast("bigint")
+    return int_div(n, F.greatest(int_div(millis, 1000), F.lit(1)))
 
 
 def timestamp_millis(ms: str | Column) -> Column:

@@ -16,7 +16,7 @@ from ..errors import CopyFailedError
 from ..files import length_of, open_fs
 from ..functions.paths import chunk_path
 from ..options import SyncOptions
-from ..scratch import cut
+from ..scratch import cut, store
 from .splits import chunk_files
 
 # Attempts, first pause and throttle pause of the retry and bandwidth policies.
@@ -174,23 +174,23 @@ def _carry_out(row, options: SyncOptions, pause: float) -> dict:
 def copy_files(plan: DataFrame, options: SyncOptions, *, pause: float = FIRST_PAUSE_SEC) -> DataFrame:
     """Carry out ``plan`` and return the stored result table (see ``RESULT``).
 
-    ``plan`` has ``rel_path, path, target_uri, action, is_dir, length, tgt_length, split_id``. Every split is
-    one partition, so the plan's byte balance is the balance of the tasks. The result is written by the
-    same job that copies: reading it again never copies again. Speculation has to be off, since two
-    attempts would write the same target. At most ``options.max_maps`` splits should be planned; the
-    bandwidth limit holds per running task.
+    ``plan`` has ``rel_path, path, target_uri, action, is_dir, length, tgt_length, split_id`` and is stored
+    before anything is copied. Every split is one partition, so the plan's byte balance is the balance of
+    the tasks. The result is written by the same job that copies: reading it again never copies again.
+    Speculation has to be off, since two attempts would write the same target. The number of splits bounds
+    the concurrency; the bandwidth limit holds per running task.
     """
     spark = plan.sparkSession
     if spark.sparkContext.getConf().get("spark.speculation", "false").lower() == "true":
         raise CopyFailedError("Set spark.speculation=false for jobs with side effects")
-    n_splits = plan.agg(F.max("split_id")).first()[0]
+    path, seen = store(plan.select(*PLAN_COLUMNS), "copy-plan", last=F.max("split_id"))
+    stored = spark.read.schema(plan.select(*PLAN_COLUMNS).schema).parquet(path)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pd.DataFrame([_carry_out(row, options, pause) for row in pdf.itertuples(index=False)])
 
-    work = plan.select(*PLAN_COLUMNS).repartitionById((n_splits or 0) + 1, F.col("split_id").cast("int"))
-    # Few rows per batch: a file is the unit of work, and results should not pile up in a task.
+    work = stored.repartitionById((seen["last"] or 0) + 1, F.col("split_id").cast("int"))
     return cut(work.mapInPandas(run, RESULT), "copy-result")
 
 

@@ -92,6 +92,16 @@ def _walk_block(size: str, box_ids: list[int], rooms: list[int]):
     return walk
 
 
+def _rising(limits: list[int]) -> list[tuple[int, int]]:
+    """Box index and limit of the boxes that are first to hold some size: those above all before them."""
+    out, top = [], -1
+    for i, limit in enumerate(limits):
+        if limit > top:
+            out.append((i, limit))
+            top = limit
+    return out
+
+
 def _one_class(block, rooms: list[int]) -> int | None:
     """The box that all rows of a block try first, -1 if none can hold any of them, None if they differ."""
     tried = next((i for i, room in enumerate(rooms) if block.low <= room), -1)
@@ -149,14 +159,15 @@ def first_fit(
     def scan(at: int, window: int) -> dict[int, dict[int, int]]:
         """Bytes of the candidates of each box in the next blocks that statistics do not decide."""
         wanted = [b.pid for b in stats[at : at + window] if _one_class(b, rooms) is None]
-        limits = small_table(spark, [(rooms,)], "_limits array<bigint>")
+        rising = _rising(rooms)
+        limits = small_table(spark, [([limit for _, limit in rising],)], "_limits array<bigint>")
         rows = blocks.table.filter(F.col("pid").between(wanted[0], wanted[-1])).select("pid", size)
         tried = F.array_position(F.transform("_limits", lambda r: F.col(size) <= r), True) - 1
         sums = rows.join(limits).groupBy("pid", tried.alias("at")).agg(F.sum(size).alias("total"))
         out: dict[int, dict[int, int]] = {pid: {} for pid in wanted}
         for r in sums.collect():  # a number per block and box
             if r.pid in out and r["at"] >= 0:
-                out[r.pid][r["at"]] = r.total
+                out[r.pid][rising[r["at"]][0]] = r.total
         return out
 
     at = 0
@@ -191,15 +202,9 @@ def first_fit(
         rooms = [r if unlimited[i] else r - (seen[f"b{i}"] or 0) for i, r in enumerate(rooms)]
         at += 1
 
-    # A limit matters only where it exceeds all limits before it.
-    choices = []
-    for i, limits in enumerate(rounds):
-        steps, top = [], -1
-        for limit, box_id in zip(limits, box_ids):
-            if limit > top:
-                steps.append({"limit": limit, "box": box_id})
-                top = limit
-        choices.append((i, steps))
+    choices = [
+        (n, [{"limit": limit, "box": box_ids[i]} for i, limit in _rising(limits)]) for n, limits in enumerate(rounds)
+    ]
     bulk = (
         blocks.table.join(small_table(spark, round_of, "pid int, _round int"), "pid")
         .join(small_table(spark, choices, "_round int, _steps array<struct<limit:bigint,box:int>>"), "_round")

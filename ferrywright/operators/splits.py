@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import InvalidInputError
+from ..functions.values import int_div
 from ..options import split_ratio
 from ..scratch import small_table
 from .blocks import build_blocks, index_blocks
@@ -119,7 +120,7 @@ def deal_chunks(
     per_batch = CHUNK_BATCH * entries
     last_first = CHUNK_BATCH * full_batches
     i = F.col("idx")
-    batch = F.floor(i / F.lit(per_batch))
+    batch = int_div("idx", per_batch)
     early = batch * CHUNK_BATCH + (i - batch * per_batch) % CHUNK_BATCH
     late = F.lit(last_first) + (i - F.lit(full_batches * per_batch)) % F.lit(chunks - last_first)
     return index_blocks(blocks).withColumn("chunk_id", F.when(i < full_batches * per_batch, early).otherwise(late).cast("int"))

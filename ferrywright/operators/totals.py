@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..errors import DuplicateTargetError
 from ..functions.paths import file_system, size_to_copy
-from ..functions.values import bytes_per_second
+from ..functions.values import bytes_per_second, int_div
 
 
 def _sum(value) -> F.Column:
@@ -94,7 +94,7 @@ def placement_report(placed: DataFrame, plan: DataFrame, size: str = "length") -
         "split_id",
         F.coalesce("records", F.lit(0)).alias("records"),
         F.coalesce("bytes", F.lit(0)).alias("bytes"),
-        F.floor(F.col("capacity") / F.col("n_splits")).cast("bigint").alias("share"),
+        int_div("capacity", "n_splits").alias("share"),
         F.when(F.col("split_id") == F.col("first_split"), F.col("capacity")).alias("capacity"),
     )
     level = F.grouping_id()

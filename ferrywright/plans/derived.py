@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..files import open_fs
 from ..functions.access import acl_entry
+from ..functions.values import int_div
 from ..scratch import cut, scratch_path
 
 MB = 1024 * 1024
@@ -128,7 +129,7 @@ def acl_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     numbered = F.struct(F.col("event_id").alias("n"), entry.alias("e"))
     return (
-        events.groupBy(F.floor(F.col("event_id") / 10).alias("seq"))
+        events.groupBy(int_div("event_id", 10).alias("seq"))
         .agg(F.transform(F.array_sort(F.collect_list(numbered)), lambda x: x["e"]).alias("acl"))
         .select("seq", "acl")
     )
@@ -173,7 +174,7 @@ def region_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A box per region; together they hold three quarters of all documents."""
     total = table(spark, sf_dir, "documents").agg(F.sum("n_chars").alias("total"))  # one row
     regions = table(spark, sf_dir, "region")
-    share = (F.floor(F.col("total") / F.lit(20)) * (F.col("r_regionkey") + 1)).cast("bigint")
+    share = int_div("total", 20) * (F.col("r_regionkey") + 1)
     return regions.join(F.broadcast(total)).select(
         F.col("r_regionkey").cast("int").alias("box_id"), share.alias("size_bytes"), F.col("r_name").alias("dns")
     )
@@ -185,7 +186,7 @@ def nation_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = customers.agg(F.count("*").alias("n"))
     every = table(spark, sf_dir, "customer").agg(F.count("*").alias("n_all"))  # one row
     nations = table(spark, sf_dir, "nation").join(counts, "n_nationkey", "left").join(F.broadcast(every))
-    average = F.floor(F.coalesce("n", F.lit(0)) * F.lit(25 * 1000) / F.col("n_all"))
+    average = int_div(F.coalesce("n", F.lit(0)) * F.lit(25 * 1000), "n_all")
     size = F.when(F.col("n_nationkey") == 7, F.lit(-1)).otherwise(average * F.lit(100 * 1024**4 // 1000))
     return nations.select(
         F.col("n_nationkey").cast("int").alias("box_id"), "n_name", F.coalesce("n", F.lit(0)).alias("n_customers"),
@@ -197,7 +198,7 @@ def order_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A box per region for orders; the largest has no size limit."""
     total = table(spark, sf_dir, "orders").agg(F.sum(F.col("o_totalprice").cast("bigint")).alias("total"))  # one row
     key = F.col("r_regionkey").cast("bigint")
-    share = F.floor(F.col("total") / F.lit(12)) * (key + 1)
+    share = int_div("total", 12) * (key + 1)
     return table(spark, sf_dir, "region").join(F.broadcast(total)).select(
         key.cast("int").alias("box_id"), F.when(key < 4, share).otherwise(F.lit(-1)).cast("bigint").alias("size_bytes")
     )
@@ -213,7 +214,7 @@ def old_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents some time ago: some not there yet, some shorter, some under another name, some since deleted."""
     docs = table(spark, sf_dir, "documents")
     name = F.when(_mod(10) == 3, F.concat(F.lit("/former"), doc_name())).otherwise(doc_name())
-    length = F.when(_mod(8) == 0, F.floor(F.col("n_chars") / 2)).otherwise(F.col("n_chars"))
+    length = F.when(_mod(8) == 0, int_div("n_chars", 2)).otherwise(F.col("n_chars"))
     kept = docs.filter(_mod(9) != 0).select(
         F.col("doc_id").alias("file_id"), name.alias("rel_path"), F.lit(False).alias("is_dir"), length.alias("length")
     )

@@ -161,12 +161,13 @@ def list_tree(spark, sf_dir):
 
 @query
 def list_file_sources(spark, sf_dir):
-    """The source directories go into a list file, from which the tree is listed."""
+    """Patterns for the source directories go into a list file, from which the tree is listed."""
     root = derived.write_tree(spark, sf_dir)
-    names = derived.table(spark, sf_dir, "documents").select("source").distinct()
+    names = derived.table(spark, sf_dir, "documents").select(F.substring("source", 1, 4).alias("head")).distinct()
     list_file = scratch_path(spark, "sources")
-    names.select(F.concat(F.lit(f"{root}/"), "source")).write.text(list_file)
-    found, _ = listing.list_tree(spark, patterns.read_list_file(spark, list_file))
+    names.select(F.concat(F.lit(f"{root}/"), "head", F.lit("*"))).write.text(list_file)
+    sources = listing.expand_sources(spark, patterns.read_list_file(spark, list_file))
+    found, _ = listing.list_tree(spark, sources.select("path"))
     return found.select("rel_path", "is_dir", "length")
 
 

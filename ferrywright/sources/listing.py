@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import stat
 import time
 from collections.abc import Iterator
@@ -15,7 +16,8 @@ from ..errors import InvalidInputError, MigrationError
 from ..files import local_path, open_fs
 from ..functions.paths import relative_path, source_root, uri_path
 from ..operators.filters import suppress_roots
-from ..scratch import store
+from ..scratch import cut, store
+from .patterns import expand_braces, glob_to_regex, split_fixed, take_fixed
 
 # Retries per directory and the first pause between them, doubled each time.
 MAX_RETRIES = 3
@@ -195,3 +197,68 @@ def list_files_fast(spark: SparkSession, root: str) -> DataFrame:
         "length",
         F.unix_millis("modificationTime").alias("mtime"),
     )
+
+
+def expand_sources(
+    spark: SparkSession, globs: list[str] | DataFrame, *, tasks: int | None = None, pause: float = FIRST_PAUSE_SEC
+) -> DataFrame:
+    """``glob, path`` of everything in the file systems that matches the patterns; one without a match raises.
+
+    All patterns advance together, one path component per round: tasks list the directories reached so far
+    and keep the children whose names match. Fixed components are not listed.
+    """
+    tasks = tasks or spark.sparkContext.defaultParallelism
+    if isinstance(globs, DataFrame):
+        given = globs.select(F.col("path").alias("glob"))
+    else:
+        given = spark.createDataFrame([(g,) for g in dict.fromkeys(globs)], "glob string")
+    schema = "glob string, path string, rest array<string>"
+
+    def start(batches):
+        for pdf in batches:
+            rows = [(g, *head) for g in pdf["glob"] for alternative in expand_braces(g) for head in [split_fixed(alternative)]]
+            yield pd.DataFrame(rows, columns=["glob", "path", "rest"])
+
+    def advance(batches):
+        for pdf in batches:
+            rows = []
+            for glob, path, rest in pdf.itertuples(index=False):
+                if len(rest) == 0:
+                    rows.append((glob, path, []))
+                    continue
+                name = re.compile(glob_to_regex(rest[0]))
+                fixed, after = take_fixed(list(rest[1:]))
+                for entry in _list_one(path, pause):
+                    if name.fullmatch(entry.rsplit("/", 1)[1]):
+                        rows.append((glob, entry + fixed, after))
+            yield pd.DataFrame(rows, columns=["glob", "path", "rest"])
+
+    open_ends = F.count_if(F.size("rest") > 0)
+    path, seen = store(given.mapInPandas(start, schema), "globs", rows=F.count(F.lit(1)), open=open_ends)
+    while seen["open"]:
+        reached = spark.read.schema(schema).parquet(path).repartition(max(1, min(tasks, seen["rows"])))
+        path, seen = store(reached.mapInPandas(advance, schema), "globs", rows=F.count(F.lit(1)), open=open_ends)
+    reached = spark.read.schema(schema).parquet(path)
+    checked = reached.select(F.col("glob").alias("root"), "path").repartition(tasks)
+    found = cut(checked.mapInPandas(_lister(True, pause), FOUND), "sources").filter(F.col("error").isNull())
+    found = found.select(F.col("root").alias("glob"), "path")
+    lost = given.join(found, "glob", "left_anti").first()
+    if lost is not None:
+        raise InvalidInputError(f"{lost.glob} doesn't exist")
+    if found.isEmpty():
+        raise InvalidInputError("Nothing to process: no source paths")
+    return found
+
+
+def _list_one(path: str, pause: float) -> list[str]:
+    """Paths of the children of a directory; of anything else there are none."""
+    for attempt in range(MAX_RETRIES + 1):
+        if attempt:
+            time.sleep(pause * 2 ** (attempt - 1))
+        try:
+            return [row[1] for row in _entries("", path, False)]
+        except (FileNotFoundError, NotADirectoryError):
+            return []
+        except OSError:
+            if attempt == MAX_RETRIES:
+                raise

@@ -50,6 +50,45 @@ def glob_to_regex(glob: str) -> str:
     return "".join(out)
 
 
+def expand_braces(glob: str) -> list[str]:
+    """The patterns without ``{}`` that a pattern stands for; alternatives may contain ``/``."""
+    depth, begin, commas, i = 0, -1, [], 0
+    while i < len(glob):
+        c = glob[i]
+        if c == "\\":
+            i += 1
+        elif c == "{":
+            depth += 1
+            if depth == 1:
+                begin = i
+        elif c == "," and depth == 1:
+            commas.append(i)
+        elif c == "}" and depth:
+            depth -= 1
+            if depth == 0:
+                marks = [begin, *commas, i]
+                parts = [glob[a + 1 : b] for a, b in zip(marks, marks[1:])]
+                return [e for part in parts for e in expand_braces(glob[:begin] + part + glob[i + 1 :])]
+        i += 1
+    if depth:
+        raise InvalidInputError(f"Unclosed {{ in {glob}")
+    return [glob]
+
+
+def take_fixed(components: list[str]) -> tuple[str, list[str]]:
+    """Leading components without wildcards, as one path suffix, and the others."""
+    n = next((i for i, c in enumerate(components) if re.search(r"[*?\[\\]", c)), len(components))
+    return "".join(f"/{c}" for c in components[:n]), components[n:]
+
+
+def split_fixed(glob: str) -> tuple[str, list[str]]:
+    """The directory a brace-free pattern starts from, and the components to match below it."""
+    scheme = re.match(r"[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", glob)
+    base = scheme.group(0) if scheme else ""
+    fixed, rest = take_fixed([c for c in glob[len(base) :].split("/") if c])
+    return base + (fixed or "/"), rest
+
+
 def match_globs(df: DataFrame, globs: list[str], path: str = "path") -> DataFrame:
     """``glob, path`` for every row and every pattern it matches.
 

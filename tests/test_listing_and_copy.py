@@ -130,6 +130,34 @@ def test_list_and_filter_files(spark, tmp_path):
         patterns.read_filters(spark, str(tmp_path / "none"))
 
 
+@pytest.mark.parametrize(
+    "glob,found",
+    [
+        ("*", {"1", "2", "5", "7"}),
+        ("?/[68]", {"5/6", "7/8"}),
+        ("{5/6,7/*/9,none}", {"5/6", "7/8/9"}),
+        ("2/3/4", {"2/3/4"}),
+        ("*/3/4", {"2/3/4"}),
+        ("5/*/*", set()),
+        ("9", set()),
+    ],
+)
+def test_expand_sources(spark, tree, glob, found):
+    if not found:
+        with pytest.raises(InvalidInputError, match="doesn't exist"):
+            listing.expand_sources(spark, [f"{tree}/*", f"{tree}/{glob}"])
+        return
+    rows = listing.expand_sources(spark, [f"{tree}/{glob}"]).collect()
+    assert {os.path.relpath(r.path, tree) for r in rows} == found and len(rows) == len(found)
+
+
+def test_nothing_to_expand(spark):
+    with pytest.raises(InvalidInputError):
+        listing.expand_sources(spark, [])
+    assert patterns.expand_braces(r"/{a,b{c,d}}/\{x") == ["/a/\\{x", "/bc/\\{x", "/bd/\\{x"]
+    assert patterns.split_fixed("hdfs://nn:1/a/b*/c") == ("hdfs://nn:1/a", ["b*", "c"])
+
+
 def test_boxes(spark, tmp_path):
     boxes = [
         {"boxDns": "one.example", "accountKey": "k", "sizeInBytes": 10, "container": ""},
