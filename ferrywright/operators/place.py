@@ -116,6 +116,7 @@ def first_fit(
     size: str = "length",
     keep: tuple[str, ...] = (),
     previous: DataFrame | None = None,
+    with_blocks: bool = False,
     block_rows: int | None = None,
 ) -> DataFrame:
     """Each row, in ``order``, goes to the first box (smallest first) that still has room; exact.
@@ -132,8 +133,11 @@ def first_fit(
     the rooms it left. Each round finishes at least a block, whatever the sizes are.
 
     ``previous`` (``order, box_id``) pins rows to boxes chosen by an earlier run; their size is deducted
-    first.
+    first. ``with_blocks`` keeps the block number as ``pid``, which spares ``balance`` to build blocks again;
+    pinned rows have none, so it goes without ``previous``.
     """
+    if with_blocks and previous is not None:
+        raise InvalidInputError("with_blocks goes without previous")
     spark = df.sparkSession
     ranked = collect_boxes(boxes)
     columns = [order, size, *keep]
@@ -209,12 +213,13 @@ def first_fit(
         blocks.table.join(small_table(spark, round_of, "pid int, _round int"), "pid")
         .join(small_table(spark, choices, "_round int, _steps array<struct<limit:bigint,box:int>>"), "_round")
         .withColumn("_step", F.try_element_at(F.filter("_steps", lambda s: F.col(size) <= s["limit"]), F.lit(1)))
-        .select(*columns, F.col("_step.box").alias("box_id"))
+        .select("pid", *columns, F.col("_step.box").alias("box_id"))
     )
     if not box_ids:
-        bulk = blocks.table.select(*columns, F.lit(None).cast("int").alias("box_id"))
+        bulk = blocks.table.select("pid", *columns, F.lit(None).cast("int").alias("box_id"))
     placed = bulk
     if walked:
-        schema = T.StructType([*bulk.schema.fields])
-        placed = placed.unionByName(spark.read.schema(schema).parquet(*walked))
+        placed = placed.unionByName(spark.read.schema(bulk.schema).parquet(*walked))
+    if not with_blocks:
+        placed = placed.drop("pid")
     return placed if pinned is None else placed.unionByName(pinned.select(*columns, "box_id"))

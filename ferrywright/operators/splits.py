@@ -230,12 +230,14 @@ def balance(
     counted by (box, size), which Spark does before any shuffle; the sequential part streams these
     counts, a run of equal sizes in one step, and answers with repeating patterns. Each row then finds
     its split from its rank among the rows of its box and size. Ranks are taken inside blocks and moved
-    by the counts of earlier blocks, so a size that a third of all rows share is still spread.
+    by the counts of earlier blocks, so a size that a third of all rows share is still spread. Blocks that
+    ``first_fit`` left in ``pid`` are used again.
     """
     splits = {r.box_id: (r.n_splits, r.first_split) for r in plan.collect()}  # a record per box
     n_splits = {box_id: n for box_id, (n, _) in splits.items()}
-    rows = df.filter(F.col("box_id").isNotNull()).select(order, F.col(size).alias("_size"), *keep, "box_id")
-    table = build_blocks(rows, order, block_rows).table
+    blocked = ["pid"] if "pid" in df.columns else []
+    rows = df.filter(F.col("box_id").isNotNull()).select(*blocked, order, F.col(size).alias("_size"), *keep, "box_id")
+    table = rows if blocked else build_blocks(rows, order, block_rows).table
 
     counts = table.groupBy("pid", "box_id", "_size").agg(F.count("*").alias("_rows"))
     runs = counts.groupBy("box_id", "_size").agg(F.sum("_rows").alias("_rows"))

@@ -35,6 +35,6 @@ def assign_splits(
     if strategy != "first_fit" or boxes is None:
         raise InvalidInputError(f"Unknown strategy {strategy!r}, or first_fit without boxes")
     plan = place.plan_splits(boxes, tasks_per_box, max_maps)
-    placed = place.first_fit(df, boxes, order=order, size=size, keep=keep)
-    unplaced = placed.filter(F.col("box_id").isNull()).withColumn("split_id", F.lit(None).cast("int"))
+    placed = place.first_fit(df, boxes, order=order, size=size, keep=keep, with_blocks=True)
+    unplaced = placed.filter(F.col("box_id").isNull()).drop("pid").withColumn("split_id", F.lit(None).cast("int"))
     return splits.balance(placed, plan, order=order, size=size, keep=keep).unionByName(unplaced)

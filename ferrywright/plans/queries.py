@@ -11,7 +11,7 @@ from ..functions import access, paths, values
 from ..operators import copyjob, filters, identity, metadata, ordering, place, reconcile, splits, totals
 from ..options import SyncOptions
 from ..schema import as_manifest
-from ..scratch import scratch_path
+from ..scratch import cut, scratch_path
 from ..sources import config, listing, manifest, patterns, reports
 from . import derived
 
@@ -55,8 +55,10 @@ def placed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def balanced_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    plan = place.plan_splits(derived.region_boxes(spark, sf_dir))
-    return splits.balance(placed_documents(spark, sf_dir), plan, keep=("path",)), plan
+    boxes = cut(derived.region_boxes(spark, sf_dir), "boxes")
+    plan = place.plan_splits(boxes)
+    placed = place.first_fit(derived.source_manifest(spark, sf_dir), boxes, with_blocks=True)
+    return splits.balance(placed, plan), plan
 
 
 # Listing, paths and filters
@@ -444,8 +446,8 @@ def placement_report(spark, sf_dir):
 @query
 def placement_orders(spark, sf_dir):
     """Orders placed on five boxes, one without limit, and balanced over their splits."""
-    boxes = derived.order_boxes(spark, sf_dir)
-    placed = place.first_fit(derived.order_manifest(spark, sf_dir), boxes)
+    boxes = cut(derived.order_boxes(spark, sf_dir), "boxes")
+    placed = place.first_fit(derived.order_manifest(spark, sf_dir), boxes, with_blocks=True)
     return splits.balance(placed, place.plan_splits(boxes)).select(
         "seq", "length", bigint("box_id"), bigint("split_id")
     )
@@ -538,9 +540,9 @@ def run_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = listing.list_tree(spark, [derived.write_tree(spark, sf_dir)], replace_content=True)
     src = ordering.number_rows(found.select("path", "rel_path", "is_dir", "length"))
     base = scratch_path(spark, "target")
-    half = src.agg(F.floor(F.sum("length") / 2)).first()[0]
+    half = src.agg(F.sum("length")).first()[0] // 2
     boxes = spark.createDataFrame([(0, half, f"{base}/a"), (1, None, f"{base}/b")], "box_id int, size_bytes bigint, uri string")
-    placed = place.first_fit(src, boxes, keep=("path", "rel_path", "is_dir"))
+    placed = place.first_fit(src, boxes, keep=("path", "rel_path", "is_dir"), with_blocks=True)
     balanced = splits.balance(placed, place.plan_splits(boxes), keep=("path", "rel_path", "is_dir"))
     empty = src.select("rel_path", "is_dir", "length").limit(0)
     options = SyncOptions(overwrite=True)

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .errors import InvalidInputError
+from .files import open_fs
 
 BROADCAST_ROWS = 200_000
 _local_dirs: dict[str, str] = {}
@@ -36,6 +37,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables of this application, once no result that reads them is needed any more."""
+    store_, name = open_fs(scratch_dir(spark))
+    store_.delete_dir_contents(name, missing_dir_ok=True)
+
+
 def store(df: DataFrame, name: str, partition_by: list[str] | None = None, **metrics: Column) -> tuple[str, dict]:
     """Write ``df`` to a new scratch table; returns its path and the aggregates observed while writing.
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
+import io
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from .files import open_fs
+from .scratch import scratch_path
+
 _shipped: set[str] = set()
 
 
@@ -32,6 +35,14 @@ def ship_package(spark: SparkSession) -> None:
     if app in _shipped:
         return
     package = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="ferrywright-")) / package.name
-    spark.sparkContext.addPyFile(shutil.make_archive(str(archive), "zip", package.parent, package.name))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    target = f"{scratch_path(spark, 'package')}.zip"
+    files, name = open_fs(target)
+    files.create_dir(name.rsplit("/", 1)[0], recursive=True)
+    with files.open_output_stream(name) as sink:
+        sink.write(packed.getvalue())
+    spark.sparkContext.addPyFile(target)
     _shipped.add(app)

@@ -6,7 +6,7 @@ import os
 import re
 import stat
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +23,7 @@ from .patterns import expand_braces, glob_to_regex, split_fixed, take_fixed
 MAX_RETRIES = 3
 FIRST_PAUSE_SEC = 2.0
 BATCH_ROWS = 5_000
+HELD_BACK = 100_000
 
 FOUND = (
     "root string, path string, is_dir boolean, length bigint, mtime bigint, atime bigint, perm int, sticky boolean, "
@@ -81,7 +82,11 @@ def _entries(root: str, path: str, only_self: bool) -> Iterator[tuple]:
             return
         with os.scandir(local) as found:
             for entry in found:
-                yield _local_row(root, f"{path.rstrip('/')}/{entry.name}", entry.stat(), user, group)
+                try:
+                    info = entry.stat()
+                except FileNotFoundError:  # deleted meanwhile, or a link to nothing
+                    continue
+                yield _local_row(root, f"{path.rstrip('/')}/{entry.name}", info, user, group)
         return
     from pyarrow import fs
 
@@ -96,23 +101,45 @@ def _entries(root: str, path: str, only_self: bool) -> Iterator[tuple]:
         yield (root, full, is_dir, 0 if is_dir else info.size, mtime, None, None, False, None, None, None)
 
 
+def _attempts(read: Callable[[], Iterator], pause: float) -> Iterator:
+    """Items of ``read()``, which is tried again after an I/O error.
+
+    The items of an attempt are held back until it ends, so that a repetition gives none twice; beyond
+    ``HELD_BACK`` they are let through and the next error is final.
+    """
+    for attempt in range(MAX_RETRIES + 1):
+        if attempt:
+            time.sleep(pause * 2 ** (attempt - 1))
+        held: list | None = []
+        try:
+            for item in read():
+                if held is None:
+                    yield item
+                    continue
+                held.append(item)
+                if len(held) == HELD_BACK:
+                    yield from held
+                    held = None
+            yield from held or ()
+            return
+        except (FileNotFoundError, NotADirectoryError):
+            raise
+        except OSError:
+            if attempt == MAX_RETRIES or held is None:
+                raise
+
+
 def _lister(only_self: bool, pause: float):
     """Task that lists directories, retrying each; what stays unreadable becomes an error row."""
 
     def listed(root, path):
-        for attempt in range(MAX_RETRIES + 1):
-            if attempt:
-                time.sleep(pause * 2 ** (attempt - 1))
-            try:
-                yield from _entries(root, path, only_self)
-                return
-            except FileNotFoundError:
-                if only_self:
-                    yield (root, path, False, 0, None, None, None, None, None, None, "not found")
-                return
-            except OSError as e:
-                reason = str(e)
-        yield (root, path, True, 0, None, None, None, None, None, None, reason)
+        try:
+            yield from _attempts(lambda: _entries(root, path, only_self), pause)
+        except FileNotFoundError:
+            if only_self:
+                yield (root, path, False, 0, None, None, None, None, None, None, "not found")
+        except OSError as e:
+            yield (root, path, True, 0, None, None, None, None, None, None, str(e))
 
     def run(batches):
         for pdf in batches:
@@ -228,9 +255,12 @@ def expand_sources(
                     continue
                 name = re.compile(glob_to_regex(rest[0]))
                 fixed, after = take_fixed(list(rest[1:]))
-                for entry in _list_one(path, pause):
-                    if name.fullmatch(entry.rsplit("/", 1)[1]):
-                        rows.append((glob, entry + fixed, after))
+                try:
+                    for entry in _attempts(lambda: _entries("", path, False), pause):  # noqa: B023
+                        if name.fullmatch(entry[1].rsplit("/", 1)[1]):
+                            rows.append((glob, entry[1] + fixed, after))
+                except (FileNotFoundError, NotADirectoryError):
+                    pass
             yield pd.DataFrame(rows, columns=["glob", "path", "rest"])
 
     open_ends = F.count_if(F.size("rest") > 0)
@@ -248,17 +278,3 @@ def expand_sources(
     if found.isEmpty():
         raise InvalidInputError("Nothing to process: no source paths")
     return found
-
-
-def _list_one(path: str, pause: float) -> list[str]:
-    """Paths of the children of a directory; of anything else there are none."""
-    for attempt in range(MAX_RETRIES + 1):
-        if attempt:
-            time.sleep(pause * 2 ** (attempt - 1))
-        try:
-            return [row[1] for row in _entries("", path, False)]
-        except (FileNotFoundError, NotADirectoryError):
-            return []
-        except OSError:
-            if attempt == MAX_RETRIES:
-                raise

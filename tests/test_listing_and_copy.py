@@ -105,6 +105,31 @@ def test_unreadable_directories_are_reported(spark, tree, monkeypatch):
     assert out[["path", "error"]].values.tolist() == [["/s", "denied"]]
 
 
+def test_a_repeated_attempt_gives_nothing_twice(monkeypatch):
+    calls = []
+
+    def broken_once():
+        calls.append(1)
+        yield "a"
+        if len(calls) == 1:
+            raise OSError("mid-way")
+        yield "b"
+
+    assert list(listing._attempts(broken_once, 0.0)) == ["a", "b"]
+    monkeypatch.setattr(listing, "HELD_BACK", 1)
+    calls.clear()
+    got = []
+    with pytest.raises(OSError, match="mid-way"):
+        got.extend(listing._attempts(broken_once, 0.0))
+    assert len(calls) == 1
+
+
+def test_links_to_nothing_hide_no_files(spark, tree):
+    os.symlink(tree / "none", tree / "5" / "0-dangling")
+    names = {r.rel_path for r in list_one(spark, tree / "5", replace_content=True).collect()}
+    assert names == {"/6"}
+
+
 def test_strict_listing_raises(spark, tree, monkeypatch):
     """A directory that is a file by the time it is listed cannot be read."""
     original = listing._list
