@@ -13,10 +13,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..errors import InvalidInputError
 from ..scratch import cut, cut_counted, small_table
 
 BLOCK_ROWS = 1_000_000
-MIN_BLOCK_ROWS = 250
+MIN_BLOCK_ROWS = 100_000
 
 
 @dataclass
@@ -31,10 +32,11 @@ class Blocks:
     def stats(self, size: str) -> list:
         """Rows, bytes, smallest and largest size of each block, in order: one small record per block."""
         if size not in self._stats:
-            self._stats[size] = (
+            rows = (
                 self.table.groupBy("pid")
                 .agg(
                     F.count("*").alias("n"),
+                    F.count(size).alias("sized"),
                     F.sum(size).alias("total"),
                     F.min(size).alias("low"),
                     F.max(size).alias("high"),
@@ -42,6 +44,9 @@ class Blocks:
                 .orderBy("pid")
                 .collect()
             )
+            if any(r.sized < r.n or r.low < 0 for r in rows):
+                raise InvalidInputError(f"{size} must not be null or negative")
+            self._stats[size] = rows
         return self._stats[size]
 
     def per_block(self, rows: list, schema: str) -> DataFrame:
@@ -49,18 +54,19 @@ class Blocks:
         return small_table(self.table.sparkSession, rows, f"pid int, {schema}")
 
 
-def build_blocks(df: DataFrame, order: str, block_rows: int | None = None) -> Blocks:
+def build_blocks(df: DataFrame, order: str, block_rows: int | None = None, min_blocks: int = 1) -> Blocks:
     """Store ``df`` as blocks of rows that follow each other in ``order``, whose values must be unique.
 
     By default a block has at most about ``BLOCK_ROWS`` rows, and there are as many blocks as the cluster
-    runs tasks unless they would become tiny.
+    runs tasks unless they would get smaller than ``MIN_BLOCK_ROWS``.
     """
     narrow, rows = cut_counted(df, "unordered")
     if block_rows:
         n_blocks = -(-rows // block_rows)
     else:
-        spread = min(df.sparkSession.sparkContext.defaultParallelism, -(-rows // MIN_BLOCK_ROWS))
+        spread = min(df.sparkSession.sparkContext.defaultParallelism, rows // MIN_BLOCK_ROWS)
         n_blocks = max(-(-rows // BLOCK_ROWS), spread)
+    n_blocks = max(n_blocks, min(min_blocks, rows))
     if n_blocks <= 1:
         tagged = narrow.withColumn("pid", F.lit(0))
     else:
@@ -84,14 +90,14 @@ def index_blocks(blocks: Blocks, name: str = "idx") -> DataFrame:
     )
 
 
-def with_index(df: DataFrame, order: str, name: str = "idx", block_rows: int | None = None) -> DataFrame:
-    """Add the 0-based position of each row in ``order``."""
-    return index_blocks(build_blocks(df, order, block_rows), name)
+def with_index(df: DataFrame, order: str, name: str = "idx", **block_options) -> DataFrame:
+    """Add the 0-based position of each row in ``order``; options as for ``build_blocks``."""
+    return index_blocks(build_blocks(df, order, **block_options), name)
 
 
-def running_total(df: DataFrame, order: str, size: str, name: str, block_rows: int | None = None) -> DataFrame:
+def running_total(df: DataFrame, order: str, size: str, name: str, **block_options) -> DataFrame:
     """Add the inclusive running sum of ``size`` in ``order``."""
-    blocks = build_blocks(df, order, block_rows)
+    blocks = build_blocks(df, order, **block_options)
     start, offsets = 0, []
     for row in blocks.stats(size):
         offsets.append((row["pid"], start))

@@ -20,13 +20,13 @@ def sort_manifest(df: DataFrame, key: str = "rel_path") -> DataFrame:
     return df.orderBy(key)
 
 
-def number_rows(df: DataFrame, order: str = "rel_path", name: str = "seq", block_rows: int | None = None) -> DataFrame:
+def number_rows(df: DataFrame, order: str = "rel_path", name: str = "seq", **block_options) -> DataFrame:
     """Give rows their 0-based position in ``order``, which must be unique."""
-    return with_index(df.drop(name), order, name, block_rows)
+    return with_index(df.drop(name), order, name, **block_options)
 
 
 def randomize(
-    df: DataFrame, seed: int, *, path: str = "path", name: str = "seq", block_rows: int | None = None
+    df: DataFrame, seed: int, *, path: str = "path", name: str = "seq", **block_options
 ) -> DataFrame:
     """Number rows in a random order that depends only on ``seed`` and the paths.
 
@@ -34,4 +34,4 @@ def randomize(
     same order, so placements are repeatable.
     """
     shuffled = df.drop(name).withColumn("_order", F.concat(F.md5(F.concat(F.lit(f"{seed}:"), F.col(path))), F.col(path)))
-    return with_index(shuffled, "_order", name, block_rows).drop("_order")
+    return with_index(shuffled, "_order", name, **block_options).drop("_order")

@@ -117,12 +117,12 @@ def first_fit(
     keep: tuple[str, ...] = (),
     previous: DataFrame | None = None,
     with_blocks: bool = False,
-    block_rows: int | None = None,
+    **block_options,
 ) -> DataFrame:
     """Each row, in ``order``, goes to the first box (smallest first) that still has room; exact.
 
-    Returns ``order, size, *keep, box_id``; ``box_id`` is null where no box had room. Sizes must not be
-    null or negative.
+    Returns ``order, size, *keep, box_id``; ``box_id`` is null where no box had room. Null or
+    negative sizes raise.
 
     Blocks are taken in bulk as far as possible. With the rooms at some block given, call *candidates* of
     a box the rows whose size is at most its room but above the rooms of all boxes before it. Rooms only
@@ -152,7 +152,7 @@ def first_fit(
         ]
         df = df.join(known.select(order), order, "left_anti")
 
-    blocks = build_blocks(df.select(*columns), order, block_rows)
+    blocks = build_blocks(df.select(*columns), order, **block_options)
     stats = blocks.stats(size)
     box_ids, rooms = [b.box_id for b in ranked], [b.capacity for b in ranked]
     unlimited = [room == UNLIMITED for room in rooms]
@@ -164,10 +164,10 @@ def first_fit(
         """Bytes of the candidates of each box in the next blocks that statistics do not decide."""
         wanted = [b.pid for b in stats[at : at + window] if _one_class(b, rooms) is None]
         rising = _rising(rooms)
-        limits = small_table(spark, [([limit for _, limit in rising],)], "_limits array<bigint>")
+        limits = F.array(*[F.lit(limit).cast("bigint") for _, limit in rising])
         rows = blocks.table.filter(F.col("pid").between(wanted[0], wanted[-1])).select("pid", size)
-        tried = F.array_position(F.transform("_limits", lambda r: F.col(size) <= r), True) - 1
-        sums = rows.join(limits).groupBy("pid", tried.alias("at")).agg(F.sum(size).alias("total"))
+        tried = F.array_position(F.transform(limits, lambda r: F.col(size) <= r), True) - 1
+        sums = rows.groupBy("pid", tried.alias("at")).agg(F.sum(size).alias("total"))
         out: dict[int, dict[int, int]] = {pid: {} for pid in wanted}
         for r in sums.collect():  # a number per block and box
             if r.pid in out and r["at"] >= 0:

@@ -28,7 +28,7 @@ def uniform_split(
     size: str = "chunk_length",
     total: int | None = None,
     keep: tuple[str, ...] = (),
-    block_rows: int | None = None,
+    **block_options,
 ) -> DataFrame:
     """Contiguous splits of about ``total / n`` bytes: a row that would exceed the limit opens the next one.
 
@@ -38,7 +38,7 @@ def uniform_split(
     """
     if n < 1:
         raise InvalidInputError("n must be positive")
-    blocks = build_blocks(df.select(order, size, *keep), order, block_rows)
+    blocks = build_blocks(df.select(order, size, *keep), order, **block_options)
     stats = blocks.stats(size)
     total = sum(r.total for r in stats) if total is None else total
     limit = -(-total // n)
@@ -105,13 +105,13 @@ def deal_chunks(
     *,
     order: str = "seq",
     keep: tuple[str, ...] = (),
-    block_rows: int | None = None,
+    **block_options,
 ) -> DataFrame:
     """Deal rows round robin over chunks, a batch of 16 chunks at a time; the last batch takes the remainder.
 
     Returns ``order, *keep, idx, chunk_id``; the chunk follows from the position of a row.
     """
-    blocks = build_blocks(df.select(order, *keep), order, block_rows)
+    blocks = build_blocks(df.select(order, *keep), order, **block_options)
     records = blocks.rows
     ratio = split_ratio(maps, records) if ratio is None else ratio
     entries = max(1, -(-records // (ratio * maps)))
@@ -197,17 +197,25 @@ class _SplitLoads:
 
 
 def _lpt_phases(n_splits: dict[int, int]):
-    """Stream (box, size, rows) runs, largest size first; the state is one number per split."""
+    """Stream (box, size, rows) runs, largest size first; the state is one number per split.
+
+    A run of one row gets its split, longer ones get their patterns.
+    """
 
     def phases(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         box, loads = None, None
         for pdf in batches:
-            out = []
+            single, patterns = [], []
             for box_id, size, rows in zip(pdf["box_id"].tolist(), pdf["_size"].tolist(), pdf["_rows"].tolist()):
                 if box_id != box:
                     box, loads = box_id, _SplitLoads(n_splits[box_id])
-                out.append([{"start": s, "rows": r, "cycle": c} for s, r, c in loads.run(size, rows)])
-            yield pdf[["box_id", "_size"]].assign(_phases=out)
+                if rows == 1:
+                    single.append(loads.load(size))
+                    patterns.append(None)
+                else:
+                    single.append(None)
+                    patterns.append([{"start": s, "rows": r, "cycle": c} for s, r, c in loads.run(size, rows)])
+            yield pdf[["box_id", "_size"]].assign(_split=pd.array(single, dtype="Int32"), _phases=patterns)
 
     return phases
 
@@ -219,7 +227,7 @@ def balance(
     order: str = "seq",
     size: str = "length",
     keep: tuple[str, ...] = (),
-    block_rows: int | None = None,
+    **block_options,
 ) -> DataFrame:
     """Spread the rows of each box over its splits: largest first, each to the split with most space; exact.
 
@@ -237,13 +245,13 @@ def balance(
     n_splits = {box_id: n for box_id, (n, _) in splits.items()}
     blocked = ["pid"] if "pid" in df.columns else []
     rows = df.filter(F.col("box_id").isNotNull()).select(*blocked, order, F.col(size).alias("_size"), *keep, "box_id")
-    table = rows if blocked else build_blocks(rows, order, block_rows).table
+    table = rows if blocked else build_blocks(rows, order, **block_options).table
 
     counts = table.groupBy("pid", "box_id", "_size").agg(F.count("*").alias("_rows"))
     runs = counts.groupBy("box_id", "_size").agg(F.sum("_rows").alias("_rows"))
     # ``mapInPandas`` reads its partition as sorted here, batch by batch.
     sequence = runs.repartition(max(1, len(splits)), "box_id").sortWithinPartitions("box_id", F.desc("_size"))
-    phases = sequence.mapInPandas(_lpt_phases(n_splits), f"box_id int, _size bigint, _phases {PHASES}")
+    phases = sequence.mapInPandas(_lpt_phases(n_splits), f"box_id int, _size bigint, _split int, _phases {PHASES}")
 
     earlier = Window.partitionBy("box_id", "_size").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     lookup = (
@@ -253,8 +261,8 @@ def balance(
     )
     inside = Window.partitionBy("pid", "box_id", "_size").orderBy(order)
     position = F.col("_before") + F.col("_rn") - 1
-    phase = F.element_at(
-        F.filter("_phases", lambda p: (p["start"] <= F.col("_pos")) & (F.col("_pos") < p["start"] + p["rows"])), 1
+    phase = F.try_element_at(
+        F.filter("_phases", lambda p: (p["start"] <= F.col("_pos")) & (F.col("_pos") < p["start"] + p["rows"])), F.lit(1)
     )
     cycle = F.col("_phase")["cycle"]
     local = F.element_at(cycle, ((F.col("_pos") - F.col("_phase")["start"]) % F.size(cycle)).cast("int") + 1)
@@ -265,5 +273,6 @@ def balance(
         .withColumn("_pos", position)
         .withColumn("_phase", phase)
         .join(first, "box_id")
-        .select(order, F.col("_size").alias(size), *keep, "box_id", (F.col("_first") + local).alias("split_id"))
+        .withColumn("split_id", F.col("_first") + F.coalesce("_split", local))
+        .select(order, F.col("_size").alias(size), *keep, "box_id", "split_id")
     )

@@ -19,6 +19,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SYNC = SyncOptions(update=True, append=True)
+# Small tables would fit one block; these queries show that the result does not depend on it.
+SEVERAL_BLOCKS = {"min_blocks": 4}
 EXCLUDED = [r".*/src1/.*", r"/src/src2/e.*", r".*/1[0-9]*\.txt", r"src.*"]
 GLOBS = ["/src/src1/*/*.txt", "/src/src?/en/*[13579].txt", "/src/{src0,src2}/f?/*", "/src/*/*/1?.txt"]
 
@@ -49,15 +51,15 @@ def planned_sync(spark: SparkSession, sf_dir: str, options: SyncOptions = SYNC)
     )
 
 
-def placed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def placed_documents(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     src = derived.source_manifest(spark, sf_dir)
-    return place.first_fit(src, derived.region_boxes(spark, sf_dir), keep=("path",))
+    return place.first_fit(src, derived.region_boxes(spark, sf_dir), keep=("path",), **options)
 
 
-def balanced_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def balanced_documents(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, DataFrame]:
     boxes = cut(derived.region_boxes(spark, sf_dir), "boxes")
     plan = place.plan_splits(boxes)
-    placed = place.first_fit(derived.source_manifest(spark, sf_dir), boxes, with_blocks=True)
+    placed = place.first_fit(derived.source_manifest(spark, sf_dir), boxes, with_blocks=True, **options)
     return splits.balance(placed, plan), plan
 
 
@@ -145,13 +147,13 @@ def unmatched_globs(spark, sf_dir):
 @query
 def sort_manifest(spark, sf_dir):
     src = derived.source_manifest(spark, sf_dir).select("rel_path", "length")
-    return ordering.number_rows(src, "rel_path", "idx")
+    return ordering.number_rows(src, "rel_path", "idx", **SEVERAL_BLOCKS)
 
 
 @query
 def randomize(spark, sf_dir):
     src = derived.source_manifest(spark, sf_dir).select("path", "length")
-    return ordering.randomize(src, 42)
+    return ordering.randomize(src, 42, **SEVERAL_BLOCKS)
 
 
 @query
@@ -422,7 +424,7 @@ def plan_splits(spark, sf_dir):
 
 @query
 def first_fit_placement(spark, sf_dir):
-    return placed_documents(spark, sf_dir).select("seq", "length", bigint("box_id"))
+    return placed_documents(spark, sf_dir, **SEVERAL_BLOCKS).select("seq", "length", bigint("box_id"))
 
 
 @query
@@ -432,7 +434,7 @@ def skipped_files(spark, sf_dir):
 
 @query
 def balance_lpt(spark, sf_dir):
-    balanced, _ = balanced_documents(spark, sf_dir)
+    balanced, _ = balanced_documents(spark, sf_dir, **SEVERAL_BLOCKS)
     return balanced.select("seq", bigint("box_id"), bigint("split_id"))
 
 
@@ -467,7 +469,7 @@ def target_uris(spark, sf_dir):
 @query
 def uniform_split(spark, sf_dir):
     src = derived.source_manifest(spark, sf_dir)
-    return splits.uniform_split(src, 20, keep=("rel_path",)).select("seq", "rel_path", bigint("split_id"))
+    return splits.uniform_split(src, 20, keep=("rel_path",), **SEVERAL_BLOCKS).select("seq", "rel_path", bigint("split_id"))
 
 
 @query
@@ -482,7 +484,7 @@ def uniform_split_orders(spark, sf_dir):
 @query
 def deal_chunks(spark, sf_dir):
     src = derived.source_manifest(spark, sf_dir)
-    return splits.deal_chunks(src, 7, keep=("rel_path",)).select("rel_path", bigint("idx"), bigint("chunk_id"))
+    return splits.deal_chunks(src, 7, keep=("rel_path",), **SEVERAL_BLOCKS).select("rel_path", bigint("idx"), bigint("chunk_id"))
 
 
 @query

@@ -68,6 +68,30 @@ def test_previous_placement_is_kept(spark):
     assert placement(got) == [1, 0, 1, 0]
 
 
+@pytest.mark.parametrize("bad", [None, -1])
+def test_sizes_are_checked(spark, bad):
+    rows = spark.createDataFrame([(0, 1), (1, bad)], "seq bigint, length bigint")
+    with pytest.raises(InvalidInputError):
+        place.first_fit(rows, boxes_of(spark, [5]))
+
+
+def test_running_total(spark):
+    from ferrywright.operators.blocks import running_total
+
+    sizes = [3, 0, 5, 1, 1, 7]
+    got = running_total(manifest(spark, sizes), "seq", "length", "upto", block_rows=2).orderBy("seq").collect()
+    assert [r.upto for r in got] == [3, 3, 8, 9, 10, 17]
+
+
+def test_one_size_shared_by_most_rows(spark):
+    """A hot size is spread over blocks: no lookup key holds more rows than a block."""
+    sizes = [4096] * 900 + list(range(100))
+    rows = spark.createDataFrame([(i, n, 0) for i, n in enumerate(sizes)], "seq bigint, length bigint, box_id int")
+    plan = place.plan_splits(boxes_of(spark, [10**9]), tasks=7)
+    got = {r.seq: r.split_id for r in splits.balance(rows, plan, block_rows=100).collect()}
+    assert [got[i] for i in range(1000)] == sequential.largest_first(sizes, 7)
+
+
 def test_too_many_boxes(spark):
     with pytest.raises(InvalidInputError):
         place.collect_boxes(spark.range(place.MAX_BOXES + 1).selectExpr("cast(id as int) box_id", "id size_bytes"))
