@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..errors import CopyFailedError
 from ..files import length_of, open_fs
@@ -133,6 +134,7 @@ def _make_dir(row) -> None:
 
 
 def _carry_out(row, options: SyncOptions, pause: float) -> dict:
+    """Do what one row asks for, with retries, and tell how it went."""
     out = {
         "rel_path": row.rel_path,
         "path": row.path,
@@ -140,7 +142,7 @@ def _carry_out(row, options: SyncOptions, pause: float) -> dict:
         "action": row.action,
         "status": "OK",
         "length": row.length,
-        "bytes_expected": row.length if row.action in ("APPEND", "OVERWRITE") else 0,
+        "bytes_expected": 0 if row.action == "MKDIR" else row.length,
         "bytes_copied": 0,
         "tgt_length": None if pd.isna(row.tgt_length) else int(row.tgt_length),
         "attempts": 0,
@@ -150,9 +152,7 @@ def _carry_out(row, options: SyncOptions, pause: float) -> dict:
         "split_id": row.split_id,
         "started_ms": int(time.time() * 1000),
     }
-    if row.action == "CONFLICT":
-        out |= {"status": "FAIL", "error_class": "conflict", "error": f"Can't replace {row.target_uri}: type differs"}
-    while row.action in ("MKDIR", "OVERWRITE", "APPEND"):
+    while True:
         out["attempts"] += 1
         try:
             if row.action == "MKDIR":
@@ -171,13 +171,34 @@ def _carry_out(row, options: SyncOptions, pause: float) -> dict:
     return out
 
 
+def _settled(rows: DataFrame) -> DataFrame:
+    """Results of rows that need no work: skipped ones and conflicts."""
+    now = F.unix_millis(F.current_timestamp())
+    conflict = F.col("action") == "CONFLICT"
+    clash = F.concat(F.lit("Can't replace "), "target_uri", F.lit(": one is a directory, the other a file"))
+    values = {
+        "status": F.when(conflict, "FAIL").otherwise("OK"),
+        "bytes_expected": F.lit(0),
+        "bytes_copied": F.lit(0),
+        "attempts": F.lit(0),
+        "checksum": F.lit(None),
+        "error_class": F.when(conflict, "conflict"),
+        "error": F.when(conflict, clash),
+        "started_ms": now,
+        "finished_ms": now,
+    }
+    rows = rows.withColumns(values)
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in T.StructType.fromDDL(RESULT)])
+
+
 def copy_files(plan: DataFrame, options: SyncOptions, *, pause: float = FIRST_PAUSE_SEC) -> DataFrame:
     """Carry out ``plan`` and return the stored result table (see ``RESULT``).
 
     ``plan`` has ``rel_path, path, target_uri, action, is_dir, length, tgt_length, split_id`` and is stored
     before anything is copied. Every split is one partition, so the plan's byte balance is the balance of
     the tasks. The result is written by the same job that copies: reading it again never copies again.
-    Speculation has to be off, since two attempts would write the same target. The number of splits bounds
+    Skipped rows, most of them in a repeated run, do not pass through Python. Speculation has to be off,
+    since two attempts would write the same target. The number of splits bounds
     the concurrency; the bandwidth limit holds per running task.
     """
     spark = plan.sparkSession
@@ -190,8 +211,10 @@ def copy_files(plan: DataFrame, options: SyncOptions, *, pause: float = FIRST_PA
         for pdf in batches:
             yield pd.DataFrame([_carry_out(row, options, pause) for row in pdf.itertuples(index=False)])
 
-    work = stored.repartitionById((seen["last"] or 0) + 1, F.col("split_id").cast("int"))
-    return cut(work.mapInPandas(run, RESULT), "copy-result")
+    to_do = F.col("action").isin("MKDIR", "OVERWRITE", "APPEND")
+    work = stored.filter(to_do).repartitionById((seen["last"] or 0) + 1, F.col("split_id").cast("int"))
+    done = work.mapInPandas(run, RESULT)
+    return cut(done.unionByName(_settled(stored.filter(~to_do))), "copy-result")
 
 
 def file_checksums(df: DataFrame, limit: str | None = None, name: str = "checksum", key: str = "rel_path") -> DataFrame:

@@ -75,14 +75,21 @@ CUSTOMERS = """counted as (
  select cast(n_nationkey as bigint) as box_id, n_name, (select count(*) from customer where c_nationkey = n_nationkey) as n,
   (select count(*) from customer) as n_all from nation)"""
 
-BOXES = """boxes as (
- select cast(r_regionkey as bigint) as box_id, r_name as dns,
-  cast((select sum(n_chars) from documents) as bigint) // 20 * (r_regionkey + 1) as size_bytes from region),
- ranked as (select *, row_number() over (order by size_bytes, box_id) as pos from boxes)"""
-
-# Sequential first fit: one step per row, the room of all boxes as a list.
-PLACED = f"""{BOXES},
- rows_ as materialized (select doc_id as seq, n_chars as length, row_number() over (order by doc_id) as rn from documents),
+DOCUMENT_BOXES = """select cast(r_regionkey as bigint) as box_id, r_name as dns,
+  cast((select sum(n_chars) from documents) as bigint) // 20 * (r_regionkey + 1) as size_bytes from region"""
+DOCUMENT_ROWS = "select doc_id as seq, n_chars as length from documents"
+
+# A cast to integer rounds here but cuts off in Spark, hence trunc.
+ORDER_ROWS = "select o_orderkey as seq, cast(trunc(o_totalprice) as bigint) as length from orders"
+ORDER_BOXES = f"""select cast(r_regionkey as bigint) as box_id, case when r_regionkey < 4
+  then (select cast(sum(length) as bigint) from ({ORDER_ROWS})) // 12 * (r_regionkey + 1) else 9223372036854775807 end as size_bytes from region"""
+
+
+def placed(boxes: str = DOCUMENT_BOXES, rows: str = DOCUMENT_ROWS) -> str:
+    """Sequential first fit: one step per row, the room of all boxes as a list."""
+    return f"""boxes as ({boxes}),
+ ranked as (select *, row_number() over (order by size_bytes, box_id) as pos from boxes),
+ rows_ as materialized (select seq, length, row_number() over (order by seq) as rn from ({rows})),
  caps as (select list(size_bytes order by pos) as room, list(box_id order by pos) as ids from ranked),
  walk as (
   select cast(0 as bigint) as rn, cast(null as bigint) as seq, cast(null as bigint) as length, room, cast(0 as bigint) as hit from caps
@@ -94,15 +101,19 @@ PLACED = f"""{BOXES},
    lateral (select coalesce(list_position(list_transform(w.room, lambda x: x >= r.length), true), 0) as hit) h),
  placed as (select w.seq, w.length, case when w.hit > 0 then c.ids[w.hit] end as box_id from walk w, caps c where w.rn > 0)"""
 
-# Sequential balancing: per box, splits as a list from most to least space, the one loaded last first among equals.
-# Capacities below 100 TiB have factor 1; five boxes of six splits are scaled to 20 in all, hence four each.
-BALANCED = f"""{PLACED},
+
+def balanced(n_splits: str, first_split: str, **source: str) -> str:
+    """Sequential balancing: per box, splits as a list from most to least space, the one loaded last first among equals.
+
+    ``n_splits`` and ``first_split`` of a box depend on its position ``pos``.
+    """
+    return f"""{placed(**source)},
  nums as materialized (select *, row_number() over (partition by box_id order by length desc, seq) as k from placed where box_id is not null),
- firsts as (select box_id, size_bytes, (pos - 1) * 4 as first_split from ranked),
+ firsts as (select box_id, size_bytes, {n_splits} as n_splits, {first_split} as first_split from ranked),
  deal as (
   select box_id, cast(0 as bigint) as k, cast(null as bigint) as seq, cast(null as bigint) as length, cast(null as bigint) as split,
-   [{{'s': cast(0 as bigint), 'u': cast(0 as bigint)}}, {{'s': 1, 'u': 0}}, {{'s': 2, 'u': 0}}, {{'s': 3, 'u': 0}}] as loads
-  from boxes
+   list_transform(range(n_splits), lambda i: {{'s': i, 'u': cast(0 as bigint)}}) as loads
+  from firsts
   union all
   select d.box_id, n.k, n.seq, n.length, d.loads[1].s,
    list_concat(
@@ -113,6 +124,13 @@ BALANCED = f"""{PLACED},
   from deal d join firsts f on f.box_id = d.box_id where d.k > 0)"""
 
 
+# Boxes below 100 TiB have factor 1: five boxes of six splits are scaled to 20 in all, hence four each. The
+# unlimited box of the orders has factor 4, and 48 splits are scaled to 20: two each and ten.
+PLACED = placed()
+BALANCED = balanced("4", "(pos - 1) * 4")
+BALANCED_ORDERS = balanced("case when pos < 5 then 2 else 10 end", "(pos - 1) * 2", boxes=ORDER_BOXES, rows=ORDER_ROWS)
+
+
 def uniform(rows: str, n: int) -> str:
     """Sequential next fit over (seq, length) rows: one step per row."""
     return f"""rows_ as materialized (select *, row_number() over (order by seq) as rn from ({rows})),
@@ -301,7 +319,7 @@ ORACLE: dict[str, str] = {
   case when box_id = 7 then 9223372036854775807 else n * 25000 // n_all * 109951162777 end as cap from counted)
  {split_plan("intended", 20)} union all {split_plan("intended", 1000)} union all {split_plan("observed", 100)}""",
     "create_attributes": f"""with {SRC} select l as letters, rel_path, case when l = 'rb' then replication else 2 end as want_replication,
-  case when l = 'u' then 1048576 else block_size end as want_block_size from src, (values ('u'), ('rb'), ('c')) t(l)""",
+  cast(case when l = 'u' then 1048576 else block_size end as bigint) as want_block_size from src, (values ('u'), ('rb'), ('c')) t(l)""",
     "first_fit_placement": f"with recursive {PLACED} select seq, length, box_id from placed",
     "skipped_files": f"""with recursive {PLACED}
  select concat('/src',{NAME},' - cannot locate on any target box') as line from placed p join documents d on d.doc_id = p.seq where box_id is null""",
@@ -316,6 +334,9 @@ ORACLE: dict[str, str] = {
     "target_uris": f"""with recursive {PLACED}
  select p.seq, concat(case when p.box_id % 2 = 0 then concat('wasb://files@', b.dns) else b.dns end, {NAME}) as target_uri
  from placed p join boxes b on b.box_id = p.box_id join documents d on d.doc_id = p.seq""",
+    "placement_orders": f"with recursive {BALANCED_ORDERS} select seq, length, box_id, split_id from balanced",
+    "uniform_split_orders": f"""with recursive {uniform(ORDER_ROWS, 50)}
+ select split_id, count(*) as records, cast(sum(length) as bigint) as bytes, min(seq) as first_seq from walk group by split_id""",
     "uniform_split": f"""with recursive {uniform("select doc_id as seq, n_chars as length from documents", 20)}
  select w.seq, {NAME} as rel_path, w.split_id from walk w join documents d on d.doc_id = w.seq""",
     "deal_chunks": f"""with n as (select count(*) as n from documents),

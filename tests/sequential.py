@@ -18,16 +18,13 @@ def first_fit(sizes, boxes):
 
 
 def largest_first(sizes, n):
-    """Split of each row: the order of equal space is that of neighbour swaps on strictly less space."""
-    space, order, out = [0] * n, list(range(n)), [None] * len(sizes)
-    for row in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
-        out[row] = order[0]
-        space[order[0]] -= sizes[row]
-        for i in range(1, n):
-            if space[order[i - 1]] < space[order[i]]:
-                order[i - 1], order[i] = order[i], order[i - 1]
-            else:
-                break
+    """Split of each row: the one with most space, of equal ones that loaded last, at first by number."""
+    space, loaded, out = [0] * n, [-s for s in range(n)], [None] * len(sizes)
+    for step, row in enumerate(sorted(range(len(sizes)), key=lambda i: -sizes[i]), 1):
+        split = max(range(n), key=lambda s: (space[s], loaded[s]))
+        space[split] -= sizes[row]
+        loaded[split] = step
+        out[row] = split
     return out
 
 
@@ -43,19 +40,14 @@ def next_fit(sizes, n, total=None):
 
 
 def deal(records, maps, ratio):
-    """Rows written round robin to the open chunks of a batch; a new batch opens when all are full."""
+    """Chunks in batches of 16, the last batch with what remains below 32; rows go round each batch in turn."""
     entries = math.ceil(records / (ratio * maps))
-    chunks = math.ceil(records / entries)
-    width = min(16, chunks)
-    open_chunks, made, count, out = [], 0, 0, []
-    for _ in range(records):
-        if count % (width * entries) == 0:
-            upper = min(chunks, made + width)
-            if chunks - upper < width:
-                upper = chunks
-            open_chunks = list(range(made, upper))
-            made += len(open_chunks)
-            width, count = len(open_chunks), 0
-        out.append(open_chunks[count % width])
-        count += 1
+    chunks, widths, out, first = math.ceil(records / entries), [], [], 0
+    while chunks >= 32:
+        widths.append(16)
+        chunks -= 16
+    for width in [*widths, chunks]:
+        rows = min(width * entries, records - len(out))
+        out += [first + i % width for i in range(rows)]
+        first += width
     return out

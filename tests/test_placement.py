@@ -198,7 +198,7 @@ def test_chunk_files(spark):
 
 
 def test_orders_are_placed_and_balanced_as_by_one_pass(spark, sf):
-    """The registered query without SQL, against the literal loops over the whole table."""
+    """The registered query against the literal loops over the whole table."""
     from ferrywright.plans.queries import QUERIES
 
     rows = derived.order_manifest(spark, sf).orderBy("seq").collect()
