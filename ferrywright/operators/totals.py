@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..errors import DuplicateTargetError
 from ..functions.paths import file_system, size_to_copy
 from ..functions.values import bytes_per_second, int_div
+from ..scratch import lookup_table
 
 
 def _sum(value) -> F.Column:
@@ -47,21 +48,27 @@ def counters(result: DataFrame) -> DataFrame:
     )
 
 
+def duplicate_keys(df: DataFrame, key: str = "rel_path") -> DataFrame:
+    """``key, copies`` of keys that several rows map to: counts, taken before the shuffle by a hash table."""
+    return df.groupBy(key).agg(F.count("*").alias("copies")).filter(F.col("copies") > 1)
+
+
 def duplicates(df: DataFrame, key: str = "rel_path", path: str = "path") -> DataFrame:
     """Keys that several rows map to, with their number and the first and last path.
 
-    Partial aggregates of constant size, so a key that a third of all rows share costs no more than others.
+    Smallest and largest strings need sorted aggregation, so they are taken of the rows of repeated keys
+    only. Their state is of constant size: a key that a third of all rows share costs no more than others.
     """
-    grouped = df.groupBy(key).agg(
-        F.count("*").alias("copies"), F.min(path).alias("first_path"), F.max(path).alias("last_path")
-    )
-    return grouped.filter(F.col("copies") > 1)
+    repeated = lookup_table(duplicate_keys(df, key), "duplicates")
+    rows = df.select(key, path).join(repeated, key)
+    return rows.groupBy(key, "copies").agg(F.min(path).alias("first_path"), F.max(path).alias("last_path"))
 
 
 def assert_unique(df: DataFrame, key: str = "rel_path", path: str = "path") -> DataFrame:
-    clash = duplicates(df, key, path).first()
+    clash = duplicate_keys(df, key).first()
     if clash is not None:
-        raise DuplicateTargetError(f"{clash.first_path} and {clash.last_path} would cause duplicates")
+        first, last = df.filter(F.col(key) == clash[key]).agg(F.min(path), F.max(path)).first()
+        raise DuplicateTargetError(f"{first} and {last} would cause duplicates")
     return df
 
 
