@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import exact, langid, leakage, mixing, near, quality
+from . import exact, katz, langid, leakage, mixing, near, passages, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,14 @@ def op2_quality(spark, sf_dir):
     return quality.score(measured, model).select("doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_katz(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held = remainder(F.col("doc_id"), 5) == 1
+    model = katz.Model(docs.filter(~held).select(F.col("text").alias("_text")))
+    out = katz.score(docs, model)
+    return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact.classify(table(spark, sf_dir, "documents"))
 
@@ -33,6 +41,11 @@ def op5_decontamination(spark, sf_dir):
     return leakage.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_passages(spark, sf_dir):
+    out = passages.remove(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op8_mixing(spark, sf_dir):
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -58,7 +71,7 @@ def _shipped(query):
 
 QUERIES = {
     f.__name__: _shipped(f)
-    for f in (op2_quality, op4_exact_dedup, op5_decontamination, op8_mixing, op9_language_id, op10_near_dedup)
+    for f in (op2_quality, op3_katz, op4_exact_dedup, op5_decontamination, op6_passages, op8_mixing, op9_language_id, op10_near_dedup)
 }
 
 ORACLE = {
@@ -68,6 +81,17 @@ ORACLE = {
         select d.doc_id, g.keep_id, g.group_size, d.doc_id is not distinct from g.keep_id as kept, sha256(d.text) as text_sha256
         from d join g on d.text = g.text
     """,
+    "op6_passages": r"""
+        with d as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents),
+        v as (select doc_id, unnest(range(1, greatest(len(w) - 33, 1))) as i from d),
+        k as (select v.doc_id, i, list_slice(w, i, i + 34) as win from v join d using (doc_id)),
+        r as (select doc_id, i from (select doc_id, i, count(*) over (partition by win) as n from k) where n > 1),
+        g as (select distinct doc_id, unnest(range(i, i + 35)) as p from r),
+        c as (select doc_id, list(p) as ps, count(*) as n from g group by doc_id)
+        select d.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(c.n, 0) as bigint) as n_removed,
+               sha256(coalesce(array_to_string(case when c.n is null then w else list_filter(w, lambda x, p: not list_contains(c.ps, p)) end, ' '), '')) as kept_sha256
+        from d left join c using (doc_id)
+    """,
     "op8_mixing": r"""
         with d as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size from documents),
         s as (select source, cast(sum(size) as bigint) as n from d group by source),
