@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import exact, katz, langid, leakage, mixing, near, passages, quality
+from . import exact, katz, langid, leakage, mixing, near, passages, quality, secret_scan, surrogates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,18 @@ def remainder(doc_id, n: int):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def op1_secrets(spark, sf_dir):
+    """The tables have no labelled findings: formats label those of the documents whose remainder by 5 isn't 1."""
+    words = table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", r"[^\p{L}]+")).alias("word"))
+    found = secret_scan.described(secret_scan.candidates(table(spark, sf_dir, "documents")), words)
+    issued = F.col("value").rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$")
+    given = F.concat_ws(" ", "before", "name").rlike(secret_scan.CREDENTIAL + r"\W*$") & F.col("value").rlike("^[0-9A-Za-z+/_-]{12,}$")
+    labelled = found.filter(remainder(F.col("doc_id"), 5) != 1).withColumn("label", (issued | given).cast("int"))
+    out = secret_scan.score(found, secret_scan.train(labelled))
+    held = (remainder(F.col("doc_id"), 5) == 1).alias("held_out")
+    return out.select("doc_id", "position", "value", held, "score", "is_secret")
+
+
 def op2_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     measured = quality.measured(docs)
@@ -46,6 +58,10 @@ def op6_passages(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op7_surrogates(spark, sf_dir):
+    return surrogates.replace(table(spark, sf_dir, "documents"), key="registered query")
+
+
 def op8_mixing(spark, sf_dir):
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -71,7 +87,10 @@ def _shipped(query):
 
 QUERIES = {
     f.__name__: _shipped(f)
-    for f in (op2_quality, op3_katz, op4_exact_dedup, op5_decontamination, op6_passages, op8_mixing, op9_language_id, op10_near_dedup)
+    for f in (
+        op1_secrets, op2_quality, op3_katz, op4_exact_dedup, op5_decontamination, op6_passages, op7_surrogates, op8_mixing,
+        op9_language_id, op10_near_dedup,
+    )
 }
 
 ORACLE = {
