@@ -7,8 +7,8 @@ shingle stops as soon as its next arrival is later than a bound by which all com
 bound is widened and the text is done again.
 
 Equal texts are one node. Nodes that share a band are candidates. A link needs an exact probability Jaccard
-similarity of at least ``SIMILARITY``. In each bucket one node at a time, from the component with the fewest nodes there,
-is compared with all nodes of other components; then it leaves the bucket. This goes on until every bucket lies in one
+similarity of at least ``SIMILARITY``. In each bucket a few nodes at a time (one in the first round), from the components
+with the fewest nodes there, are compared with all nodes of other components; then they leave the bucket. This goes on until every bucket lies in one
 component, so all links between components are found without listing all pairs of a group.
 
 Null texts count as empty. Texts without words are near only to equal texts. Rows repeating an id and text go together;
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
 SALTS = 16
+HUBS = 16  # nodes of a bucket that are compared with the others at a time, after the first
 
 
 def weighted(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -183,30 +184,44 @@ def links(docs: DataFrame, sketch: DataFrame, least: float = SIMILARITY) -> Data
     if not n:
         return None
     shingles = _shingles(docs, members.select(F.col("id").alias("_node"), "_first").distinct())
-    members, edges, tested, labels = members.select("key", "id"), None, None, None
+    members, tested, labels, hubs = members.select("key", "id"), None, None, 1
     while True:
-        if labels is None:
-            placed = members.withColumn("label", F.col("id"))
-        else:
-            named = labels.withColumnRenamed("id", "_id").withColumnRenamed("label", "_label")
-            placed = members.join(named, members["id"] == named["_id"], "left").select("key", "id", F.coalesce("_label", "id").alias("label"))
-        parts = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("_n"), F.min("id").alias("_hub"))
-        hubs = parts.groupBy("key").agg(F.count(F.lit(1)).alias("_parts"), F.min(F.struct("_n", "_hub", "label")).alias("_h"))
-        hubs = hubs.filter("_parts > 1").select("key", F.col("_h._hub").alias("_hub"), F.col("_h.label").alias("_own"))
-        open_ = placed.join(hubs, "key")
-        again, n = cut_counted(open_, "open")
+        placed = members.withColumn("label", F.col("id")) if labels is None else _labelled(members, "id", labels)
+        parts = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("_n"))
+        many = parts.groupBy("key").agg(F.count(F.lit(1)).alias("_parts")).filter("_parts > 1").select("key")
+        open_, n = cut_counted(placed.join(many, "key").join(parts, ["key", "label"]), "open")
         if not n:
             return labels
-        pairs = again.filter("label != _own").select(F.least("id", "_hub").alias("a"), F.greatest("id", "_hub").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        first = Window.partitionBy("key").orderBy("_n", "label", "id")
+        chosen = open_.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= hubs)
+        chosen = cut(chosen.select("key", F.col("id").alias("_hub"), F.col("label").alias("_own")), "hubs")
+        pairs = open_.join(chosen, "key").filter("label != _own").select(F.least("id", "_hub").alias("a"), F.greatest("id", "_hub").alias("b"))
+        pairs = pairs.distinct() if tested is None else pairs.distinct().join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         found, n = cut_counted(_verified(pairs, shingles, least).distinct(), "edges")
         if n:
-            edges = found if edges is None else edges.unionByName(found)
-            labels = components(edges)
-        members = cut(again.filter("id != _hub").select("key", "id"), "members")
+            labels = _joined(labels, found)
+        gone = chosen.select("key", F.col("_hub").alias("id"))
+        members = cut(open_.select("key", "id").join(gone, ["key", "id"], "left_anti"), "members")
+        hubs = HUBS
+
+
+def _labelled(rows: DataFrame, column: str, labels: DataFrame, name: str = "label") -> DataFrame:
+    """``rows`` with the label of ``column``, its own value where it has none."""
+    own = labels.select(F.col("id").alias("_i"), F.col("label").alias("_l"))
+    return rows.join(own, rows[column] == own["_i"], "left").withColumn(name, F.coalesce("_l", column)).drop("_i", "_l")
+
+
+def _joined(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """Labels after adding edges: components of the edges between the labels so far."""
+    if labels is None:
+        return components(edges)
+    ends = _labelled(_labelled(edges, "a", labels, "_a"), "b", labels, "_b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    merged = components(ends.filter("a != b").distinct())
+    moved = _labelled(labels, "label", merged, "_new").select("id", F.col("_new").alias("label"))
+    fresh = merged.join(labels.select("id"), "id", "left_anti")
+    return cut(moved.unionByName(fresh), "labels")
 
 
 def classify(docs: DataFrame, least: float = SIMILARITY, salts: int = SALTS) -> DataFrame:
