@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..scratch import cut, cut_counted
+from ..scratch import cut, cut_counted, lookup_table
 from .graph import components
 from .wordhash import Texts, mix, slices
 
@@ -32,7 +32,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
 SALTS = 16
-HUBS = 16  # nodes of a bucket that are compared with the others at a time, after the first
+HUBS = 4  # nodes of a bucket that are compared with the others in the second round; twice as many in each later one
 
 
 def weighted(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,7 +157,8 @@ def _shingles(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
     side = lambda x: shingles.select(F.col("node").alias(x), F.col("s").alias(f"s{x}"), F.col("w").alias(f"w{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "wa", "sb", "wb")
+    few = lookup_table(pairs, "few")  # broadcast if few: only the shingles of these pairs travel
+    both = few.join(side("a"), "a").join(few.join(side("b"), "b"), ["a", "b"]).select("a", "b", "sa", "wa", "sb", "wb")
 
     def test(batches):
         for batch in batches:
@@ -179,12 +180,14 @@ def links(docs: DataFrame, sketch: DataFrame, least: float = SIMILARITY) -> Data
     spark = docs.sparkSession
     nodes = sketch.groupBy("_node").agg(F.min("_id").alias("_first"), F.first("_bands").alias("_bands"))
     rows = nodes.select(F.col("_node").alias("id"), "_first", F.explode("_bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("key")
-    members, n = cut_counted(rows.join(shared, "key").select("key", "id", "_first"), "members")
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    members, n = cut_counted(rows.join(shared, "key").select("key", "id", "_first", "_n"), "members")
     if not n:
         return None
     shingles = _shingles(docs, members.select(F.col("id").alias("_node"), "_first").distinct())
-    members, tested, labels, hubs = members.select("key", "id"), None, None, 1
+    # The node that shares most with others goes first: one of which the others are variants links them all.
+    centre = cut(members.groupBy("id").agg(F.sum("_n").alias("_centre")), "centre")
+    members, tested, labels, hubs = cut(members.select("key", "id").join(centre, "id").select("key", "id", "_centre"), "members"), None, None, 1
     while True:
         placed = members.withColumn("label", F.col("id")) if labels is None else _labelled(members, "id", labels)
         parts = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("_n"))
@@ -192,7 +195,7 @@ def links(docs: DataFrame, sketch: DataFrame, least: float = SIMILARITY) -> Data
         open_, n = cut_counted(placed.join(many, "key").join(parts, ["key", "label"]), "open")
         if not n:
             return labels
-        first = Window.partitionBy("key").orderBy("_n", "label", "id")
+        first = Window.partitionBy("key").orderBy("_n", F.desc("_centre"), "id")
         chosen = open_.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= hubs)
         chosen = cut(chosen.select("key", F.col("id").alias("_hub"), F.col("label").alias("_own")), "hubs")
         pairs = open_.join(chosen, "key").filter("label != _own").select(F.least("id", "_hub").alias("a"), F.greatest("id", "_hub").alias("b"))
@@ -203,8 +206,8 @@ def links(docs: DataFrame, sketch: DataFrame, least: float = SIMILARITY) -> Data
         if n:
             labels = _joined(labels, found)
         gone = chosen.select("key", F.col("_hub").alias("id"))
-        members = cut(open_.select("key", "id").join(gone, ["key", "id"], "left_anti"), "members")
-        hubs = HUBS
+        members = cut(open_.select("key", "id", "_centre").join(gone, ["key", "id"], "left_anti"), "members")
+        hubs = max(HUBS, 2 * hubs)
 
 
 def _labelled(rows: DataFrame, column: str, labels: DataFrame, name: str = "label") -> DataFrame:
