@@ -96,6 +96,9 @@ def _sent(docs: DataFrame) -> DataFrame:
         rows: list[tuple] = []
         size = 0
 
+        def scatter(version, start):  # places that are told need no bucket
+            return hash((version, start))
+
         def packed_rows(like):
             columns = list(zip(*rows)) if rows else [[]] * 6
             types = [like.schema.field("_id").type, pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
@@ -110,7 +113,8 @@ def _sent(docs: DataFrame) -> DataFrame:
             at = 0
             for i, end in enumerate(map(int, ends)):
                 words = batch.column("_text")[i].as_py().encode().split() if end > at else []
-                for s, n, key, hot in (tuple(f[j] for f in fields) for j in range(at, end)):
+                told = None  # the range of windows at the end of those known to repeat
+                for s, n, key, hot in sorted(tuple(f[j] for f in fields) for j in range(at, end)):
                     for first, m in ((s + x, 1) for x in range(n)) if hot else ((s, n),):
                         packed = b" ".join(words[first : first + m + WINDOW - 1])
                         digest = hashlib.blake2b(packed, digest_size=16).digest()
@@ -122,10 +126,18 @@ def _sent(docs: DataFrame) -> DataFrame:
                             size += len(packed) + 64
                             continue
                         if seen[digest]:
-                            rows.append((*seen[digest], None))
+                            rows.append((*seen[digest][:4], scatter(*seen[digest][1:3]), None))
                             seen[digest] = None
-                        rows.append((*place, None))
-                        size += 128
+                            size += 64
+                        if told and first <= told[1]:
+                            told = (told[0], max(told[1], first + m))
+                            continue
+                        if told:
+                            rows.append((ids[i], versions[i], told[0], told[1] - told[0], scatter(versions[i], told[0]), None))
+                            size += 64
+                        told = (first, first + m)
+                if told:
+                    rows.append((ids[i], versions[i], told[0], told[1] - told[0], scatter(versions[i], told[0]), None))
                 at = end
                 if size > CHUNK_BYTES:
                     yield packed_rows(batch)
