@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..errors import InvalidInputError
 from ..functions.access import acl_entry, logical_acl
-from ..scratch import cut_counted, small_table
+from ..scratch import lookup_table
 from .reconcile import match_target
 
-LOOKUP_ROWS = 100_000
-
 
 def collect_identities(df: DataFrame) -> DataFrame:
     """``local_identity``: every owner, group and non-blank ACL name. Duplicates vanish before the shuffle."""
@@ -28,37 +27,8 @@ def merge_identities(found: DataFrame, known: DataFrame | None = None) -> DataFr
     return found.join(known.select("local_identity", "cloud_identity"), "local_identity", "left")
 
 
-def _translate_in_place(df: DataFrame, table: DataFrame, rows: int) -> DataFrame:
-    """Translate inside each row, without a shuffle, by a table that is broadcast as one row.
-
-    A lookup in a Spark map goes through its entries, so the table is a list of small maps, and the hash of
-    a name says which.
-    """
-    buckets = max(1, rows // 4)
-
-    def bucket(name):
-        return F.pmod(F.hash(name), F.lit(buckets))
-
-    maps: list[dict] = [{} for _ in range(buckets)]
-    for r in table.select(bucket("local_identity").alias("b"), "local_identity", "cloud_identity").collect():
-        maps[r.b][r.local_identity] = r.cloud_identity
-    names = small_table(
-        df.sparkSession, [([list(m.items()) for m in maps],)], "_names array<map<string,string>>"
-    )
-
-    def mapped(name):
-        return F.coalesce(F.try_element_at(F.get("_names", bucket(name)), name), name)
-
-    out = {c: mapped(F.col(c)) for c in ("owner", "group")}
-    if "acl" in df.columns:
-        out["acl"] = F.transform(
-            "acl", lambda e: acl_entry(e["scope"], e["type"], mapped(e["name"]), e["perm"])
-        )
-    return df.join(names).withColumns(out).drop("_names")
-
-
 def _translate_by_joins(df: DataFrame, table: DataFrame) -> DataFrame:
-    """Translate by shuffle joins, where adaptive skew handling splits hot owners.
+    """Translate by joins: broadcast if the map is small, else with adaptive skew handling that splits hot owners.
 
     ACLs are translated once per distinct list, because directory trees repeat them: only distinct lists are
     opened and put together again, and rows get theirs back by one join. A list that a third of all rows
@@ -89,15 +59,17 @@ def _translate_by_joins(df: DataFrame, table: DataFrame) -> DataFrame:
     )
 
 
-def translate_identities(df: DataFrame, identities: DataFrame, limit: int = LOOKUP_ROWS) -> DataFrame:
-    """Replace owner, group and ACL names by their cloud identity; unmapped ones and nulls stay as they are.
+def translate_identities(df: DataFrame, identities: DataFrame) -> DataFrame:
+    """Replace owner, group and ACL names by their cloud identity; unmapped ones, nulls and blank names stay as they are.
 
-    The map is stored and counted first: with up to ``limit`` entries it is broadcast, else joined.
+    A local identity that the map holds twice raises.
     """
-    known = identities.filter(F.col("cloud_identity").isNotNull()).select("local_identity", "cloud_identity")
-    table, rows = cut_counted(known, "identities")
-    out = _translate_in_place(df, table, rows) if rows <= limit else _translate_by_joins(df, table)
-    return out.select(*df.columns)
+    named = identities.filter(F.trim("local_identity") != "").select("local_identity", "cloud_identity")
+    clash = named.groupBy("local_identity").count().filter("count > 1").first()
+    if clash is not None:
+        raise InvalidInputError(f"Duplicate identity {clash.local_identity}")
+    table = lookup_table(named.filter(F.col("cloud_identity").isNotNull()), "identities")
+    return _translate_by_joins(df, table).select(*df.columns)
 
 
 def unmapped_identities(found: DataFrame, identities: DataFrame) -> DataFrame:
@@ -106,6 +78,11 @@ def unmapped_identities(found: DataFrame, identities: DataFrame) -> DataFrame:
     return found.select("local_identity").join(known, "local_identity", "left_anti")
 
 
+def _merged(acl: str) -> Column:
+    """An ACL as a file system holds it: sorted, equal entries once."""
+    return F.array_sort(F.array_distinct(acl))
+
+
 def acl_transfer_plan(src: DataFrame, tgt: DataFrame, identities: DataFrame, key: str = "rel_path") -> DataFrame:
     """What to set on each target so that it has the translated owner, group and full ACL of its source.
 
@@ -121,7 +98,7 @@ def acl_transfer_plan(src: DataFrame, tgt: DataFrame, identities: DataFrame, key
     )
     setters = F.array_compact(
         F.array(
-            F.when(~F.col("acl").eqNullSafe(F.col("tgt_acl")), F.lit("acl")),
+            F.when(~_merged("acl").eqNullSafe(_merged("tgt_acl")), F.lit("acl")),
             F.when(~F.col("sticky").eqNullSafe(F.col("tgt_sticky")), F.lit("permission")),
             F.when(
                 ~(F.col("group").eqNullSafe(F.col("tgt_group")) & F.col("owner").eqNullSafe(F.col("tgt_owner"))),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.access import comparable_map
+from ..functions.access import comparable_map, filter_xattrs
 from ..options import SyncOptions
 from .reconcile import match_target
 
@@ -45,10 +45,10 @@ def preserve_plan(
         tests.append(("permission", differs("perm", "sticky")))
     if "xattr" in attributes or raw_xattrs:
         names.append("xattrs")
-        has_any = F.size(F.coalesce(F.map_keys("xattrs"), F.array().cast("array<string>"))) > 0
-        if "xattr" not in attributes:
-            has_any = F.exists(F.coalesce(F.map_keys("xattrs"), F.array().cast("array<string>")), lambda n: n.startswith("raw"))
-        unequal = ~comparable_map("xattrs").eqNullSafe(comparable_map("tgt_xattrs"))
+        # Names of namespaces that aren't asked for neither count as a difference nor hide one.
+        own, other = (filter_xattrs(c, raw=raw_xattrs, regular="xattr" in attributes) for c in ("xattrs", "tgt_xattrs"))
+        has_any = F.size(F.coalesce(F.map_keys(own), F.array().cast("array<string>"))) > 0
+        unequal = ~comparable_map(own).eqNullSafe(comparable_map(other))
         tests.append(("xattr", unequal & has_any))
     if "replication" in attributes:
         tests.append(("replication", differs("replication") & ~F.col("tgt_is_dir")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +21,9 @@ def parse_boxes(config: DataFrame) -> DataFrame:
     ``box_id`` is the position in the list; a missing size or -1 is kept as null (unlimited).
     """
     text = F.trim("value")
-    top = F.from_json(F.when(text.startswith("{"), text), "map<string,string>")
+    top = F.from_json(F.when(text.startswith("{"), text), "map<string,string>", {"mode": "FAILFAST"})
     listed = F.element_at(F.filter(F.map_values(top), lambda v: v.startswith("[")), 1)
-    boxes = F.from_json(F.coalesce(listed, text), "array<map<string,string>>")
+    boxes = F.from_json(F.coalesce(listed, text), "array<map<string,string>>", {"mode": "FAILFAST"})
     rows = config.select(
         F.try_element_at(top, F.lit("container")).alias("default_container"), F.posexplode(boxes).alias("box_id", "box")
     )
@@ -43,7 +45,15 @@ def parse_boxes(config: DataFrame) -> DataFrame:
 
 
 def read_boxes(spark: SparkSession, path: str) -> DataFrame:
-    return parse_boxes(spark.read.text(path, wholetext=True))
+    """The boxes of a configuration file; malformed JSON and a configuration without boxes raise."""
+    boxes = parse_boxes(spark.read.text(path, wholetext=True))
+    try:
+        found = not boxes.isEmpty()
+    except (Py4JJavaError, PySparkException) as error:
+        raise InvalidInputError(f"{path} is not a list of boxes in JSON") from error
+    if not found:
+        raise InvalidInputError(f"No boxes in {path}")
+    return boxes
 
 
 def single_box(spark: SparkSession, uri: str) -> DataFrame:

@@ -200,6 +200,10 @@ def test_boxes(spark, tmp_path):
     bare = config.read_boxes(spark, str(tmp_path / "b.json")).orderBy("box_id").collect()
     assert [r.container for r in bare] == [None, "own", None]
     assert config.single_box(spark, "file:/x").first().target_uri == "file:/x"
+    for bad in ('{"container": "c", "boxes": [{"boxDns": "a"},, {"boxDns": "b"}]}', '[{"boxDns": "a"}', '{"container": "c"}', "[]", ""):
+        (tmp_path / "bad.json").write_text(bad)
+        with pytest.raises(InvalidInputError):
+            config.read_boxes(spark, str(tmp_path / "bad.json")).collect()
 
 
 def test_identity_files(spark, tmp_path):

@@ -59,10 +59,12 @@ def test_duplicates_and_set_comparison_aggregate_before_the_shuffle(spark, sf, p
         assert "SortAggregate" not in plan
 
 
-def test_translation_adds_no_shuffle(spark, sf, plan_of):
-    src = derived.source_with_acl(spark, sf).select("rel_path", "owner", "group", "acl")
-    ids = derived.identity_map(spark, sf)
-    assert shuffles(plan_of(identity.translate_identities(src, ids))) == shuffles(plan_of(src))
+def test_translation_carries_no_map_in_its_rows(spark, sf, plan_of):
+    """Owners and groups find a small map by broadcast; it is not copied into the rows as an array."""
+    src = derived.source_with_acl(spark, sf).select("rel_path", "owner", "group")
+    plan = plan_of(identity.translate_identities(src, derived.identity_map(spark, sf)))
+    assert shuffles(plan) == shuffles(plan_of(src)) and plan.count("BroadcastHashJoin") == 2
+    assert "array<map" not in plan and "NestedLoop" not in plan
 
 
 def test_placement_is_read_from_blocks(spark, sf, plan_of):

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ferrywright.errors import InvalidInputError
 from ferrywright import SyncOptions
 from ferrywright.operators import identity, metadata, reconcile, totals
 from ferrywright.plans import derived
@@ -200,12 +201,27 @@ def test_translate_identities(spark):
     assert {r[0] for r in identity.unmapped_identities(found.na.drop(), ids).collect()} == {"u3", "u5", "p2", "", "g"}
 
 
-def test_large_maps_are_joined(spark):
-    """Beyond the checked size the translation is by shuffle joins, with the same result."""
+def test_one_translation_at_any_size(spark, monkeypatch):
+    """A shuffled map gives what a broadcast one gives; repeated identities raise and blank names stay."""
     src = derived.source_with_acl(spark, "/root/testdata/sf0.001").select("rel_path", "owner", "group", "acl")
     ids = derived.identity_map(spark, "/root/testdata/sf0.001")
+    blank = ids.union(spark.createDataFrame([("", "blank"), (" ", "blank")], ids.schema))
     few = sorted(map(str, identity.translate_identities(src, ids).collect()))
-    assert few == sorted(map(str, identity.translate_identities(src, ids, limit=0).collect()))
+    assert few == sorted(map(str, identity.translate_identities(src, blank).collect()))
+    monkeypatch.setattr(identity, "lookup_table", lambda df, name: df)
+    assert few == sorted(map(str, identity.translate_identities(src, ids).collect()))
+    with pytest.raises(InvalidInputError):
+        identity.translate_identities(src, ids.union(spark.createDataFrame([("u1", "x"), ("u1", "y")], ids.schema)))
+
+
+def test_acl_in_another_order_is_not_set_again(spark):
+    ids = spark.createDataFrame([("a", "z"), ("b", "y"), ("c", "y")], "local_identity string, cloud_identity string")
+    schema = f"rel_path string, is_dir boolean, owner string, `group` string, perm int, sticky boolean, acl {ACL}"
+    own = [("ACCESS", "USER", n, "r--") for n in "abc"]
+    there = [("ACCESS", "USER", n, "r--") for n in "yz"]
+    row = ("f", False, "u", "g", 0o640, False)
+    got = identity.acl_transfer_plan(spark.createDataFrame([(*row, own)], schema), spark.createDataFrame([(*row, there)], schema), ids)
+    assert got.first().setters == []
 
 
 def test_acl_transfer_plan(spark):
@@ -262,3 +278,13 @@ def test_preserve_plan(spark):
     assert plan("u") == {"same": [], "all": ["owner"], "dir": []}
     assert plan("", raw_xattrs=True) == {"same": [], "all": ["xattr"], "dir": []}
     assert plan("") == {"same": [], "all": [], "dir": []}
+
+
+def test_xattrs_of_other_namespaces_do_not_count(spark):
+    schema = "rel_path string, is_dir boolean, xattrs map<string,binary>"
+    src = [("user", False, {"raw.a": b"1", "user.b": b"2"}), ("raw", False, {"raw.a": b"1", "user.b": b"2"})]
+    tgt = [("user", False, {"raw.a": b"1", "user.b": b"3"}), ("raw", False, {"user.b": b"2"})]
+    src, tgt = spark.createDataFrame(src, schema), spark.createDataFrame(tgt, schema)
+    for attributes, raw, want in (((), True, ["raw"]), (("xattr",), False, ["user"]), (("xattr",), True, ["raw", "user"])):
+        rows = metadata.preserve_plan(src, tgt, attributes, raw_xattrs=raw).collect()
+        assert sorted(r.rel_path for r in rows if r.setters == ["xattr"]) == want
