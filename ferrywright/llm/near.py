@@ -7,9 +7,13 @@ shingle stops as soon as its next arrival is later than a bound by which all com
 bound is widened and the text is done again.
 
 Equal texts are one node. Nodes that share a band are candidates. A link needs an exact probability Jaccard
-similarity of at least ``SIMILARITY``. In each bucket a few nodes at a time (one in the first round), from the components
-with the fewest nodes there, are compared with all nodes of other components; then they leave the bucket. This goes on until every bucket lies in one
-component, so all links between components are found without listing all pairs of a group.
+similarity of at least ``SIMILARITY``. In each bucket one node, the hub, is compared with all others. Any other
+link between components must be between a node that is far from the hub and a node with which it shares some of its
+*edits*, the shingles that only one of node and hub has: where common shingles weigh the same, similarity is a function of
+the two masses and of the mass of the edits that only one of the two nodes has. So nodes meet by hub and edit, and a pair is
+tested only if the edits that follow the one they meet in can still suffice (see ``edits``). Nodes whose common
+shingles weigh differently from the hub's ("odd") are compared with all nodes of other components in their buckets,
+a few at a time. So all links between components are found without listing all pairs of a group.
 
 Null texts count as empty. Texts without words are near only to equal texts. Rows repeating an id and text go together;
 a null id is never a class id unless all ids of the class are null. Empty tables give empty results; other columns
@@ -32,7 +36,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
 SALTS = 16
-HUBS = 4  # nodes of a bucket that are compared with the others in the second round; twice as many in each later one
+SLACK = 1e-6  # allowed for rounding where pairs are left out
+HUBS = 4  # odd nodes of a bucket that are compared with the others in the first such round; twice as many in each later one
 
 
 def weighted(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,6 +108,31 @@ def similarity(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray) ->
     return float((1 / ((only_a + above[at]) / u + (only_b + below[at]) / v)).sum())
 
 
+def edits(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.ndarray, near: bool, least: float):
+    """What a node (a, wa) tells of itself by its difference from a hub (b, wb); None if it is odd.
+
+    With v the weight of a shingle in all nodes that aren't odd, t = ``least`` and r = (1-t) / (1+t), x and y are linked
+    if v(x ^ y) <= r (v(x) + v(y)). For the edits e = x ^ hub this means v(e(x) & e(y)) >= (s(x) + s(y)) / 2 with
+    s(x) = v(e(x)) - r v(x). If x isn't linked to the hub, s(x) > r v(hub); for any y, s(y) >= (1-r) v(e(y)) - r v(hub). So with
+    such an x the common mass is over (s(y) + r v(hub)) / 2, thus positive, and at least (s(x) - r v(hub)) / (1+r).
+    Returned are the edits among which the first common one must be (those the hub lacks come first, as they are
+    rarer), the mass from each on, and s.
+    """
+    both, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    own, lost = np.ones(len(a), bool), np.ones(len(b), bool)
+    own[i], lost[j] = False, False
+    if (wa[i] != wb[j]).any() or (wa[own] != 1).any():
+        return None
+    items, mass = np.concatenate([a[own], b[lost]]), np.concatenate([wa[own], wb[lost]])
+    r, hub = (1 - least) / (1 + least), wb.sum()
+    s, rest = mass.sum() - r * wa.sum(), mass.sum() - np.cumsum(mass) + mass
+    common = (s + r * hub) / 2
+    if not near:
+        common = min(common, (s - r * hub) / (1 + r))
+    first = rest >= common - SLACK
+    return items[first], rest[first], s
+
+
 def _bands(signature: np.ndarray) -> np.ndarray:
     parts = signature.reshape(len(signature), BANDS, ROWS)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), parts.shape[:2])
@@ -155,29 +185,72 @@ def _shingles(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return cut(own.select("_node", "_text").mapInArrow(cut_up, "node binary, s array<bigint>, w array<int>"), "shingles")
 
 
-def _verified(pairs: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
+def _with_shingles(pairs: DataFrame, shingles: DataFrame, *more: str) -> DataFrame:
     side = lambda x: shingles.select(F.col("node").alias(x), F.col("s").alias(f"s{x}"), F.col("w").alias(f"w{x}"))
     few = lookup_table(pairs, "few")  # broadcast if few: only the shingles of these pairs travel
-    both = few.join(side("a"), "a").join(few.join(side("b"), "b"), ["a", "b"]).select("a", "b", "sa", "wa", "sb", "wb")
+    return few.join(side("a"), "a").join(few.select("a", "b").join(side("b"), "b"), ["a", "b"]).select("a", "b", *more, "sa", "wa", "sb", "wb")
+
+
+def _weighted_pairs(batch: pa.RecordBatch):
+    """For each row of a batch: shingles and weights of both sides."""
+    lists = []
+    for name, kind in (("sa", np.uint64), ("wa", np.int64), ("sb", np.uint64), ("wb", np.int64)):
+        c = batch.column(name)
+        flat, off = c.flatten().to_numpy(), c.offsets.to_numpy()
+        lists.append((flat.view(kind) if kind is np.uint64 else flat.astype(kind), off - off[0] if len(off) else off))
+    for i in range(batch.num_rows):
+        yield tuple(values[off[i] : off[i + 1]] for values, off in lists)
 
+
+def _verified(pairs: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
     def test(batches):
         for batch in batches:
-            lists = []
-            for name, kind in (("sa", np.uint64), ("wa", np.int64), ("sb", np.uint64), ("wb", np.int64)):
-                c = batch.column(name)
-                flat, off = c.flatten().to_numpy(), c.offsets.to_numpy()
-                lists.append((flat.view(kind) if kind is np.uint64 else flat.astype(kind), off - off[0] if len(off) else off))
-            good = [
-                similarity(*(values[off[i] : off[i + 1]] for values, off in lists)) >= least for i in range(batch.num_rows)
-            ]
+            good = [similarity(*x) >= least for x in _weighted_pairs(batch)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return both.mapInArrow(test, "a binary, b binary")
+    return _with_shingles(pairs, shingles).mapInArrow(test, "a binary, b binary")
+
+
+def _compared(pairs: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
+    """Node a and hub b (``others``: the bucket has more nodes): are they linked, is a odd, and its edits if others are there."""
+
+    def test(batches):
+        for batch in batches:
+            near, odd, items, rest, s = [], [], [], [], []
+            for x, others in zip(_weighted_pairs(batch), batch.column("others").to_pylist()):
+                near.append(similarity(*x) >= least)
+                told = edits(*x, near[-1], least) if others else ((), (), 0.0)
+                odd.append(told is None)
+                told = told or ((), (), 0.0)
+                items.append(np.asarray(told[0], np.uint64).view(np.int64))
+                rest.append(np.asarray(told[1], np.int64))
+                s.append(float(told[2]))
+            rows = [near, odd, pa.array(items, pa.list_(pa.int64())), pa.array(rest, pa.list_(pa.int64())), pa.array(s, pa.float64())]
+            rows[:2] = [pa.array(x, pa.bool_()) for x in rows[:2]]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *rows], ["a", "b", "near", "odd", "items", "rest", "s"])
+
+    return _with_shingles(pairs, shingles, "others").mapInArrow(
+        test, "a binary, b binary, near boolean, odd boolean, items array<bigint>, rest array<bigint>, s double"
+    )
+
+
+def _meeting(compared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that may be linked by what their edits from a common hub tell."""
+    rows = _labelled(_labelled(compared.filter("size(items) > 0"), "a", labels), "b", labels, "_own")
+    each = F.explode(F.arrays_zip("items", "rest")).alias("_e")
+    rows = rows.select("a", "label", (F.col("label") != F.col("_own")).alias("far"), "s", F.col("b").alias("hub"), each)
+    met = F.xxhash64("hub", "_e.items").alias("met")
+    rows = cut(rows.select(met, "a", "label", "far", "s", F.col("_e.rest").alias("rest")), "edits")
+    shared = rows.groupBy("met").agg(F.count(F.lit(1)).alias("_n"), F.max("far").alias("_far")).filter("_n > 1 and _far").select("met")
+    rows = cut(rows.join(shared, "met"), "met")
+    other = rows.select("met", *[F.col(c).alias(f"_{c}") for c in ("a", "label", "far", "s", "rest")])
+    may = F.least("rest", "_rest") >= (F.col("s") + F.col("_s")) / 2 - SLACK
+    pairs = rows.filter("far").join(other, "met").filter((F.col("label") != F.col("_label")) & may & (~F.col("_far") | (F.col("a") < F.col("_a"))))
+    return pairs.select(F.least("a", "_a").alias("a"), F.greatest("a", "_a").alias("b")).distinct()
 
 
 def links(docs: DataFrame, sketch: DataFrame, least: float = SIMILARITY) -> DataFrame | None:
     """(id, label) of the texts that are near another text, both as digests; None if there are none."""
-    spark = docs.sparkSession
     nodes = sketch.groupBy("_node").agg(F.min("_id").alias("_first"), F.first("_bands").alias("_bands"))
     rows = nodes.select(F.col("_node").alias("id"), "_first", F.explode("_bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
@@ -185,29 +258,39 @@ def links(docs: DataFrame, sketch: DataFrame, least: float = SIMILARITY) -> Data
     if not n:
         return None
     shingles = _shingles(docs, members.select(F.col("id").alias("_node"), "_first").distinct())
-    # The node that shares most with others goes first: one of which the others are variants links them all.
-    centre = cut(members.groupBy("id").agg(F.sum("_n").alias("_centre")), "centre")
-    members, tested, labels, hubs = cut(members.select("key", "id").join(centre, "id").select("key", "id", "_centre"), "members"), None, None, 1
+    # The node that shares most with others is the hub: one of which the others are variants links them all.
+    centre = members.groupBy("id").agg(F.sum("_n").alias("_centre"))
+    members = cut(members.join(centre, "id").select("key", "id", "_n", "_centre"), "members")
+    hub = members.groupBy("key").agg(F.max(F.struct("_centre", "id")).alias("_hub")).select("key", F.col("_hub.id").alias("hub"))
+    members = cut(members.join(hub, "key").filter("id != hub").select("key", "id", "hub", "_n", "_centre"), "members")
+    pairs = members.groupBy(F.col("id").alias("a"), F.col("hub").alias("b")).agg((F.max("_n") > 2).alias("others"))
+    compared = cut(_compared(pairs, shingles, least), "compared")
+    labels, tested = components(compared.filter("near")), compared.select("a", "b")
+
+    pairs = cut(_meeting(compared, labels), "pairs")
+    tested = tested.unionByName(pairs)
+    labels = _joined(labels, _verified(pairs, shingles, least))
+
+    odd = compared.filter("odd").select(F.col("a").alias("id"), F.col("b").alias("hub"), F.lit(True).alias("odd"))
+    some = members.join(odd.select("id", "hub"), ["id", "hub"], "left_semi").select("key").distinct()
+    members = members.join(some, "key", "left_semi").join(odd, ["id", "hub"], "left")
+    members, hubs = cut(members.select("key", "id", "_centre", F.coalesce("odd", F.lit(False)).alias("odd")), "members"), HUBS
     while True:
-        placed = members.withColumn("label", F.col("id")) if labels is None else _labelled(members, "id", labels)
-        parts = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("_n"))
-        many = parts.groupBy("key").agg(F.count(F.lit(1)).alias("_parts")).filter("_parts > 1").select("key")
-        open_, n = cut_counted(placed.join(many, "key").join(parts, ["key", "label"]), "open")
+        placed = _labelled(members, "id", labels)
+        kinds = placed.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high"), F.max("odd").alias("_odd"))
+        open_, n = cut_counted(placed.join(kinds.filter("_low != _high and _odd").select("key"), "key"), "open")
         if not n:
             return labels
-        first = Window.partitionBy("key").orderBy("_n", F.desc("_centre"), "id")
-        chosen = open_.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= hubs)
+        first = Window.partitionBy("key").orderBy(F.desc("_centre"), "id")
+        chosen = open_.filter("odd").withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= hubs)
         chosen = cut(chosen.select("key", F.col("id").alias("_hub"), F.col("label").alias("_own")), "hubs")
         pairs = open_.join(chosen, "key").filter("label != _own").select(F.least("id", "_hub").alias("a"), F.greatest("id", "_hub").alias("b"))
-        pairs = pairs.distinct() if tested is None else pairs.distinct().join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found, n = cut_counted(_verified(pairs, shingles, least).distinct(), "edges")
-        if n:
-            labels = _joined(labels, found)
+        pairs = cut(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.unionByName(pairs)
+        labels = _joined(labels, _verified(pairs, shingles, least))
         gone = chosen.select("key", F.col("_hub").alias("id"))
-        members = cut(open_.select("key", "id", "_centre").join(gone, ["key", "id"], "left_anti"), "members")
-        hubs = max(HUBS, 2 * hubs)
+        members = cut(open_.select("key", "id", "_centre", "odd").join(gone, ["key", "id"], "left_anti"), "members")
+        hubs = 2 * hubs
 
 
 def _labelled(rows: DataFrame, column: str, labels: DataFrame, name: str = "label") -> DataFrame:
@@ -216,11 +299,12 @@ def _labelled(rows: DataFrame, column: str, labels: DataFrame, name: str = "labe
     return rows.join(own, rows[column] == own["_i"], "left").withColumn(name, F.coalesce("_l", column)).drop("_i", "_l")
 
 
-def _joined(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+def _joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """Labels after adding edges: components of the edges between the labels so far."""
-    if labels is None:
-        return components(edges)
-    ends = _labelled(_labelled(edges, "a", labels, "_a"), "b", labels, "_b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    found, n = cut_counted(edges, "edges")
+    if not n:
+        return labels
+    ends = _labelled(_labelled(found, "a", labels, "_a"), "b", labels, "_b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
     merged = components(ends.filter("a != b").distinct())
     moved = _labelled(labels, "label", merged, "_new").select("id", F.col("_new").alias("label"))
     fresh = merged.join(labels.select("id"), "id", "left_anti")

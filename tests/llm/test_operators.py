@@ -1,11 +1,13 @@
 """Each operator against a plain version on small tables, with nulls, ties, empty tables and clashing columns."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +115,56 @@ def test_near_copies(spark, empty):
     assert near.classify(empty).count() == near.deduplicate(empty).count() == 0
 
 
+def test_near_copies_of_a_large_group(spark):
+    """Many variants of one text, linked partly by edits they share; with lines that repeat, so that shingles weigh more."""
+    rng = random.Random(5)
+    base, line = prose(77, 60).split(), prose(78, 12).split()
+    texts = []
+    for i in range(160):
+        words = list(base)
+        for _ in range(rng.randint(0, 5)):
+            words[rng.choice((5, 12, 20, 27, 35, 43, 50))] = rng.choice(("alpha", "beta"))
+        if rng.random() < 0.2:
+            del words[rng.randint(20, 50) :]
+        if i % 3 == 0:
+            words += line * rng.randint(1, 3)
+        texts.append(" ".join(words))
+    sets = [near.weighted(near.Texts(pa.array([t])))[1:] for t in texts]
+    parent = list(range(len(texts)))
+    find = lambda x: x if parent[x] == x else find(parent[x])
+    for i in range(len(texts)):
+        for j in range(i):
+            if near.similarity(*sets[i], *sets[j]) >= 0.8:
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    df = spark.createDataFrame(rows(texts), SCHEMA).repartition(3)
+    got = {r.doc_id: r.class_id for r in near.classify(df).collect()}
+    assert got == {i: find(i) for i in range(len(texts))}
+    assert 5 < len(set(got.values())) < 150
+
+
+def test_edits_leave_out_no_link():
+    """Pairs that are linked, one of them far from the hub, meet in an edit at which enough mass is left on both sides."""
+    rng = random.Random(9)
+    met = 0
+    for _ in range(4000):
+        hub = {k: rng.choice((1, 1, 1, 3)) for k in range(rng.randint(5, 40))}
+        ones = []
+        for _ in range(2):
+            lost = set(rng.sample(sorted(hub), rng.randint(0, len(hub) // 3)))
+            extra = {100 + k: 1 for k in rng.sample(range(8), rng.randint(0, 6))}
+            ones.append({k: w for k, w in hub.items() if k not in lost} | extra)
+        h, x, y = ((np.array(sorted(o), np.uint64), np.array([o[k] for k in sorted(o)])) for o in (hub, *ones))
+        close = [near.similarity(*o, *h) >= 0.8 for o in (x, y)]
+        if all(close) or near.similarity(*x, *y) < 0.8:
+            continue
+        (ix, rx, sx), (iy, ry, sy) = (near.edits(*o, *h, c, 0.8) for o, c in ((x, close[0]), (y, close[1])))
+        both = dict(zip(ix.tolist(), rx)), dict(zip(iy.tolist(), ry))
+        assert any(min(both[0][k], both[1][k]) >= (sx + sy) / 2 - near.SLACK for k in both[0].keys() & both[1].keys())
+        met += 1
+    assert met > 20
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101)]
     got = {r.id: r.label for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
