@@ -36,8 +36,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
 SALTS = 16
+SLICE_TEXTS = 2048  # a signature takes about 1 000 arrivals, however short the text
 SLACK = 1e-6  # allowed for rounding where pairs are left out
-HUBS = 4  # odd nodes of a bucket that are compared with the others in the first such round; twice as many in each later one
+HUBS = 16  # odd nodes of a bucket that are compared with the others in the first such round; twice as many in each later one
 
 
 def weighted(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,7 +154,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     def sketch(batches):
         for batch in batches:
             column = batch.column("_text")
-            for a, b in slices(column):
+            for a, b in slices(column, rows=SLICE_TEXTS):
                 t = Texts(column.slice(a, b - a))
                 bands = _bands(signatures(*weighted(t), b - a))
                 each = np.where(t.counts > 0, BANDS, 0)
@@ -170,7 +171,7 @@ def _shingles(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, shingles, weights) of the texts whose digest and id are in ``nodes`` (_node, _first), stored."""
     text = F.coalesce("text", F.lit(""))
     own = docs.select(F.col("doc_id").alias("_id"), _node(text).alias("_node"), text.alias("_text"))
-    wanted = nodes.select(F.col("_node").alias("_want"), "_first")
+    wanted = lookup_table(nodes.select(F.col("_node").alias("_want"), "_first"), "wanted")  # broadcast if few: no text travels
     own = own.join(wanted, (F.col("_node") == F.col("_want")) & F.col("_id").eqNullSafe(F.col("_first")), "left_semi")
 
     def cut_up(batches):

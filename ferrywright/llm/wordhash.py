@@ -82,12 +82,12 @@ class Texts:
         return at, mix((total[at + k] - total[at]) * _power(_BASE_INVERSE, n)[at])
 
 
-def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of a text column that hold about ``size`` bytes each."""
+def slices(column: pa.Array, size: int = SLICE_BYTES, rows: int | None = None) -> Iterator[tuple[int, int]]:
+    """Row ranges of a text column that hold about ``size`` bytes, and at most ``rows`` texts, each."""
     lengths = np.asarray(pa.compute.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False), np.int64)
     total, start = 0, 0
     for i, n in enumerate(lengths):
-        if i > start and total + n > size:
+        if i > start and (total + n > size or i - start == rows):
             yield start, i
             start, total = i, 0
         total += n
