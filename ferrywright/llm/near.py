@@ -38,7 +38,7 @@ BANDS, ROWS = 20, 5
 SALTS = 16
 SLICE_TEXTS = 2048  # a signature takes about 1 000 arrivals, however short the text
 SLACK = 1e-6  # allowed for rounding where pairs are left out
-HUBS = 16  # odd nodes of a bucket that are compared with the others in the first such round; twice as many in each later one
+HUBS = 64  # odd nodes of a bucket that are compared with the others in the first such round; twice as many in each later one
 
 
 def weighted(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -187,9 +187,9 @@ def _shingles(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _with_shingles(pairs: DataFrame, shingles: DataFrame, *more: str) -> DataFrame:
+    """``pairs`` from ``lookup_table``: if they are few, only the shingles of these pairs travel."""
     side = lambda x: shingles.select(F.col("node").alias(x), F.col("s").alias(f"s{x}"), F.col("w").alias(f"w{x}"))
-    few = lookup_table(pairs, "few")  # broadcast if few: only the shingles of these pairs travel
-    return few.join(side("a"), "a").join(few.select("a", "b").join(side("b"), "b"), ["a", "b"]).select("a", "b", *more, "sa", "wa", "sb", "wb")
+    return pairs.join(side("a"), "a").join(pairs.select("a", "b").join(side("b"), "b"), ["a", "b"]).select("a", "b", *more, "sa", "wa", "sb", "wb")
 
 
 def _weighted_pairs(batch: pa.RecordBatch):
@@ -265,10 +265,10 @@ def links(docs: DataFrame, sketch: DataFrame, least: float = SIMILARITY) -> Data
     hub = members.groupBy("key").agg(F.max(F.struct("_centre", "id")).alias("_hub")).select("key", F.col("_hub.id").alias("hub"))
     members = cut(members.join(hub, "key").filter("id != hub").select("key", "id", "hub", "_n", "_centre"), "members")
     pairs = members.groupBy(F.col("id").alias("a"), F.col("hub").alias("b")).agg((F.max("_n") > 2).alias("others"))
-    compared = cut(_compared(pairs, shingles, least), "compared")
+    compared = cut(_compared(lookup_table(pairs, "few"), shingles, least), "compared")
     labels, tested = components(compared.filter("near")), compared.select("a", "b")
 
-    pairs = cut(_meeting(compared, labels), "pairs")
+    pairs = lookup_table(_meeting(compared, labels), "pairs")
     tested = tested.unionByName(pairs)
     labels = _joined(labels, _verified(pairs, shingles, least))
 
@@ -284,9 +284,9 @@ def links(docs: DataFrame, sketch: DataFrame, least: float = SIMILARITY) -> Data
             return labels
         first = Window.partitionBy("key").orderBy(F.desc("_centre"), "id")
         chosen = open_.filter("odd").withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= hubs)
-        chosen = cut(chosen.select("key", F.col("id").alias("_hub"), F.col("label").alias("_own")), "hubs")
+        chosen = chosen.select("key", F.col("id").alias("_hub"), F.col("label").alias("_own"))
         pairs = open_.join(chosen, "key").filter("label != _own").select(F.least("id", "_hub").alias("a"), F.greatest("id", "_hub").alias("b"))
-        pairs = cut(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        pairs = lookup_table(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)
         labels = _joined(labels, _verified(pairs, shingles, least))
         gone = chosen.select("key", F.col("_hub").alias("id"))
