@@ -13,7 +13,7 @@ link between components must be between a node that is far from the hub and a no
 the two masses and of the mass of the edits that only one of the two nodes has. So nodes meet by hub and edit, and a pair is
 tested only if the edits that follow the one they meet in can still suffice (see ``edits``). Nodes whose common
 shingles weigh differently from the hub's ("odd") are compared with all nodes of other components in their buckets,
-a few at a time. So all links between components are found without listing all pairs of a group.
+a few at a time, unless their distances from the hub rule a link out. So all links between components are found without listing all pairs of a group.
 
 Null texts count as empty. Texts without words are near only to equal texts. Rows repeating an id and text go together;
 a null id is never a class id unless all ids of the class are null. Empty tables give empty results; other columns
@@ -213,25 +213,25 @@ def _verified(pairs: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
-    """Node a and hub b (``others``: the bucket has more nodes): are they linked, is a odd, and its edits if others are there."""
+    """Node a and hub b (``others``: the bucket has more nodes): their similarity, is a odd, and its edits if others are there."""
 
     def test(batches):
         for batch in batches:
-            near, odd, items, rest, s = [], [], [], [], []
+            like, odd, items, rest, s = [], [], [], [], []
             for x, others in zip(_weighted_pairs(batch), batch.column("others").to_pylist()):
-                near.append(similarity(*x) >= least)
-                told = edits(*x, near[-1], least) if others else ((), (), 0.0)
+                like.append(similarity(*x))
+                told = edits(*x, like[-1] >= least, least) if others else ((), (), 0.0)
                 odd.append(told is None)
                 told = told or ((), (), 0.0)
                 items.append(np.asarray(told[0], np.uint64).view(np.int64))
                 rest.append(np.asarray(told[1], np.int64))
                 s.append(float(told[2]))
-            rows = [near, odd, pa.array(items, pa.list_(pa.int64())), pa.array(rest, pa.list_(pa.int64())), pa.array(s, pa.float64())]
-            rows[:2] = [pa.array(x, pa.bool_()) for x in rows[:2]]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *rows], ["a", "b", "near", "odd", "items", "rest", "s"])
+            rows = [like, odd, pa.array(items, pa.list_(pa.int64())), pa.array(rest, pa.list_(pa.int64())), pa.array(s, pa.float64())]
+            rows[:2] = [pa.array(like, pa.float64()), pa.array(odd, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *rows], ["a", "b", "like", "odd", "items", "rest", "s"])
 
     return _with_shingles(pairs, shingles, "others").mapInArrow(
-        test, "a binary, b binary, near boolean, odd boolean, items array<bigint>, rest array<bigint>, s double"
+        test, "a binary, b binary, like double, odd boolean, items array<bigint>, rest array<bigint>, s double"
     )
 
 
@@ -266,16 +266,16 @@ def links(docs: DataFrame, sketch: DataFrame, least: float = SIMILARITY) -> Data
     members = cut(members.join(hub, "key").filter("id != hub").select("key", "id", "hub", "_n", "_centre"), "members")
     pairs = members.groupBy(F.col("id").alias("a"), F.col("hub").alias("b")).agg((F.max("_n") > 2).alias("others"))
     compared = cut(_compared(lookup_table(pairs, "few"), shingles, least), "compared")
-    labels, tested = components(compared.filter("near")), compared.select("a", "b")
+    labels, tested = components(compared.filter(F.col("like") >= least)), compared.select("a", "b")
 
     pairs = lookup_table(_meeting(compared, labels), "pairs")
     tested = tested.unionByName(pairs)
     labels = _joined(labels, _verified(pairs, shingles, least))
 
-    odd = compared.filter("odd").select(F.col("a").alias("id"), F.col("b").alias("hub"), F.lit(True).alias("odd"))
-    some = members.join(odd.select("id", "hub"), ["id", "hub"], "left_semi").select("key").distinct()
-    members = members.join(some, "key", "left_semi").join(odd, ["id", "hub"], "left")
-    members, hubs = cut(members.select("key", "id", "_centre", F.coalesce("odd", F.lit(False)).alias("odd")), "members"), HUBS
+    to_hub = compared.select(F.col("a").alias("id"), F.col("b").alias("hub"), "odd", "like")
+    some = members.join(to_hub.filter("odd"), ["id", "hub"], "left_semi").select("key").distinct()
+    members = members.join(some, "key", "left_semi").join(to_hub, ["id", "hub"])
+    members, hubs = cut(members.select("key", "id", "_centre", "odd", "like"), "members"), HUBS
     while True:
         placed = _labelled(members, "id", labels)
         kinds = placed.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high"), F.max("odd").alias("_odd"))
@@ -284,13 +284,15 @@ def links(docs: DataFrame, sketch: DataFrame, least: float = SIMILARITY) -> Data
             return labels
         first = Window.partitionBy("key").orderBy(F.desc("_centre"), "id")
         chosen = open_.filter("odd").withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= hubs)
-        chosen = chosen.select("key", F.col("id").alias("_hub"), F.col("label").alias("_own"))
-        pairs = open_.join(chosen, "key").filter("label != _own").select(F.least("id", "_hub").alias("a"), F.greatest("id", "_hub").alias("b"))
+        chosen = chosen.select("key", F.col("id").alias("_hub"), F.col("label").alias("_own"), F.col("like").alias("_like"))
+        # One minus similarity is a distance: by their distances from the bucket's hub, two nodes can be too far apart.
+        may = (F.col("label") != F.col("_own")) & (F.abs(F.col("like") - F.col("_like")) <= 1 - least + SLACK)
+        pairs = open_.join(chosen, "key").filter(may).select(F.least("id", "_hub").alias("a"), F.greatest("id", "_hub").alias("b"))
         pairs = lookup_table(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)
         labels = _joined(labels, _verified(pairs, shingles, least))
         gone = chosen.select("key", F.col("_hub").alias("id"))
-        members = cut(open_.select("key", "id", "_centre", "odd").join(gone, ["key", "id"], "left_anti"), "members")
+        members = cut(open_.select("key", "id", "_centre", "odd", "like").join(gone, ["key", "id"], "left_anti"), "members")
         hubs = 2 * hubs
 
 
