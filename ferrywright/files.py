@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 
 def local_path(uri: str) -> str | None:
     """The local form of an unqualified or ``file:`` path, else None."""
@@ -10,6 +12,13 @@ def local_path(uri: str) -> str | None:
     return None if "://" in uri else uri
 
 
+def qualified(uri: str, default_fs: str) -> str:
+    """``uri`` on the default file system if it names none; paths of local disks stay as they are."""
+    if default_fs.startswith("file:") or re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", uri):
+        return uri
+    return default_fs.rstrip("/") + uri
+
+
 def open_fs(uri: str):
     """File system and path of a URI."""
     from pyarrow import fs

@@ -16,12 +16,17 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .errors import InvalidInputError
-from .files import open_fs
+from .files import open_fs, qualified
 
 BROADCAST_ROWS = 200_000
 _local_dirs: dict[str, str] = {}
 
 
+def default_fs(spark: SparkSession) -> str:
+    """The file system on which Spark looks for paths that name none."""
+    return spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared scratch folder of this application."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -29,7 +34,11 @@ def scratch_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise InvalidInputError("Set spark.checkpoint.dir to a folder that all executors share")
-        base = _local_dirs.setdefault(app, tempfile.mkdtemp(prefix="ferrywright-"))
+        if app not in _local_dirs:
+            _local_dirs[app] = tempfile.mkdtemp(prefix="ferrywright-")
+        base = _local_dirs[app]
+    else:
+        base = qualified(base, default_fs(spark))  # the same folder for Spark and for ``open_fs``
     return f"{base.rstrip('/')}/ferrywright-{app}"
 
 

@@ -6,30 +6,30 @@ import os
 import re
 import stat
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import InvalidInputError, MigrationError
-from ..files import local_path, open_fs
-from ..functions.paths import relative_path, source_root, uri_path
+from ..files import local_path, open_fs, qualified
+from ..functions.paths import qualify, relative_path, source_root, uri_path
 from ..operators.filters import suppress_roots
-from ..scratch import cut, store
+from ..scratch import default_fs, lookup_table, store
 from .patterns import expand_braces, glob_to_regex, split_fixed, take_fixed
 
 # Retries per directory and the first pause between them, doubled each time.
 MAX_RETRIES = 3
 FIRST_PAUSE_SEC = 2.0
 BATCH_ROWS = 5_000
-HELD_BACK = 100_000
 
 FOUND = (
     "root string, path string, is_dir boolean, length bigint, mtime bigint, atime bigint, perm int, sticky boolean, "
-    "owner string, `group` string, error string"
+    "owner string, `group` string, error string, reading string, void boolean"
 )
-COLUMNS = ["root", "path", "is_dir", "length", "mtime", "atime", "perm", "sticky", "owner", "group", "error"]
+COLUMNS = ["root", "path", "is_dir", "length", "mtime", "atime", "perm", "sticky", "owner", "group", "error", "reading", "void"]
 
 
 def _names():
@@ -102,30 +102,24 @@ def _entries(root: str, path: str, only_self: bool) -> Iterator[tuple]:
 
 
 def _attempts(read: Callable[[], Iterator], pause: float) -> Iterator:
-    """Items of ``read()``, which is tried again after an I/O error.
+    """Items of ``read()``, which is tried again after an I/O error, each with the name of its attempt.
 
-    The items of an attempt are held back until it ends, so that a repetition gives none twice; beyond
-    ``HELD_BACK`` they are let through and the next error is final.
+    Nothing is held back: an attempt that fails after some items gives its name with None, and ``_settled``
+    leaves out its items.
     """
     for attempt in range(MAX_RETRIES + 1):
         if attempt:
             time.sleep(pause * 2 ** (attempt - 1))
-        held: list | None = []
+        reading, begun = uuid.uuid4().hex, False
         try:
             for item in read():
-                if held is None:
-                    yield item
-                    continue
-                held.append(item)
-                if len(held) == HELD_BACK:
-                    yield from held
-                    held = None
-            yield from held or ()
+                begun = True
+                yield reading, item
             return
-        except (FileNotFoundError, NotADirectoryError):
-            raise
-        except OSError:
-            if attempt == MAX_RETRIES or held is None:
+        except OSError as e:
+            if begun:
+                yield reading, None
+            if attempt == MAX_RETRIES or isinstance(e, (FileNotFoundError, NotADirectoryError)):
                 raise
 
 
@@ -134,12 +128,14 @@ def _lister(only_self: bool, pause: float):
 
     def listed(root, path):
         try:
-            yield from _attempts(lambda: _entries(root, path, only_self), pause)
+            for reading, row in _attempts(lambda: _entries(root, path, only_self), pause):
+                void = row is None
+                yield (*((root, path, *[None] * 9) if void else row), reading, void)
         except FileNotFoundError:
             if only_self:
-                yield (root, path, False, 0, None, None, None, None, None, None, "not found")
+                yield (root, path, False, 0, None, None, None, None, None, None, "not found", None, False)
         except OSError as e:
-            yield (root, path, True, 0, None, None, None, None, None, None, str(e))
+            yield (root, path, True, 0, None, None, None, None, None, None, str(e), None, False)
 
     def run(batches):
         for pdf in batches:
@@ -156,13 +152,24 @@ def _lister(only_self: bool, pause: float):
     return run
 
 
+def _settled(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``df`` without the rows of failed attempts, stored, and the aggregates; attempts seldom fail, so one write is the rule."""
+    spark = df.sparkSession
+    path, seen = store(df, name, _void=F.count_if("void"), **metrics)
+    if seen["_void"]:
+        stored = spark.read.schema(df.schema).parquet(path)
+        failed = lookup_table(stored.filter("void").select("reading"), "failed")
+        df = stored.filter("not void").join(failed, "reading", "left_anti")
+        path, seen = store(df, name, **metrics)
+    return spark.read.schema(df.schema).parquet(path).drop("reading", "void"), seen
+
+
 def _list(paths: DataFrame, n_paths: int, only_self: bool, tasks: int, pause: float) -> tuple[DataFrame, dict]:
     """Rows of one round, stored, with the numbers of paths and of directories to go on with."""
     spread = paths.select("root", "path").repartition(max(1, min(tasks, n_paths)))
     listed = spread.mapInPandas(_lister(only_self, pause), FOUND)
     to_open = F.count_if(F.col("is_dir") & F.col("error").isNull())
-    path, seen = store(listed, "listing", paths=F.count(F.lit(1)), dirs=to_open)
-    return paths.sparkSession.read.schema(listed.schema).parquet(path), seen
+    return _settled(listed, "listing", paths=F.count(F.lit(1)), dirs=to_open)
 
 
 def list_tree(
@@ -183,6 +190,8 @@ def list_tree(
     tasks = tasks or spark.sparkContext.defaultParallelism
     if not isinstance(roots, DataFrame):
         roots = spark.createDataFrame([(r,) for r in roots], "path string")
+    if not (home := default_fs(spark)).startswith("file:"):
+        roots = roots.select(qualify("path", home).alias("path"))
     roots = roots.select(F.col("path").alias("root"), "path")
     level, seen = _list(roots, tasks, True, tasks, pause)
     missing = missing_roots(level).first()
@@ -232,46 +241,56 @@ def expand_sources(
     """``glob, path`` of everything in the file systems that matches the patterns; one without a match raises.
 
     All patterns advance together, one path component per round: tasks list the directories reached so far
-    and keep the children whose names match. Fixed components are not listed.
+    and keep the children whose names match. Fixed components are not listed. A directory or match that cannot be
+    read raises.
     """
     tasks = tasks or spark.sparkContext.defaultParallelism
     if isinstance(globs, DataFrame):
         given = globs.select(F.col("path").alias("glob"))
     else:
         given = spark.createDataFrame([(g,) for g in dict.fromkeys(globs)], "glob string")
-    schema = "glob string, path string, rest array<string>"
+    schema, home = "glob string, path string, rest array<string>, reading string, void boolean", default_fs(spark)
+
+    names = ["glob", "path", "rest", "reading", "void"]
 
     def start(batches):
         for pdf in batches:
-            rows = [(g, *head) for g in pdf["glob"] for alternative in expand_braces(g) for head in [split_fixed(alternative)]]
-            yield pd.DataFrame(rows, columns=["glob", "path", "rest"])
+            rows = [(g, *split_fixed(qualified(each, home)), None, False) for g in pdf["glob"] for each in expand_braces(g)]
+            yield pd.DataFrame(rows, columns=names)
 
     def advance(batches):
         for pdf in batches:
             rows = []
             for glob, path, rest in pdf.itertuples(index=False):
                 if len(rest) == 0:
-                    rows.append((glob, path, []))
+                    rows.append((glob, path, [], None, False))
                     continue
                 name = re.compile(glob_to_regex(rest[0]))
                 fixed, after = take_fixed(list(rest[1:]))
                 try:
-                    for entry in _attempts(lambda: _entries("", path, False), pause):  # noqa: B023
-                        if name.fullmatch(entry[1].rsplit("/", 1)[1]):
-                            rows.append((glob, entry[1] + fixed, after))
+                    for reading, entry in _attempts(lambda: _entries("", path, False), pause):  # noqa: B023
+                        if entry is None:
+                            rows.append((glob, path, [], reading, True))
+                        elif name.fullmatch(entry[1].rsplit("/", 1)[1]):
+                            rows.append((glob, entry[1] + fixed, after, reading, False))
+                        if len(rows) >= BATCH_ROWS:
+                            yield pd.DataFrame(rows, columns=names)
+                            rows = []
                 except (FileNotFoundError, NotADirectoryError):
                     pass
-            yield pd.DataFrame(rows, columns=["glob", "path", "rest"])
+            yield pd.DataFrame(rows, columns=names)
 
-    open_ends = F.count_if(F.size("rest") > 0)
-    path, seen = store(given.mapInPandas(start, schema), "globs", rows=F.count(F.lit(1)), open=open_ends)
+    counts = {"rows": F.count(F.lit(1)), "open": F.count_if(F.size("rest") > 0)}
+    reached, seen = _settled(given.mapInPandas(start, schema), "globs", **counts)
     while seen["open"]:
-        reached = spark.read.schema(schema).parquet(path).repartition(max(1, min(tasks, seen["rows"])))
-        path, seen = store(reached.mapInPandas(advance, schema), "globs", rows=F.count(F.lit(1)), open=open_ends)
-    reached = spark.read.schema(schema).parquet(path)
+        spread = reached.select("glob", "path", "rest").repartition(max(1, min(tasks, seen["rows"])))
+        reached, seen = _settled(spread.mapInPandas(advance, schema), "globs", **counts)
     checked = reached.select(F.col("glob").alias("root"), "path").repartition(tasks)
-    found = cut(checked.mapInPandas(_lister(True, pause), FOUND), "sources").filter(F.col("error").isNull())
-    found = found.select(F.col("root").alias("glob"), "path")
+    found, _ = _settled(checked.mapInPandas(_lister(True, pause), FOUND), "sources")
+    unread = found.filter(F.col("error") != "not found").first()
+    if unread is not None:
+        raise MigrationError(f"Cannot read {unread.path}: {unread.error}")
+    found = found.filter(F.col("error").isNull()).select(F.col("root").alias("glob"), "path")
     lost = given.join(found, "glob", "left_anti").first()
     if lost is not None:
         raise InvalidInputError(f"{lost.glob} doesn't exist")

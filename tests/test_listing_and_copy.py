@@ -105,23 +105,54 @@ def test_unreadable_directories_are_reported(spark, tree, monkeypatch):
     assert out[["path", "error"]].values.tolist() == [["/s", "denied"]]
 
 
-def test_a_repeated_attempt_gives_nothing_twice(monkeypatch):
+def test_a_repeated_attempt_gives_nothing_twice(spark, monkeypatch):
+    """Nothing of a failed attempt stays, however many entries it gave before."""
+    import pandas as pd
+
     calls = []
 
-    def broken_once():
-        calls.append(1)
-        yield "a"
-        if len(calls) == 1:
-            raise OSError("mid-way")
-        yield "b"
+    def entries(root, path, only_self):
+        calls.append(path)
+        for i in range(200_000):
+            if len(calls) == 1 and i == 150_000 or path == "/bad" and i == 3:
+                raise OSError("mid-way")
+            yield (root, f"{path}/{i}", False, i, *[None] * 7)
+
+    monkeypatch.setattr(listing, "_entries", entries)
+    out = pd.concat(listing._lister(False, 0.0)([pd.DataFrame({"root": ["/s", "/s"], "path": ["/good", "/bad"]})]))
+    assert len(out) == 350_000 + 1 + (listing.MAX_RETRIES + 1) * (3 + 1) + 1 and len(calls) == 2 + listing.MAX_RETRIES + 1
+    frame = spark.createDataFrame(out[["path", "error", "reading", "void"]].astype(object).where(lambda x: x.notna(), None), "path string, error string, reading string, void boolean")
+    stored, seen = listing._settled(frame, "t", rows=F.count(F.lit(1)))
+    assert stored.columns == ["path", "error"] and seen["rows"] == 200_001 == stored.distinct().count()
+    assert [tuple(r) for r in stored.filter("error is not null").collect()] == [("/bad", "mid-way")]
+
+
+def test_unreadable_matches_raise(spark, tree, monkeypatch):
+    settled = listing._settled
+
+    def denied(df, name, **metrics):
+        table, seen = settled(df, name, **metrics)
+        if name == "sources":
+            table = table.withColumn("error", F.when(F.col("path").endswith("/5"), "denied").otherwise(F.col("error")))
+        return table, seen
+
+    monkeypatch.setattr(listing, "_settled", denied)
+    assert listing.expand_sources(spark, [f"{tree}/7/*"]).count() == 1
+    with pytest.raises(MigrationError, match="denied"):
+        listing.expand_sources(spark, [f"{tree}/*"])
+
+
+def test_one_file_system_for_spark_and_tasks():
+    from types import SimpleNamespace
+
+    from ferrywright import files, scratch
 
-    assert list(listing._attempts(broken_once, 0.0)) == ["a", "b"]
-    monkeypatch.setattr(listing, "HELD_BACK", 1)
-    calls.clear()
-    got = []
-    with pytest.raises(OSError, match="mid-way"):
-        got.extend(listing._attempts(broken_once, 0.0))
-    assert len(calls) == 1
+    assert files.qualified("/a", "file:///") == "/a" and files.qualified("file:/a", "hdfs://nn") == "file:/a"
+    assert files.qualified("/a", "hdfs://nn/") == "hdfs://nn/a" and files.qualified("s3a://b/a", "hdfs://nn") == "s3a://b/a"
+    home = SimpleNamespace(hadoopConfiguration=lambda: {"fs.defaultFS": "hdfs://nn:1"})
+    context = SimpleNamespace(applicationId="app", master="yarn", _jsc=home)
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: "/scratch"), sparkContext=context)
+    assert scratch.scratch_dir(fake) == "hdfs://nn:1/scratch/ferrywright-app"
 
 
 def test_links_to_nothing_hide_no_files(spark, tree):
@@ -151,6 +182,8 @@ def test_list_and_filter_files(spark, tmp_path):
     write(tmp_path / "list", b"/a/b\r\n/c*\n")
     assert [r.path for r in patterns.read_list_file(spark, str(tmp_path / "list")).collect()] == ["/a/b", "/c*"]
     assert patterns.read_filters(spark, str(tmp_path / "list")) == ["/a/b", "/c*"]
+    write(tmp_path / "long", b"".join(b"/x%d\n" % i for i in range(10_001)))
+    assert patterns.read_filters(spark, str(tmp_path / "long")) == [f"/x{i}" for i in range(10_001)]
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         patterns.read_filters(spark, str(tmp_path / "none"))
 

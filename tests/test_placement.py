@@ -92,9 +92,9 @@ def test_one_size_shared_by_most_rows(spark):
     assert [got[i] for i in range(1000)] == sequential.largest_first(sizes, 7)
 
 
-def test_too_many_boxes(spark):
-    with pytest.raises(InvalidInputError):
-        place.collect_boxes(spark.range(place.MAX_BOXES + 1).selectExpr("cast(id as int) box_id", "id size_bytes"))
+def test_any_number_of_boxes(spark):
+    boxes = place.collect_boxes(spark.range(1_001).selectExpr("cast(id as int) box_id", "1000 - id size_bytes"))
+    assert [b.box_id for b in boxes] == list(range(1_000, -1, -1))
 
 
 TIB = 2**40
