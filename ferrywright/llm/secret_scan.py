@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import lookup_table, scratch_path
+from ..scratch import cut, lookup_table, scratch_path
 
 SHORTEST = 8
 SAMPLE = 50_000
@@ -99,10 +99,12 @@ def train(labelled: DataFrame, sample: int = SAMPLE, seed: int = 5):
         return float(max(sizes, default=0))
     share = sample / sum(sizes.values())
     drawn = rows.filter(F.pmod(F.xxhash64("doc_id", "position", "value"), F.lit(1 << 30)) < F.lit(int(min(1.0, share) * (1 << 30))))
+    # Fitting reads its input several times: the sample is stored, so that the texts are searched once for it.
+    drawn = cut(drawn.select(F.col("label").cast("double").alias("label"), *FEATURES), "sample")
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(drawn)
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=seed, labelCol="label")
     path = scratch_path(rows.sparkSession, "forest")
-    forest.fit(vectors.select(F.col("label").cast("double").alias("label"), "features")).save(path)
+    forest.fit(vectors.select("label", "features")).save(path)
     return RandomForestClassificationModel.load(path)  # without the training summary, which tasks can't be sent
 
 
