@@ -4,11 +4,9 @@ Counts of words and of pairs are Good-Turing discounted. The probability of a wo
 discounted share if the pair is in the model, else the history's backoff weight times the word's own probability; the
 weights are such that the probabilities after each history sum to one, exactly, over all words and one unknown word.
 
-All words of all training texts are counted and stored. Pairs are counted between words of at least ``PAIR_SHARE`` of the
-tokens, and a pair is in the model if it has that share itself, the usual cutoff of higher orders, here
-relative to the corpus so that it means the same at any size. So the model has at most 1 / PAIR_SHARE pairs, and at
-most 1 / WORD_SHARE words reach that share: these go to the tasks as arrays of proven size, all other words
-are looked up in the stored table by a join.
+All words and all pairs of all training texts are counted, stored and in the model. At most 1 / WORD_SHARE words and
+1 / PAIR_SHARE pairs have these shares of the tokens: they go to the tasks as arrays of proven size. All other words
+and pairs are looked up in the stored tables by a join; no key of it has more than its share of the rows.
 
 Tokens are words with A-Z folded, and one end per text. Null texts count as empty: they have the end only. Repeated rows
 are trained on and scored like others. Without training texts all words are unknown, and scores are those of the
@@ -17,6 +15,8 @@ base formula, 0 per token. Empty tables give empty results; other columns may ha
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -25,12 +25,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..scratch import cut
-from .wordhash import Texts, slices
+from .wordhash import Texts, mix, slices
 
 WORD_SHARE = 1e-6
 PAIR_SHARE = 1e-5
 DISCOUNTED = 5  # counts up to this are discounted
 END = np.uint64(0x5851F42D4C957F2D)
+WORD, TEXT = 0x2545F4914F6CDD1D, 0x369DEA0F31A53F85  # instead of a second word: the row is a word, or a text's sums
 MERGE = 2_000_000
 
 
@@ -107,6 +108,54 @@ def _counts(texts: DataFrame, keys_of, name: str) -> DataFrame:
     return cut(rows.groupBy("key").agg(F.sum("c").alias("c")), name)
 
 
+def _pairs(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and second word of each pair, and its text."""
+    token, doc = _tokens(t)
+    both = doc[1:] == doc[:-1]
+    return token[:-1][both], token[1:][both], doc[1:][both]
+
+
+def _merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sort keys, words and counts of pairs; equal neighbours are one row."""
+    key, first, second, c = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(key)
+    key, first, second, c = key[order], first[order], second[order], c[order]
+    if len(key):
+        new = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
+        key, first, second, c = key[new], first[new], second[new], np.add.reduceat(c, new)
+    return key, first, second, c
+
+
+def _pair_counts(texts: DataFrame) -> DataFrame:
+    """Stored (first, second, c) over the texts. Counts are combined inside each task."""
+
+    def rows(parts):
+        _, first, second, c = _merged(parts)
+        for a in range(0, len(c), 200_000):
+            part = slice(a, a + 200_000)
+            yield pa.RecordBatch.from_arrays([pa.array(first[part].view(np.int64)), pa.array(second[part].view(np.int64)), pa.array(c[part])], ["first", "second", "c"])
+
+    def count(batches):
+        parts, size = [], 0
+        for batch in batches:
+            column = batch.column("_text")
+            for a, b in slices(column):
+                first, second, _ = _pairs(Texts(column.slice(a, b - a)))
+                parts.append(_merged([(mix(first * np.uint64(3) + second), first, second, np.ones(len(first), np.int64))]))
+                size += len(parts[-1][0])
+                if size > 2 * MERGE:
+                    parts = [_merged(parts)]
+                    size = len(parts[0][0])
+                    if size > MERGE:
+                        yield from rows(parts)
+                        parts, size = [], 0
+        if parts:
+            yield from rows(parts)
+
+    counted = texts.mapInArrow(count, "first bigint, second bigint, c bigint")
+    return cut(counted.groupBy("first", "second").agg(F.sum("c").alias("c")), "pairs")
+
+
 def _seen(table: DataFrame) -> tuple[int, int, list[int]]:
     """Sum of counts, number of keys, numbers of keys with counts 1..DISCOUNTED+1."""
     row = table.agg(F.sum("c"), F.count(F.lit(1)), *[F.count_if(F.col("c") == r) for r in range(1, DISCOUNTED + 2)]).first()
@@ -130,7 +179,7 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Frequent words with their probabilities and backoff weights, and the pairs; ``words`` is the table of all words."""
+    """Frequent words and pairs as arrays; ``words`` and ``pair_counts`` are the tables of all, ``entries`` that of what the rest adds to a score."""
 
     def __init__(self, texts: DataFrame, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE):
         self.words = _counts(texts, lambda t: _tokens(t)[0], "words")
@@ -148,37 +197,82 @@ class Model:
         self.p = scale * _discounted(counts, self.factor) / max(self.total, 1)
         self._fit_pairs(texts, pair_share)
 
+    def _by_word(self, df: DataFrame, on: str, table: DataFrame) -> DataFrame:
+        """``df`` with the columns of ``table`` by the word in ``on``: frequent words by broadcast, the others by a join."""
+        frequent = F.broadcast(self.words.filter(F.col("c") >= self.limit).select(F.col("key").alias(on)))
+        common = df.join(F.broadcast(table.join(frequent, on, "left_semi")), on)
+        return common.unionByName(df.join(frequent, on, "left_anti").join(table.join(frequent, on, "left_anti"), on))
+
     def _fit_pairs(self, texts: DataFrame, share: float) -> None:
-        context = np.flatnonzero(self.counts >= share * self.total)
-        keys, size = self.keys[context], np.uint64(max(len(context), 1))
-
-        def pair_keys(t: Texts) -> np.ndarray:
-            token, doc = _tokens(t)
-            at = _find(keys, token)
-            both = (doc[1:] == doc[:-1]) & (at[1:] >= 0) & (at[:-1] >= 0)
-            return at[:-1][both].astype(np.uint64) * size + at[1:][both].astype(np.uint64)
-
-        table = _counts(texts, pair_keys, "pairs")
-        factor = discounts(_seen(table)[2])
-        self.pairs, counts = _frequent(table, max(share * self.total, 1))
-        first, second = (self.pairs // size).astype(np.int64), (self.pairs % size).astype(np.int64)
-        self.context, self.size = keys, size
-        history = self.counts[context][first] if len(first) else np.zeros(0)
-        value = _discounted(counts, factor) / np.maximum(history, 1)
-        n = len(context)
-        mass = np.bincount(first, value, n)
-        full = (mass >= 1 - 1e-12)[first] if len(first) else np.zeros(0, bool)
-        value = np.where(full, value * (1 - 0.5 / np.maximum(history, 1)), value)
-        mass = np.bincount(first, value, n)
-        others = 1 - np.bincount(first, self.p[context][second] if len(second) else None, n)
-        self.pair_log = np.log10(value)
-        self.weight_log = np.log10((1 - mass) / others)
+        self.pair_counts = _pair_counts(texts)
+        self.pair_factor = discounts(_seen(self.pair_counts)[2])
+        own_log = self.words.select(F.col("key").alias("second"), self.word_log(F.col("c")).alias("_p"))
+        held = F.col("c") * self._factor(F.col("c"), self.pair_factor)
+        sums = self._by_word(self.pair_counts, "second", own_log).groupBy("first").agg(
+            F.sum("c").alias("_n"), F.sum(held).alias("_held"), F.sum(F.pow(F.lit(10.0), F.col("_p"))).alias("_below")
+        )
+        # A history without rare pairs has no mass left: half an occurrence is left for the other words.
+        mass = F.col("_held") / F.col("_n")
+        kept = F.when(mass >= 1 - 1e-12, 1 - 0.5 / F.col("_n")).otherwise(F.lit(1.0))
+        others = F.greatest(1 - F.col("_below"), F.lit(self.unknown))
+        weight = F.log10((1 - mass * kept) / others).alias("_weight")
+        self.histories = cut(sums.select("first", F.log10(kept / F.col("_n")).alias("_scale"), weight), "histories")
+        both = self._by_word(self._by_word(self.pair_counts, "second", own_log), "first", self.histories)
+        self.values = both.select("first", "second", "c", (F.log10(held) + F.col("_scale")).alias("_value"), "_weight", "_p")
+        added = self.values.select("first", "second", F.lit(None).cast("bigint").alias("c"), (F.col("_value") - F.col("_weight") - F.col("_p")).alias("v"), F.col("c").alias("_c"))
+        added = cut(added, "added")
+        words = self.words.filter(F.col("c") < self.limit)
+        words = words.join(self.histories, words["key"] == self.histories["first"], "left").select(
+            F.col("key").alias("first"), F.lit(WORD).cast("bigint").alias("second"), "c", (self.word_log(F.col("c")) + F.coalesce("_weight", F.lit(0.0))).alias("v")
+        )
+        least = max(share * self.total, 1)
+        self.entries = added.filter(F.col("_c") < least).drop("_c").unionByName(words)
+        # The arrays: weights of frequent words, what frequent pairs add. Both words of these must be among the frequent.
+        got = self.histories.join(F.broadcast(self.words.filter(F.col("c") >= self.limit)), F.col("first") == F.col("key")).select("first", "_weight").toPandas()
+        self.weight_log = np.zeros(len(self.keys))
+        self.weight_log[_find(self.keys, got["first"].to_numpy(np.int64).view(np.uint64))] = got["_weight"].to_numpy(float)
+        hot = added.filter(F.col("_c") >= least).toPandas()
+        self.hot_keys, index = np.unique(np.concatenate([hot[x].to_numpy(np.int64).view(np.uint64) for x in ("first", "second")]), return_inverse=True)
+        code = index[: len(hot)].astype(np.uint64) * np.uint64(max(len(self.hot_keys), 1)) + index[len(hot) :].astype(np.uint64)
+        order = np.argsort(code)
+        self.hot, self.hot_add = code[order], hot["v"].to_numpy(float)[order]
+
+    @property
+    def context(self) -> np.ndarray:
+        return self.keys
+
+    @property
+    def size(self) -> np.uint64:
+        return np.uint64(max(len(self.keys), 1))
+
+    @property
+    def pairs(self) -> np.ndarray:
+        return self._closed[0]
+
+    @property
+    def pair_log(self) -> np.ndarray:
+        return self._closed[1]
+
+    @cached_property
+    def _closed(self) -> tuple[np.ndarray, np.ndarray]:
+        """To look at small models: codes and probabilities of the pairs after frequent words that only frequent words follow."""
+        frequent = self.words.filter(F.col("c") >= self.limit)
+        own = self.values.join(frequent.select(F.col("key").alias("first")), "first", "left_semi")
+        opened = own.join(frequent.select(F.col("key").alias("second")), "second", "left_anti")
+        got = own.join(opened.select("first").distinct(), "first", "left_anti").select("first", "second", "_value").toPandas()
+        first, second = (_find(self.keys, got[x].to_numpy(np.int64).view(np.uint64)).astype(np.uint64) for x in ("first", "second"))
+        code = first * self.size + second
+        order = np.argsort(code)
+        return code[order], got["_value"].to_numpy(float)[order]
+
+    @staticmethod
+    def _factor(count: Column, factor: np.ndarray) -> Column:
+        known = F.least(count, F.lit(DISCOUNTED)).cast("int")
+        return F.when(count > DISCOUNTED, F.lit(1.0)).otherwise(F.element_at(F.array(*[F.lit(float(x)) for x in factor]), known + 1))
 
     def word_log(self, count: Column) -> Column:
         """log10 probability of a word that was counted ``count`` times; null or 0 is unknown."""
-        known = F.least(count, F.lit(DISCOUNTED)).cast("int")
-        factor = F.when(count > DISCOUNTED, F.lit(1.0)).otherwise(F.element_at(F.array(*[F.lit(float(x)) for x in self.factor]), known + 1))
-        return F.when(count > 0, F.log10(factor * count * F.lit(self.scale / max(self.total, 1)))).otherwise(F.lit(float(np.log10(self.unknown))))
+        return F.when(count > 0, F.log10(self._factor(count, self.factor) * count * F.lit(self.scale / max(self.total, 1)))).otherwise(F.lit(float(np.log10(self.unknown))))
 
     def base_log(self, count: Column) -> Column:
         below = self.total + 0.5 * (self.distinct + 1)
@@ -188,14 +282,16 @@ class Model:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, n_known, base_score, score."""
     own = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-    words, keys, counts, p = model.words, model.keys, model.counts, model.p
-    context, size, pairs, pair_log, weight_log = model.context, model.size, model.pairs, model.pair_log, model.weight_log
+    keys, counts, weight_log = model.keys, model.counts, model.weight_log
+    hot_keys, hot, hot_add = model.hot_keys, model.hot, model.hot_add
     with np.errstate(divide="ignore"):
-        p_log = np.log10(p)
+        own_log = np.log10(model.p) + weight_log
     base_log = np.log10((counts + 0.5) / (model.total + 0.5 * (model.distinct + 1)))
-    kinds = [own.schema["_id"], *[T.StructField(x, k) for x, k in (("_doc", T.LongType()), ("_tokens", T.LongType()), ("_known", T.LongType()), ("_base", T.DoubleType()), ("_score", T.DoubleType()), ("_rare", T.ArrayType(T.LongType())))]]
+    kinds = [T.StructField("_id", own.schema["_id"].dataType), *[T.StructField(x, k) for x, k in (("_doc", T.LongType()), ("first", T.LongType()), ("second", T.LongType()), ("_tokens", T.LongType()), ("_known", T.LongType()), ("_base", T.DoubleType()), ("_score", T.DoubleType()))]]
+    kinds = T.StructType(kinds)
 
     def evaluate(batches):
+        """A row of sums for each text, and one for each occurrence of a rare word or pair."""
         doc_key = TaskContext.get().partitionId() << 33
         for batch in batches:
             column = batch.column("_text")
@@ -204,35 +300,38 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 n = b - a
                 at = _find(keys, token)
                 frequent = at >= 0
-                base, own_log = np.zeros(len(token)), np.zeros(len(token))
-                base[frequent], own_log[frequent] = base_log[at[frequent]], p_log[at[frequent]]
-                history = np.concatenate([[-1], np.where(doc[1:] == doc[:-1], _find(context, token)[:-1], -1)]) if len(token) else at
-                place = _find(context, token)
-                both = np.flatnonzero((history >= 0) & (place >= 0))
-                pair = np.full(len(token), -1)
-                pair[both] = _find(pairs, history[both].astype(np.uint64) * size + place[both].astype(np.uint64))
-                backed = (pair < 0) & (history >= 0)
-                own_log[backed] += weight_log[history[backed]]
-                own_log[pair >= 0] = pair_log[pair[pair >= 0]]
-                rare = np.flatnonzero(~frequent)
-                offsets = pa.array(np.searchsorted(doc[rare], np.arange(n + 1)).astype(np.int32))
-                sums = [np.bincount(doc, x, n) for x in (base, own_log)]
-                out = [
-                    batch.column("_id").slice(a, n), pa.array(doc_key + np.arange(n)), pa.array(np.bincount(doc, minlength=n).astype(np.int64)),
-                    pa.array(np.bincount(doc, frequent, n).astype(np.int64)), *map(pa.array, sums),
-                    pa.ListArray.from_arrays(offsets, pa.array(token[rare].view(np.int64))),
-                ]
+                base, score_ = np.zeros(len(token)), np.zeros(len(token))
+                base[frequent], score_[frequent] = base_log[at[frequent]], own_log[at[frequent]]
+                both = doc[1:] == doc[:-1]
+                place = _find(hot_keys, token)
+                there = np.flatnonzero(both & (place[1:] >= 0) & (place[:-1] >= 0))
+                code = _find(hot, place[there].astype(np.uint64) * np.uint64(max(len(hot_keys), 1)) + place[there + 1].astype(np.uint64))
+                score_[there[code >= 0] + 1] += hot_add[code[code >= 0]]
+                both[there[code >= 0]] = False
+                rest, rare = np.flatnonzero(both), np.flatnonzero(~frequent)
+                texts = doc_key + np.arange(n)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("_id").slice(a, n), pa.array(texts), pa.array(texts), pa.array(np.full(n, TEXT)), pa.array(np.bincount(doc, minlength=n).astype(np.int64)),
+                        pa.array(np.bincount(doc, frequent, n).astype(np.int64)), *[pa.array(np.bincount(doc, x, n)) for x in (base, score_)],
+                    ],
+                    kinds.names,
+                )
+                where = np.concatenate([doc[rest], doc[rare]]) + doc_key
+                first = np.concatenate([token[rest], token[rare]]).view(np.int64)
+                second = np.concatenate([token[rest + 1].view(np.int64), np.full(len(rare), WORD)])
+                for x in range(0, len(where), 100_000):
+                    part, m = slice(x, x + 100_000), len(where[x : x + 100_000])
+                    nulls = [pa.nulls(m, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+                    yield pa.RecordBatch.from_arrays([pa.nulls(m, batch.column("_id").type), *[pa.array(c[part]) for c in (where, first, second)], *nulls], kinds.names)
                 doc_key += n
-                yield pa.RecordBatch.from_arrays(out, [f.name for f in kinds])
-
-    scored = cut(own.mapInArrow(evaluate, T.StructType(kinds)), "scored")
-    rare = scored.select("_doc", F.explode("_rare").alias("key"))
-    found = rare.join(words.filter(F.col("c") < model.limit), "key", "left")
-    more = found.groupBy(F.col("_doc").alias("_d")).agg(
-        F.count("c").alias("_more_known"), F.sum(model.base_log(F.col("c"))).alias("_more_base"), F.sum(model.word_log(F.col("c"))).alias("_more")
-    )
-    add = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
-    return scored.join(more, scored["_doc"] == more["_d"], "left").select(
-        F.col("_id").alias("doc_id"), F.col("_tokens").alias("n_tokens"), add("_known", "_more_known").alias("n_known"),
-        add("_base", "_more_base").alias("base_score"), add("_score", "_more").alias("score"),
-    )
+
+    found = own.mapInArrow(evaluate, kinds).join(model.entries, ["first", "second"], "left")
+    is_word = F.col("second") == F.lit(WORD)
+    zero = F.lit(0.0)
+    base = F.coalesce("_base", F.when(is_word, model.base_log(F.col("c"))), zero)
+    own_score = F.coalesce("_score", "v", F.when(is_word, F.lit(float(np.log10(model.unknown)))), zero)
+    return found.groupBy("_doc").agg(
+        F.first("_id", ignorenulls=True).alias("doc_id"), F.sum("_tokens").alias("n_tokens"), (F.coalesce(F.sum("_known"), F.lit(0)) + F.count("c")).alias("n_known"),
+        F.sum(base).alias("base_score"), F.sum(own_score).alias("score"),
+    ).drop("_doc")

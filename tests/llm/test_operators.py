@@ -220,6 +220,36 @@ def test_katz(docs, empty):
     assert katz.score(empty, katz.Model(empty.select(F.col("text").alias("_text")))).count() == 0
 
 
+def test_katz_counts_every_pair(spark):
+    """Scores equal those of a plain model with all pairs, though hardly a pair or word has the shares of the arrays."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.4, 300) % 4000) for _ in range(40)] + ["a b " * 50, "", None, "w1 Never w2"]
+    docs = spark.createDataFrame([*rows(texts), *[(None, "w1 w2 unseen w1", *[None] * 6)]], SCHEMA).repartition(4)
+    trained = [WORD.findall((t or "").lower()) + [""] for t in texts[:30]]
+    model = katz.Model(docs.filter("doc_id < 30").select(F.col("text").alias("_text")), word_share=2e-3, pair_share=2e-3)
+    count, pairs = Counter(t for w in trained for t in w), Counter(p for w in trained for p in zip(w, w[1:]))
+    assert {r.c for r in model.pair_counts.collect()} >= {1, 2, 3} and model.pair_counts.count() == len(pairs)
+    times = [Counter(pairs.values())[r] for r in range(1, 7)]
+    factor = lambda c, f: f[c] * c if c <= 5 else c
+    total, after = sum(count.values()), defaultdict(dict)
+    p = {t: model.scale * factor(c, model.factor) / total for t, c in count.items()}
+    for (h, t), c in pairs.items():
+        after[h][t] = factor(c, katz.discounts(times))
+    weight = {}
+    for h, own in after.items():
+        if sum(own.values()) >= count[h] * (1 - 1e-12):
+            own = {t: x * (1 - 0.5 / count[h]) for t, x in own.items()}
+        after[h] = {t: x / count[h] for t, x in own.items()}
+        weight[h] = (1 - sum(after[h].values())) / (1 - sum(p[t] for t in own))
+        assert sum(after[h].values()) + weight[h] * (1 - sum(p[t] for t in own)) == pytest.approx(1)
+    got = {r.doc_id: r for r in katz.score(docs, model).collect()}
+    for i, text in [*enumerate(texts), (None, "w1 w2 unseen w1")]:
+        w = WORD.findall((text or "").lower()) + [""]
+        want = math.log10(p.get(w[0], model.unknown)) + sum(math.log10(after[h][t] if t in after.get(h, ()) else weight.get(h, 1) * p.get(t, model.unknown)) for h, t in zip(w, w[1:]))
+        assert got[i].score == pytest.approx(want, rel=1e-9)
+        assert (got[i].n_tokens, got[i].n_known) == (len(w), sum(t in count for t in w))
+
+
 def held_out(spark, sf, query, n):
     docs = spark.read.parquet(f"{sf}/documents.parquet").toPandas().set_index("doc_id")
     got = QUERIES[query](spark, sf).toPandas().set_index("doc_id")
