@@ -1,7 +1,8 @@
 """Benchmark decontamination by templates.
 
 Numbers, names (capitalised words inside a sentence) and units after numbers become typed placeholders; the rest is
-lower-cased without marks. Windows of the items' templates are joined by hash with every ``stride``-th window of the
+lower-cased without marks. As names are told by letter case and marks, which copies may change, each text is searched in a
+second form too, lower-cased before, in which names are words. Windows of the items' templates are joined by hash with every ``stride``-th window of the
 documents' templates; window and stride are such that a common run of ``RUN`` tokens (or a whole item, if shorter) always
 contains a joined window. For each item and shift between item and document the common runs are then measured token by
 token, and the slots in them are compared: a re-parameterised question fills all slots of one value with one other value.
@@ -37,6 +38,13 @@ def _marked(docs: DataFrame, text: str, *keep: str) -> DataFrame:
     return out.withColumn("_m", F.when(F.col("_m").rlike(r"\p{N}"), units).otherwise(F.col("_m")))
 
 
+def _forms(table: DataFrame, text: str) -> DataFrame:
+    """Each row twice, by _form: ``text`` as it is, and lower-cased so that it has no names."""
+    own = F.coalesce(text, F.lit(""))
+    both = F.explode(F.array(F.struct(F.lit(0).alias("_form"), own.alias("_own")), F.struct(F.lit(1).alias("_form"), F.lower(own).alias("_own"))))
+    return table.select("*", both.alias("_both")).select(*[c for c in table.columns if c != text], "_both.*")
+
+
 def _template(marked: str) -> Column:
     m = F.col(marked)
     out = F.when(m.contains("\u0001") | m.contains("\u0002"), F.regexp_replace(m, r"([\x01\x02])[\p{L}\p{M}]+", "$1")).otherwise(m)
@@ -53,8 +61,8 @@ def _windows(tokens: Column, size: int, stride: int) -> Column:
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
-    marked = _marked(benchmark, "text", "item_id").withColumn("_t", _template("_m"))
-    cut_up = marked.select("item_id", _tokens(F.col("_m")).alias("_raw"), _tokens(F.col("_t")).alias("_tpl"))
+    marked = _marked(_forms(benchmark.select("item_id", "text"), "text"), "_own", "item_id", "_form").withColumn("_t", _template("_m"))
+    cut_up = marked.select("item_id", "_form", _tokens(F.col("_m")).alias("_raw"), _tokens(F.col("_t")).alias("_tpl"))
     return cut(cut_up.filter(F.size("_tpl") >= SHORTEST), "items")
 
 
@@ -65,28 +73,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataF
     need = min(run, shortest)
     stride = max(1, (need - 1) // 2)
     size = need - stride + 1
-    keys = items.select("item_id", F.explode(_windows(F.col("_tpl"), size, 1)).alias("_w")).select("item_id", F.col("_w.at").alias("_q"), F.col("_w.hash").alias("_hash"))
+    keys = items.select("item_id", "_form", F.explode(_windows(F.col("_tpl"), size, 1)).alias("_w")).select("item_id", "_form", F.col("_w.at").alias("_q"), F.col("_w.hash").alias("_hash"))
     keys = lookup_table(keys, "windows")
     own = docs.filter("doc_id is not null").select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-    own = _marked(own, "_text", "_id").select("_id", _template("_m").alias("_t")).withColumn("_tokens", _tokens(F.col("_t")))
-    probes = own.select("_id", F.explode(_windows(F.col("_tokens"), size, stride)).alias("_w"))
-    hits = probes.select("_id", F.col("_w.at").alias("_p"), F.col("_w.hash").alias("_hash")).join(keys, "_hash")
-    places = cut(hits.select("_id", "item_id", (F.col("_p") - F.col("_q")).alias("_shift")).distinct(), "shifts")
+    own = _marked(_forms(own, "_text"), "_own", "_id", "_form").select("_id", "_form", _template("_m").alias("_t")).withColumn("_tokens", _tokens(F.col("_t")))
+    probes = own.select("_id", "_form", F.explode(_windows(F.col("_tokens"), size, stride)).alias("_w"))
+    hits = probes.select("_id", "_form", F.col("_w.at").alias("_p"), F.col("_w.hash").alias("_hash")).join(keys, ["_hash", "_form"])
+    places = cut(hits.select("_id", "_form", "item_id", (F.col("_p") - F.col("_q")).alias("_shift")).distinct(), "shifts")
     return _judged(docs, items, places, run)
 
 
 def _judged(docs: DataFrame, items: DataFrame, places: DataFrame, run: int) -> DataFrame:
     texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
     wanted = texts.join(places.select("_id").distinct(), "_id", "left_semi")
-    marked = _marked(wanted.withColumn("_version", F.xxhash64("_text")), "_text", "_id", "_version").withColumn("_t", _template("_m"))
-    cut_up = marked.select("_id", "_version", _tokens(F.col("_m")).alias("_draw"), _tokens(F.col("_t")).alias("_dtpl"))
+    forms = _forms(wanted.withColumn("_version", F.xxhash64("_text")), "_text")
+    marked = _marked(forms, "_own", "_id", "_version", "_form").withColumn("_t", _template("_m"))
+    cut_up = marked.select("_id", "_version", "_form", _tokens(F.col("_m")).alias("_draw"), _tokens(F.col("_t")).alias("_dtpl"))
     start, length = F.greatest(F.col("_shift") + 1, F.lit(1)), F.size("_tpl")
     aligned = (
-        places.join(cut_up, "_id")
-        .join(items, "item_id")
-        .select("_id", "_version", "item_id", "_shift", "_tpl", "_raw", F.slice("_dtpl", start, length).alias("_there"), F.slice("_draw", start, length).alias("_draw"))
+        places.join(cut_up, ["_id", "_form"])
+        .join(items, ["item_id", "_form"])
+        .select("_id", "_version", "_form", "item_id", "_shift", "_tpl", "_raw", F.slice("_dtpl", start, length).alias("_there"), F.slice("_draw", start, length).alias("_draw"))
     )
-    place = ["_id", "_version", "item_id", "_shift", "_n"]
+    place = ["_id", "_version", "_form", "item_id", "_shift", "_n"]
     each = aligned.select(*place[:-1], length.alias("_n"), "_raw", "_there", "_draw", F.posexplode("_tpl").alias("_j", "_token"))
     at = F.col("_j") + F.least(F.col("_shift"), F.lit(0))
     same = each.filter((at >= 0) & (F.get("_there", at) == F.col("_token")))

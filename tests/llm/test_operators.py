@@ -197,6 +197,16 @@ def test_decontamination(spark, docs, empty):
     assert leakage.contaminated(empty, bench).count() == leakage.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_copies_in_other_case_and_marks(spark):
+    item = "A train leaves at noon with 25 passengers and Alice pays 40 dollars while the driver counts every seat again"
+    halves = "We met the men. Than we sold 25 red boats and 14 blue nets to the old Miller of the town"
+    copies = [item.lower(), item.upper(), item.title(), item.lower().replace("25", "31").replace("40", "77"), halves.replace(".", "")]
+    df = spark.createDataFrame(rows(["pad " + c + " end" for c in copies]), SCHEMA)
+    bench = spark.createDataFrame([(1, item), (2, halves)], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r.exact for r in leakage.contaminated(df, bench).collect()}
+    assert {k: got.get(k) for k in [(0, 1), (1, 1), (2, 1), (3, 1), (4, 2)]} == {(0, 1): True, (1, 1): True, (2, 1): True, (3, 1): False, (4, 2): True}
+
+
 def test_katz(docs, empty):
     model = katz.Model(docs.select(F.col("text").alias("_text")), word_share=1e-3)
     got = {r.doc_id: r for r in katz.score(docs, model).collect()}
