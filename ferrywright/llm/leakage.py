@@ -7,8 +7,9 @@ documents' templates; window and stride are such that a common run of ``RUN`` to
 contains a joined window. For each item and shift between item and document the common runs are then measured token by
 token, and the slots in them are compared: a re-parameterised question fills all slots of one value with one other value.
 
-A document is contaminated by an item if a common run has at least ``RUN`` tokens, or all the item's, at least ``LITERAL``
-of them not slots, with consistent slots. Items of fewer than ``SHORTEST`` tokens aren't searched. Nulls in any text count
+A document is contaminated by an item if a common run has at least ``RUN`` tokens, or all the item's, and either so many of
+them in a row are the item's with all values, or at least ``LITERAL`` of them aren't slots and the slots of all runs at
+that shift are consistent. Items of fewer than ``SHORTEST`` tokens are looked for as they are, all tokens in a row. Nulls in any text count
 as empty. Rows repeating an id are judged together, so that they stay or go together; rows with null id are never
 reported. Empty tables give empty results; other columns may have any name.
 """
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..scratch import cut, lookup_table
+from ..scratch import BROADCAST_ROWS, cut, cut_counted, lookup_table
 
 RUN = 13
 SHORTEST = 5
@@ -60,6 +61,25 @@ def _windows(tokens: Column, size: int, stride: int) -> Column:
     return F.transform(starts, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(tokens, i, size)).alias("hash")))
 
 
+def _short(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
+    """The result's rows for items of fewer than ``SHORTEST`` tokens, if there are any: lower-cased, they are joined whole."""
+    plain = lambda table, text, name: _marked(table.select(F.col(name), F.lower(text).alias("_own")), "_own", name).select(
+        name, _tokens(F.regexp_replace("_m", "\u0002", "")).alias("_w")
+    )
+    items = plain(benchmark, "text", "item_id").filter(F.size("_w").between(1, SHORTEST - 1))
+    items, rows = cut_counted(items.select("item_id", F.size("_w").alias("_n"), F.array_join("_w", " ").alias("_whole")), "short")
+    sizes = sorted(r[0] for r in items.select("_n").distinct().collect())
+    if not sizes:
+        return None
+    own = plain(docs.filter("doc_id is not null"), "text", "doc_id")
+    whole = lambda n: F.when(F.size("_w") >= n, F.transform(F.sequence(F.lit(1), F.size("_w") - (n - 1)), lambda i: F.array_join(F.slice("_w", i, n), " ")))
+    every = F.array_distinct(F.flatten(F.array(*[F.coalesce(whole(n), F.array().cast("array<string>")) for n in sizes])))
+    items = F.broadcast(items) if rows <= BROADCAST_ROWS else items
+    found = own.select("doc_id", F.explode(every).alias("_whole")).join(items, "_whole")
+    slots = F.size(F.filter(F.split("_whole", " "), lambda w: w.rlike(r"^\p{N}"))).cast("long")
+    return found.select("doc_id", "item_id", F.col("_n").cast("long").alias("tokens"), F.col("_n").alias("item_tokens"), slots.alias("slots"), F.lit(True).alias("exact")).distinct()
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
     marked = _marked(_forms(benchmark.select("item_id", "text"), "text"), "_own", "item_id", "_form").withColumn("_t", _template("_m"))
     cut_up = marked.select("item_id", "_form", _tokens(F.col("_m")).alias("_raw"), _tokens(F.col("_t")).alias("_tpl"))
@@ -80,7 +100,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataF
     probes = own.select("_id", "_form", F.explode(_windows(F.col("_tokens"), size, stride)).alias("_w"))
     hits = probes.select("_id", "_form", F.col("_w.at").alias("_p"), F.col("_w.hash").alias("_hash")).join(keys, ["_hash", "_form"])
     places = cut(hits.select("_id", "_form", "item_id", (F.col("_p") - F.col("_q")).alias("_shift")).distinct(), "shifts")
-    return _judged(docs, items, places, run)
+    judged = _judged(docs, items, places, run)
+    short = _short(docs, benchmark)
+    return judged if short is None else judged.unionByName(short)
 
 
 def _judged(docs: DataFrame, items: DataFrame, places: DataFrame, run: int) -> DataFrame:
@@ -102,20 +124,29 @@ def _judged(docs: DataFrame, items: DataFrame, places: DataFrame, run: int) -> D
     is_slot = F.substring("_token", 1, 1).isin("\u0001", "\u0002", "0")
     pair = F.when(is_slot, F.struct(F.lower(F.get("_raw", F.col("_j"))).alias("was"), F.lower(F.get("_draw", at)).alias("now")))
     same = same.select(*place, "_j", pair.alias("_pair")).distinct()
-    number = F.col("_j") - F.row_number().over(Window.partitionBy(*place).orderBy("_j"))
-    runs = same.withColumn("_run", number).groupBy(*place, "_run").agg(
-        F.count(F.lit(1)).alias("_length"), F.count("_pair").alias("_slots"), F.collect_set("_pair").alias("_pairs")
+    number = lambda *by: F.col("_j") - F.row_number().over(Window.partitionBy(*place, *by).orderBy("_j"))
+    same = same.withColumn("_alike", F.coalesce(F.col("_pair.was") == F.col("_pair.now"), F.lit(True)))
+    same = same.withColumn("_run", number()).withColumn("_stretch", number("_alike"))
+    # Of each run the stretches with all values equal and the tokens with another value, then the run.
+    stretches = same.groupBy(*place, "_run", "_alike", "_stretch").agg(
+        F.count(F.lit(1)).alias("_part"), F.count("_pair").alias("_slots"), F.collect_set("_pair").alias("_pairs")
     )
+    runs = stretches.groupBy(*place, "_run").agg(
+        F.sum("_part").alias("_length"), F.sum("_slots").alias("_slots"), F.max(F.when(F.col("_alike"), F.col("_part"))).alias("_alike"),
+        F.array_distinct(F.flatten(F.collect_list("_pairs"))).alias("_pairs"),
+    )
     runs = runs.filter(F.col("_length") >= F.least(F.lit(run), F.col("_n")))
     whole = runs.groupBy(*place).agg(
         F.max("_length").alias("_longest"),
+        F.max("_alike").alias("_alike"),
         F.sum("_slots").alias("_slots"),
         F.sum(F.col("_length") - F.col("_slots")).alias("_literal"),
         F.array_distinct(F.flatten(F.collect_list("_pairs"))).alias("_pairs"),
     )
     consistent = F.size("_pairs") == F.size(F.array_distinct(F.transform("_pairs", lambda p: p["was"])))
     exact = F.forall("_pairs", lambda p: p["was"] == p["now"])
-    good = whole.filter((F.col("_literal") >= LITERAL) & consistent).withColumn("_exact", exact)
+    verbatim = F.coalesce(F.col("_alike") >= F.least(F.lit(run), F.col("_n")), F.lit(False))
+    good = whole.filter(verbatim | ((F.col("_literal") >= LITERAL) & consistent)).withColumn("_exact", exact)
     return good.groupBy(F.col("_id").alias("doc_id"), "item_id").agg(
         F.max("_longest").alias("tokens"), F.max("_n").alias("item_tokens"), F.max("_slots").alias("slots"), F.max("_exact").alias("exact")
     )

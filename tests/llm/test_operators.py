@@ -207,6 +207,19 @@ def test_decontamination_of_copies_in_other_case_and_marks(spark):
     assert {k: got.get(k) for k in [(0, 1), (1, 1), (2, 1), (3, 1), (4, 2)]} == {(0, 1): True, (1, 1): True, (2, 1): True, (3, 1): False, (4, 2): True}
 
 
+def test_decontamination_of_verbatim_passages(spark):
+    words = [f"v{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    words[3] = words[55] = "5"
+    numbers = "3 5 8 13 21 34 55 89 144 233 377 610 987 1597"
+    texts = [" ".join([*words[:55], "9", *words[56:]]), "see " + numbers + " there", numbers.replace("8", "7"), "say Two  words, now", "two other words", "add 7 to 9", "add 7 to 8"]
+    df = spark.createDataFrame(rows(texts), SCHEMA)
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, numbers), (3, "two words"), (4, "Add 7 to 9."), (5, None)], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r.exact for r in leakage.contaminated(df, bench).collect()}
+    assert got == {(0, 1): False, (1, 2): True, (3, 3): True, (5, 4): True}
+    assert sorted(r.doc_id for r in leakage.decontaminate(df, bench).collect()) == [2, 4, 6]
+    assert [r.doc_id for r in leakage.contaminated(df, bench.filter("item_id = 3")).collect()] == [3]
+
+
 def test_katz(docs, empty):
     model = katz.Model(docs.select(F.col("text").alias("_text")), word_share=1e-3)
     got = {r.doc_id: r for r in katz.score(docs, model).collect()}
