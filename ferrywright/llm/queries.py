@@ -18,12 +18,11 @@ def remainder(doc_id, n: int):
 
 
 def op1_secrets(spark, sf_dir):
-    """The tables have no labelled findings: formats label those of the documents whose remainder by 5 isn't 1."""
+    """The tables have no labelled findings: formats label those that give evidence in the documents whose remainder by 5 isn't 1."""
+    docs = table(spark, sf_dir, "documents")
     words = table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", r"[^\p{L}]+")).alias("word"))
-    found = secret_scan.described(secret_scan.candidates(table(spark, sf_dir, "documents")), words)
-    issued = F.col("value").rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$")
-    given = F.concat_ws(" ", "before", "name").rlike(secret_scan.CREDENTIAL + r"\W*$") & F.col("value").rlike("^[0-9A-Za-z+/_-]{12,}$")
-    labelled = found.filter(remainder(F.col("doc_id"), 5) != 1).withColumn("label", (issued | given).cast("int"))
+    found = secret_scan.described(secret_scan.candidates(docs), words.unionByName(secret_scan.frequent_words(docs)))
+    labelled = found.filter(remainder(F.col("doc_id"), 5) != 1).withColumn("label", secret_scan.evidence(found))
     out = secret_scan.score(found, secret_scan.train(labelled))
     held = (remainder(F.col("doc_id"), 5) == 1).alias("held_out")
     return out.select("doc_id", "position", "value", held, "score", "is_secret")
