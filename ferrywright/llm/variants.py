@@ -3,16 +3,17 @@
 All bigrams are ranked from rare to frequent. A word's *prefix* is its three rarest bigrams (all that rank like the third, if there are
 ties); among them two that don't overlap, the *pivots*, are chosen by dynamic programming so that they are the rarest pair. One edit
 touches at most one of two disjoint bigrams. So of two words one edit apart, the one whose third rank is lower (or
-equal) has a pivot that the other one holds unchanged, and holds within its prefix. It stands at the same place, or one place further if it is behind the
-edit and the lengths differ. Pivots therefore meet prefixes by one hash join on bigram, length and place with five
-combinations of length and shift; pairs whose sets of letters differ in more than two are left out, and the rest are
-compared by edit distance. Keys that very many prefixes share are dealt over parts, so no task holds all of one key.
+equal) has a pivot that the other one holds unchanged, and holds within its prefix. The edit is before that pivot, and then both words
+are equal from it to their ends, or behind it, and they are equal up to it: so its place, counted from the end or from the
+start, is the same in both. Pivots therefore meet prefixes by one hash join on the bigram with all that stands on that side of it, and the length,
+which differs by one at most. Words that meet are compared by edit distance. Keys that very many prefixes share are dealt
+over parts, so no task holds all of one key.
 
 A word's form is its near word of largest count (ties: the smallest in code-point order) if that count is at least ``RATIO`` times
 its own; roots follow forms by pointer doubling. Counts rise along forms, so there are no circles.
 
 Null texts have no words. Empty texts and tables give no rows. Very long texts are split into runs where they lie; a word
-of any length is one word, and travels as a number until two words are compared. Repeated rows count each time; a null id counts as the empty
+of any length is one word; those of over ``SHORT`` code points travel as numbers until two of them are compared. Repeated rows count each time; a null id counts as the empty
 string. Other columns, of any name, are passed over.
 """
 
@@ -24,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import cut, cut_counted, lookup_table
+from .wordhash import mix
 
 LETTERS = "[A-Za-zÀ-ÿ]+"
 LEAST_CHARS, LEAST_COUNT, RATIO = 5, 3, 2
 SLOTS = 1 << 16  # bigrams of Latin letters have a slot each, others may share one, which only adds candidates
 HOT_ROWS = 20_000  # prefixes of one key that a part of it holds
+SHORT = 64  # words up to so many code points go with their keys
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -90,29 +93,39 @@ def pivotal(slots: np.ndarray, rank: np.ndarray, weight: np.ndarray) -> tuple[np
     return prefix, pair, third
 
 
+def sides(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each bigram of words of one length: a hash of the word through it, and of the word from it on."""
+    codes = mix(points.astype(np.uint64) + np.uint64(1))
+    powers = np.cumprod(np.full(points.shape[1], 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
+    heads = np.cumsum(codes * powers, axis=1, dtype=np.uint64)[:, 1:]
+    tails = np.cumsum(codes[:, ::-1] * powers, axis=1, dtype=np.uint64)[:, :0:-1]
+    return mix(heads), mix(tails ^ np.uint64(0xD6E8FEB86659FD93))
+
+
+def _key(side: np.ndarray, chars: int) -> np.ndarray:
+    return mix(side + np.uint64(chars * 0xA24BAED4963EE407 & 2**64 - 1)).view(np.int64)
+
+
 def _indexed(table: DataFrame, counts: np.ndarray) -> DataFrame:
-    """Per word: id, n, chars, third, letters (a bit set), prefix and pivots as ``slot << 32 | place``."""
+    """Per word: id, third, word (null if it isn't short), and the keys of its prefix (held) and of its pivots (asked)."""
     rank = np.empty(SLOTS, np.int64)
     rank[np.lexsort((np.arange(SLOTS), counts))] = np.arange(SLOTS)
     weight = counts.astype(float) + 1
 
     def index(batches):
         for batch in batches:
-            size = batch.num_rows
-            chars, third, letters = (np.zeros(size, np.int64) for _ in range(3))
-            prefixes, pivots = [None] * size, [None] * size
             for n, own, points in _by_length(batch.column("word")):
-                slots = _slots(points)
-                held, pair, last = pivotal(slots, rank, weight)
-                chars[own], third[own] = n, last
-                letters[own] = np.bitwise_or.reduce(np.int64(1) << (points % 63), axis=1)
-                keys = slots << 32 | np.arange(slots.shape[1])
-                for row, mine, keep, two in zip(own, keys, held, pair):
-                    prefixes[row], pivots[row] = mine[keep], mine[two]
-            lists = [pa.array(x, pa.list_(pa.int64())) for x in (prefixes, pivots)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, (chars, third, letters)), *lists], ["id", "chars", "third", "letters", "prefix", "pivots"])
+                prefix, pair, third = pivotal(_slots(points), rank, weight)
+                both = sides(points)
+                held = np.stack([_key(x, n) for x in both], 2)[prefix].reshape(-1)
+                asked = np.stack([_key(np.take_along_axis(x, pair, 1), n + d) for x in both for d in (-1, 0, 1)], 2).reshape(-1)
+                borders = np.concatenate([[0], np.cumsum(2 * prefix.sum(1))]), np.arange(len(own) + 1) * 12
+                lists = [pa.ListArray.from_arrays(pa.array(x.astype(np.int32)), pa.array(k)) for x, k in zip(borders, (held, asked))]
+                words = batch.column("word").take(pa.array(own)) if n <= SHORT else pa.nulls(len(own), pa.string())
+                ids = batch.column("id").take(pa.array(own))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(third.astype(np.int32)), words, *lists], ["id", "third", "word", "held", "asked"])
 
-    return table.select("id", "word").mapInArrow(index, "id long, chars long, third long, letters long, prefix array<long>, pivots array<long>")
+    return table.select("id", "word").mapInArrow(index, "id long, third int, word string, held array<long>, asked array<long>")
 
 
 def _bigram_counts(table: DataFrame) -> np.ndarray:
@@ -136,22 +149,21 @@ def _bigram_counts(table: DataFrame) -> np.ndarray:
 def near_words(table: DataFrame, hot: int = HOT_ROWS) -> DataFrame:
     """(a, b) of ids of ``table`` (id, word) whose words are exactly one edit apart, in both directions. Words have four code points or more."""
     indexed = cut(_indexed(table, _bigram_counts(table)), "indexed")
-    side = ("id", "chars", "third", "letters")
-    held = indexed.select(*side, F.explode("prefix").alias("key")).select(F.xxhash64("key", "chars").alias("key"), *side)
+    side = ("id", "third", "word")
+    held = indexed.select(*side, F.explode("held").alias("key"))
     crowd = held.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot)
     crowd = lookup_table(crowd.select("key", F.ceil(F.col("_n") / hot).cast("int").alias("parts")), "crowded")
     parts = F.coalesce("parts", F.lit(1))
     held = held.join(crowd, "key", "left").select("key", *side, F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"))
-    moves = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.lit(s).alias("s")) for d, s in ((0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1))])).alias("move")
-    asked = indexed.select(*side, F.explode("pivots").alias("key")).select(*side, "key", moves)
-    asked = asked.select(F.xxhash64(F.col("key") + F.col("move.s"), F.col("chars") + F.col("move.d")).alias("key"), *[F.col(c).alias(f"_{c}") for c in side])
+    asked = indexed.select(F.explode("asked").alias("key"), *[F.col(c).alias(f"_{c}") for c in side])
     asked = asked.join(crowd, "key", "left").select("key", *[f"_{c}" for c in side], F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-    alike = F.bit_count(F.col("letters").bitwiseXOR(F.col("_letters"))) <= 2
-    may = (F.col("third") >= F.col("_third")) & (F.col("id") != F.col("_id")) & alike
-    pairs = held.join(asked, ["key", "part"]).filter(may).select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
-    named = lambda x: table.select(F.col("id").alias(x), F.col("word").alias(f"w{x}"))
-    near = pairs.join(named("a"), "a").join(named("b"), "b").filter(F.levenshtein("wa", "wb", 1) == 1).select("a", "b")
-    near = cut(near, "near-words")
+    near = F.levenshtein("word", "_word", 1) == 1  # unknown for words that aren't short
+    may = (F.col("third") >= F.col("_third")) & (F.col("id") != F.col("_id")) & F.coalesce(near, F.lit(True))
+    met = held.join(asked, ["key", "part"]).filter(may)
+    met = cut(met.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b"), near.isNotNull().alias("near")).distinct(), "met")
+    named = lambda x: table.filter(F.length("word") >= SHORT).select(F.col("id").alias(x), F.col("word").alias(f"w{x}"))
+    long = met.filter("not near").join(named("a"), "a").join(named("b"), "b").filter(F.levenshtein("wa", "wb", 1) == 1)
+    near = cut(met.filter("near").select("a", "b").unionByName(long.select("a", "b")), "near-words")
     return near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
