@@ -5,12 +5,15 @@ a sketch, so bits that differ between two sketches are at most the shingles that
 the symmetric difference. With 100 * intersection >= percent * union, two sets of a and b shingles differ in at most
 d = (a + b) * (100 - percent) / (100 + percent) shingles, and the smaller has at least percent hundredths of the larger.
 
-Sizes are cut into bands such that linked sets lie in the same band or in neighbouring ones. For each band the sketch has one more
-part (a 64-bit word) than the largest d there, so two linked sets agree in at least one part (pigeonhole). A set is sketched for its own band and
-for the next one; sets meet by (band, part, word). Identical sets are one node before that.
-
-In each meeting one node, the *hub*, is compared with all others: by Hamming distance, then by the sets. Further links matter
-only if a node is too far from the hub. Write e(x) for the shingles that only one of x and the hub has; x and y differ in
+Sizes are cut into bands such that linked sets lie in the same band or in neighbouring ones. For each band the sketch has more
+parts (64-bit words) than the largest d there, so two linked sets have parts that none of their differences touches (pigeonhole), at
+least ``1 + spare`` of them. A set is sketched for its own band and for the next one; sets meet by band, part, the part's word and an XOR of whole hashes, which
+untouched parts share too. Parts of few shingles say little and would bring strangers together: a set with at most ``spare`` such parts leaves
+them out, which loses nothing, as one more part is untouched in any case. Identical sets are one node before that.
+
+In each meeting a *hub* is compared with all others: by Hamming distance, then by the sets. After ``ROUNDS`` hubs, meetings of up to
+``ROUNDS`` + 1 nodes are settled. In larger ones, further links matter
+only if a node is too far from the first hub. Write e(x) for the shingles that only one of x and the hub has; x and y differ in
 |e(x)| + |e(y)| - 2 |e(x) & e(y)|, so a link asks for a least number of common shingles in e(x) and e(y), which also bounds the
 place at which the first common one comes in a fixed order (see ``edits``). Such nodes meet by hub and shingle within these prefixes, and pairs are
 compared by Hamming distance and sets again. So no link between components is lost, and no group is expanded into all its pairs.
@@ -35,6 +38,7 @@ from .near import _joined, _labelled
 from .wordhash import Texts, mix, slices
 
 SHINGLE, PERCENT = 3, 90
+ROUNDS = 3
 SALTS = 16
 LARGEST = 1 << 40  # sizes beyond which no band is needed
 
@@ -47,9 +51,15 @@ def bands(percent: int) -> np.ndarray:
     return np.array(first, np.int64)
 
 
-def parts(first: np.ndarray, band: np.ndarray, percent: int) -> np.ndarray:
-    """One more than the shingles in which two linked sets can differ whose larger one is in ``band``."""
-    return 2 * (first[band + 1] - 1) * (100 - percent) // (100 + percent) + 1
+def parts(first: np.ndarray, band: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For bands: parts of a sketch, spare ones among them, and the shingles up to which a part says little.
+
+    Without the spare ones, there is one more part than shingles in which two linked sets can differ whose larger one is in the band.
+    """
+    needed = 2 * (first[band + 1] - 1) * (100 - percent) // (100 + percent) + 1
+    spare = np.where(needed > 1, 1 + needed // 12, 0)  # with one part only identical sets are linked
+    few = np.maximum(first[np.maximum(band - 1, 0)] // (needed + spare) // 2 - 1, 0)
+    return needed + spare, spare, few
 
 
 def shingle_sets(t: Texts, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -70,13 +80,36 @@ def shingle_sets(t: Texts, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     return doc[new], shingle[new]
 
 
-def sketch(doc: np.ndarray, shingle: np.ndarray, n_parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words of the sketches of texts with ``n_parts`` parts each, one after the other, and the borders between texts."""
+def places(doc: np.ndarray, shingle: np.ndarray, n_parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For texts with ``n_parts`` parts each: each shingle's part (those of all texts counted on), its bit, and the borders between texts."""
     border = np.concatenate([[0], np.cumsum(n_parts)])
     spread = mix(shingle)
     slot = border[doc] + (spread % np.maximum(n_parts, 1).astype(np.uint64)[doc]).astype(np.int64)
-    flips = np.bincount(slot << 6 | (mix(spread) >> np.uint64(58)).astype(np.int64), minlength=int(border[-1]) << 6) & 1
-    return np.packbits(flips.astype(bool), bitorder="little").view(np.uint64), border
+    return slot, (mix(spread) >> np.uint64(58)).astype(np.int64), border
+
+
+def sketch(slot: np.ndarray, bit: np.ndarray, size: int) -> np.ndarray:
+    """Words of sketches: a bit is set if an odd number of shingles flip it."""
+    flips = np.bincount(slot << 6 | bit, minlength=size << 6) & 1
+    return np.packbits(flips.astype(bool), bitorder="little").view(np.uint64)
+
+
+def keys(doc: np.ndarray, shingle: np.ndarray, n: np.ndarray, band: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """What texts with ``n`` shingles meet by under ``band``: keys, and how many there are for each text."""
+    n_parts, spare, few = parts(bands(percent), band, percent)
+    n_parts = np.where((n > 0) & (spare > 0), n_parts, 0)
+    slot, bit, border = places(doc, shingle, n_parts)
+    own = n_parts[doc] > 0
+    slot, bit, whole, size = slot[own], bit[own], mix(shingle[own] ^ np.uint64(0x632BE59BD9B4E019)), int(border[-1])
+    held = np.bincount(slot, minlength=size)
+    total = np.concatenate([np.zeros(1, np.uint64), np.bitwise_xor.accumulate(whole[np.argsort(slot, kind="stable")])])
+    end = np.cumsum(held)
+    text = np.repeat(np.arange(len(n)), n_parts)
+    at = np.arange(size) - border[text]
+    key = mix(mix((band[text] << 40 | at).astype(np.uint64)) ^ sketch(slot, bit, size)) + (total[end] ^ total[end - held])
+    poor = held <= few[text]
+    kept = ~poor | (np.bincount(text[poor], minlength=len(n)) > spare)[text]
+    return mix(key[kept]), np.bincount(text[kept], minlength=len(n))
 
 
 def digests(doc: np.ndarray, shingle: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,7 +143,7 @@ def edits(a: np.ndarray, b: np.ndarray, percent: int) -> tuple[np.ndarray, np.nd
 
 
 def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Per row, stored: _id, _n (set size), _hi and _lo (digest of the set), _band, _own and _next (sketches for its band and the next one), _part."""
+    """Per row, stored: _id, _n (set size), _hi and _lo (digest of the set), _keys and _part."""
     first = bands(percent)
 
     def make(batches):
@@ -119,74 +152,59 @@ def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             for a, b in slices(column):
                 doc, shingle = shingle_sets(Texts(column.slice(a, b - a)))
                 n = np.bincount(doc, minlength=b - a)
-                hi, lo = digests(doc, shingle, b - a)
                 band = np.searchsorted(first, np.maximum(n, 1), side="right") - 1
-                lists = []
-                for k in (0, 1):
-                    words, border = sketch(doc, shingle, np.where(n > 0, parts(first, band + k, percent), 0))
-                    lists.append(pa.ListArray.from_arrays(pa.array(border.astype(np.int32)), pa.array(words.view(np.int64))))
-                columns = [batch.column("_id").slice(a, b - a), *map(pa.array, (n, hi, lo, band)), *lists]
-                yield pa.RecordBatch.from_arrays(columns, ["_id", "_n", "_hi", "_lo", "_band", "_own", "_next"])
+                both = [keys(doc, shingle, n, band + k, percent) for k in (0, 1)]
+                key, counts = np.concatenate([k for k, _ in both]), [c for _, c in both]
+                key = key[np.argsort(np.concatenate([np.repeat(np.arange(b - a), c) for c in counts]), kind="stable")]
+                border = np.concatenate([[0], np.cumsum(counts[0] + counts[1])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(border), pa.array(key.view(np.int64)))
+                columns = [batch.column("_id").slice(a, b - a), *map(pa.array, (n, *digests(doc, shingle, b - a))), lists]
+                yield pa.RecordBatch.from_arrays(columns, ["_id", "_n", "_hi", "_lo", "_keys"])
 
     own = docs.select(docs["doc_id"].alias("_id"), docs["text"].alias("_text"))
-    longs = [T.StructField(c, T.LongType()) for c in ("_n", "_hi", "_lo", "_band")]
-    words = [T.StructField(c, T.ArrayType(T.LongType())) for c in ("_own", "_next")]
-    rows = own.mapInArrow(make, T.StructType([own.schema["_id"], *longs, *words]))
+    longs = [T.StructField(c, T.LongType()) for c in ("_n", "_hi", "_lo")]
+    rows = own.mapInArrow(make, T.StructType([own.schema["_id"], *longs, T.StructField("_keys", T.ArrayType(T.LongType()))]))
     return cut(rows.withColumn("_part", (F.monotonically_increasing_id() % SALTS).cast("int")), "sketches")
 
 
 def meetings(sketch: DataFrame) -> DataFrame | None:
-    """(a, b, others) of node digests: a node, the hub of a part they agree in, and whether more nodes are there; None if there are none."""
-    rows = None
-    for words, shift in (("_own", 0), ("_next", 1)):
-        some = sketch.filter(F.size(words) > 1)  # with one part only identical sets are linked
-        key = F.xxhash64(F.col("_band") + shift, "_at", "_word").alias("key")
-        some = some.select("_hi", "_band", F.posexplode(words).alias("_at", "_word")).select(key, F.col("_hi").alias("node"))
-        rows = some if rows is None else rows.unionByName(some)
-    shared = rows.groupBy("key").agg(F.min("node").alias("_a"), F.max("node").alias("_b")).filter("_a != _b")
+    """(key, node, first, _centre), stored, of keys that several nodes share; None if there are none.
+
+    ``first`` is the node's smallest id; ``_centre`` tells how much company a node has in all its meetings.
+    """
+    rows = sketch.select(F.col("_hi").alias("hi"), F.explode("_keys").alias("key"))
+    shared = rows.groupBy("key").agg(F.min("hi").alias("_a"), F.max("hi").alias("_b")).filter("_a != _b")
     shared, n = cut_counted(shared.select("key"), "shared")
     if not n:
         return None
     members = cut(rows.join(shared, "key").distinct(), "members")
     crowd = members.groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
-    centre = members.join(crowd, "key").groupBy("node").agg(F.sum("_n").alias("_centre"))
-    central = members.join(centre, "node")
-    hub = central.groupBy("key").agg(F.max(F.struct("_centre", "node")).alias("_hub"), F.count(F.lit(1)).alias("_n"))
-    pairs = members.join(hub.select("key", "_hub.node", "_n").withColumnRenamed("node", "_b"), "key").filter("node != _b")
-    pairs = pairs.groupBy(F.col("node").alias("a"), F.col("_b").alias("b")).agg((F.max("_n") > 2).alias("others"))
-    return cut(pairs, "meetings")
-
-
-def node_table(sketch: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One row per node of ``pairs``, stored: hi, node (digest), n, band, own, next and first (smallest id)."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_hi")).distinct()
-    rows = sketch.join(lookup_table(wanted, "wanted"), "_hi", "left_semi")
-    lists = F.max_by(F.struct("_own", "_next"), "_part")  # equal in all rows of a node
-    rows = rows.groupBy("_hi", "_lo").agg(F.min("_id").alias("first"), F.max("_n").alias("n"), F.max("_band").alias("band"), lists.alias("_w"))
-    return cut(rows.select(F.col("_hi").alias("hi"), _node("_hi", "_lo").alias("node"), "n", "band", F.col("_w._own").alias("own"), F.col("_w._next").alias("next"), "first"), "nodes")
+    centre = members.join(crowd, "key").groupBy("hi").agg(F.sum("_n").alias("_centre"))
+    nodes = sketch.join(centre, sketch["_hi"] == centre["hi"]).groupBy("hi", "_lo", "_centre").agg(F.min("_id").alias("first"))
+    nodes = nodes.select("hi", _node("hi", "_lo").alias("node"), "first", "_centre")
+    return cut(members.join(nodes, "hi").select("key", "node", "first", "_centre"), "members")
 
 
 def _node(hi: str, lo: str):
     return F.unhex(F.concat(F.lpad(F.hex(hi), 16, "0"), F.lpad(F.hex(lo), 16, "0")))
 
 
-def possible(pairs: DataFrame, nodes: DataFrame, key: str, percent: int, *more: str) -> DataFrame:
-    """``pairs`` (a, b, by ``key`` of ``nodes``) as node digests with ``may``: neither sizes nor Hamming distance rule a link out."""
-    side = lambda x: nodes.select(F.col(key).alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "band", "own", "next")])
-    pairs = pairs.withColumnsRenamed({"a": "_a", "b": "_b"})
-    rows = pairs.join(side("a"), F.col("_a") == F.col("a")).join(side("b"), F.col("_b") == F.col("b"))
+def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) of nodes that neither sizes nor Hamming distance rule out."""
+    side = lambda x: sets.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "band", "own", "next")])
+    rows = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
     step = F.col("band_a") - F.col("band_b")
     words = F.when(step < 0, F.col("next_a")).otherwise(F.col("own_a")), F.when(step > 0, F.col("next_b")).otherwise(F.col("own_b"))
     distance = F.aggregate(F.zip_with(*words, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
     few = (100 + percent) * distance <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
-    may = F.when(F.abs(step) > 1, False).otherwise(few)
-    return rows.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), *more, may.alias("may"))
+    return rows.filter((F.abs(step) <= 1) & few).select("a", "b")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, s) of the sets of ``nodes``, one row each, stored."""
-    text = F.coalesce(docs["text"], F.lit(""))
-    own = docs.select(docs["doc_id"].alias("_id"), text.alias("_text"))
+def _sets(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """One row per node, stored: node, s (its set), n, band, own and next (sketches for its band and the next one)."""
+    first = bands(percent)
+    nodes = members.select("node", "first").distinct()
+    own = docs.select(docs["doc_id"].alias("_id"), docs["text"].alias("_text"))
     wanted = lookup_table(nodes.select("first").distinct(), "firsts")  # broadcast if few: no text travels
     own = own.join(wanted, F.col("_id").eqNullSafe(F.col("first")), "left_semi").select("_text")
 
@@ -196,21 +214,27 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             column = batch.column("_text")
             for a, b in slices(column):
                 doc, shingle = shingle_sets(Texts(column.slice(a, b - a)))
-                hi, lo = digests(doc, shingle, b - a)
-                names = [int(x).to_bytes(8, "big", signed=True) + int(y).to_bytes(8, "big", signed=True) for x, y in zip(hi, lo)]
+                names = [int(x).to_bytes(8, "big", signed=True) + int(y).to_bytes(8, "big", signed=True) for x, y in zip(*digests(doc, shingle, b - a))]
                 keep = []
                 for i, name in enumerate(names):
                     if name not in seen:
                         seen.add(name)
                         keep.append(i)
-                sets = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(b - a + 1)).astype(np.int32)), pa.array(shingle.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), sets], ["node", "s"]).take(pa.array(keep, pa.int64()))
+                n = np.bincount(doc, minlength=b - a)
+                band = np.searchsorted(first, np.maximum(n, 1), side="right") - 1
+                lists = [pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(b - a + 1)).astype(np.int32)), pa.array(shingle.view(np.int64)))]
+                for k in (0, 1):
+                    slot, bit, border = places(doc, shingle, np.where(n > 0, parts(first, band + k, percent)[0], 0))
+                    lists.append(pa.ListArray.from_arrays(pa.array(border.astype(np.int32)), pa.array(sketch(slot, bit, int(border[-1])).view(np.int64))))
+                columns = [pa.array(names, pa.binary()), *map(pa.array, (n, band)), *lists]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "n", "band", "s", "own", "next"]).take(pa.array(keep, pa.int64()))
 
-    found, n = cut_counted(own.mapInArrow(make, "node binary, s array<bigint>"), "sets")
+    schema = "node binary, n bigint, band bigint, s array<bigint>, own array<bigint>, next array<bigint>"
+    found, n = cut_counted(own.mapInArrow(make, schema), "sets")
     once, each = cut_counted(nodes.select("node").distinct().join(found.select("node"), "node", "left_semi"), "set-nodes")
     if n == each:
         return found
-    return cut(found.join(once, "node", "left_semi").groupBy("node").agg(F.first("s").alias("s")), "sets")  # other texts of these ids, or tasks that met the same set
+    return cut(found.join(once, "node", "left_semi").dropDuplicates(["node"]), "sets")  # other texts of these ids, or tasks that met the same set
 
 
 def _pairs_of(batch: pa.RecordBatch):
@@ -271,24 +295,32 @@ def _meeting(told: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
 
 def links(docs: DataFrame, sketch: DataFrame, percent: int = PERCENT) -> DataFrame | None:
     """(id, label) of the nodes that are linked with another node; None if there are none."""
-    pairs = meetings(sketch)
-    if pairs is None:
+    members = meetings(sketch)
+    if members is None:
         return None
-    nodes = node_table(sketch, pairs)
-    tried = cut(possible(pairs, nodes, "hi", percent, "others"), "tried")
-    # Sets are read for pairs that may be linked and, around hubs that some node is far from, for all of these.
-    sets = _sets(docs, nodes)
-    found = cut(verified(lookup_table(tried.filter("may").select("a", "b"), "few"), sets, percent), "found")
-    labels = components(found)
-    own = _labelled(_labelled(tried.filter("others").select("a", "b"), "a", labels), "b", labels, "_own")
-    open_ = own.groupBy("b").agg(F.max(F.col("label") != F.col("_own")).alias("_open")).filter("_open").select("b")
-    around, n = cut_counted(tried.filter("others").join(open_, "b", "left_semi").select("a", "b"), "around")
-    if not n:
-        return labels
-    told = cut(_apart(around, sets, percent), "told")
-    pairs = cut(_meeting(told, labels, percent), "pairs")
-    left = possible(pairs, nodes, "node", percent).filter("may").select("a", "b")
-    return _joined(labels, verified(lookup_table(left, "left"), sets, percent))
+    sets = _sets(docs, members, percent)
+    labels, tested, hubs = None, None, None
+    for _ in range(ROUNDS):
+        hub = members.groupBy("key").agg(F.max(F.struct("_centre", "node")).alias("_hub")).select("key", F.col("_hub.node").alias("hub"))
+        placed = cut(members.join(hub, "key"), "hubs")
+        hubs = placed.select("key", "hub").distinct() if hubs is None else hubs
+        apart = placed.filter("node != hub")
+        if labels is not None:
+            apart = _labelled(_labelled(apart, "node", labels), "hub", labels, "_own").filter("label != _own")
+        pairs = apart.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+        pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        found = verified(lookup_table(possible(pairs, sets, percent), "few"), sets, percent)
+        labels = components(cut(found, "found")) if labels is None else _joined(labels, found)
+        left = _labelled(placed.filter("node != hub").drop("hub"), "node", labels)
+        kinds = left.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low != _high")
+        members, n = cut_counted(left.join(kinds.select("key"), "key").drop("label"), "open")
+        if not n:
+            return labels
+    around = members.select("key", F.col("node").alias("a")).join(hubs, "key").select("a", F.col("hub").alias("b")).distinct()
+    told = cut(_apart(lookup_table(around, "around"), sets, percent), "told")
+    pairs = cut(_meeting(told, labels, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+    return _joined(labels, verified(lookup_table(possible(pairs, sets, percent), "few"), sets, percent))
 
 
 def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
