@@ -76,3 +76,19 @@ def size_to_copy(length: str | Column = "length", chunk_length: str | Column = "
 def chunk_path(path: str | Column, offset: str | Column, length: str | Column, marker: str = ".____split____") -> Column:
     """Temporary name of one chunk of a file."""
     return F.concat(_col(path), F.lit(marker), _col(offset).cast("string"), F.lit("."), _col(length).cast("string"))
+
+
+def depth(path: str | Column) -> Column:
+    """Number of names in an absolute path."""
+    path = _col(path)
+    return F.length(path) - F.length(F.replace(path, F.lit("/")))
+
+
+def upto(path: str | Column, names: str | Column) -> Column:
+    """The first ``names`` names of an absolute path."""
+    return F.call_function("substring_index", _col(path), F.lit("/"), _col(names) + 1)
+
+
+def directory(path: str | Column) -> Column:
+    """The directory of an absolute path; ``''`` for one at the top."""
+    return upto(path, depth(path) - 1)

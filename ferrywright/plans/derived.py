@@ -236,6 +236,58 @@ def new_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _tree(tops: DataFrame, seconds: DataFrame, files: DataFrame, *more: DataFrame) -> DataFrame:
+    """``file_id, rel_path, is_dir, length`` of directories (id, path) and files (id, path, n_chars)."""
+    out = files.select(F.col("id").alias("file_id"), F.col("path").alias("rel_path"), F.lit(False).alias("is_dir"), F.col("n_chars").alias("length"))
+    for dirs in (tops, seconds, *more):
+        out = out.unionByName(dirs.select(F.col("id").alias("file_id"), F.col("path").alias("rel_path"), F.lit(True).alias("is_dir"), F.lit(0).cast("bigint").alias("length")))
+    return out
+
+
+def _top_id():
+    return F.concat(F.lit("d:"), "source")
+
+
+def _second_id():
+    return F.concat(F.lit("d:"), "source", F.lit("/"), "lang")
+
+
+def old_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their directories, before the moves of ``new_tree``; one in nine isn't there yet."""
+    docs = table(spark, sf_dir, "documents")
+    tops = docs.select("source").distinct().select(_top_id().alias("id"), F.concat(F.lit("/"), "source").alias("path"))
+    seconds = docs.select("source", "lang").distinct()
+    seconds = seconds.select(_second_id().alias("id"), F.concat(F.lit("/"), "source", F.lit("/"), "lang").alias("path"))
+    files = docs.filter(_mod(9) != 0).select(F.concat(F.lit("f:"), F.col("doc_id")).alias("id"), doc_name().alias("path"), "n_chars")
+    return _tree(tops, seconds, files)
+
+
+def new_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``old_tree`` after moves: two directories swapped, circles of three, a name passed on from a deleted directory, a
+    directory replaced by a new one that keeps its content, files moved into new directories, others deleted or new."""
+    docs = table(spark, sf_dir, "documents")
+
+    def renamed(column: str, names: dict[str, str]):
+        out = F.col(column)
+        for name, to in names.items():
+            out = F.when(F.col(column) == name, to).otherwise(out)
+        return out
+
+    top = F.concat(F.lit("/"), renamed("source", {"src1": "src2", "src2": "src1", "src3": "src4", "src4": "src5", "src5": "src3", "src7": "src6"}))
+    lang = F.when(F.col("source") == "src0", renamed("lang", {"en": "fr", "fr": "de", "de": "en"})).otherwise(F.col("lang"))
+    second = F.when((F.col("source") == "src9") & (F.col("lang") == "en"), "/moved/en-of-9").otherwise(F.concat(top, F.lit("/"), lang))
+    last = F.concat(F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    gone = F.col("source") == "src6"
+    path = F.when(gone, F.concat(F.lit("/rescued"), last)).when(_mod(10) == 3, F.concat(F.lit("/moved/files"), last)).otherwise(F.concat(second, last))
+    tops = docs.select("source").distinct()
+    made = tops.filter("source = 'src8'").select(F.explode(F.array(*[F.lit(p) for p in ("/moved", "/moved/files", "/rescued", "/src8")])).alias("path"))
+    seconds = docs.select("source", "lang").distinct().filter(~gone).select(_second_id().alias("id"), second.alias("path"))
+    files = docs.filter((_mod(21) != 0) & (~gone | (_mod(2) == 0)))
+    files = files.select(F.concat(F.lit("f:"), F.col("doc_id")).alias("id"), path.alias("path"), "n_chars")
+    tops = tops.filter(~gone & (F.col("source") != "src8")).select(_top_id().alias("id"), top.alias("path"))
+    return _tree(tops, seconds, files, made.select(F.concat(F.lit("n:"), "path").alias("id"), "path"))
+
+
 def write_tree(spark: SparkSession, sf_dir: str) -> str:
     """Write every document as a file below a new scratch folder, from tasks, and return the folder."""
     root = scratch_path(spark, "tree")

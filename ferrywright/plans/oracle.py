@@ -54,6 +54,32 @@ FOUND = """found as (
  union select e.name from src s join entries e on e.seq = s.seq where e.name is not null)"""
 
 
+TREES = """tops as (select distinct source from documents), seconds as (select distinct source, lang from documents),
+ newtop as (select source, concat('/', case source when 'src1' then 'src2' when 'src2' then 'src1' when 'src3' then 'src4'
+   when 'src4' then 'src5' when 'src5' then 'src3' when 'src7' then 'src6' else source end) as path from tops),
+ newsecond as (select s.source, lang, case when s.source = 'src9' and lang = 'en' then '/moved/en-of-9' else concat(t.path, '/',
+   case when s.source <> 'src0' then lang when lang = 'en' then 'fr' when lang = 'fr' then 'de' when lang = 'de' then 'en' else lang end) end as path
+   from seconds s join newtop t on t.source = s.source),
+ old_ as (select concat('d:', source) as id, concat('/', source) as path, true as is_dir, 0 as length from tops
+  union all select concat('d:', source, '/', lang), concat('/', source, '/', lang), true, 0 from seconds
+  union all select concat('f:', doc_id), concat('/', source, '/', lang, '/', doc_id, '.txt'), false, n_chars from documents where doc_id % 9 <> 0),
+ new_ as (select concat('d:', source) as id, path, true as is_dir, 0 as length from newtop where source not in ('src6', 'src8')
+  union all select concat('d:', source, '/', lang), path, true, 0 from newsecond where source <> 'src6'
+  union all select concat('n:', p), p, true, 0 from (values ('/moved'), ('/moved/files'), ('/rescued'), ('/src8')) v(p)
+  union all select concat('f:', doc_id), case when d.source = 'src6' then concat('/rescued/', doc_id, '.txt')
+    when doc_id % 10 = 3 then concat('/moved/files/', doc_id, '.txt') else concat(s.path, '/', doc_id, '.txt') end, false, n_chars
+   from documents d join newsecond s on s.source = d.source and s.lang = d.lang
+   where doc_id % 21 <> 0 and (d.source <> 'src6' or doc_id % 2 = 0)),
+ both_ as (select coalesce(o.id, n.id) as id, o.path as was, n.path as now, o.is_dir as was_dir, n.is_dir as now_dir from old_ o full join new_ n on o.id = n.id),
+ up as (select b.*, regexp_replace(was, '/[^/]*$', '') as dir, regexp_extract(was, '[^/]*$') as name from both_ b),
+ carried as (select u.*, case when p.id is null then u.was else p.now || '/' || u.name end as carried from up u left join both_ p on p.was = u.dir and p.was_dir where u.was is not null),
+ moves as (select was, now, concat('/.staging/', md5(was)) as aside from carried where now is distinct from carried),
+ steps as (select 1 as phase, -(length(was) - length(replace(was, '/', ''))) as wave, 'STASH' as op, was as source, aside as target from moves
+  union all select 2, 0, 'REMOVE', aside, null from moves where now is null
+  union all select 2, length(now) - length(replace(now, '/', '')), 'MKDIR', null, now from both_ where was is null and now_dir
+  union all select 2, length(now) - length(replace(now, '/', '')), 'PLACE', aside, now from moves where now is not null)"""
+
+
 def triple(shift: int, perm: str = "perm") -> str:
     digits = " ".join(
         f"when {d} then '{'r' if d & 4 else '-'}{'w' if d & 2 else '-'}{'x' if d & 1 else '-'}'" for d in range(8)
@@ -263,6 +289,17 @@ ORACLE: dict[str, str] = {
     "snapshot_diff_by_path": f"with {diff('rel_path')} select * from diff",
     "snapshot_replay": f"with {diff('file_id')} select * from diff where change in ('DELETE','RENAME')",
     "snapshot_copy_list": f"with {diff('file_id')} select target as rel_path, length from diff where change in ('CREATE','MODIFY')",
+    "snapshot_replay_plan": f"with {TREES} select * from steps",
+    "created_content": f"""with {TREES}, near as (
+  select n.path, arg_max(s.op, length(s.target)) as op, arg_max(s.target, length(s.target)) as root
+  from new_ n join steps s on s.op in ('MKDIR','PLACE') and (n.path = s.target or starts_with(n.path, s.target || '/')) group by n.path)
+ select n.path as rel_path, n.is_dir, cast(n.length as bigint) as length, root from new_ n join near on near.path = n.path where near.op = 'MKDIR'""",
+    "deletion_roots": f"""with {TREES}, kept as (select path from new_ where not (is_dir and path like '/src1%')),
+ gone as (select * from old_ o where not exists (select 1 from kept k where k.path = o.path or starts_with(k.path, o.path || '/'))),
+ root as (select g.path, coalesce(arg_min(d.path, length(d.path)), g.path) as root from gone g
+  left join gone d on d.is_dir and (g.path = d.path or starts_with(g.path, d.path || '/')) group by g.path)
+ select root as rel_path, bool_or(g.is_dir) filter (g.path = root) as is_dir, count(*) as entries, cast(sum(length) as bigint) as bytes
+ from root r join gone g on g.path = r.path group by root""",
     "identities_distinct": f"with {SRC}, {ACL}, {FOUND} select l as local_identity from found",
     "identity_map_file": f"""with {SRC}, {ACL}, {FOUND}, {IDENTITIES}
  select f.l as local_identity, i.c as cloud_identity from found f left join idmap i on f.l = i.l""",

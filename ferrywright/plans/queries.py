@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import access, paths, values
-from ..operators import copyjob, filters, identity, metadata, ordering, place, reconcile, splits, totals
+from ..operators import copyjob, filters, identity, metadata, ordering, place, reconcile, splits, totals, trees
 from ..options import SyncOptions
 from ..schema import as_manifest
 from ..scratch import cut, scratch_path
@@ -282,6 +282,30 @@ def snapshot_copy_list(spark, sf_dir):
     return reconcile.copy_list(reconcile.snapshot_diff(old, new, file_id="file_id"))
 
 
+@query
+def snapshot_replay_plan(spark, sf_dir):
+    """Steps by which a target takes over moves and deletions, through names of their own."""
+    return trees.replay_plan(derived.old_tree(spark, sf_dir), derived.new_tree(spark, sf_dir))
+
+
+@query
+def created_content(spark, sf_dir):
+    """What has to be copied into directories that are new, without what was moved there."""
+    new = derived.new_tree(spark, sf_dir)
+    found = trees.created_content(new, trees.replay_plan(derived.old_tree(spark, sf_dir), new))
+    return found.select("rel_path", "is_dir", "length", "root")
+
+
+@query
+def deletion_roots(spark, sf_dir):
+    """Deletions that a mirror of the new tree needs on a target that still holds the old one.
+
+    The source listing lacks some directories of which it has files.
+    """
+    src = derived.new_tree(spark, sf_dir).filter("not (is_dir and rel_path like '/src1%')")
+    return trees.deletion_roots(src, derived.old_tree(spark, sf_dir))
+
+
 # Identities and metadata
 
 
