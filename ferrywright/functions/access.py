@@ -44,6 +44,34 @@ def logical_acl(perm: str | Column, acl: str | Column) -> Column:
     return F.concat(F.when(F.size(access) == 0, minimal).otherwise(extended), default)
 
 
+def _joined_perm(entries: Column) -> Column:
+    """The permissions that any of ``entries`` gives."""
+    bit = lambda i, letter: F.when(F.exists(entries, lambda e: e["perm"].substr(i, 1) == letter), letter).otherwise("-")
+    return F.concat(bit(1, "r"), bit(2, "w"), bit(3, "x"))
+
+
+def merge_entries(acl: str | Column) -> Column:
+    """An entry list in which no identity stands twice: entries of one scope, type and name become one, with all their permissions.
+
+    An entry stays where its first one stood. The mask of a scope in which entries were joined is computed anew, from named users
+    and all groups, so that it doesn't cut what was joined. Lists have a few dozen entries at most.
+    """
+    acl = _col(acl)
+    key = lambda e: F.struct(e["scope"].alias("scope"), e["type"].alias("type"), e["name"].alias("name"))
+    keys = F.array_distinct(F.transform(acl, key))
+    same = lambda e, k: (e["scope"] == k["scope"]) & (e["type"] == k["type"]) & e["name"].eqNullSafe(k["name"])
+    masked = lambda e, scope: (e["scope"] == scope) & ((e["type"] == "GROUP") | ((e["type"] == "USER") & e["name"].isNotNull()))
+    count = lambda entries, scope: F.size(F.filter(entries, lambda e: e["scope"] == scope))
+
+    def merged(k):
+        perm = _joined_perm(F.filter(acl, lambda e: same(e, k)))
+        mask = _joined_perm(F.filter(acl, lambda e: masked(e, k["scope"])))
+        anew = (k["type"] == "MASK") & (count(acl, k["scope"]) > count(keys, k["scope"]))
+        return F.struct(k["scope"].alias("scope"), k["type"].alias("type"), k["name"].alias("name"), F.when(anew, mask).otherwise(perm).alias("perm"))
+
+    return F.transform(keys, merged)
+
+
 def filter_xattrs(xattrs: str | Column, *, raw: bool, regular: bool, prefix: str = "raw") -> Column:
     """Keep ``raw*`` names only with ``raw``, the others only with ``regular``."""
     xattrs = _col(xattrs)

@@ -18,7 +18,7 @@ from ..files import length_of, open_fs
 from ..functions.paths import chunk_path
 from ..options import SyncOptions
 from ..scratch import cut, store
-from .splits import chunk_files
+from .splits import chunk_files, part_coverage
 
 # Attempts, first pause and throttle pause of the retry and bandwidth policies.
 ATTEMPTS = 3
@@ -244,6 +244,51 @@ def file_prefixes(candidates: DataFrame) -> DataFrame:
     return file_checksums(candidates, "tgt_length", "prefix_checksum")
 
 
+def stream_digests(stream, lengths: list[int]) -> list[str]:
+    """md5 of the first bytes of a stream, one for each of the rising ``lengths``, and of all of it, in one pass.
+
+    A length beyond the end gives the digest of all.
+    """
+    digest, out, done = hashlib.md5(), [], 0
+    for end in [*lengths, None]:
+        while end is None or done < end:
+            data = stream.read(1 << 20 if end is None else min(1 << 20, end - done))
+            if not data:
+                break
+            digest.update(data)
+            done += len(data)
+        out.append(digest.copy().hexdigest())
+    return out
+
+
+def file_digests(candidates: DataFrame, key: str = "rel_path") -> DataFrame:
+    """``key, checksum, prefix_checksum, error`` of files at ``path``: of the whole and of its first ``tgt_length`` bytes, read once.
+
+    A file that cannot be read after ``ATTEMPTS`` has null digests and the reason as ``error``; the others are not affected.
+    """
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for path, n in zip(pdf["path"], pdf["tgt_length"]):
+                reason = None
+                for _ in range(ATTEMPTS):
+                    try:
+                        with _open_source(path) as source:
+                            prefix, whole = stream_digests(source, [int(n)])
+                        rows.append((whole, prefix, None))
+                        break
+                    except OSError as e:
+                        reason = str(e)
+                else:
+                    rows.append((None, None, reason))
+            out = pd.DataFrame(rows, columns=["checksum", "prefix_checksum", "error"])
+            yield out.assign(**{key: pdf[key].to_numpy()})[[key, "checksum", "prefix_checksum", "error"]]
+
+    rows = candidates.select(key, "path", F.coalesce("tgt_length", F.lit(0)).alias("tgt_length"))
+    return rows.mapInPandas(run, f"{key} string, checksum string, prefix_checksum string, error string")
+
+
 def copy_chunks(files: DataFrame, chunk_bytes: int, options: SyncOptions, parallelism: int) -> DataFrame:
     """Copy byte ranges of large files as separate tasks into part files next to the target.
 
@@ -260,12 +305,14 @@ def copy_chunks(files: DataFrame, chunk_bytes: int, options: SyncOptions, parall
             for row in pdf.itertuples(index=False):
                 store, name = open_fs(row.part_uri)
                 store.create_dir(os.path.dirname(name), recursive=True)
-                digest = hashlib.md5()
-                with _open_source(row.path) as source, store.open_output_stream(name) as sink:
+                digest, partial = hashlib.md5(), f"{name}._copying_{uuid.uuid4().hex}"
+                with _open_source(row.path) as source, store.open_output_stream(partial) as sink:
                     source.seek(row.chunk_offset)
                     copied = _transfer(source, sink, row.chunk_length, options, digest)
                 if copied != row.chunk_length:
+                    store.delete_file(partial)
                     raise WriteError(f"Mismatch in length of {row.part_uri}")
+                store.move(partial, name)
                 rows.append((row.path, row.part_uri, row.chunk_offset, row.chunk_length, copied, digest.hexdigest()))
             yield pd.DataFrame(rows, columns=["path", "part_uri", "chunk_offset", "chunk_length", "bytes_copied", "checksum"])
 
@@ -273,6 +320,57 @@ def copy_chunks(files: DataFrame, chunk_bytes: int, options: SyncOptions, parall
     return cut(parts.repartition(parallelism, "path", "chunk_offset").mapInPandas(run, schema), "chunk-result")
 
 
+def assemble_chunks(files: DataFrame, parts: DataFrame, options: SyncOptions) -> DataFrame:
+    """Join the part files of ``copy_chunks`` to whole files: ``path, target_uri, status, bytes_copied, checksum, error``.
+
+    Only files whose parts cover them exactly (``part_coverage``) are written, each by one task, under a temporary name that is renamed; then
+    the parts go. The others FAIL with the fault and the byte at which it is seen, and keep their parts. A file that a
+    lost task had finished is recognised by its length and taken as done.
+    """
+    told = part_coverage(files, parts)
+    order = F.array_sort(F.collect_list(F.struct("chunk_offset", "chunk_length", "part_uri")))  # names of one file's parts
+    rows = files.select("path", "target_uri", "length").join(told, "path").join(parts.groupBy("path").agg(order.alias("_parts")), "path", "left")
+
+    def join(batches):
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                if row.verdict != "OK":
+                    out.append((row.path, row.target_uri, "FAIL", 0, None, f"{row.verdict} at {int(row.at)}"))
+                    continue
+                try:
+                    out.append((row.path, row.target_uri, "OK", *_assemble(row, options), None))
+                except OSError as e:
+                    out.append((row.path, row.target_uri, "FAIL", 0, None, str(e)))
+            yield pd.DataFrame(out, columns=["path", "target_uri", "status", "bytes_copied", "checksum", "error"])
+
+    columns = rows.select("path", "target_uri", "length", "verdict", "at", F.transform("_parts", lambda p: p["part_uri"]).alias("parts_in_order"))
+    schema = "path string, target_uri string, status string, bytes_copied bigint, checksum string, error string"
+    return cut(columns.mapInPandas(join, schema), "assembled")
+
+
+def _assemble(row, options) -> tuple[int, str | None]:
+    store, name = open_fs(row.target_uri)
+    opened = [open_fs(p) for p in row.parts_in_order]
+    if length_of(store, name) == row.length and any(length_of(s, p) is None for s, p in opened):
+        copied, digest = int(row.length), None  # a former attempt got as far as deleting parts
+    else:
+        partial, md5, copied = f"{name}._assembling_{uuid.uuid4().hex}", hashlib.md5(), 0
+        with store.open_output_stream(partial) as sink:
+            for part_store, part in opened:
+                with part_store.open_input_file(part) as source:
+                    copied += _transfer(source, sink, None, options, md5)
+        if copied != row.length:
+            store.delete_file(partial)
+            raise WriteError(f"Mismatch in length of {row.target_uri} ({copied} of {int(row.length)})")
+        store.move(partial, name)
+        digest = md5.hexdigest()
+    for part_store, part in opened:
+        if length_of(part_store, part) is not None:
+            part_store.delete_file(part)
+    return copied, digest
+
+
 def failures(result: DataFrame) -> DataFrame:
     return result.filter(F.col("status") == "FAIL")
 

@@ -83,14 +83,19 @@ def _merged(acl: str) -> Column:
     return F.array_sort(F.array_distinct(acl))
 
 
-def acl_transfer_plan(src: DataFrame, tgt: DataFrame, identities: DataFrame, key: str = "rel_path") -> DataFrame:
+def acl_transfer_plan(src: DataFrame, tgt: DataFrame, identities: DataFrame, key: str = "rel_path", merge: bool = False) -> DataFrame:
     """What to set on each target so that it has the translated owner, group and full ACL of its source.
 
+    With ``merge``, entries whose names translate to one identity are joined (``access.merge_entries``), as a store that holds
+    an identity once needs it.
+
     Returns ``key, status, owner, group, acl, setters``. ``status`` is OK, MISSING (no target) or CONFLICT
     (directory against file); only OK rows have setters.
     """
     full = src.withColumn("acl", logical_acl("perm", "acl"))
     want = translate_identities(full.select(key, "is_dir", "owner", "group", "acl", "sticky"), identities)
+    if merge:
+        want = want.withColumn("acl", merge_entries("acl"))
     have = tgt.withColumn("acl", logical_acl("perm", "acl"))
     rows = match_target(want, have, key, ("is_dir", "owner", "group", "acl", "sticky"))
     status = (

@@ -69,22 +69,52 @@ def plan_splits(
     return small_table(boxes.sparkSession, out, schema)
 
 
+FIRST_STEP, LAST_STEP = 1 << 8, 1 << 16
+
+
+def fit_in_order(sizes: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """For each size in turn, the first of the rooms ``left`` that holds it, -1 for none; the rooms shrink, but for unlimited ones.
+
+    A stretch of rows is placed at once by the rooms at its begin, and holds up to the first row that its box has no room for
+    any more, by the running sum of what the box took. Such a row is the first of the next stretch. Stretches
+    grow while they hold, so steps go with the boxes that fill up rather than with the rows.
+    """
+    out = np.full(len(sizes), -1, np.int64)
+    at, step = 0, FIRST_STEP
+    while at < len(sizes):
+        part = sizes[at : at + step]
+        rising = np.flatnonzero(left > np.concatenate([[-1], np.maximum.accumulate(left)[:-1]]))
+        limits = left[rising]
+        tried = np.searchsorted(limits, part)
+        good, taken = len(part), []
+        for k in np.unique(tried[tried < len(limits)]):
+            if limits[k] == UNLIMITED:
+                continue
+            mine = np.flatnonzero(tried == k)
+            used = np.cumsum(part[mine])
+            fits = int(np.searchsorted(used, limits[k], side="right"))
+            if fits < len(mine):
+                good = min(good, int(mine[fits]))
+            taken.append((k, mine, used))
+        for k, mine, used in taken:
+            held = int(np.searchsorted(mine, good))
+            left[rising[k]] -= used[held - 1] if held else 0
+        some = tried[:good] < len(limits)
+        out[at : at + good][some] = rising[tried[:good][some]]
+        at += good
+        step = min(2 * step, LAST_STEP) if good == len(part) else max(FIRST_STEP, step // 2)
+    return out
+
+
 def _walk_block(size: str, box_ids: list[int], rooms: list[int]):
     """Rows of one block, in order: each to the first box whose room, at that moment, holds it."""
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         left = np.array(rooms, dtype="int64")
+        ids = np.array([*box_ids, 0])
         for pdf in batches:
-            found = []
-            for n in pdf[size].tolist():
-                at = int((left >= n).argmax())
-                if left[at] < n:
-                    found.append(None)
-                    continue
-                found.append(box_ids[at])
-                if rooms[at] != UNLIMITED:
-                    left[at] -= n
-            yield pdf.assign(box_id=pd.array(found, dtype="Int32"))
+            found = fit_in_order(pdf[size].to_numpy(dtype="int64"), left)
+            yield pdf.assign(box_id=pd.Series(pd.array(ids[found], dtype="Int32"), index=pdf.index).mask(pd.Series(found < 0, index=pdf.index)))
 
     return walk
 
@@ -126,7 +156,7 @@ def first_fit(
     shrink, so no box before it can take them; and while the candidates of every box sum up to no more than
     its room, each of them fits when its turn comes. So all blocks up to the first at which some sum
     exceeds its room are placed by comparing sizes with fixed limits, from sums per block and box. That
-    one block is walked row by row in a task that streams it, and bulk placement goes on after it with
+    one block is walked in stretches (``fit_in_order``) by a task that streams it, and bulk placement goes on after it with
     the rooms it left. Each round finishes at least a block, whatever the sizes are.
 
     ``previous`` (``order, box_id``) pins rows to boxes chosen by an earlier run; their size is deducted

@@ -27,10 +27,15 @@ def match_target(
     return src.join(found, key, "left").withColumn("tgt_exists", F.col("_hit").isNotNull()).drop("_hit")
 
 
-def _same_content(options: SyncOptions) -> Column:
+def _same_size(options: SyncOptions) -> Column:
     same = F.col("tgt_length") == F.col("length")
     if "blocksize" in options.preserve:
         same = same & F.col("block_size").eqNullSafe(F.col("tgt_block_size"))
+    return same
+
+
+def _same_content(options: SyncOptions) -> Column:
+    same = _same_size(options)
     if not options.skip_crc:
         same = same & checksums_equal("checksum", "tgt_checksum", options.strict_checksums)
     return F.coalesce(same, F.lit(False))
@@ -58,6 +63,30 @@ def prefix_checksums(
     return content.join(few, key).select(key, F.md5(prefix).alias("prefix_checksum"))
 
 
+def digest_candidates(rows: DataFrame, options: SyncOptions) -> DataFrame:
+    """Of the rows of ``match_target``, those files whose content decides the action.
+
+    With equal length (and block size, where that counts) it is the whole content, with a shorter target the part up to the
+    target's length, if APPEND is possible. All other actions follow from the status alone.
+    """
+    both = F.col("tgt_exists") & ~F.col("is_dir") & ~F.col("tgt_is_dir") & F.lit(options.update and not options.overwrite)
+    equal = F.lit(not options.skip_crc) & _same_size(options)
+    shorter = F.lit(options.append) & (F.col("tgt_length") < F.col("length"))
+    return rows.filter(both & F.col("tgt_checksum").isNotNull() & (equal | shorter))
+
+
+def content_digests(candidates: DataFrame, content: DataFrame, key: str = "rel_path", value: str = "content") -> DataFrame:
+    """``key, checksum, prefix_checksum`` of candidates, from a table of contents that is read once.
+
+    Candidates are stored and counted; when few, they are broadcast and the content is not shuffled.
+    """
+    few = lookup_table(candidates.select(key, "length", "tgt_length"), "candidates")
+    whole = F.col("length") == F.col("tgt_length")
+    prefix = F.substring(F.col(value), F.lit(1), F.col("tgt_length").cast("int"))
+    found = content.join(few, key)
+    return found.select(key, F.when(whole, F.md5(value)).alias("checksum"), F.when(~whole, F.md5(prefix)).alias("prefix_checksum"))
+
+
 def action_column(options: SyncOptions, with_prefixes: bool = False) -> Column:
     """The action of a row that ``match_target`` produced.
 
@@ -84,13 +113,23 @@ def reconcile(
     *,
     key: str = "rel_path",
     prefixes: Callable[[DataFrame], DataFrame] | None = None,
+    digests: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add ``action`` to each source row: MKDIR, SKIP, APPEND, OVERWRITE or CONFLICT.
 
     ``prefixes`` enables APPEND: it gets the append candidates and returns ``key, prefix_checksum``. The
     joined status rows are stored before, so that neither side is read or joined twice.
+
+    ``digests`` does without checksums in ``src``: it gets the ``digest_candidates``, the only files whose content matters,
+    and returns ``key, checksum, prefix_checksum``, as ``content_digests`` and ``copyjob.file_digests`` do with one read of each.
+    A candidate without a digest (it could not be read) counts as different, so that the copy reports it.
     """
     rows = match_target(src, tgt, key)
+    if digests is not None:
+        rows = cut(rows.drop("checksum"), "matched")
+        found = digests(digest_candidates(rows, options))
+        found = found.select(key, *[F.coalesce(c, F.lit("")).alias(c) for c in ("checksum", "prefix_checksum")])
+        return rows.join(found, key, "left").withColumn("action", action_column(options, options.append))
     appending = options.append and prefixes is not None
     if appending:
         rows = cut(rows, "matched")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..errors import InvalidInputError
 from ..functions.values import int_div
-from ..options import split_ratio
+from ..options import MAX_CHUNKS_TOLERABLE, check_chunk_count, split_ratio
 from ..scratch import small_table
 from .blocks import build_blocks, index_blocks
 
@@ -105,15 +106,17 @@ def deal_chunks(
     *,
     order: str = "seq",
     keep: tuple[str, ...] = (),
+    tolerable: int = MAX_CHUNKS_TOLERABLE,
     **block_options,
 ) -> DataFrame:
     """Deal rows round robin over chunks, a batch of 16 chunks at a time; the last batch takes the remainder.
 
-    Returns ``order, *keep, idx, chunk_id``; the chunk follows from the position of a row.
+    Returns ``order, *keep, idx, chunk_id``; the chunk follows from the position of a row. More than ``tolerable`` chunks raise.
     """
     blocks = build_blocks(df.select(order, *keep), order, **block_options)
     records = blocks.rows
     ratio = split_ratio(maps, records) if ratio is None else ratio
+    check_chunk_count(ratio, maps, tolerable)
     entries = max(1, -(-records // (ratio * maps)))
     chunks = max(1, -(-records // entries))
     full_batches = max(0, chunks // CHUNK_BATCH - 1)
@@ -137,24 +140,63 @@ def chunk_files(df: DataFrame, chunk_bytes: int, *, length: str = "length") -> D
     )
 
 
+def part_coverage(files: DataFrame, parts: DataFrame, key: str = "path") -> DataFrame:
+    """``key, verdict, at, parts`` per file: do its parts (``key, chunk_offset, chunk_length``) make up its ``length``?
+
+    MISSING (no part), REPEATED (one range twice), OVERLAP, GAP, BEYOND (parts go on after its end) or OK; ``at`` is the byte at which the first such
+    fault, in this order, is seen. A file's parts are followed in order of their offsets.
+    """
+    own = parts.select(key, "chunk_offset", "chunk_length", (F.col("chunk_offset") + F.col("chunk_length")).alias("_end"))
+    order = Window.partitionBy(key).orderBy("chunk_offset", "chunk_length")
+    upto = F.coalesce(F.max("_end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    again = F.struct("chunk_offset", "chunk_length").eqNullSafe(F.lag(F.struct("chunk_offset", "chunk_length")).over(order))
+    rows = own.withColumn("_upto", upto).withColumn("_again", again)
+    first = lambda test, at: F.min(F.when(test, at))
+    seen = rows.groupBy(key).agg(
+        F.count(F.lit(1)).alias("parts"),
+        F.max("_end").alias("_last"),
+        first(F.col("_again") & (F.col("chunk_length") > 0), F.col("chunk_offset")).alias("_repeated"),
+        first(~F.col("_again") & (F.col("chunk_offset") < F.col("_upto")), F.col("chunk_offset")).alias("_overlap"),
+        first(F.col("chunk_offset") > F.col("_upto"), F.col("_upto")).alias("_gap"),
+    )
+    both = files.select(key, "length").join(seen, key, "left")
+    short = F.when(F.col("_last") < F.col("length"), F.col("_last"))
+    faults = {"REPEATED": F.col("_repeated"), "OVERLAP": F.col("_overlap"), "GAP": F.coalesce("_gap", short)}
+    faults["BEYOND"] = F.when(F.col("_last") > F.col("length"), F.col("length"))
+    verdict, at = F.when(F.col("parts").isNull(), "MISSING"), F.when(F.col("parts").isNull(), F.lit(0))
+    for name, where in faults.items():
+        verdict, at = verdict.when(where.isNotNull(), name), at.when(where.isNotNull(), where)
+    return both.select(key, verdict.otherwise("OK").alias("verdict"), at.cast("bigint").alias("at"), F.coalesce("parts", F.lit(0)).cast("bigint").alias("parts"))
+
+
+def merged_ranges(parts: DataFrame, key: str = "path") -> DataFrame:
+    """``key, first_byte, end_byte, parts``: the stretches without a gap that parts make up together."""
+    own = parts.select(key, "chunk_offset", (F.col("chunk_offset") + F.col("chunk_length")).alias("_end"))
+    order = Window.partitionBy(key).orderBy("chunk_offset", "_end")
+    before = F.max("_end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = own.withColumn("_new", F.coalesce((F.col("chunk_offset") > before).cast("int"), F.lit(1)))
+    rows = rows.withColumn("_range", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return rows.groupBy(key, "_range").agg(
+        F.min("chunk_offset").alias("first_byte"), F.max("_end").alias("end_byte"), F.count(F.lit(1)).alias("parts")
+    ).drop("_range")
+
+
 PHASES = "array<struct<start:bigint,rows:bigint,cycle:array<int>>>"
 
 
 class _SplitLoads:
-    """Splits of one box, most space first; the split loaded last precedes those with equal space."""
+    """Splits of one box, least load first; the split loaded last precedes those with equal load."""
 
     def __init__(self, n: int):
         self.ids = list(range(n))
-        self.space = [0] * n  # relative to the common start
+        self.loads = [0] * n
 
     def load(self, x: int) -> int:
-        """Give one row of size ``x`` to the first split and restore the order."""
-        split, left = self.ids.pop(0), self.space.pop(0) - x
-        at = 0
-        while at < len(self.ids) and self.space[at] > left:
-            at += 1
+        """Give one row of size ``x`` to the first split and restore the order, found by bisection."""
+        split, load = self.ids.pop(0), self.loads.pop(0) + x
+        at = bisect_left(self.loads, load)
         self.ids.insert(at, split)
-        self.space.insert(at, left)
+        self.loads.insert(at, load)
         return split
 
     def run(self, x: int, count: int) -> list[tuple[int, int, list[int]]]:
@@ -176,17 +218,15 @@ class _SplitLoads:
                 flush()
                 phases.append((done, count - done, [self.ids[0]]))
                 return phases
-            m = 1
-            while m < len(self.ids) and self.space[m] > self.space[0] - x:
-                m += 1
+            m = bisect_left(self.loads, self.loads[0] + x)
             turns = (count - done) // (2 * m)
             if turns and m < len(self.ids):
-                turns = min(turns, (self.space[m - 1] - self.space[m]) // (2 * x))
+                turns = min(turns, (self.loads[m] - self.loads[m - 1]) // (2 * x))
             if turns > 1:
                 flush()
                 cycle = [self.load(x) for _ in range(2 * m)]
                 for i in range(m):
-                    self.space[i] -= 2 * x * (turns - 1)
+                    self.loads[i] += 2 * x * (turns - 1)
                 phases.append((done, 2 * m * turns, cycle))
                 done += 2 * m * turns
             else:
@@ -249,8 +289,10 @@ def balance(
 
     counts = table.groupBy("pid", "box_id", "_size").agg(F.count("*").alias("_rows"))
     runs = counts.groupBy("box_id", "_size").agg(F.sum("_rows").alias("_rows"))
-    # ``mapInPandas`` reads its partition as sorted here, batch by batch.
-    sequence = runs.repartition(max(1, len(splits)), "box_id").sortWithinPartitions("box_id", F.desc("_size"))
+    # A task per box; ``mapInPandas`` reads its partition as sorted here, batch by batch.
+    rank = small_table(df.sparkSession, [(b, i) for i, b in enumerate(splits)], "box_id int, _rank int")
+    dealt = runs.join(rank, "box_id").repartitionById(max(1, len(splits)), "_rank")
+    sequence = dealt.sortWithinPartitions("box_id", F.desc("_size"))
     phases = sequence.mapInPandas(_lpt_phases(n_splits), f"box_id int, _size bigint, _split int, _phases {PHASES}")
 
     earlier = Window.partitionBy("box_id", "_size").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)

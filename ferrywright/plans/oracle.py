@@ -97,6 +97,11 @@ def full_acl(manifest: str, entries: str = "entries", key: str = "seq") -> str:
  union all select s.{key}, 5, e.n, e.scope, e.type, e.name, e.perm from {manifest} s join {entries} e on e.seq = s.{key} where e.scope = 'default'"""
 
 
+SOME_PARTS = f"""{SRC}, cut_ as (select path, seq, length, o, least(1000, length - o) as l from (select *, unnest(range(0, greatest(length, 1), 1000)) as o from src)),
+ kept as (select path, seq, o, case when seq % 13 = 0 and o = 0 then l + 10 else l end as l from cut_
+  where not (seq % 7 = 0 and o = 0 and length > 1500) and seq % 29 <> 0),
+ parts as (select path, o, l, o + l as e from kept union all select path, o, l, o + l from kept where seq % 11 = 0 and o = 0)"""
+
 CUSTOMERS = """counted as (
  select cast(n_nationkey as bigint) as box_id, n_name, (select count(*) from customer where c_nationkey = n_nationkey) as n,
   (select count(*) from customer) as n_all from nation)"""
@@ -251,6 +256,10 @@ ORACLE: dict[str, str] = {
   ('/src/{{src0,src2}}/f?/*', '/src/(src0|src2)/f[^/]/[^/]*'), ('/src/*/*/1?.txt', '/src/[^/]*/[^/]*/1[^/]\\.txt'),
   ('/src/*/none/*', '/src/[^/]*/none/[^/]*'), ('/src/*', '/src/[^/]*')) g("glob", re)) g
  where not exists (select 1 from src where regexp_full_match(path, re))""",
+    "match_many_globs": f"""with {SRC} select concat('/src/', d.source, '/', d.lang, '/', d.doc_id, '*.t?t') as glob, s.path from documents d
+ join documents e on e.source = d.source and e.lang = d.lang and starts_with(cast(e.doc_id as varchar), cast(d.doc_id as varchar))
+ join src s on s.seq = e.doc_id where d.doc_id % 5 = 0""",
+    "exclude_many_filters": f"""with {SRC} select path from src where not regexp_full_match(path, '.*/[0-9]*[13]\\.txt') and not regexp_full_match(path, '.*/7[0-9]+\\.txt')""",
     "sort_manifest": f"with {SRC} select rel_path, length, row_number() over (order by rel_path) - 1 as idx from src",
     "randomize": f"with {SRC} select path, length, row_number() over (order by md5(concat('42:', path)), path) - 1 as seq from src",
     "list_tree": f"""with {DIRS} select {NAME} as rel_path, false as is_dir, {TEXT_BYTES} as length from documents
@@ -330,6 +339,18 @@ ORACLE: dict[str, str] = {
   case when missing or is_dir then '' else concat_ws(',', case when acl <> have then 'acl' end,
    case when owner <> towner or grp <> tgrp then 'owner' end) end as setters
  from plan""",
+    "acl_merged": f"""with {SRC}, {ACL}, full_ as ({full_acl("src")}),
+ t as (select k, part, n, scope, type, case when name is not null then concat('team-', cast(substr(name, 2) as int) % 3) end as name, perm from full_),
+ g as (select k, scope, type, name, min(cast(part as bigint) * 1000000000 + n) as pos, count(*) as c,
+   bool_or(perm[1] = 'r') as r, bool_or(perm[2] = 'w') as w, bool_or(perm[3] = 'x') as x from t group by k, scope, type, name),
+ m as (select k, scope, max(c) > 1 as joined, bool_or(r) filter (type = 'group' or (type = 'user' and name is not null)) as r,
+   bool_or(w) filter (type = 'group' or (type = 'user' and name is not null)) as w,
+   bool_or(x) filter (type = 'group' or (type = 'user' and name is not null)) as x from g group by k, scope),
+ o as (select g.k, pos, g.scope, type, name, case when type = 'mask' and joined then coalesce(m.r, false) else g.r end as r,
+   case when type = 'mask' and joined then coalesce(m.w, false) else g.w end as w,
+   case when type = 'mask' and joined then coalesce(m.x, false) else g.x end as x from g join m on m.k = g.k and m.scope = g.scope)
+ select s.rel_path, string_agg(concat(scope, ':', type, ':', coalesce(name, ''), ':', case when r then 'r' else '-' end, case when w then 'w' else '-' end,
+  case when x then 'x' else '-' end), ',' order by pos) as acl from o join src s on s.seq = o.k group by s.rel_path""",
     "preserve_plan": f"""with {SRC}, {TGT}
  select s.rel_path, concat_ws(',', case when s.perm <> t.perm then 'permission' end,
   case when s.replication <> t.replication and not t.is_dir then 'replication' end,
@@ -386,6 +407,18 @@ ORACLE: dict[str, str] = {
   else 16 * nb + (idx - nb * 16 * e) % (c - 16 * nb) end as chunk_id from i, b""",
     "chunk_files": f"""with {SRC} select concat(path, '.____split____', o, '.', least(1000, length - o)) as part, o as chunk_offset, least(1000, length - o) as bytes
  from (select path, length, unnest(range(0, greatest(length, 1), 1000)) as o from src)""",
+    "part_coverage": f"""with {SOME_PARTS},
+ w as (select *, coalesce(max(e) over (partition by path order by o, l rows between unbounded preceding and 1 preceding), 0) as upto,
+   coalesce(lag(o) over (partition by path order by o, l) = o and lag(l) over (partition by path order by o, l) = l, false) as again from parts),
+ g as (select path, count(*) as parts, max(e) as last, min(o) filter (again and l > 0) as rep, min(o) filter (not again and o < upto) as over_, min(upto) filter (o > upto) as gap from w group by path)
+ select s.path, case when parts is null then 'MISSING' when rep is not null then 'REPEATED' when over_ is not null then 'OVERLAP'
+   when gap is not null or last < length then 'GAP' when last > length then 'BEYOND' else 'OK' end as verdict,
+  case when parts is null then 0 when rep is not null then rep when over_ is not null then over_ when gap is not null then gap
+   when last < length then last when last > length then length end as "at", coalesce(parts, 0) as parts from src s left join g on g.path = s.path""",
+    "merged_ranges": f"""with {SOME_PARTS},
+ w as (select *, coalesce(o > max(e) over (partition by path order by o, e rows between unbounded preceding and 1 preceding), true) as fresh from parts),
+ r as (select *, sum(cast(fresh as int)) over (partition by path order by o, e rows unbounded preceding) as k from w)
+ select path, min(o) as first_byte, max(e) as end_byte, count(*) as parts from r group by path, k""",
     "human_bytes": """with s as (select doc_id, n_chars * cast(pow(1024, doc_id % 5) as bigint) as b from documents),
  p as (select doc_id, b, case when b >= 1125899906842624 then 5 when b >= 1099511627776 then 4 when b >= 1073741824 then 3
   when b >= 1048576 then 2 when b >= 1024 then 1 else 0 end as k from s)

@@ -46,9 +46,8 @@ def entry_text(e):
 def planned_sync(spark: SparkSession, sf_dir: str, options: SyncOptions = SYNC) -> DataFrame:
     """What a run would do with each document."""
     src, tgt = derived.source_manifest(spark, sf_dir), derived.target_manifest(spark, sf_dir)
-    return reconcile.reconcile(
-        src, tgt, options, prefixes=lambda few: reconcile.prefix_checksums(few, derived.content(spark, sf_dir))
-    )
+    content = derived.content(spark, sf_dir)
+    return reconcile.reconcile(src.drop("checksum"), tgt, options, digests=lambda few: reconcile.content_digests(few, content))
 
 
 def placed_documents(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -144,6 +143,26 @@ def unmatched_globs(spark, sf_dir):
     return patterns.unmatched_globs(derived.source_manifest(spark, sf_dir), [*GLOBS, "/src/*/none/*", "/src/*"])
 
 
+@query
+def match_many_globs(spark, sf_dir):
+    """Every fifth document gives a pattern: names in its directory that begin with its number."""
+    named = F.concat(F.regexp_extract("path", r"^(.*)\.txt$", 1), F.lit("*.t?t"))
+    src = derived.source_manifest(spark, sf_dir)
+    index = patterns.pattern_index(src.filter("seq % 5 = 0").select(named.alias("glob")))
+    return patterns.match_many(src, index)
+
+
+@query
+def exclude_many_filters(spark, sf_dir):
+    """A filter file with a line for every source and language, and one for all directories, applied as an index."""
+    docs = derived.table(spark, sf_dir, "documents").select("source", "lang").distinct()
+    lines = docs.select(F.concat(F.lit("/src/"), "source", F.lit("/"), "lang", F.lit("/[0-9]*[13]\\.txt")).alias("line"))
+    path = scratch_path(spark, "filters")
+    lines.unionByName(docs.select(F.lit(".*/7[0-9]+\\.txt").alias("line")).distinct()).write.text(path)
+    index = patterns.pattern_index(patterns.read_list_file(spark, path), "path", globs=False).withColumnRenamed("path", "glob")
+    return patterns.exclude_many(derived.source_manifest(spark, sf_dir), index).select("path")
+
+
 @query
 def sort_manifest(spark, sf_dir):
     src = derived.source_manifest(spark, sf_dir).select("rel_path", "length")
@@ -356,6 +375,17 @@ def acl_transfer_plan(spark, sf_dir):
     return plan.select("rel_path", "status", "owner", F.col("group").alias("grp"), acl.alias("acl"), joined("setters"))
 
 
+@query
+def acl_merged(spark, sf_dir):
+    """Full ACLs after names were mapped to three teams, each team once per scope."""
+    src = derived.source_with_acl(spark, sf_dir)
+    names = src.select(F.explode("acl").alias("e")).select(F.col("e.name").alias("local_identity")).filter("local_identity is not null").distinct()
+    team = F.concat(F.lit("team-"), (F.substring("local_identity", F.lit(2), F.lit(9)).cast("int") % 3).cast("string"))
+    full = src.select("rel_path", "owner", "group", access.logical_acl("perm", "acl").alias("acl"))
+    out = identity.translate_identities(full, names.withColumn("cloud_identity", team))
+    return out.select("rel_path", F.concat_ws(",", F.transform(access.merge_entries("acl"), entry_text)).alias("acl"))
+
+
 @query
 def preserve_plan(spark, sf_dir):
     src, tgt = derived.source_manifest(spark, sf_dir), derived.target_manifest(spark, sf_dir)
@@ -519,6 +549,27 @@ def chunk_files(spark, sf_dir):
     return parts.select(name.alias("part"), "chunk_offset", size.alias("bytes"))
 
 
+def _some_parts(spark, sf_dir):
+    """Parts of documents as a copy may leave them: some lost, some copied twice, some too long."""
+    parts = splits.chunk_files(derived.source_manifest(spark, sf_dir).select("path", "length", "seq"), 1000)
+    first = F.col("chunk_offset") == 0
+    kept = parts.filter(~((F.col("seq") % 7 == 0) & first & (F.col("length") > 1500)) & (F.col("seq") % 29 != 0))
+    longer = F.when((F.col("seq") % 13 == 0) & first, F.col("chunk_length") + 10).otherwise(F.col("chunk_length"))
+    kept = kept.withColumn("chunk_length", longer)
+    return kept.unionByName(kept.filter((F.col("seq") % 11 == 0) & first))
+
+
+@query
+def part_coverage(spark, sf_dir):
+    files = derived.source_manifest(spark, sf_dir).select("path", "length")
+    return splits.part_coverage(files, _some_parts(spark, sf_dir))
+
+
+@query
+def merged_ranges(spark, sf_dir):
+    return splits.merged_ranges(_some_parts(spark, sf_dir))
+
+
 # Reports
 
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import InvalidInputError
+from ..functions.paths import depth, upto
 from ..operators.filters import full_match
-from ..scratch import small_table
+from ..scratch import cut, small_table
 
 
 def glob_to_regex(glob: str) -> str:
@@ -114,6 +116,65 @@ def expand_globs(df: DataFrame, globs: list[str], path: str = "path") -> DataFra
     return match_globs(df, globs, path)
 
 
+def fixed_prefix(regex: str) -> str:
+    """A directory that every path matching the whole ``regex`` lies in or is; ``''`` if none is certain."""
+    if "|" in regex:
+        return ""
+    out, i = "", 0
+    while i < len(regex):
+        c, width = regex[i], 1
+        if c == "\\" and i + 1 < len(regex) and not regex[i + 1].isalnum():
+            c, width = regex[i + 1], 2
+        elif c in "\\.^$*+?{}[]()":
+            break
+        if i + width < len(regex) and regex[i + width] in "*+?{":
+            break
+        out += c
+        i += width
+    else:
+        return out.rstrip("/") if out.startswith("/") else ""
+    return out.rpartition("/")[0] if out.startswith("/") else ""
+
+
+def pattern_index(patterns: DataFrame, column: str = "glob", globs: bool = True) -> DataFrame:
+    """``column, regex, base`` of a table of patterns, stored: what a path has to match, and a directory it has to lie in.
+
+    A pattern with braces has a row per alternative. Patterns are translated by tasks, so their number isn't limited by the driver.
+    """
+
+    def index(batches):
+        for pdf in batches:
+            rows = []
+            for pattern in pdf[column]:
+                for regex in [glob_to_regex(g) for g in expand_braces(pattern)] if globs else [pattern]:
+                    rows.append((pattern, rf"\A(?:{regex})\z", fixed_prefix(regex)))
+            yield pd.DataFrame(rows, columns=[column, "regex", "base"])
+
+    wanted = patterns.select(column).distinct()
+    return cut(wanted.mapInPandas(index, f"`{column}` string, regex string, base string"), "patterns")
+
+
+def match_many(df: DataFrame, index: DataFrame, path: str = "path", column: str = "glob", salts: int = 16) -> DataFrame:
+    """``column, path`` for every path of ``df`` and every pattern of a ``pattern_index`` it matches, once each.
+
+    A path meets only the patterns that begin with one of its directories, by a hash join on that directory, so the work goes with those
+    and not with all patterns. Paths below one hot directory are dealt over ``salts`` parts.
+    """
+    depths = [r[0] for r in index.select(depth("base").alias("d")).distinct().orderBy("d").collect()]  # one per level of the tree
+    level = F.explode(F.array([F.lit(d) for d in depths]).cast("array<int>")).alias("_depth")
+    rows = df.select(F.col(path).alias("_path"), F.pmod(F.xxhash64(path), F.lit(salts)).alias("_salt"), level)
+    rows = rows.filter(F.col("_depth") <= depth("_path"))
+    rows = rows.select("_path", "_salt", F.when(F.col("_depth") == 0, "").otherwise(upto("_path", "_depth")).alias("base"))
+    spread = index.select(column, "regex", "base", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt"))
+    met = rows.join(spread, ["base", "_salt"]).filter(F.regexp("_path", F.col("regex")))
+    return met.select(column, F.col("_path").alias(path)).distinct()
+
+
+def exclude_many(df: DataFrame, index: DataFrame, path: str = "path", column: str = "glob") -> DataFrame:
+    """Rows of ``df`` whose path no pattern of the index matches."""
+    return df.join(match_many(df.select(path).distinct(), index, path, column).select(path).distinct(), path, "left_anti")
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.regexp_replace("value", r"\r$", "").alias("line"))
 
@@ -124,5 +185,6 @@ def read_list_file(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_filters(spark: SparkSession, path: str) -> list[str]:
-    """Patterns of a filter file, one per line; a missing file raises. The file is written by hand."""
+    """Patterns of a filter file, one per line; a missing file raises. The file is written by hand; for
+    files of any length use ``read_list_file`` with ``pattern_index`` and ``exclude_many``."""
     return [r.line for r in _lines(spark, path).collect()]
