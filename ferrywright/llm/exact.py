@@ -72,12 +72,15 @@ def deduplicate(docs: DataFrame, digest: Callable[[Column], Column] = sha256, sa
 
     Between rows of equal text and id, the columns with plain values decide, so that reruns agree.
     """
+    columns = docs.columns  # of any name: they go by their places
+    names = ["doc_id" if c == "doc_id" else "text" if c == "text" else f"_c{i}" for i, c in enumerate(columns)]
+    docs = docs.toDF(*names)
     plain = [f.name for f in docs.schema if f.name not in ("doc_id", "text") and _comparable(f.dataType)]
-    order = F.struct(docs["doc_id"], F.xxhash64(F.lit(0), *[docs[c] for c in plain]), docs["text"].isNotNull())
-    rest = F.struct(*[docs[c].alias(f"_c{i}") for i, c in enumerate(docs.columns) if c != "text"], docs["text"].isNull().alias("_null"))
+    order = F.struct("doc_id", F.xxhash64(F.lit(0), *plain), F.col("text").isNotNull())
+    rest = F.struct(*[F.col(n).alias(f"_r{i}") for i, n in enumerate(names) if n != "text"], F.col("text").isNull().alias("_null"))
     texts = _texts(docs, digest, order.alias("_order"), rest.alias("_rest"))
     salted = texts.withColumn("_salt", F.spark_partition_id() % salts)
     best = lambda df, *by: df.groupBy(*by).agg(F.max_by("_rest", "_order").alias("_rest"), F.max("_order").alias("_order"))
     won = best(best(salted, "_digest", "_text", "_salt"), "_digest", "_text")
     text = F.when(~F.col("_rest._null"), F.col("_text"))
-    return won.select(*[(text if c == "text" else F.col(f"_rest._c{i}")).alias(c) for i, c in enumerate(docs.columns)])
+    return won.select(*[(text if n == "text" else F.col(f"_rest._r{i}")).alias(c) for i, (n, c) in enumerate(zip(names, columns))])

@@ -165,7 +165,7 @@ def predict(docs: DataFrame, net: Network, keep: tuple[str, ...] = ("doc_id",))
 
     own = docs.select(
         F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).alias("_text"),
-        *[docs[c].alias(f"_k{i}") for i, c in enumerate(keep)],
+        *[docs[f"`{c}`"].alias(f"_k{i}") for i, c in enumerate(keep)],
     )
     kept = [f"_k{i}" for i in range(len(keep))]
 

@@ -10,8 +10,8 @@ token, and the slots in them are compared: a re-parameterised question fills all
 A document is contaminated by an item if a common run has at least ``RUN`` tokens, or all the item's, and either so many of
 them in a row are the item's with all values, or at least ``LITERAL`` of them aren't slots and the slots of all runs at
 that shift are consistent. Items of fewer than ``SHORTEST`` tokens are looked for as they are, all tokens in a row. Nulls in any text count
-as empty. Rows repeating an id are judged together, so that they stay or go together; rows with null id are never
-reported. Empty tables give empty results; other columns may have any name.
+as empty. Rows repeating an id are judged together, so that they stay or go together; rows with null id are judged by their
+text, and reported with null id. Very long texts are searched whole. Empty tables give empty results; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -56,6 +56,16 @@ def _tokens(joined: Column) -> Column:
     return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, " "))
 
 
+def _key(doc_id: Column, text: Column) -> Column:
+    by_text = F.concat(F.lit("?"), F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+    return F.when(doc_id.isNull(), by_text).otherwise(F.concat(F.lit("="), doc_id.cast("string")))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """_id, what rows are judged together by (the id, or the text where that is null), and _text."""
+    return docs.select(_key(F.col("doc_id"), F.col("text")).alias("_id"), F.col("text").alias("_text"))
+
+
 def _windows(tokens: Column, size: int, stride: int) -> Column:
     starts = F.when(F.size(tokens) >= size, F.sequence(F.lit(1), F.size(tokens) - (size - 1), F.lit(stride)))
     return F.transform(starts, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(tokens, i, size)).alias("hash")))
@@ -71,13 +81,13 @@ def _short(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
     sizes = sorted(r[0] for r in items.select("_n").distinct().collect())
     if not sizes:
         return None
-    own = plain(docs.filter("doc_id is not null"), "text", "doc_id")
+    own = plain(docs, "_text", "_id")
     whole = lambda n: F.when(F.size("_w") >= n, F.transform(F.sequence(F.lit(1), F.size("_w") - (n - 1)), lambda i: F.array_join(F.slice("_w", i, n), " ")))
     every = F.array_distinct(F.flatten(F.array(*[F.coalesce(whole(n), F.array().cast("array<string>")) for n in sizes])))
     items = F.broadcast(items) if rows <= BROADCAST_ROWS else items
-    found = own.select("doc_id", F.explode(every).alias("_whole")).join(items, "_whole")
+    found = own.select("_id", F.explode(every).alias("_whole")).join(items, "_whole")
     slots = F.size(F.filter(F.split("_whole", " "), lambda w: w.rlike(r"^\p{N}"))).cast("long")
-    return found.select("doc_id", "item_id", F.col("_n").cast("long").alias("tokens"), F.col("_n").alias("item_tokens"), slots.alias("slots"), F.lit(True).alias("exact")).distinct()
+    return found.select("_id", "item_id", F.col("_n").cast("long").alias("tokens"), F.col("_n").alias("item_tokens"), slots.alias("slots"), F.lit(True).alias("exact")).distinct()
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -88,6 +98,13 @@ def _items(benchmark: DataFrame) -> DataFrame:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFrame:
     """(doc_id, item_id, tokens: longest common run, item_tokens, slots, exact: are all slots' values the item's)."""
+    found = _contaminated(_keyed(docs.select("doc_id", "text")), benchmark, run)
+    kind = docs.schema["doc_id"].dataType
+    doc_id = F.when(F.col("_id").startswith("="), F.substring("_id", F.lit(2), F.length("_id"))).cast(kind)
+    return found.select(doc_id.alias("doc_id"), *[c for c in found.columns if c != "_id"])
+
+
+def _contaminated(docs: DataFrame, benchmark: DataFrame, run: int) -> DataFrame:
     items = _items(benchmark)
     shortest = items.agg(F.min(F.size("_tpl"))).first()[0] or run
     need = min(run, shortest)
@@ -95,8 +112,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataF
     size = need - stride + 1
     keys = items.select("item_id", "_form", F.explode(_windows(F.col("_tpl"), size, 1)).alias("_w")).select("item_id", "_form", F.col("_w.at").alias("_q"), F.col("_w.hash").alias("_hash"))
     keys = lookup_table(keys, "windows")
-    own = docs.filter("doc_id is not null").select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-    own = _marked(_forms(own, "_text"), "_own", "_id", "_form").select("_id", "_form", _template("_m").alias("_t")).withColumn("_tokens", _tokens(F.col("_t")))
+    own = _marked(_forms(docs, "_text"), "_own", "_id", "_form").select("_id", "_form", _template("_m").alias("_t")).withColumn("_tokens", _tokens(F.col("_t")))
     probes = own.select("_id", "_form", F.explode(_windows(F.col("_tokens"), size, stride)).alias("_w"))
     hits = probes.select("_id", "_form", F.col("_w.at").alias("_p"), F.col("_w.hash").alias("_hash")).join(keys, ["_hash", "_form"])
     places = cut(hits.select("_id", "_form", "item_id", (F.col("_p") - F.col("_q")).alias("_shift")).distinct(), "shifts")
@@ -106,8 +122,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataF
 
 
 def _judged(docs: DataFrame, items: DataFrame, places: DataFrame, run: int) -> DataFrame:
-    texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-    wanted = texts.join(places.select("_id").distinct(), "_id", "left_semi")
+    wanted = docs.join(places.select("_id").distinct(), "_id", "left_semi")
     forms = _forms(wanted.withColumn("_version", F.xxhash64("_text")), "_text")
     marked = _marked(forms, "_own", "_id", "_version", "_form").withColumn("_t", _template("_m"))
     cut_up = marked.select("_id", "_version", "_form", _tokens(F.col("_m")).alias("_draw"), _tokens(F.col("_t")).alias("_dtpl"))
@@ -147,13 +162,17 @@ def _judged(docs: DataFrame, items: DataFrame, places: DataFrame, run: int) -> D
     exact = F.forall("_pairs", lambda p: p["was"] == p["now"])
     verbatim = F.coalesce(F.col("_alike") >= F.least(F.lit(run), F.col("_n")), F.lit(False))
     good = whole.filter(verbatim | ((F.col("_literal") >= LITERAL) & consistent)).withColumn("_exact", exact)
-    return good.groupBy(F.col("_id").alias("doc_id"), "item_id").agg(
+    return good.groupBy("_id", "item_id").agg(
         F.max("_longest").alias("tokens"), F.max("_n").alias("item_tokens"), F.max("_slots").alias("slots"), F.max("_exact").alias("exact")
     )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFrame:
-    """The rows of ``docs`` whose id isn't contaminated."""
-    found = contaminated(docs, benchmark, run).select(F.col("doc_id").alias("_found")).distinct()
-    out = docs.join(lookup_table(found, "contaminated"), docs["doc_id"] == F.col("_found"), "left_anti")
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that aren't contaminated, by id or, where that is null, by text."""
+    names = [f"_c{i}" for i in range(len(docs.columns))]  # columns of any name go by their places
+    rows = docs.toDF(*names)
+    doc_id, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    keyed = _keyed(rows.select(doc_id.alias("doc_id"), text.alias("text")))
+    found = lookup_table(_contaminated(keyed, benchmark, run).select(F.col("_id").alias("_found")).distinct(), "contaminated")
+    out = rows.withColumn("_id", _key(doc_id, text)).join(found, F.col("_id") == F.col("_found"), "left_anti")
+    return out.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])

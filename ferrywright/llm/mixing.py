@@ -79,5 +79,7 @@ def report(docs: DataFrame, seed: int = 7) -> DataFrame:
 def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
     """Each document as often as it is taken, with ``copy`` counting from 1 (``mix_copy`` if that name is in use)."""
     number = "copy" if "copy" not in docs.columns else "mix_copy"
-    rows = rated(docs, seed).filter("_copies > 0")
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias(number))
+    names = [f"_c{i}" for i in range(len(docs.columns))]  # columns of any name go by their places
+    needed = [F.col(names[docs.columns.index(c)]).alias(c) for c in ("doc_id", "text", "source")]
+    rows = rated(docs.toDF(*names).select(*names, *needed), seed).filter("_copies > 0")
+    return rows.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias(number))

@@ -36,7 +36,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
 SALTS = 16
-SLICE_TEXTS = 2048  # a signature takes about 1 000 arrivals, however short the text
+SLICE_TEXTS = 512  # texts whose arrivals are worked on together
 SLACK = 1e-6  # allowed for rounding where pairs are left out
 HUBS = 64  # odd nodes of a bucket that are compared with the others in the first such round; twice as many in each later one
 
@@ -66,8 +66,7 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int,
     todo = mass > 0
     while todo.any():
         own = np.flatnonzero(todo[doc])
-        best = np.full(n * size, np.inf)
-        slots, times, keys = [], [], []
+        best, key = np.full(n * size, np.inf), np.zeros(n * size, np.uint64)
         elapsed, k = np.zeros(len(own)), 0
         while len(own):
             k += 1
@@ -77,14 +76,10 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n: int,
             own, elapsed = own[on], elapsed[on]
             slot = doc[own] * size + (mix(random[on] + np.uint64(0x632BE59BD9B4E019)) % np.uint64(size)).astype(np.int64)
             np.minimum.at(best, slot, elapsed)
-            slots.append(slot)
-            times.append(elapsed)
-            keys.append(shingle[own])
-        slots, times, keys = map(np.concatenate, (slots, times, keys))
-        first = times == best[slots]
-        full = np.isfinite(best.reshape(n, size)).all(1)
-        first &= full[slots // size]
-        out.reshape(-1)[slots[first]] = keys[first]
+            first = elapsed == best[slot]
+            key[slot[first]] = shingle[own[first]]
+        full = np.isfinite(best.reshape(n, size)).all(1) & todo
+        out[full] = key.reshape(n, size)[full]
         todo &= ~full
         bound = bound * 2
     return out
@@ -326,7 +321,7 @@ def classify(docs: DataFrame, least: float = SIMILARITY, salts: int = SALTS) ->
     classes = nodes.groupBy("_label").agg(F.min("_first").alias("_class"), F.sum("_rows").alias("_size")).filter("_size > 1")
     known = nodes.select("_node", "_label").join(classes, "_label").select("_node", "_class", "_size")
     spread = known.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    rows = sketch.select("_id", "_node", F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int").alias("_part"))
+    rows = sketch.select("_id", "_node", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int").alias("_part"))
     out = rows.join(spread, ["_node", "_part"], "left")
     own = F.when(F.col("_size").isNull(), F.col("_id")).otherwise(F.col("_class"))
     return out.select(
@@ -341,6 +336,8 @@ def classify(docs: DataFrame, least: float = SIMILARITY, salts: int = SALTS) ->
 def deduplicate(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` but for those of which another one in their class stays."""
     dropped = classify(docs, least).filter("not kept").select(F.col("doc_id").alias("_drop"), F.unhex("node").alias("_node")).distinct()
-    keyed = docs.withColumn("_key", _node(F.coalesce(docs["text"], F.lit(""))))
-    out = keyed.join(dropped, keyed["doc_id"].eqNullSafe(dropped["_drop"]) & (keyed["_key"] == dropped["_node"]), "left_anti")
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = [f"_c{i}" for i in range(len(docs.columns))]  # columns of any name go by their places
+    doc_id, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    out = docs.toDF(*names).withColumn("_key", _node(F.coalesce(text, F.lit(""))))
+    out = out.join(dropped, doc_id.eqNullSafe(F.col("_drop")) & (F.col("_key") == F.col("_node")), "left_anti")
+    return out.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import cut
 from ..session import ship_package
 from . import exact, katz, langid, leakage, mixing, near, parity, passages, quality, rotation, secret_scan, surrogates, variants
 
@@ -21,7 +22,8 @@ def op1_secrets(spark, sf_dir):
     """The tables have no labelled findings: formats label those that give evidence in the documents whose remainder by 5 isn't 1."""
     docs = table(spark, sf_dir, "documents")
     words = table(spark, sf_dir, "benchmark").select(F.explode(F.split("text", r"[^\p{L}]+")).alias("word"))
-    found = secret_scan.described(secret_scan.candidates(docs), words.unionByName(secret_scan.frequent_words(docs)))
+    found = cut(secret_scan.candidates(docs), "candidates")  # stored, as is what describes them: texts are searched once
+    found = cut(secret_scan.described(found, words.unionByName(secret_scan.frequent_words(docs))), "findings")
     labelled = found.filter(remainder(F.col("doc_id"), 5) != 1).withColumn("label", secret_scan.evidence(found))
     out = secret_scan.score(found, secret_scan.train(labelled))
     held = (remainder(F.col("doc_id"), 5) == 1).alias("held_out")

@@ -6,7 +6,9 @@ cover, signs of a path or address, and the words next to it. The forest is train
 
 Null texts have no candidates. Each occurrence is a finding of its own, so repeated rows repeat findings. If the labelled
 findings have one label value, each score is 1 or 0 accordingly; if there are none, 0. The sample keeps a rare label whole up to half of it. Empty tables give empty results;
-other columns may have any name.
+other columns may have any name. Very long texts and words are searched whole, in time that goes with their length.
+
+Words under ``SHORTEST`` characters, keys that go over several lines, and words without a digit that no credential word precedes are no candidates.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ ISSUED = (
 )
 GIVEN = CREDENTIAL + r"\W*(?:(?:bearer|basic|is|was)\W*)?$"
 HARMLESS = (
-    r"^(?:[\d.,:/+-]+(?:th|st|nd|rd|[ap]m|Z|%)?|\p{Sc}[\d.,]+|[\w.+-]+@[\w-]+(?:\.[\w-]+)+|\d{4}-\d\d-\d\dT[\d:.+-]+Z?"
+    r"^(?:[\d.,:/+-]+(?:th|st|nd|rd|[ap]m|Z|%)?|\p{Sc}[\d.,]+|[\w.+-]++@[\w-]++(?:\.[\w-]++)++|\d{4}-\d\d-\d\dT[\d:.+-]+Z?"
     r"|(?:[a-z]+://|www\.)[^@\s]+|\.{0,2}/[\w./-]+|\p{L}+-?\d{1,4})$"
 )
 WORD_SHARE = 1e-5
@@ -56,7 +58,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     )
     rows = numbered.select(F.col("_id").alias("doc_id"), F.explode(near).alias("_c")).select("doc_id", "_c.*")
     name = F.regexp_extract("word", r"^([\p{L}_.-]{2,40})[=:](?!//)", 1)
-    value = F.regexp_replace(F.regexp_replace("word", r"^(?:[\p{L}_.-]{2,40}[=:](?!//))?[\"'(\[<]*", ""), r"[\"')\]>.,;!?#$%&*]+$", "")
+    value = F.regexp_replace(F.regexp_replace("word", r"^(?:[\p{L}_.-]{2,40}[=:](?!//))?[\"'(\[<]*", ""), r"(?<![\"')\]>.,;!?#$%&*])[\"')\]>.,;!?#$%&*]++$", "")
     rows = rows.select("doc_id", "position", value.alias("value"), name.alias("name"), "before", "after")
     return rows.filter((F.length("value") >= SHORTEST) & (F.col("value").rlike(r"\d") | F.concat_ws(" ", "before", "name").rlike(GIVEN)))
 

@@ -4,9 +4,13 @@ Mail addresses, phone, card and social security numbers, IBANs, IP addresses and
 surrogate is a keyed function of the kind and the canonical value, so one entity has one surrogate everywhere, however it
 is written; layout, letter case of names, script and, by title, gender stay. Distinct entities keep distinct surrogates:
 all entities of all texts are collected and those whose surrogate is another's, or is somebody's real value, are
-keyed anew until none is left.
+keyed anew until none is left. Names and numbers grow with each such attempt, so there are always enough.
 
-Null texts stay null. Repeated rows get equal results. Empty tables give empty results; other columns may have any name.
+Within a text, a person's full name without title, and the surname alone, count as that person from then on or before; a surname
+that two persons of a text share goes by the first of their full names.
+
+Null texts stay null. Repeated rows get equal results. Very long texts and words are searched whole, in time that goes with their
+length. Empty tables give empty results; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Госпожа"
 MALE = "Mr|Herr|Monsieur|Señor|Sr|Господин"
 NEUTRAL = "Dr|Prof"
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?:\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4})(?!\d)",
@@ -30,6 +34,7 @@ PATTERNS = {
     "person": rf"(?<!\p{{L}})(?:{FEMALE}|{MALE}|{NEUTRAL})\.? {_NAME}(?: {_NAME})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+MENTION = rf"{ANY}|(?<!\p{{L}}){_NAME}(?!\p{{L}})"
 HINT = rf"\d|@|(?:{FEMALE}|{MALE}|{NEUTRAL})\.? "
 FIRST = {
     "female": "Anna Clara Elena Eva Irene Julia Laura Lea Maria Marta Nina Nora Olivia Paula Rosa Sara Sofia Vera".split(),
@@ -90,15 +95,22 @@ def _pick(words: list[str], digest: Column, at: int) -> Column:
     return F.element_at(F.array(*map(F.lit, words)), _number(digest, at, 4, len(words)) + 1)
 
 
+def _grown(words: list[str], digest: Column, attempt: Column) -> Column:
+    """A word more for each attempt."""
+    each = F.transform(F.sequence(F.lit(1), attempt), lambda i: F.element_at(F.array(*map(F.lit, words)), _number(digest, i * 5 + 30, 4, len(words)) + 1))
+    return F.when(attempt > 0, F.array_join(each, "")).otherwise("")
+
+
 def _gendered(names: dict[str, list[str]], gender: Column, digest: Column) -> Column:
     pick = lambda g: _pick(names[g], digest, 0)
     return F.when(gender == "female", pick("female")).when(gender == "male", pick("male")).otherwise(pick("neutral"))
 
 
-def _person(canon: Column, gender: Column, digest: Column) -> Column:
+def _person(canon: Column, gender: Column, digest: Column, attempt: Column) -> Column:
     cyrillic = canon.rlike(r"\p{IsCyrillic}")
-    latin_last = F.initcap(F.concat(*[_pick(SYLLABLES, digest, at) for at in (8, 14, 20, 26)], F.lit("n")))
-    stem = F.initcap(F.concat(*[_pick(SYLLABLES_CYRILLIC, digest, at) for at in (8, 14, 20, 26)]))
+    more = lambda words: _grown(words, digest, attempt)
+    latin_last = F.initcap(F.concat(*[_pick(SYLLABLES, digest, at) for at in (8, 14, 20, 26)], more(SYLLABLES), F.lit("n")))
+    stem = F.initcap(F.concat(*[_pick(SYLLABLES_CYRILLIC, digest, at) for at in (8, 14, 20, 26)], more(SYLLABLES_CYRILLIC)))
     cyrillic_last = F.concat(stem, F.when(gender == "female", "нова").otherwise("нов"))
     last = F.when(cyrillic, cyrillic_last).otherwise(latin_last)
     first = F.when(cyrillic, _gendered(FIRST_CYRILLIC, gender, digest)).otherwise(_gendered(FIRST, gender, digest))
@@ -114,12 +126,15 @@ def canonical_surrogate(kind: Column, canon: Column, gender: Column, key: str, a
     ip = F.concat_ws(".", *[(_number(digest, at, 4, 254) + 1).cast("string") for at in (0, 4, 8, 12)])
     iban = F.concat(canon.substr(1, 2), _like(canon.substr(F.lit(3), F.length(canon)), digest, F.lit(0)))
     numbers = _like(canon, digest, F.when(kind.isin("phone", "card"), 1).otherwise(0))
+    # Numbers of one length can be used up: from the third attempt on they are longer.
+    numbers = F.concat(numbers, _grown(list("0123456789"), digest, F.greatest(attempt - 2, F.lit(0))))
+    iban = F.concat(iban, _grown(list("0123456789"), digest, F.greatest(attempt - 2, F.lit(0))))
     body = numbers.substr(F.lit(1), F.length(numbers) - 1)
     return (
         F.when(kind == "email", email)
         .when(kind == "ip", ip)
         .when(kind == "iban", iban)
-        .when(kind == "person", _person(canon, gender, digest))
+        .when(kind == "person", _person(canon, gender, digest, attempt))
         .when(kind == "card", F.concat(body, _luhn_digit(body)))
         .otherwise(numbers)
     )
@@ -134,13 +149,14 @@ def _luhn_digit(body: Column) -> Column:
 def _written(kind: Column, value: Column, canon: Column) -> Column:
     """A canonical surrogate in the layout of ``value``."""
     title = F.regexp_extract(value, rf"^((?:{FEMALE}|{MALE}|{NEUTRAL})\.? )", 1)
-    into = lambda keep: F.array_join(
+    rest = lambda keep: canon.substr(F.length(F.regexp_replace(value, f"[^{keep[1:-1]}]", "")) + 1, F.length(canon))
+    into = lambda keep: F.concat(F.array_join(
         F.transform(
             F.split(value, ""),
             lambda c, i: F.when(c.rlike(keep), canon.substr(F.length(F.regexp_replace(value.substr(F.lit(1), i + 1), f"[^{keep[1:-1]}]", "")), F.lit(1))).otherwise(c),
         ),
         "",
-    )
+    ), rest(keep))
     return F.when(kind.isin("email", "ip"), canon).when(kind == "person", F.concat(title, canon)).when(kind == "iban", into("[A-Z0-9]")).otherwise(into("[0-9]"))
 
 
@@ -150,10 +166,10 @@ def _gender(value: Column) -> Column:
 
 
 def _found(docs: DataFrame) -> DataFrame:
-    """Per row: _id, _version, _text, and the texts of its entities in order."""
+    """Per row with entities, stored: _id, _version and the texts of its entities in order."""
     own = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_version"), F.col("text").alias("_text"))
-    some = F.when(F.col("_text").rlike(HINT), F.regexp_extract_all("_text", F.lit(ANY), F.lit(0)))
-    return own.withColumn("_values", F.coalesce(some, F.array().cast("array<string>")))
+    some = own.filter(F.col("_text").rlike(HINT)).select("_id", "_version", F.regexp_extract_all("_text", F.lit(ANY), F.lit(0)).alias("_values"))
+    return cut(some.filter(F.size("_values") > 0), "found")
 
 
 def _entities(found: DataFrame) -> DataFrame:
@@ -181,20 +197,59 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         table = cut(made(moved.select("kind", "canon", "gender", (F.col("attempt") + F.col("_k").isNotNull().cast("int")).alias("attempt"))), "entities")
 
 
+def _mentions(told: DataFrame) -> DataFrame:
+    """Per text of ``told`` (_id, _version, _value, kind, _canon, surrogate): further names of its persons and what they become.
+
+    ``_full`` has each full name; ``_last`` each surname that isn't itself the name of a person of the text.
+    """
+    persons = told.filter("kind = 'person'").select("_id", "_version", "_canon", "surrogate").distinct()
+    both = F.col("_canon").contains(" ")
+    last = F.struct(F.substring_index("_canon", " ", -1).alias("name"), (~both).cast("int").alias("alone"), F.col("_canon").alias("of"), F.substring_index("surrogate", " ", -1).alias("to"))
+    names = F.array_sort(F.collect_set(last))
+    grouped = persons.groupBy(F.col("_id").alias("_i"), F.col("_version").alias("_v")).agg(
+        F.map_from_entries(F.collect_set(F.when(both, F.struct("_canon", "surrogate")))).alias("_full"), names.alias("_names")
+    )
+    # Of equal surnames, a person called by it alone comes first, then the first full name.
+    ranked = F.array_sort("_names", lambda x, y: F.when(x["name"] < y["name"], -1).when(x["name"] > y["name"], 1).when(x["alone"] != y["alone"], y["alone"] - x["alone"]).when(x["of"] < y["of"], -1).otherwise(1))
+    first = F.filter(ranked, lambda x, i: (i == 0) | (F.get(ranked, i - 1)["name"] != x["name"]))
+    return grouped.select("_i", "_v", "_full", F.map_from_entries(F.transform(first, lambda x: F.struct(x["name"], x["to"]))).alias("_last"))
+
+
 def replace(docs: DataFrame, key: str) -> DataFrame:
     """Per row of ``docs``: doc_id, n_entities, text with surrogates."""
     found = _found(docs)
     table = assign(_entities(found), key)
     value, kind = F.col("_value"), F.col("kind")
-    busy = found.filter(F.size("_values") > 0)
-    each = busy.select("_id", "_version", F.explode(F.array_distinct("_values")).alias("_value")).withColumn("kind", kind_of(value))
+    each = found.select("_id", "_version", F.explode(F.array_distinct("_values")).alias("_value")).distinct().withColumn("kind", kind_of(value))
     each = each.withColumn("_canon", canonical(kind, value))
     names = lookup_table(table.select(F.col("kind").alias("_k"), F.col("canon").alias("_c"), "surrogate"), "surrogates")
-    told = each.join(names, (kind == F.col("_k")) & (F.col("_canon") == F.col("_c"))).withColumn("_new", _written(kind, value, F.col("surrogate")))
-    maps = told.groupBy(F.col("_id").alias("_i"), F.col("_version").alias("_v")).agg(F.map_from_entries(F.collect_set(F.struct("_value", "_new"))).alias("_map"))
-    both = busy.join(maps, busy["_id"].eqNullSafe(maps["_i"]) & (busy["_version"] == maps["_v"]))
-    pieces = F.split("_text", ANY, -1)
-    changed = F.array_join(F.zip_with(pieces, F.transform("_values", lambda v: F.element_at("_map", v)), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    done = both.select(F.col("_id").alias("doc_id"), F.size("_values").cast("long").alias("n_entities"), changed.alias("text"))
-    rest = found.filter(F.size("_values") == 0).select(F.col("_id").alias("doc_id"), F.lit(0).cast("long").alias("n_entities"), F.col("_text").alias("text"))
-    return done.unionByName(rest)
+    told = cut(each.join(names, (kind == F.col("_k")) & (F.col("_canon") == F.col("_c"))), "told")
+    new = F.struct("_value", _written(kind, value, F.col("surrogate")).alias("_new"))
+    maps = told.groupBy(F.col("_id").alias("_i"), F.col("_version").alias("_v")).agg(F.map_from_entries(F.collect_set(new)).alias("_map"))
+    others = _mentions(told).withColumnsRenamed({"_i": "_i2", "_v": "_v2"})
+    maps = maps.join(others, F.col("_i").eqNullSafe(F.col("_i2")) & (F.col("_v") == F.col("_v2")), "left").drop("_i2", "_v2")
+    maps = lookup_table(maps, "maps")  # by broadcast if few: no text travels
+
+    own = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_version"), F.col("text").alias("_text"))
+    hinted = F.coalesce(F.col("_text").rlike(HINT), F.lit(False))
+    both = own.filter(hinted).join(maps, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_version") == F.col("_v")), "left")
+    named = F.col("_last").isNotNull()
+    values = F.when(named, F.regexp_extract_all("_text", F.lit(MENTION), F.lit(0))).otherwise(F.regexp_extract_all("_text", F.lit(ANY), F.lit(0)))
+    pieces = F.when(named, F.split("_text", MENTION, -1)).otherwise(F.split("_text", ANY, -1))
+    busy = both.filter("_map is not null").select("_id", "_map", "_full", "_last", values.alias("_values"), pieces.alias("_pieces"))
+    at = lambda i: F.get("_values", i)
+    pair = lambda i: F.when(F.get("_pieces", i + 1) == " ", F.element_at("_full", F.concat_ws(" ", at(i), at(i + 1))))
+
+    def renamed(v, i):
+        as_first = F.substring_index(pair(i), " ", 1)
+        as_last = F.when(i > 0, F.substring_index(pair(i - 1), " ", -1))
+        return F.coalesce(F.element_at("_map", v), F.when(F.col("_last").isNotNull(), F.coalesce(as_first, as_last, F.element_at("_last", v))))
+
+    told = busy.withColumn("_new", F.transform("_values", renamed))
+    changed = F.array_join(F.zip_with("_pieces", F.zip_with("_values", "_new", lambda v, n: F.coalesce(n, v)), lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
+    ends = lambda v, i: (i > 0) & F.element_at("_map", v).isNull() & pair(i - 1).isNotNull()  # noqa: E731  the surname of a full name
+    found = F.filter("_values", lambda v, i: F.get("_new", i).isNotNull() & ~F.coalesce(F.col("_last").isNotNull() & ends(v, i), F.lit(False)))
+    count = F.size(found).cast("long")
+    done = told.select(F.col("_id").alias("doc_id"), count.alias("n_entities"), changed.alias("text"))
+    none = lambda df: df.select(F.col("_id").alias("doc_id"), F.lit(0).cast("long").alias("n_entities"), F.col("_text").alias("text"))
+    return done.unionByName(none(both.filter("_map is null"))).unionByName(none(own.filter(~hinted)))
