@@ -231,12 +231,11 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
     maps = lookup_table(maps, "maps")  # by broadcast if few: no text travels
 
     own = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_version"), F.col("text").alias("_text"))
-    hinted = F.coalesce(F.col("_text").rlike(HINT), F.lit(False))
-    both = own.filter(hinted).join(maps, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_version") == F.col("_v")), "left")
-    named = F.col("_last").isNotNull()
-    values = F.when(named, F.regexp_extract_all("_text", F.lit(MENTION), F.lit(0))).otherwise(F.regexp_extract_all("_text", F.lit(ANY), F.lit(0)))
-    pieces = F.when(named, F.split("_text", MENTION, -1)).otherwise(F.split("_text", ANY, -1))
-    busy = both.filter("_map is not null").select("_id", "_map", "_full", "_last", values.alias("_values"), pieces.alias("_pieces"))
+    both = own.join(maps, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_version") == F.col("_v")), "left")
+    busy, named = F.col("_map").isNotNull(), F.col("_last").isNotNull()
+    by = lambda cut_up: F.when(busy & named, cut_up(MENTION)).when(busy, cut_up(ANY))  # noqa: E731  texts without entities aren't searched again
+    values, pieces = by(lambda p: F.regexp_extract_all("_text", F.lit(p), F.lit(0))), by(lambda p: F.split("_text", p, -1))
+    rows = both.select("_id", "_text", "_map", "_full", "_last", values.alias("_values"), pieces.alias("_pieces"))
     at = lambda i: F.get("_values", i)
     pair = lambda i: F.when(F.get("_pieces", i + 1) == " ", F.element_at("_full", F.concat_ws(" ", at(i), at(i + 1))))
 
@@ -245,11 +244,9 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
         as_last = F.when(i > 0, F.substring_index(pair(i - 1), " ", -1))
         return F.coalesce(F.element_at("_map", v), F.when(F.col("_last").isNotNull(), F.coalesce(as_first, as_last, F.element_at("_last", v))))
 
-    told = busy.withColumn("_new", F.transform("_values", renamed))
+    told = rows.withColumn("_new", F.transform("_values", renamed))
     changed = F.array_join(F.zip_with("_pieces", F.zip_with("_values", "_new", lambda v, n: F.coalesce(n, v)), lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
     ends = lambda v, i: (i > 0) & F.element_at("_map", v).isNull() & pair(i - 1).isNotNull()  # noqa: E731  the surname of a full name
     found = F.filter("_values", lambda v, i: F.get("_new", i).isNotNull() & ~F.coalesce(F.col("_last").isNotNull() & ends(v, i), F.lit(False)))
-    count = F.size(found).cast("long")
-    done = told.select(F.col("_id").alias("doc_id"), count.alias("n_entities"), changed.alias("text"))
-    none = lambda df: df.select(F.col("_id").alias("doc_id"), F.lit(0).cast("long").alias("n_entities"), F.col("_text").alias("text"))
-    return done.unionByName(none(both.filter("_map is null"))).unionByName(none(own.filter(~hinted)))
+    count = F.when(busy, F.size(found)).otherwise(0).cast("long")
+    return told.select(F.col("_id").alias("doc_id"), count.alias("n_entities"), F.when(busy, changed).otherwise(F.col("_text")).alias("text"))
