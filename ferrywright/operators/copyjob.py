@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -161,8 +162,8 @@ def _carry_out(row, options: SyncOptions, pause: float) -> dict:
                 step = _overwrite if row.action == "OVERWRITE" else _append
                 out["bytes_copied"], out["checksum"] = step(row, options)
             break
-        except OSError as e:
-            if out["attempts"] >= ATTEMPTS:
+        except (OSError, pa.ArrowException) as e:  # stores raise Arrow's own errors for what they don't support
+            if out["attempts"] >= ATTEMPTS or not isinstance(e, OSError):
                 kind = "read" if isinstance(e, ReadError) else "write"
                 out |= {"status": "FAIL", "error_class": kind, "error": str(e), "bytes_copied": 0}
                 break

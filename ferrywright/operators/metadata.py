@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..errors import CapabilityError
 from ..functions.access import comparable_map, filter_xattrs
 from ..options import SyncOptions
 from .reconcile import match_target
@@ -23,9 +24,14 @@ def preserve_plan(
 
     Setters, in call order: acl (else permission), permission for the sticky bit, xattr, replication
     (files only), owner (user or group differ), times (whenever asked for). Identities are expected to be
-    translated already. Columns of attributes not asked for are not read.
+    translated already. Columns of attributes not asked for are not read. A manifest without ``acl`` or ``xattrs`` is
+    that of a store without them: asking for these raises ``CapabilityError``.
     """
     attributes = set(attributes)
+    for name, column, asked in (("acl", "acl", "acl" in attributes), ("xattr", "xattrs", "xattr" in attributes or raw_xattrs)):
+        for side, df in (("source", src), ("target", tgt)):
+            if asked and column not in df.columns:
+                raise CapabilityError(f"The {side} has no column {column}", name)
     names = ["is_dir"]
     tests = []
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import InvalidInputError
-from ..options import DEFAULT_MAX_MAPS, DEFAULT_TASKS_PER_BOX
+from ..options import SyncOptions
 from . import place, splits
 
 
@@ -15,8 +15,9 @@ def assign_splits(
     strategy: str = "first_fit",
     *,
     boxes: DataFrame | None = None,
-    tasks_per_box: int = DEFAULT_TASKS_PER_BOX,
-    max_maps: int = DEFAULT_MAX_MAPS,
+    tasks_per_box: int | None = None,
+    max_maps: int | None = None,
+    options: SyncOptions | None = None,
     order: str = "seq",
     size: str = "length",
     keep: tuple[str, ...] = (),
@@ -25,8 +26,11 @@ def assign_splits(
 
     ``first_fit`` places rows on ``boxes`` and balances each box over its splits; rows without a box have
     null ``box_id`` and ``split_id``. ``uniform`` cuts the manifest into ranges of equal bytes, ``dynamic``
-    deals it into small chunks for workers to pick up.
+    deals it into small chunks for workers to pick up. ``max_maps`` and ``tasks_per_box`` are those of ``options`` unless given.
     """
+    options = options or SyncOptions()
+    max_maps = options.max_maps if max_maps is None else max_maps
+    tasks_per_box = options.tasks_per_box if tasks_per_box is None else tasks_per_box
     if strategy == "uniform":
         return splits.uniform_split(df, max_maps, order=order, size=size, keep=keep)
     if strategy == "dynamic":

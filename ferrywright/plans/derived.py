@@ -288,6 +288,31 @@ def new_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tree(tops, seconds, files, made.select(F.concat(F.lit("n:"), "path").alias("id"), "path"))
 
 
+def write_files(spark: SparkSession, sf_dir: str) -> str:
+    """The texts as files that Spark writes, in a folder per source and language; returns the folder of all."""
+    root = scratch_path(spark, "files")
+    docs = table(spark, sf_dir, "documents").select("source", "lang", F.coalesce("text", F.lit("")).alias("value"))
+    docs.write.partitionBy("source", "lang").text(root)
+    return root
+
+
+def write_halves(files: DataFrame) -> None:
+    """The first half of each file at ``path`` as a file at ``target_uri``, as a run that was broken off leaves it."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path, target, n in zip(pdf["path"], pdf["target_uri"], pdf["length"]):
+                (source_store, source), (store, name), left = open_fs(path), open_fs(target), int(n) // 2
+                store.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                with source_store.open_input_file(source) as given, store.open_output_stream(name) as sink:
+                    while left and (data := given.read(min(left, MB))):
+                        sink.write(data)
+                        left -= len(data)
+            yield pdf[["path"]]
+
+    cut(files.select("path", "target_uri", "length").mapInPandas(write, "path string"), "halves")
+
+
 def write_tree(spark: SparkSession, sf_dir: str) -> str:
     """Write every document as a file below a new scratch folder, from tasks, and return the folder."""
     root = scratch_path(spark, "tree")

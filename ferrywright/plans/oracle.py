@@ -440,4 +440,21 @@ ORACLE: dict[str, str] = {
     "copy_counters": f"""with {DIRS} select (select count(*) from documents) as copy, (select count(*) from dirs) as dir_copy,
   cast(0 as bigint) as skip, cast(0 as bigint) as fail, (select cast(sum({TEXT_BYTES}) as bigint) from documents) as bytes_copied,
   (select cast(sum({TEXT_BYTES}) as bigint) from documents) as bytes_expected, cast(0 as bigint) as bytes_failed, cast(0 as bigint) as bytes_skipped""",
+    "predicate_filter": f"""with {SRC} select 'none' as mode, path from src union all select 'small', path from src where length >= 500
+ union all select 'unknown', path from src where seq % 3 = 0 or owner <> 'u4'""",
+    "checked_roots": """select distinct concat('source=', source) as name, true as is_dir, cast(null as varchar) as error from documents
+ union all select distinct concat('source=', source, '/lang=', lang), true, null from documents
+ union all select distinct concat('lang=', lang), false, 'not found' from documents""",
+    "named_splits": f"""with {SRC} select concat('chunk-', lpad(cast(seq % 250 as varchar), 5, '0')) as name, max(mtime + length) // 1000 as changed from src group by 1""",
+    "copy_outcomes": f"""with g as (select source, lang, cast(sum(coalesce({TEXT_BYTES}, 0) + 1) as bigint) as bytes from documents group by source, lang)
+ select source, lang, case when lang = 'de' then 'SKIP' when lang = 'fr' then 'APPEND' when lang = 'es' and source = 'src4' then 'CONFLICT' else 'OVERWRITE' end as action,
+  case when (lang = 'es' and source = 'src4') or (lang = 'en' and source = 'src1') then 'FAIL' else 'OK' end as status,
+  case when lang = 'es' and source = 'src4' then 'conflict' when lang = 'en' and source = 'src1' then 'read' end as error_class,
+  case when lang = 'de' or (lang = 'es' and source = 'src4') then 0 when lang = 'en' and source = 'src1' then 3 else 1 end as attempts, bytes,
+  case when (lang = 'es' and source = 'src4') or (lang = 'en' and source = 'src1') then 0 else bytes end as bytes_there
+ from g""",
 }
+
+ORACLE["strategy_splits"] = f"""select 'first_fit' as strategy, d.doc_id as seq, b.split_id from documents d left join ({ORACLE["balance_lpt"]}) b on b.seq = d.doc_id
+ union all select 'uniform', seq, split_id from ({ORACLE["uniform_split"]})
+ union all select 'dynamic', d.doc_id, c.chunk_id from ({ORACLE["deal_chunks"]}) c join documents d on c.rel_path = {NAME}"""

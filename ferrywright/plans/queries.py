@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import access, paths, values
 from ..operators import copyjob, filters, identity, metadata, ordering, place, reconcile, splits, totals, trees
+from ..operators.strategy import assign_splits
 from ..options import SyncOptions
 from ..schema import as_manifest
 from ..scratch import cut, scratch_path
@@ -75,6 +76,15 @@ def exclude_paths(spark, sf_dir):
     return filters.exclude_paths(derived.source_manifest(spark, sf_dir), EXCLUDED).select("path", "length")
 
 
+@query
+def predicate_filter(spark, sf_dir):
+    """Rows left by a filter of one's own, by none at all, and by one that is unknown for some rows."""
+    src = derived.source_manifest(spark, sf_dir)
+    own = {"none": None, "small": F.col("length") < 500, "unknown": F.when(F.col("seq") % 3 != 0, F.col("owner") == "u4")}
+    kept = [filters.exclude_paths(src, predicate=p).select(F.lit(mode).alias("mode"), "path") for mode, p in own.items()]
+    return kept[0].unionByName(kept[1]).unionByName(kept[2])
+
+
 @query
 def exclude_keys(spark, sf_dir):
     toxic = derived.table(spark, sf_dir, "labels").filter("toxic = 1").select(F.col("doc_id").alias("seq"))
@@ -194,6 +204,17 @@ def list_file_sources(spark, sf_dir):
     return found.select("rel_path", "is_dir", "length")
 
 
+@query
+def checked_roots(spark, sf_dir):
+    """Which of the folders that pages name as theirs, or documents have, are among the documents' files."""
+    root = derived.write_files(spark, sf_dir)
+    docs = derived.table(spark, sf_dir, "documents").select("source", "lang").distinct()
+    names = F.explode(F.array(F.concat(F.lit("source="), "source"), F.concat(F.lit("source="), "source", F.lit("/lang="), "lang"), F.concat(F.lit("lang="), "lang")))
+    wanted = docs.select(names.alias("name")).distinct().select(F.concat(F.lit(f"{root}/"), "name").alias("path"))
+    found = listing.check_roots(spark, wanted)
+    return found.select(F.substring("path", len(root) + 2, 1000).alias("name"), "is_dir", "error")
+
+
 @query
 def manifest_defaults(spark, sf_dir):
     """A table with gaps brought into the manifest form, stored and read again."""
@@ -535,6 +556,26 @@ def uniform_split_orders(spark, sf_dir):
     ).select(bigint("split_id"), "records", "bytes", "first_seq")
 
 
+@query
+def strategy_splits(spark, sf_dir):
+    """Documents divided by each strategy, with the concurrency that a run's options give."""
+    boxes, src = cut(derived.region_boxes(spark, sf_dir), "boxes"), derived.source_manifest(spark, sf_dir)
+    out = None
+    for strategy, options in (("first_fit", SyncOptions()), ("uniform", SyncOptions(max_maps=20)), ("dynamic", SyncOptions(max_maps=7))):
+        given = assign_splits(src, strategy, boxes=boxes, options=options)
+        part = given.select(F.lit(strategy).alias("strategy"), "seq", bigint("split_id"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def named_splits(spark, sf_dir):
+    """The names of splits, and in whole seconds when the last of each one's files was changed."""
+    src = derived.source_manifest(spark, sf_dir)
+    name = F.concat(F.lit("chunk-"), values.padded_id(F.col("seq") % 250))
+    return src.groupBy(name.alias("name")).agg(F.unix_seconds(F.max(values.timestamp_millis(F.col("mtime") + F.col("length")))).alias("changed"))
+
+
 @query
 def deal_chunks(spark, sf_dir):
     src = derived.source_manifest(spark, sf_dir)
@@ -637,3 +678,35 @@ def copy_files(spark, sf_dir):
 def copy_counters(spark, sf_dir):
     return totals.counters(run_copy(spark, sf_dir))
 
+
+
+@query
+def copy_outcomes(spark, sf_dir):
+    """A run over files that Spark wrote, of which the target has some already, some half, and folders in place of some.
+
+    Some files are lost between planning and copying: they are tried three times, and reported. Per folder.
+    """
+    listed, _ = listing.list_tree(spark, [derived.write_files(spark, sf_dir)], replace_content=True)
+    files = filters.exclude_paths(listed, [r".*/[._][^/]*"]).filter("not is_dir").select("path", "rel_path", "is_dir", "length")
+    source, lang = (F.regexp_extract("rel_path", f"{name}=([^/]*)/", 1) for name in ("source", "lang"))
+    base = scratch_path(spark, "target")
+    numbered = files.withColumns({"source": source, "lang": lang, "split_id": (F.crc32(F.col("rel_path").cast("binary")) % 16).cast("int")})
+    numbered = cut(numbered.withColumn("target_uri", paths.target_uri(F.lit(base), "rel_path")), "numbered")
+
+    clash = (F.col("lang") == "es") & (F.col("source") == "src4")
+    before = numbered.filter(clash | (F.col("lang") == "de")).withColumn("action", F.when(clash, "MKDIR").otherwise("OVERWRITE"))
+    copyjob.enforce_failures(copyjob.copy_files(before.withColumn("tgt_length", F.lit(None).cast("bigint")), SyncOptions()), SyncOptions())
+    derived.write_halves(numbered.filter("lang = 'fr'"))
+
+    held, _ = listing.list_tree(spark, [base], replace_content=True)
+    digests = copyjob.file_checksums(held.filter("not is_dir"))
+    options = SyncOptions(update=True, append=True, ignore_failures=True)
+    plan = reconcile.reconcile(numbered, held.join(digests, "rel_path", "left"), options, digests=copyjob.file_digests)
+    lost = (F.col("lang") == "en") & (F.col("source") == "src1")
+    plan = plan.withColumn("path", F.when(lost, F.concat("path", F.lit(".lost"))).otherwise(F.col("path")))
+    # Ignoring failures passes over files that can't be read; folders in the way would end the run without ``all_io``.
+    done = copyjob.enforce_failures(copyjob.copy_files(plan, options, pause=0.01), options, all_io=True)
+    there = F.col("bytes_copied") + F.when(F.col("status") == "OK", F.coalesce("tgt_length", F.lit(0))).otherwise(F.lit(0))
+    return done.groupBy(source.alias("source"), lang.alias("lang"), "action", "status", "error_class").agg(
+        F.max("attempts").cast("bigint").alias("attempts"), F.sum("length").alias("bytes"), F.sum(there).alias("bytes_there")
+    )

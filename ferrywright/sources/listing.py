@@ -218,6 +218,17 @@ def list_tree(
     return suppress_roots(listing, replace_content), errors
 
 
+def check_roots(spark: SparkSession, roots: DataFrame, *, tasks: int | None = None, pause: float = FIRST_PAUSE_SEC) -> DataFrame:
+    """``path, is_dir, length, error`` of each ``path`` in ``roots``, looked up by tasks; none raises.
+
+    ``error`` is ``not found`` for a path that does not exist, the reason for one that stays unreadable, else null.
+    """
+    tasks = tasks or spark.sparkContext.defaultParallelism
+    given = roots.select(qualify("path", default_fs(spark)).alias("_at"), "path")
+    level, _ = _list(given.select(F.col("path").alias("root"), F.col("_at").alias("path")), tasks, True, tasks, pause)
+    return level.select(F.col("root").alias("path"), "is_dir", "length", "error")
+
+
 def missing_roots(level: DataFrame) -> DataFrame:
     """Rows of a root check whose path does not exist."""
     return level.filter(F.col("error") == "not found").select("path")
