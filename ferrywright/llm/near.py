@@ -13,7 +13,8 @@ link between components must be between a node that is far from the hub and a no
 the two masses and of the mass of the edits that only one of the two nodes has. So nodes meet by hub and edit, and a pair is
 tested only if the edits that follow the one they meet in can still suffice (see ``edits``). Nodes whose common
 shingles weigh differently from the hub's ("odd") are compared with all nodes of other components in their buckets,
-a few at a time, unless their distances from the hub rule a link out. So all links between components are found without listing all pairs of a group.
+a few at a time, unless their distances from the hub, or the shingles that only one of either and hub has, rule a link
+out (see ``_possible``). So all links between components are found without listing all pairs of a group.
 
 Null texts count as empty. Texts without words are near only to equal texts. Rows repeating an id and text go together;
 a null id is never a class id unless all ids of the class are null. Empty tables give empty results; other columns
@@ -38,6 +39,7 @@ BANDS, ROWS = 20, 5
 SALTS = 16
 SLICE_TEXTS = 512  # texts whose arrivals are worked on together
 SLACK = 1e-6  # allowed for rounding where pairs are left out
+NUMBERS = ["fresh", "gone", "top_fresh", "top_gone", "mass", "scale", "under", "ratio"]
 HUBS = 64  # odd nodes of a bucket that are compared with the others in the first such round; twice as many in each later one
 
 
@@ -208,11 +210,14 @@ def _verified(pairs: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
-    """Node a and hub b (``others``: the bucket has more nodes): their similarity, is a odd, and its edits if others are there."""
+    """Node a and hub b (``others``: the bucket has more nodes): their similarity, is a odd, and its edits if others are there.
+
+    ``apart`` and the columns of ``NUMBERS`` are what ``_possible`` asks for (see ``_apart``).
+    """
 
     def test(batches):
         for batch in batches:
-            like, odd, items, rest, s = [], [], [], [], []
+            like, odd, items, rest, s, apart, numbers = [], [], [], [], [], [], []
             for x, others in zip(_weighted_pairs(batch), batch.column("others").to_pylist()):
                 like.append(similarity(*x))
                 told = edits(*x, like[-1] >= least, least) if others else ((), (), 0.0)
@@ -221,15 +226,60 @@ def _compared(pairs: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
                 items.append(np.asarray(told[0], np.uint64).view(np.int64))
                 rest.append(np.asarray(told[1], np.int64))
                 s.append(float(told[2]))
+                only, told = _apart(*x) if others else (np.zeros(0, np.uint64), (0.0,) * len(NUMBERS))
+                apart.append(only.view(np.int64))
+                numbers.append(told)
             rows = [like, odd, pa.array(items, pa.list_(pa.int64())), pa.array(rest, pa.list_(pa.int64())), pa.array(s, pa.float64())]
             rows[:2] = [pa.array(like, pa.float64()), pa.array(odd, pa.bool_())]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *rows], ["a", "b", "like", "odd", "items", "rest", "s"])
+            rows += [pa.array(apart, pa.list_(pa.int64())), *[pa.array(c, pa.float64()) for c in (np.array(numbers, float).reshape(-1, len(NUMBERS)).T)]]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *rows], ["a", "b", "like", "odd", "items", "rest", "s", "apart", *NUMBERS])
 
     return _with_shingles(pairs, shingles, "others").mapInArrow(
-        test, "a binary, b binary, like double, odd boolean, items array<bigint>, rest array<bigint>, s double"
+        test, "a binary, b binary, like double, odd boolean, items array<bigint>, rest array<bigint>, s double, apart array<bigint>, " + ", ".join(f"{c} double" for c in NUMBERS)
     )
 
 
+def _apart(sa, wa, sb, wb):
+    """Shingles that only node a or only hub b has, and numbers in the order of ``NUMBERS``.
+
+    These are the masses of a's own shingles and of those gone (by the hub's weights), the heaviest of each, the mass of a, and
+    what tells the mass that a has on any of the hub's shingles that it shares: at least ``ratio`` times the hub's, and at
+    least ``scale`` times the hub's less ``under``.
+    """
+    _, ia, ib = np.intersect1d(sa, sb, assume_unique=True, return_indices=True)
+    fresh, gone = np.delete(np.arange(len(sa)), ia), np.delete(np.arange(len(sb)), ib)
+    own, hub = wa[ia].astype(float), wb[ib].astype(float)
+    scale = own.sum() / hub.sum() if len(ia) else 0.0
+    told = (
+        wa[fresh].sum(), wb[gone].sum(), wa[fresh].max(initial=0), wb[gone].max(initial=0), wa.sum(),
+        scale, np.maximum(scale * hub - own, 0).sum(), (own / hub).min() if len(ia) else 0.0,
+    )
+    return np.concatenate([sa[fresh], sb[gone]]), told
+
+
+def _possible(least: float):
+    """Can two nodes, compared with the same hub, be linked? By what is apart between each and the hub (``_``: the other's).
+
+    If the shares a and b of their masses lie on common shingles, their similarity is at most 1 / (1 + (1 - a) / a + (1 - b) / b),
+    whatever the weights: with p and q for the distributions on common shingles, each term of the similarity is at most
+    f(p, q) = 1 / (max(1 / p, 1 / q) + (1 - a) / a / p + (1 - b) / b / q), which is concave and of degree one, so the terms sum up to
+    at most f(1, 1). Shingles that are apart from the hub in one node only are apart between the nodes; those that are apart
+    in both, of which only the number is known, count as the heaviest.
+    """
+    zero = F.lit(0.0)
+
+    def inverse(own: str, other: str, shared):
+        """1 / a, at least, for the node whose columns begin with ``own``."""
+        column = lambda name: F.col(own + name)
+        fresh = F.greatest(column("fresh") - shared * column("top_fresh"), zero)
+        lacks = F.greatest(F.col(f"{other}gone") - shared * F.col(f"{other}top_gone"), zero)
+        apart = fresh + F.greatest(column("scale") * lacks - column("under"), column("ratio") * lacks)
+        return column("mass") / F.greatest(column("mass") - apart, F.lit(1e-9))
+
+    shared = F.array(F.size(F.array_intersect("apart", "_apart")))  # taken once for each pair, by the lambda
+    return F.exists(shared, lambda n: inverse("", "_", n) + inverse("_", "", n) <= 1 / least + 1 + SLACK)
+
+
 def _meeting(compared: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components that may be linked by what their edits from a common hub tell."""
     rows = _labelled(_labelled(compared.filter("size(items) > 0"), "a", labels), "b", labels, "_own")
@@ -270,7 +320,8 @@ def links(docs: DataFrame, sketch: DataFrame, least: float = SIMILARITY) -> Data
     to_hub = compared.select(F.col("a").alias("id"), F.col("b").alias("hub"), "odd", "like")
     some = members.join(to_hub.filter("odd"), ["id", "hub"], "left_semi").select("key").distinct()
     members = members.join(some, "key", "left_semi").join(to_hub, ["id", "hub"])
-    members, hubs = cut(members.select("key", "id", "_centre", "odd", "like"), "members"), HUBS
+    members, hubs = cut(members.select("key", "id", "hub", "_centre", "odd", "like"), "members"), HUBS
+    apart = compared.select(F.col("a").alias("id"), F.col("b").alias("hub"), "apart", *NUMBERS)
     while True:
         placed = _labelled(members, "id", labels)
         kinds = placed.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high"), F.max("odd").alias("_odd"))
@@ -278,16 +329,17 @@ def links(docs: DataFrame, sketch: DataFrame, least: float = SIMILARITY) -> Data
         if not n:
             return labels
         first = Window.partitionBy("key").orderBy(F.desc("_centre"), "id")
-        chosen = open_.filter("odd").withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= hubs)
-        chosen = chosen.select("key", F.col("id").alias("_hub"), F.col("label").alias("_own"), F.col("like").alias("_like"))
+        told = open_.join(apart, ["id", "hub"])
+        chosen = told.filter("odd").withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= hubs)
+        chosen = chosen.select("key", F.col("id").alias("_hub"), F.col("label").alias("_own"), F.col("like").alias("_like"), *[F.col(c).alias(f"_{c}") for c in ("apart", *NUMBERS)])
         # One minus similarity is a distance: by their distances from the bucket's hub, two nodes can be too far apart.
-        may = (F.col("label") != F.col("_own")) & (F.abs(F.col("like") - F.col("_like")) <= 1 - least + SLACK)
-        pairs = open_.join(chosen, "key").filter(may).select(F.least("id", "_hub").alias("a"), F.greatest("id", "_hub").alias("b"))
+        may = (F.col("label") != F.col("_own")) & (F.abs(F.col("like") - F.col("_like")) <= 1 - least + SLACK) & _possible(least)
+        pairs = told.join(chosen, "key").filter(may).select(F.least("id", "_hub").alias("a"), F.greatest("id", "_hub").alias("b"))
         pairs = lookup_table(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)
         labels = _joined(labels, _verified(pairs, shingles, least))
         gone = chosen.select("key", F.col("_hub").alias("id"))
-        members = cut(open_.select("key", "id", "_centre", "odd", "like").join(gone, ["key", "id"], "left_anti"), "members")
+        members = cut(open_.select("key", "id", "hub", "_centre", "odd", "like").join(gone, ["key", "id"], "left_anti"), "members")
         hubs = 2 * hubs
 
 
