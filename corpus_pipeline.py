@@ -56,7 +56,7 @@ STAGES = [
     ("mixture", mixture),
 ]
 
-# The network's floating-point decisions have no SQL form; tests hold each stage against a plain version.
+# The network's floating-point decisions have no SQL form.
 ORACLE_SQL = None
 
 
