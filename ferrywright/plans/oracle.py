@@ -450,7 +450,7 @@ ORACLE: dict[str, str] = {
  select source, lang, case when lang = 'de' then 'SKIP' when lang = 'fr' then 'APPEND' when lang = 'es' and source = 'src4' then 'CONFLICT' else 'OVERWRITE' end as action,
   case when (lang = 'es' and source = 'src4') or (lang = 'en' and source = 'src1') then 'FAIL' else 'OK' end as status,
   case when lang = 'es' and source = 'src4' then 'conflict' when lang = 'en' and source = 'src1' then 'read' end as error_class,
-  case when lang = 'de' or (lang = 'es' and source = 'src4') then 0 when lang = 'en' and source = 'src1' then 3 else 1 end as attempts, bytes,
+  cast(case when lang = 'de' or (lang = 'es' and source = 'src4') then 0 when lang = 'en' and source = 'src1' then 3 else 1 end as bigint) as attempts, bytes,
   case when (lang = 'es' and source = 'src4') or (lang = 'en' and source = 'src1') then 0 else bytes end as bytes_there
  from g""",
 }
