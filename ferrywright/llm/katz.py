@@ -5,11 +5,12 @@ discounted share if the pair is in the model, else the history's backoff weight
 weights are such that the probabilities after each history sum to one, exactly, over all words and one unknown word.
 
 All words and all pairs of all training texts are counted, stored and in the model. At most 1 / WORD_SHARE words and
-1 / PAIR_SHARE pairs have these shares of the tokens: they go to the tasks as arrays of proven size. All other words
-and pairs are looked up in the stored tables by a join; no key of it has more than its share of the rows.
+1 / PAIR_SHARE pairs have these shares of the tokens: they go to the tasks as arrays of proven size. All other pairs
+lie in buckets by history, or by their rare word, and travel packed: sorted, as differences and byte planes. A bucket
+holds about BUCKET training tokens whatever the input; no key of it has more than its share of the rows.
 
-Tokens are words with A-Z folded, and one end per text. Null texts count as empty: they have the end only. Repeated rows
-are trained on and scored like others. Without training texts all words are unknown, and scores are those of the
+Tokens are words with A-Z folded, and one end per text. Null texts count as empty: they have the end only. Very long texts are
+worked on whole, one at a time. Repeated rows are trained on and scored like others. Without training texts all words are unknown, and scores are those of the
 base formula, 0 per token. Empty tables give empty results; other columns may have any name.
 """
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_type
 
 from ..scratch import cut
 from .wordhash import Texts, mix, slices
@@ -31,8 +32,15 @@ WORD_SHARE = 1e-6
 PAIR_SHARE = 1e-5
 DISCOUNTED = 5  # counts up to this are discounted
 END = np.uint64(0x5851F42D4C957F2D)
-WORD, TEXT = 0x2545F4914F6CDD1D, 0x369DEA0F31A53F85  # instead of a second word: the row is a word, or a text's sums
 MERGE = 2_000_000
+CHUNK = 4_000_000  # tokens whose pairs are packed together
+BUCKET = 4_000_000  # training tokens per bucket
+SALTED = 1e-3
+PAIRS, BESIDE, RARE, HISTORY, SECOND, SUMS, SOUGHT = 0, 1, 2, 3, 4, 5, 10
+ALONE = np.uint64(2)
+WHOLE = (np.uint64, np.uint64, np.int64)
+PACKED = pa.schema([("bucket", pa.int64()), ("kind", pa.int64()), ("base", pa.int64()), ("rows", pa.int64()), ("data", pa.binary())])
+COUNTED = PACKED.append(pa.field("times", pa.list_(pa.int64())))
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -108,52 +116,129 @@ def _counts(texts: DataFrame, keys_of, name: str) -> DataFrame:
     return cut(rows.groupBy("key").agg(F.sum("c").alias("c")), name)
 
 
-def _pairs(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and second word of each pair, and its text."""
-    token, doc = _tokens(t)
-    both = doc[1:] == doc[:-1]
-    return token[:-1][both], token[1:][both], doc[1:][both]
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of 64-bit values, the first sorted, as differences and byte planes, compressed."""
+    first = columns[0].view(np.uint64)
+    planes = [np.diff(first, prepend=np.uint64(0)), *columns[1:]]
+    return pa.compress(b"".join(x.view(np.uint8).reshape(-1, 8).T.tobytes() for x in planes), codec="zstd", asbytes=True)
 
 
-def _merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sort keys, words and counts of pairs; equal neighbours are one row."""
-    key, first, second, c = (np.concatenate(x) for x in zip(*parts))
-    order = np.argsort(key)
-    key, first, second, c = key[order], first[order], second[order], c[order]
-    if len(key):
+def _unpack(data: bytes, rows: int, *kinds) -> list[np.ndarray]:
+    """The columns of ``_pack``, as values of ``kinds``."""
+    raw = np.frombuffer(pa.decompress(data, decompressed_size=rows * 8 * len(kinds), codec="zstd"), np.uint8).reshape(len(kinds), 8, rows)
+    out = [np.ascontiguousarray(x.T).reshape(-1).view(k) for x, k in zip(raw, kinds)]
+    out[0] = np.cumsum(out[0], dtype=np.uint64)
+    return out
+
+
+def _joined(table, kind: int, *kinds) -> list[np.ndarray]:
+    """The columns of all packed rows of ``kind``, in the rows' order."""
+    own = [(d.as_py(), n.as_py()) for k, d, n in zip(table.column("kind").to_pylist(), table.column("data"), table.column("rows")) if k == kind]
+    parts = [_unpack(d, n, *kinds) for d, n in own] or [[np.zeros(0, k) for k in kinds]]
+    return [np.concatenate(x) for x in zip(*parts)]
+
+
+def _packed(kind: int, bucket: np.ndarray, columns: list[np.ndarray], base: int = 0) -> list[tuple]:
+    """Rows (bucket, kind, base, rows, data) of columns that are sorted by the first."""
+    if not len(bucket):
+        return []
+    order = np.argsort(bucket, kind="stable")
+    bucket, columns = bucket[order], [c[order] for c in columns]
+    borders = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)]
+    return [(int(bucket[x]), kind, base, y - x, _pack(*[c[x:y] for c in columns])) for x, y in zip(borders, borders[1:])]
+
+
+def _batch(rows: list[tuple], schema: pa.Schema = PACKED) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+
+def _merged(first: np.ndarray, second: np.ndarray, c: np.ndarray) -> list[np.ndarray]:
+    """Sorted distinct (first, second) with the sums of their counts."""
+    order = np.lexsort((second, first)) if second.any() else np.argsort(first)
+    first, second, c = first[order], second[order], c[order]
+    if len(c):
         new = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
-        key, first, second, c = key[new], first[new], second[new], np.add.reduceat(c, new)
-    return key, first, second, c
+        first, second, c = first[new], second[new], np.add.reduceat(c, new)
+    return [first, second, c]
+
 
+class Layout:
+    """Which bucket a pair belongs to, and how it is written there.
 
-def _pair_counts(texts: DataFrame) -> DataFrame:
-    """Stored (first, second, c) over the texts. Counts are combined inside each task."""
+    PAIRS are those of two frequent words: a code of their numbers, and 0. BESIDE are rare words, each with a frequent
+    word before (4 x its number) or after (4 x its number + 1), or by itself (``ALONE``). RARE are pairs of two rare words.
+    Pairs lie by history, and those of rare words by the rare word, so that all that is known of it meets there; the
+    histories that make up ``SALTED`` of the tokens, a known number at most, are spread by what follows them.
+    """
 
-    def rows(parts):
-        _, first, second, c = _merged(parts)
-        for a in range(0, len(c), 200_000):
-            part = slice(a, a + 200_000)
-            yield pa.RecordBatch.from_arrays([pa.array(first[part].view(np.int64)), pa.array(second[part].view(np.int64)), pa.array(c[part])], ["first", "second", "c"])
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, total: int):
+        self.keys, self.size, self.buckets = keys, np.uint64(max(len(keys), 1)), max(8, total // BUCKET)
+        self.spread = counts >= SALTED * total
+
+    def of(self, kind: int, first: np.ndarray) -> np.ndarray:
+        if kind == PAIRS:
+            word = first // self.size
+            first = word + np.where(self.spread[word.astype(np.int64)], (first % self.size + np.uint64(1)) << np.uint64(32), np.uint64(0))
+        return (mix(first) % np.uint64(self.buckets)).astype(np.int64)
+
+    def split(self, token: np.ndarray, doc: np.ndarray, at: np.ndarray, left_out: np.ndarray | None = None) -> dict:
+        """kind: (first, second, text) of all occurrences. ``at`` numbers the frequent words, -1 are rare ones."""
+        both, known = doc[1:] == doc[:-1], at >= 0
+        before, after, code = known[:-1], known[1:], at.astype(np.uint64)
+        if left_out is not None:
+            both = both & ~left_out
+        pair, fr, rf, rr = (np.flatnonzero(both & x) for x in (before & after, before & ~after, ~before & after, ~before & ~after))
+        alone = np.flatnonzero(~known)
+        one, four = np.uint64(1), np.uint64(4)
+        return {
+            PAIRS: (code[pair] * self.size + code[pair + 1], np.zeros(len(pair), np.uint64), doc[pair]),
+            BESIDE: (
+                np.concatenate([token[fr + 1], token[rf], token[alone]]),
+                np.concatenate([code[fr] * four, code[rf + 1] * four + one, np.full(len(alone), ALONE)]),
+                np.concatenate([doc[fr], doc[rf], doc[alone]]),
+            ),
+            RARE: (token[rr], token[rr + 1], doc[rr]),
+        }
+
+
+def _pair_counts(texts: DataFrame, layout: Layout) -> DataFrame:
+    """Stored packed counts of all pairs, a row per bucket and kind, with how many pairs came 1..DISCOUNTED+1 times.
+
+    Counts are combined inside each task and travel packed.
+    """
+
+    def rows(held):
+        for kind in (PAIRS, BESIDE, RARE):
+            first, second = (np.concatenate([h[kind][i] for h in held]) for i in (0, 1))
+            columns = _merged(first, second, np.ones(len(first), np.int64))
+            yield from _packed(kind, layout.of(kind, columns[0]), columns)
 
     def count(batches):
-        parts, size = [], 0
+        held, size = [], 0
         for batch in batches:
             column = batch.column("_text")
             for a, b in slices(column):
-                first, second, _ = _pairs(Texts(column.slice(a, b - a)))
-                parts.append(_merged([(mix(first * np.uint64(3) + second), first, second, np.ones(len(first), np.int64))]))
-                size += len(parts[-1][0])
-                if size > 2 * MERGE:
-                    parts = [_merged(parts)]
-                    size = len(parts[0][0])
-                    if size > MERGE:
-                        yield from rows(parts)
-                        parts, size = [], 0
-        if parts:
-            yield from rows(parts)
-
-    counted = texts.mapInArrow(count, "first bigint, second bigint, c bigint")
-    return cut(counted.groupBy("first", "second").agg(F.sum("c").alias("c")), "pairs")
+                token, doc = _tokens(Texts(column.slice(a, b - a)))
+                held.append(layout.split(token, doc, _find(layout.keys, token)))
+                size += len(token)
+                if size > CHUNK:
+                    yield _batch(list(rows(held)))
+                    held, size = [], 0
+        if held:
+            yield _batch(list(rows(held)))
+
+    def merge(table):
+        out = []
+        for kind in (PAIRS, BESIDE, RARE):
+            columns = _merged(*_joined(table, kind, *WHOLE))
+            if len(columns[0]):
+                c = columns[2] if kind != BESIDE else columns[2][columns[1] != ALONE]
+                times = np.bincount(np.minimum(c, DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1 : DISCOUNTED + 2]
+                out.append((table.column("bucket")[0].as_py(), kind, 0, len(columns[0]), _pack(*columns), times.tolist()))
+        return pa.Table.from_batches([_batch(out, COUNTED)])
+
+    packed = texts.mapInArrow(count, from_arrow_schema(PACKED)).repartition(layout.buckets, "bucket")
+    return cut(packed.groupBy("bucket").applyInArrow(merge, from_arrow_schema(COUNTED)), "pairs")
 
 
 def _seen(table: DataFrame) -> tuple[int, int, list[int]]:
@@ -179,7 +264,7 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Frequent words and pairs as arrays; ``words`` and ``pair_counts`` are the tables of all, ``entries`` that of what the rest adds to a score."""
+    """Frequent words and pairs as arrays; ``words`` and ``pair_counts`` are the tables of all, ``entries`` what the buckets need to score."""
 
     def __init__(self, texts: DataFrame, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE):
         self.words = _counts(texts, lambda t: _tokens(t)[0], "words")
@@ -197,45 +282,126 @@ class Model:
         self.p = scale * _discounted(counts, self.factor) / max(self.total, 1)
         self._fit_pairs(texts, pair_share)
 
-    def _by_word(self, df: DataFrame, on: str, table: DataFrame) -> DataFrame:
-        """``df`` with the columns of ``table`` by the word in ``on``: frequent words by broadcast, the others by a join."""
-        frequent = F.broadcast(self.words.filter(F.col("c") >= self.limit).select(F.col("key").alias(on)))
-        common = df.join(F.broadcast(table.join(frequent, on, "left_semi")), on)
-        return common.unionByName(df.join(frequent, on, "left_anti").join(table.join(frequent, on, "left_anti"), on))
-
     def _fit_pairs(self, texts: DataFrame, share: float) -> None:
-        self.pair_counts = _pair_counts(texts)
-        self.pair_factor = discounts(_seen(self.pair_counts)[2])
-        own_log = self.words.select(F.col("key").alias("second"), self.word_log(F.col("c")).alias("_p"))
-        held = F.col("c") * self._factor(F.col("c"), self.pair_factor)
-        sums = self._by_word(self.pair_counts, "second", own_log).groupBy("first").agg(
-            F.sum("c").alias("_n"), F.sum(held).alias("_held"), F.sum(F.pow(F.lit(10.0), F.col("_p"))).alias("_below")
-        )
+        self.layout = layout = Layout(self.keys, self.counts, self.total)
+        self.packed = _pair_counts(texts, layout)
+        times = self.packed.agg(*[F.sum(F.col("times")[r]) for r in range(DISCOUNTED + 1)]).first()
+        self.pair_factor = factor = discounts([x or 0 for x in times])
+        keys, p, p_rare = self.keys, self.p, self._probability
+
+        def sums(batches):
+            """Per history: number, discounted number and followers' own probability, but for RARE pairs."""
+            for batch in batches:
+                for kind, data, rows in zip(batch.column("kind").to_pylist(), batch.column("data"), batch.column("rows").to_pylist()):
+                    if kind == RARE:
+                        continue
+                    first, second, c = _unpack(data.as_py(), rows, *WHOLE)
+                    if kind == PAIRS:
+                        history, follower = keys[(first // layout.size).astype(np.int64)], p[(first % layout.size).astype(np.int64)]
+                    else:
+                        word, at = np.unique(first, return_inverse=True)
+                        alone = second == ALONE
+                        own = np.zeros(len(word), np.int64)
+                        own[at[alone]] = c[alone]
+                        frequent, after = (second >> np.uint64(2)).astype(np.int64)[~alone], (second & np.uint64(3) == 1)[~alone]
+                        first, at, c = first[~alone], at[~alone], c[~alone]
+                        near = keys[frequent] if len(keys) else np.zeros(0, np.uint64)
+                        history = np.where(after, first, near)
+                        follower = np.where(after, p[frequent] if len(p) else 0.0, p_rare(own)[at])
+                    history, at = np.unique(history, return_inverse=True)
+                    columns = [np.bincount(at, x, len(history)).astype(float) for x in (c, _discounted(c, factor), follower)]
+                    yield pa.RecordBatch.from_arrays([pa.array(history.view(np.int64)), *map(pa.array, columns)], ["first", "n", "held", "below"])
+
+        rare = self._read(F.col("kind") == RARE)
+        words = self.words.select(F.col("key").alias("second"), F.pow(F.lit(10.0), self.word_log(F.col("c"))).alias("p"))
+        self.rare = cut(rare.join(words, "second"), "rare")
+        held = (F.col("c") * self._factor(F.col("c"), factor)).alias("held")
+        parts = self.packed.mapInArrow(sums, "first bigint, n double, held double, below double")
+        parts = parts.unionByName(self.rare.select("first", F.col("c").cast("double").alias("n"), held, F.col("p").alias("below")))
+        total = parts.groupBy("first").agg(*[F.sum(x).alias(x) for x in ("n", "held", "below")])
         # A history without rare pairs has no mass left: half an occurrence is left for the other words.
-        mass = F.col("_held") / F.col("_n")
-        kept = F.when(mass >= 1 - 1e-12, 1 - 0.5 / F.col("_n")).otherwise(F.lit(1.0))
-        others = F.greatest(1 - F.col("_below"), F.lit(self.unknown))
+        mass = F.col("held") / F.col("n")
+        kept = F.when(mass >= 1 - 1e-12, 1 - 0.5 / F.col("n")).otherwise(F.lit(1.0))
+        others = F.greatest(1 - F.col("below"), F.lit(self.unknown))
         weight = F.log10((1 - mass * kept) / others).alias("_weight")
-        self.histories = cut(sums.select("first", F.log10(kept / F.col("_n")).alias("_scale"), weight), "histories")
-        both = self._by_word(self._by_word(self.pair_counts, "second", own_log), "first", self.histories)
-        self.values = both.select("first", "second", "c", (F.log10(held) + F.col("_scale")).alias("_value"), "_weight", "_p")
-        added = self.values.select("first", "second", F.lit(None).cast("bigint").alias("c"), (F.col("_value") - F.col("_weight") - F.col("_p")).alias("v"), F.col("c").alias("_c"))
-        added = cut(added, "added")
-        words = self.words.filter(F.col("c") < self.limit)
-        words = words.join(self.histories, words["key"] == self.histories["first"], "left").select(
-            F.col("key").alias("first"), F.lit(WORD).cast("bigint").alias("second"), "c", (self.word_log(F.col("c")) + F.coalesce("_weight", F.lit(0.0))).alias("v")
-        )
+        self.histories = cut(total.select("first", F.log10(kept / F.col("n")).alias("_scale"), weight), "histories")
+        # The arrays: weights and scales of frequent words, what frequent pairs of these add.
+        got = self.histories.join(F.broadcast(self.frequent), "first").toPandas()
+        at = _find(keys, got["first"].to_numpy(np.int64).view(np.uint64))
+        self.weight_log, self.scale_log = np.zeros(len(keys)), np.zeros(len(keys))
+        self.weight_log[at], self.scale_log[at] = got["_weight"].to_numpy(float), got["_scale"].to_numpy(float)
         least = max(share * self.total, 1)
-        self.entries = added.filter(F.col("_c") < least).drop("_c").unionByName(words)
-        # The arrays: weights of frequent words, what frequent pairs add. Both words of these must be among the frequent.
-        got = self.histories.join(F.broadcast(self.words.filter(F.col("c") >= self.limit)), F.col("first") == F.col("key")).select("first", "_weight").toPandas()
-        self.weight_log = np.zeros(len(self.keys))
-        self.weight_log[_find(self.keys, got["first"].to_numpy(np.int64).view(np.uint64))] = got["_weight"].to_numpy(float)
-        hot = added.filter(F.col("_c") >= least).toPandas()
-        self.hot_keys, index = np.unique(np.concatenate([hot[x].to_numpy(np.int64).view(np.uint64) for x in ("first", "second")]), return_inverse=True)
-        code = index[: len(hot)].astype(np.uint64) * np.uint64(max(len(self.hot_keys), 1)) + index[len(hot) :].astype(np.uint64)
-        order = np.argsort(code)
-        self.hot, self.hot_add = code[order], hot["v"].to_numpy(float)[order]
+
+        def most(batches):
+            for batch in batches:
+                for kind, data, rows in zip(batch.column("kind").to_pylist(), batch.column("data"), batch.column("rows").to_pylist()):
+                    if kind == PAIRS:
+                        first, _, c = _unpack(data.as_py(), rows, *WHOLE)
+                        yield pa.RecordBatch.from_arrays([pa.array(first[c >= least].view(np.int64)), pa.array(c[c >= least])], ["key", "c"])
+
+        self.hot, c = _frequent(self.packed.mapInArrow(most, "key bigint, c bigint"), least)
+        first, second = (self.hot // self.size).astype(np.int64), (self.hot % self.size).astype(np.int64)
+        with np.errstate(divide="ignore"):
+            self.p_log = np.log10(self.p)
+        self.hot_add = np.log10(_discounted(c, factor)) + (self.scale_log - self.weight_log)[first] - self.p_log[second]
+
+    @property
+    def frequent(self) -> DataFrame:
+        return self.words.filter(F.col("c") >= self.limit).select(F.col("key").alias("first"))
+
+    @property
+    def _probability(self):
+        factor, scale, total, unknown = self.factor, self.scale, max(self.total, 1), self.unknown
+        return lambda c: np.where(c > 0, scale * _discounted(c, factor) / total, unknown)
+
+    def _read(self, which: Column) -> DataFrame:
+        """(first, second, c) of the packed rows ``which``."""
+        keys, size = self.keys, self.size
+
+        def rows(batches):
+            for batch in batches:
+                for kind, data, n in zip(batch.column("kind").to_pylist(), batch.column("data"), batch.column("rows").to_pylist()):
+                    first, second, c = _unpack(data.as_py(), n, *WHOLE)
+                    if kind == PAIRS:
+                        first, second = keys[(first // size).astype(np.int64)], keys[(first % size).astype(np.int64)]
+                    elif kind == BESIDE:
+                        pair = second != ALONE
+                        word, code, c = first[pair], second[pair], c[pair]
+                        near = keys[(code >> np.uint64(2)).astype(np.int64)] if len(keys) else word
+                        after = code & np.uint64(3) == 1
+                        first, second = np.where(after, word, near), np.where(after, near, word)
+                    for a in range(0, len(c), 200_000):
+                        part = slice(a, a + 200_000)
+                        yield pa.RecordBatch.from_arrays([pa.array(first[part].view(np.int64)), pa.array(second[part].view(np.int64)), pa.array(c[part])], ["first", "second", "c"])
+
+        return self.packed.filter(which).mapInArrow(rows, "first bigint, second bigint, c bigint")
+
+    @property
+    def pair_counts(self) -> DataFrame:
+        """(first, second, c) of all pairs."""
+        return self._read(F.lit(True))
+
+    @property
+    def entries(self) -> DataFrame:
+        """What the buckets need to score: packed pairs, values of rare histories, probabilities after them."""
+        layout = self.layout
+
+        def pack(kind, names, kinds):
+            def rows(batches):
+                for batch in batches:
+                    columns = [batch.column(x).to_numpy(zero_copy_only=False).view(k) for x, k in zip(names, kinds)]
+                    order = np.argsort(columns[0])
+                    columns = [c[order] for c in columns]
+                    if len(order):
+                        yield _batch(_packed(kind, layout.of(kind, columns[0]), columns))
+
+            return rows
+
+        schema = from_arrow_schema(PACKED)
+        histories = self.histories.join(F.broadcast(self.frequent), "first", "left_anti").select("first", "_weight", "_scale")
+        histories = histories.mapInArrow(pack(HISTORY, ("first", "_weight", "_scale"), (np.uint64, float, float)), schema)
+        second = self.rare.select("first", "second", "p").mapInArrow(pack(SECOND, ("first", "second", "p"), (np.uint64, np.uint64, float)), schema)
+        return self.packed.drop("times").unionByName(histories).unionByName(second)
 
     @property
     def context(self) -> np.ndarray:
@@ -256,10 +422,11 @@ class Model:
     @cached_property
     def _closed(self) -> tuple[np.ndarray, np.ndarray]:
         """To look at small models: codes and probabilities of the pairs after frequent words that only frequent words follow."""
-        frequent = self.words.filter(F.col("c") >= self.limit)
-        own = self.values.join(frequent.select(F.col("key").alias("first")), "first", "left_semi")
-        opened = own.join(frequent.select(F.col("key").alias("second")), "second", "left_anti")
-        got = own.join(opened.select("first").distinct(), "first", "left_anti").select("first", "second", "_value").toPandas()
+        own = self.pair_counts.join(self.frequent, "first", "left_semi")
+        opened = own.join(self.frequent.withColumnRenamed("first", "second"), "second", "left_anti")
+        value = (F.log10(F.col("c") * self._factor(F.col("c"), self.pair_factor)) + F.col("_scale")).alias("_value")
+        own = own.join(opened.select("first").distinct(), "first", "left_anti").join(self.histories, "first")
+        got = own.select("first", "second", value).toPandas()
         first, second = (_find(self.keys, got[x].to_numpy(np.int64).view(np.uint64)).astype(np.uint64) for x in ("first", "second"))
         code = first * self.size + second
         order = np.argsort(code)
@@ -279,20 +446,42 @@ class Model:
         return F.log10((F.coalesce(count, F.lit(0)) + F.lit(0.5)) / F.lit(below))
 
 
+def _place(first: np.ndarray, second: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Index of each (a, b) among the distinct (first, second), which are sorted, -1 where there is none."""
+    firsts, seconds = np.unique(first), np.unique(second)
+    code = lambda x, y: (x << 32) | y
+    at, of = _find(firsts, a), _find(seconds, b)
+    place = _find(code(_find(firsts, first), _find(seconds, second)), code(at, of))
+    return np.where((at >= 0) & (of >= 0), place, -1)
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, n_known, base_score, score."""
     own = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-    keys, counts, weight_log = model.keys, model.counts, model.weight_log
-    hot_keys, hot, hot_add = model.hot_keys, model.hot, model.hot_add
-    with np.errstate(divide="ignore"):
-        own_log = np.log10(model.p) + weight_log
-    base_log = np.log10((counts + 0.5) / (model.total + 0.5 * (model.distinct + 1)))
-    kinds = [T.StructField("_id", own.schema["_id"].dataType), *[T.StructField(x, k) for x, k in (("_doc", T.LongType()), ("first", T.LongType()), ("second", T.LongType()), ("_tokens", T.LongType()), ("_known", T.LongType()), ("_base", T.DoubleType()), ("_score", T.DoubleType()))]]
-    kinds = T.StructType(kinds)
+    layout, hot, hot_add = model.layout, model.hot, model.hot_add
+    keys, counts, p_log, scale_log, weight_log = model.keys, model.counts, model.p_log, model.scale_log, model.weight_log
+    own_log = p_log + weight_log
+    total = model.total + 0.5 * (model.distinct + 1)
+    base_log = np.log10((counts + 0.5) / total)
+    probability, factor, unknown = model._probability, model.pair_factor, np.log10(model.unknown)
+    results = pa.schema([("_id", to_arrow_type(own.schema["_id"].dataType)), ("_doc", pa.int64()), ("_tokens", pa.int64()), ("_known", pa.int64()), ("_base", pa.float64()), ("_score", pa.float64())])
+    everything = pa.schema([*PACKED, *results])
 
     def evaluate(batches):
-        """A row of sums for each text, and one for each occurrence of a rare word or pair."""
-        doc_key = TaskContext.get().partitionId() << 33
+        """A row of sums for each text, and packed occurrences of what the sums lack."""
+        doc_key = start = TaskContext.get().partitionId() << 33
+        held, size = [], 0
+
+        def packed():
+            rows = []
+            for kind in (PAIRS, BESIDE, RARE):
+                columns = [np.concatenate([h[kind][i] for h in held]) for i in range(3)]
+                order = np.argsort(columns[0])
+                columns = [c[order] for c in columns]
+                rows += _packed(SOUGHT + kind, layout.of(kind, columns[0]), columns, start)
+            full = [[*row, *[None] * len(results)] for row in rows]
+            return [_batch(full, everything)] if full else []
+
         for batch in batches:
             column = batch.column("_text")
             for a, b in slices(column):
@@ -302,36 +491,99 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 frequent = at >= 0
                 base, score_ = np.zeros(len(token)), np.zeros(len(token))
                 base[frequent], score_[frequent] = base_log[at[frequent]], own_log[at[frequent]]
-                both = doc[1:] == doc[:-1]
-                place = _find(hot_keys, token)
-                there = np.flatnonzero(both & (place[1:] >= 0) & (place[:-1] >= 0))
-                code = _find(hot, place[there].astype(np.uint64) * np.uint64(max(len(hot_keys), 1)) + place[there + 1].astype(np.uint64))
-                score_[there[code >= 0] + 1] += hot_add[code[code >= 0]]
-                both[there[code >= 0]] = False
-                rest, rare = np.flatnonzero(both), np.flatnonzero(~frequent)
+                there = np.flatnonzero((doc[1:] == doc[:-1]) & frequent[1:] & frequent[:-1])
+                code = _find(hot, at[there].astype(np.uint64) * layout.size + at[there + 1].astype(np.uint64))
+                score_[there[code >= 0]] += hot_add[code[code >= 0]]
+                done = np.zeros(max(len(doc) - 1, 0), bool)
+                done[there[code >= 0]] = True
                 texts = doc_key + np.arange(n)
+                none = [pa.nulls(n, f.type) for f in (PACKED.field("base"), PACKED.field("rows"), PACKED.field("data"))]
+                sums = [np.bincount(doc, minlength=n).astype(np.int64), np.bincount(doc, frequent, n).astype(np.int64), np.bincount(doc, base, n), np.bincount(doc, score_, n)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("_id").slice(a, n), pa.array(texts), pa.array(texts), pa.array(np.full(n, TEXT)), pa.array(np.bincount(doc, minlength=n).astype(np.int64)),
-                        pa.array(np.bincount(doc, frequent, n).astype(np.int64)), *[pa.array(np.bincount(doc, x, n)) for x in (base, score_)],
-                    ],
-                    kinds.names,
-                )
-                where = np.concatenate([doc[rest], doc[rare]]) + doc_key
-                first = np.concatenate([token[rest], token[rare]]).view(np.int64)
-                second = np.concatenate([token[rest + 1].view(np.int64), np.full(len(rare), WORD)])
-                for x in range(0, len(where), 100_000):
-                    part, m = slice(x, x + 100_000), len(where[x : x + 100_000])
-                    nulls = [pa.nulls(m, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                    yield pa.RecordBatch.from_arrays([pa.nulls(m, batch.column("_id").type), *[pa.array(c[part]) for c in (where, first, second)], *nulls], kinds.names)
+                    [pa.array(texts % layout.buckets), pa.array(np.full(n, SUMS)), *none, batch.column("_id").slice(a, n).cast(results.field("_id").type), pa.array(texts), *map(pa.array, sums)],
+                    schema=everything,
+                )
+                held.append(layout.split(token, doc + (doc_key - start), at, done))
                 doc_key += n
-
-    found = own.mapInArrow(evaluate, kinds).join(model.entries, ["first", "second"], "left")
-    is_word = F.col("second") == F.lit(WORD)
-    zero = F.lit(0.0)
-    base = F.coalesce("_base", F.when(is_word, model.base_log(F.col("c"))), zero)
-    own_score = F.coalesce("_score", "v", F.when(is_word, F.lit(float(np.log10(model.unknown)))), zero)
+                size += len(token)
+                if size > CHUNK:
+                    yield from packed()
+                    held, size, start = [], 0, doc_key
+        if held:
+            yield from packed()
+
+    def settle(table):
+        """Sums of texts as they are, and what a bucket's pairs and rare words add to each text."""
+        doc, known, base, gain = [], [], [], []
+
+        def add(text, score_, known_=None, base_=None):
+            doc.append(text)
+            gain.append(score_)
+            known.append(np.zeros(len(text)) if known_ is None else known_)
+            base.append(np.zeros(len(text)) if base_ is None else base_)
+
+        def sought(kind):
+            for k, b, d, n in zip(table.column("kind").to_pylist(), table.column("base").to_pylist(), table.column("data"), table.column("rows").to_pylist()):
+                if k == SOUGHT + kind:
+                    first, second, text = _unpack(d.as_py(), n, *WHOLE)
+                    yield first, second, text + b
+
+        own_scale = scale_log - weight_log
+        code, _, c = _joined(table, PAIRS, *WHOLE)
+        c_log = np.log10(_discounted(c, factor))
+        for first, _, text in sought(PAIRS):
+            at = _find(code, first)
+            seen = at >= 0
+            first, at = first[seen], at[seen]
+            add(text[seen], c_log[at] + own_scale[(first // layout.size).astype(np.int64)] - p_log[(first % layout.size).astype(np.int64)])
+
+        history, weight, scale = _joined(table, HISTORY, np.uint64, float, float)
+        order = np.argsort(history)
+        history, weight, scale = history[order], weight[order], scale[order]
+
+        def of_history(word, values):
+            at = _find(history, word)
+            return np.where(at >= 0, values[at], 0.0) if len(history) else np.zeros(len(word))
+
+        word, code, c = _joined(table, BESIDE, *WHOLE)
+        alone = code == ALONE
+        words, count = word[alone], c[alone]
+        c_log = np.log10(_discounted(c, factor))
+        for first, second, text in sought(BESIDE):
+            at, place = _find(words, first), _place(word, code, first, second)
+            number = np.where(at >= 0, count[at], 0) if len(words) else np.zeros(len(first), np.int64)
+            own_p, own_weight = np.log10(probability(number)), of_history(first, weight)
+            single = second == ALONE
+            x = single
+            add(text[x], own_p[x] + own_weight[x], (number[x] > 0).astype(float), np.log10((number[x] + 0.5) / total))
+            x = ~single & (place >= 0)
+            near, after = (second[x] >> np.uint64(2)).astype(np.int64), second[x] & np.uint64(3) == 1
+            before = own_scale[near] - own_p[x] if len(keys) else 0.0
+            behind = of_history(first[x], scale) - own_weight[x] - (p_log[near] if len(keys) else 0.0)
+            add(text[x], c_log[place[x]] + np.where(after, behind, before))
+
+        first_, second_, c = _joined(table, RARE, *WHOLE)
+        a, b, p = _joined(table, SECOND, np.uint64, np.uint64, float)
+        c_log = np.log10(_discounted(c, factor))
+        p_of = np.zeros(len(c))
+        p_of[_place(first_, second_, a, b)] = np.log10(p)
+        for first, second, text in sought(RARE):
+            place = _place(first_, second_, first, second)
+            x = place >= 0
+            add(text[x], c_log[place[x]] + of_history(first[x], scale) - of_history(first[x], weight) - p_of[place[x]])
+
+        sums = table.filter(pa.compute.equal(table.column("kind"), SUMS)).select(results.names).cast(results)
+        if not doc:
+            return sums
+        texts, at = np.unique(np.concatenate(doc), return_inverse=True)
+        known_, base_, gain_ = (np.bincount(at, np.concatenate(x), len(texts)).astype(float) for x in (known, base, gain))
+        more = [pa.nulls(len(texts), results.field("_id").type), pa.array(texts), pa.nulls(len(texts), pa.int64()), pa.array(known_.astype(np.int64)), pa.array(base_), pa.array(gain_)]
+        return pa.concat_tables([sums, pa.Table.from_arrays(more, schema=results)])
+
+    rows = own.mapInArrow(evaluate, from_arrow_schema(everything))
+    rows = rows.unionByName(model.entries, allowMissingColumns=True).repartition(layout.buckets, "bucket")
+    found = rows.groupBy("bucket").applyInArrow(settle, from_arrow_schema(results))
     return found.groupBy("_doc").agg(
-        F.first("_id", ignorenulls=True).alias("doc_id"), F.sum("_tokens").alias("n_tokens"), (F.coalesce(F.sum("_known"), F.lit(0)) + F.count("c")).alias("n_known"),
-        F.sum(base).alias("base_score"), F.sum(own_score).alias("score"),
+        F.first("_id", ignorenulls=True).alias("doc_id"), F.sum("_tokens").alias("n_tokens"), F.sum("_known").alias("n_known"),
+        F.sum("_base").alias("base_score"), F.sum("_score").alias("score"),
     ).drop("_doc")
