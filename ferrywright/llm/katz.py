@@ -33,8 +33,8 @@ PAIR_SHARE = 1e-5
 DISCOUNTED = 5  # counts up to this are discounted
 END = np.uint64(0x5851F42D4C957F2D)
 MERGE = 2_000_000
-CHUNK = 4_000_000  # tokens whose pairs are packed together
-BUCKET = 4_000_000  # training tokens per bucket
+CHUNK = 1_500_000  # tokens whose pairs are packed together
+BUCKET = 1_500_000  # training tokens per bucket
 SALTED = 1e-3
 PAIRS, BESIDE, RARE, HISTORY, SECOND, SUMS, SOUGHT = 0, 1, 2, 3, 4, 5, 10
 ALONE = np.uint64(2)
