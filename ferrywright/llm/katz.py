@@ -446,13 +446,23 @@ class Model:
         return F.log10((F.coalesce(count, F.lit(0)) + F.lit(0.5)) / F.lit(below))
 
 
-def _place(first: np.ndarray, second: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Index of each (a, b) among the distinct (first, second), which are sorted, -1 where there is none."""
-    firsts, seconds = np.unique(first), np.unique(second)
-    code = lambda x, y: (x << 32) | y
-    at, of = _find(firsts, a), _find(seconds, b)
-    place = _find(code(_find(firsts, first), _find(seconds, second)), code(at, of))
-    return np.where((at >= 0) & (of >= 0), place, -1)
+class Index:
+    """Where each pair is among distinct pairs."""
+
+    def __init__(self, first: np.ndarray, second: np.ndarray):
+        self.firsts, self.seconds = np.unique(first), np.unique(second)
+        code = (_find(self.firsts, first) << 32) | _find(self.seconds, second)
+        self.order = np.argsort(code)
+        self.code = code[self.order]
+
+    def find(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The place of each pair, -1 where it isn't there."""
+        at, of = _find(self.firsts, first), _find(self.seconds, second)
+        there = np.flatnonzero((at >= 0) & (of >= 0))
+        place = _find(self.code, (at[there] << 32) | of[there])
+        out = np.full(len(first), -1)
+        out[there[place >= 0]] = self.order[place[place >= 0]]
+        return out
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -466,6 +476,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     probability, factor, unknown = model._probability, model.pair_factor, np.log10(model.unknown)
     results = pa.schema([("_id", to_arrow_type(own.schema["_id"].dataType)), ("_doc", pa.int64()), ("_tokens", pa.int64()), ("_known", pa.int64()), ("_base", pa.float64()), ("_score", pa.float64())])
     everything = pa.schema([*PACKED, *results])
+    settled = pa.schema([*[PACKED.field(x) for x in ("base", "rows", "data")], *results])
 
     def evaluate(batches):
         """A row of sums for each text, and packed occurrences of what the sums lack."""
@@ -497,7 +508,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 done = np.zeros(max(len(doc) - 1, 0), bool)
                 done[there[code >= 0]] = True
                 texts = doc_key + np.arange(n)
-                none = [pa.nulls(n, f.type) for f in (PACKED.field("base"), PACKED.field("rows"), PACKED.field("data"))]
+                none = [pa.array(np.full(n, start)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
                 sums = [np.bincount(doc, minlength=n).astype(np.int64), np.bincount(doc, frequent, n).astype(np.int64), np.bincount(doc, base, n), np.bincount(doc, score_, n)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(texts % layout.buckets), pa.array(np.full(n, SUMS)), *none, batch.column("_id").slice(a, n).cast(results.field("_id").type), pa.array(texts), *map(pa.array, sums)],
@@ -514,28 +525,25 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def settle(table):
         """Sums of texts as they are, and what a bucket's pairs and rare words add to each text."""
-        doc, known, base, gain = [], [], [], []
+        added = {}  # by the chunk that the texts are of
 
-        def add(text, score_, known_=None, base_=None):
-            doc.append(text)
-            gain.append(score_)
-            known.append(np.zeros(len(text)) if known_ is None else known_)
-            base.append(np.zeros(len(text)) if base_ is None else base_)
+        def add(chunk, text, score_, known_=0.0, base_=0.0):
+            added.setdefault(chunk, []).append((text, *[np.broadcast_to(x, len(text)) for x in (known_, base_, score_)]))
 
         def sought(kind):
             for k, b, d, n in zip(table.column("kind").to_pylist(), table.column("base").to_pylist(), table.column("data"), table.column("rows").to_pylist()):
                 if k == SOUGHT + kind:
                     first, second, text = _unpack(d.as_py(), n, *WHOLE)
-                    yield first, second, text + b
+                    yield b, first, second, text
 
         own_scale = scale_log - weight_log
         code, _, c = _joined(table, PAIRS, *WHOLE)
         c_log = np.log10(_discounted(c, factor))
-        for first, _, text in sought(PAIRS):
+        for chunk, first, _, text in sought(PAIRS):
             at = _find(code, first)
             seen = at >= 0
             first, at = first[seen], at[seen]
-            add(text[seen], c_log[at] + own_scale[(first // layout.size).astype(np.int64)] - p_log[(first % layout.size).astype(np.int64)])
+            add(chunk, text[seen], c_log[at] + own_scale[(first // layout.size).astype(np.int64)] - p_log[(first % layout.size).astype(np.int64)])
 
         history, weight, scale = _joined(table, HISTORY, np.uint64, float, float)
         order = np.argsort(history)
@@ -548,42 +556,57 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         word, code, c = _joined(table, BESIDE, *WHOLE)
         alone = code == ALONE
         words, count = word[alone], c[alone]
-        c_log = np.log10(_discounted(c, factor))
-        for first, second, text in sought(BESIDE):
-            at, place = _find(words, first), _place(word, code, first, second)
+        c_log, index = np.log10(_discounted(c, factor)), Index(word, code)
+        for chunk, first, second, text in sought(BESIDE):
+            at, place = _find(words, first), index.find(first, second)
             number = np.where(at >= 0, count[at], 0) if len(words) else np.zeros(len(first), np.int64)
             own_p, own_weight = np.log10(probability(number)), of_history(first, weight)
             single = second == ALONE
             x = single
-            add(text[x], own_p[x] + own_weight[x], (number[x] > 0).astype(float), np.log10((number[x] + 0.5) / total))
+            add(chunk, text[x], own_p[x] + own_weight[x], (number[x] > 0).astype(float), np.log10((number[x] + 0.5) / total))
             x = ~single & (place >= 0)
             near, after = (second[x] >> np.uint64(2)).astype(np.int64), second[x] & np.uint64(3) == 1
             before = own_scale[near] - own_p[x] if len(keys) else 0.0
             behind = of_history(first[x], scale) - own_weight[x] - (p_log[near] if len(keys) else 0.0)
-            add(text[x], c_log[place[x]] + np.where(after, behind, before))
+            add(chunk, text[x], c_log[place[x]] + np.where(after, behind, before))
 
         first_, second_, c = _joined(table, RARE, *WHOLE)
         a, b, p = _joined(table, SECOND, np.uint64, np.uint64, float)
-        c_log = np.log10(_discounted(c, factor))
+        c_log, index = np.log10(_discounted(c, factor)), Index(first_, second_)
         p_of = np.zeros(len(c))
-        p_of[_place(first_, second_, a, b)] = np.log10(p)
-        for first, second, text in sought(RARE):
-            place = _place(first_, second_, first, second)
+        p_of[index.find(a, b)] = np.log10(p)
+        for chunk, first, second, text in sought(RARE):
+            place = index.find(first, second)
             x = place >= 0
-            add(text[x], c_log[place[x]] + of_history(first[x], scale) - of_history(first[x], weight) - p_of[place[x]])
-
-        sums = table.filter(pa.compute.equal(table.column("kind"), SUMS)).select(results.names).cast(results)
-        if not doc:
-            return sums
-        texts, at = np.unique(np.concatenate(doc), return_inverse=True)
-        known_, base_, gain_ = (np.bincount(at, np.concatenate(x), len(texts)).astype(float) for x in (known, base, gain))
-        more = [pa.nulls(len(texts), results.field("_id").type), pa.array(texts), pa.nulls(len(texts), pa.int64()), pa.array(known_.astype(np.int64)), pa.array(base_), pa.array(gain_)]
-        return pa.concat_tables([sums, pa.Table.from_arrays(more, schema=results)])
-
+            add(chunk, text[x], c_log[place[x]] + of_history(first[x], scale) - of_history(first[x], weight) - p_of[place[x]])
+
+        rows = []
+        for chunk, parts in added.items():
+            text, *values = (np.concatenate(x) for x in zip(*parts))
+            texts, at = np.unique(text, return_inverse=True)
+            if len(texts):
+                values = [np.bincount(at, x, len(texts)) for x in values]
+                rows.append([chunk, len(texts), _pack(texts, *values), *[None] * len(results)])
+        sums = table.filter(pa.compute.equal(table.column("kind"), SUMS)).select(settled.names).cast(settled)
+        return pa.concat_tables([sums, pa.Table.from_batches([_batch(rows, settled)])])
+
+    def finish(table):
+        """The texts of a chunk with all sums."""
+        packed = pa.compute.is_valid(table.column("data"))
+        own, more = table.filter(pa.compute.invert(packed)).sort_by("_doc"), table.filter(packed)
+        doc = own.column("_doc").to_numpy()
+        known, base, score_ = (own.column(x).to_numpy().astype(float) for x in ("_known", "_base", "_score"))
+        # In the order of their bytes, so that sums don't depend on the order of arrival.
+        for data, n in sorted(zip(more.column("data").to_pylist(), more.column("rows").to_pylist())):
+            text, *values = _unpack(data, n, np.uint64, float, float, float)
+            at = np.searchsorted(doc, text.astype(np.int64) + table.column("base")[0].as_py())
+            for total_, x in zip((known, base, score_), values):
+                total_[at] += x
+        columns = [own.column("_id"), own.column("_tokens"), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score_)]
+        return pa.table(columns, schema=final)
+
+    final = pa.schema([results.field("_id").with_name("doc_id"), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
     rows = own.mapInArrow(evaluate, from_arrow_schema(everything))
-    rows = rows.unionByName(model.entries, allowMissingColumns=True).repartition(layout.buckets, "bucket")
-    found = rows.groupBy("bucket").applyInArrow(settle, from_arrow_schema(results))
-    return found.groupBy("_doc").agg(
-        F.first("_id", ignorenulls=True).alias("doc_id"), F.sum("_tokens").alias("n_tokens"), F.sum("_known").alias("n_known"),
-        F.sum("_base").alias("base_score"), F.sum("_score").alias("score"),
-    ).drop("_doc")
+    rows = rows.unionByName(model.entries, allowMissingColumns=True).repartitionById(layout.buckets, F.col("bucket").cast("int"))
+    found = rows.groupBy("bucket").applyInArrow(settle, from_arrow_schema(settled))
+    return found.groupBy("base").applyInArrow(finish, from_arrow_schema(final))
