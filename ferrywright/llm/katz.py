@@ -39,7 +39,7 @@ SALTED = 1e-3
 PAIRS, BESIDE, RARE, HISTORY, SECOND, SUMS, SOUGHT = 0, 1, 2, 3, 4, 5, 10
 ALONE = np.uint64(2)
 WHOLE = (np.uint64, np.uint64, np.int64)
-PACKED = pa.schema([("bucket", pa.int64()), ("kind", pa.int64()), ("base", pa.int64()), ("rows", pa.int64()), ("data", pa.binary())])
+PACKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int64()), ("base", pa.int64()), ("rows", pa.int64()), ("data", pa.binary())])
 COUNTED = PACKED.append(pa.field("times", pa.list_(pa.int64())))
 
 
@@ -237,7 +237,7 @@ def _pair_counts(texts: DataFrame, layout: Layout) -> DataFrame:
                 out.append((table.column("bucket")[0].as_py(), kind, 0, len(columns[0]), _pack(*columns), times.tolist()))
         return pa.Table.from_batches([_batch(out, COUNTED)])
 
-    packed = texts.mapInArrow(count, from_arrow_schema(PACKED)).repartition(layout.buckets, "bucket")
+    packed = texts.mapInArrow(count, from_arrow_schema(PACKED)).repartitionById(layout.buckets, "bucket")
     return cut(packed.groupBy("bucket").applyInArrow(merge, from_arrow_schema(COUNTED)), "pairs")
 
 
@@ -511,7 +511,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 none = [pa.array(np.full(n, start)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
                 sums = [np.bincount(doc, minlength=n).astype(np.int64), np.bincount(doc, frequent, n).astype(np.int64), np.bincount(doc, base, n), np.bincount(doc, score_, n)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(texts % layout.buckets), pa.array(np.full(n, SUMS)), *none, batch.column("_id").slice(a, n).cast(results.field("_id").type), pa.array(texts), *map(pa.array, sums)],
+                    [pa.array(texts % layout.buckets, pa.int32()), pa.array(np.full(n, SUMS)), *none, batch.column("_id").slice(a, n).cast(results.field("_id").type), pa.array(texts), *map(pa.array, sums)],
                     schema=everything,
                 )
                 held.append(layout.split(token, doc + (doc_key - start), at, done))
@@ -607,6 +607,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     final = pa.schema([results.field("_id").with_name("doc_id"), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
     rows = own.mapInArrow(evaluate, from_arrow_schema(everything))
-    rows = rows.unionByName(model.entries, allowMissingColumns=True).repartitionById(layout.buckets, F.col("bucket").cast("int"))
+    rows = rows.unionByName(model.entries, allowMissingColumns=True).repartitionById(layout.buckets, "bucket")
     found = rows.groupBy("bucket").applyInArrow(settle, from_arrow_schema(settled))
     return found.groupBy("base").applyInArrow(finish, from_arrow_schema(final))
