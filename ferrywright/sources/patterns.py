@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import InvalidInputError
-from ..functions.paths import depth, upto
 from ..operators.filters import full_match
 from ..scratch import cut, small_table
 
@@ -117,7 +116,7 @@ def expand_globs(df: DataFrame, globs: list[str], path: str = "path") -> DataFra
 
 
 def fixed_prefix(regex: str) -> str:
-    """A directory that every path matching the whole ``regex`` lies in or is; ``''`` if none is certain."""
+    """What every path matching the whole ``regex`` begins with; ``''`` if nothing is certain."""
     if "|" in regex:
         return ""
     out, i = "", 0
@@ -131,13 +130,11 @@ def fixed_prefix(regex: str) -> str:
             break
         out += c
         i += width
-    else:
-        return out.rstrip("/") if out.startswith("/") else ""
-    return out.rpartition("/")[0] if out.startswith("/") else ""
+    return out
 
 
 def pattern_index(patterns: DataFrame, column: str = "glob", globs: bool = True) -> DataFrame:
-    """``column, regex, base`` of a table of patterns, stored: what a path has to match, and a directory it has to lie in.
+    """``column, regex, base`` of a table of patterns, stored: what a path has to match, and what it has to begin with.
 
     A pattern with braces has a row per alternative. Patterns are translated by tasks, so their number isn't limited by the driver.
     """
@@ -157,16 +154,17 @@ def pattern_index(patterns: DataFrame, column: str = "glob", globs: bool = True)
 def match_many(df: DataFrame, index: DataFrame, path: str = "path", column: str = "glob", salts: int = 16) -> DataFrame:
     """``column, path`` for every path of ``df`` and every pattern of a ``pattern_index`` it matches, once each.
 
-    A path meets only the patterns that begin with one of its directories, by a hash join on that directory, so the work goes with those
-    and not with all patterns. Paths below one hot directory are dealt over ``salts`` parts.
+    A path meets only the patterns whose fixed beginning (up to the first wildcard, within a name, too) it has, by a hash join on that
+    beginning, so the work goes with those and not with all patterns of a directory. Paths of one hot beginning are dealt over ``salts`` parts.
     """
-    depths = [r[0] for r in index.select(depth("base").alias("d")).distinct().orderBy("d").collect()]  # one per level of the tree
-    level = F.explode(F.array([F.lit(d) for d in depths]).cast("array<int>")).alias("_depth")
-    rows = df.select(F.col(path).alias("_path"), F.pmod(F.xxhash64(path), F.lit(salts)).alias("_salt"), level)
-    rows = rows.filter(F.col("_depth") <= depth("_path"))
-    rows = rows.select("_path", "_salt", F.when(F.col("_depth") == 0, "").otherwise(upto("_path", "_depth")).alias("base"))
-    spread = index.select(column, "regex", "base", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt"))
-    met = rows.join(spread, ["base", "_salt"]).filter(F.regexp("_path", F.col("regex")))
+    lengths = [r[0] for r in index.select(F.length("base").alias("n")).distinct().orderBy("n").collect()]  # no more than a path is long
+    each = F.explode(F.array([F.lit(n) for n in lengths]).cast("array<int>")).alias("_n")
+    rows = df.select(F.col(path).alias("_path"), F.pmod(F.xxhash64(path), F.lit(salts)).alias("_salt"), each)
+    rows = rows.filter(F.col("_n") <= F.length("_path"))
+    rows = rows.select("_path", "_salt", F.xxhash64(F.substring("_path", F.lit(1), F.col("_n"))).alias("_key"))
+    salt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt")
+    spread = index.select(column, "regex", F.xxhash64("base").alias("_key"), salt)
+    met = rows.join(spread, ["_key", "_salt"]).filter(F.regexp("_path", F.col("regex")))  # this tells equal hashes apart, too
     return met.select(column, F.col("_path").alias(path)).distinct()
 
 

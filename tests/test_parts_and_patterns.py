@@ -234,3 +234,17 @@ def test_entries_of_one_identity_are_joined(spark):
     want = [("ACCESS", "USER", None, "rw-"), ("ACCESS", "USER", "x", "r-x"), ("ACCESS", "GROUP", "x", "-w-"), ("ACCESS", "MASK", None, "rwx")]
     want += [("ACCESS", "OTHER", None, "---"), ("DEFAULT", "USER", "x", "r--"), ("DEFAULT", "MASK", None, "---")]
     assert got[1] == want and not got[2] and got[3] is None
+
+
+def test_a_path_meets_only_patterns_that_begin_as_it_does(spark):
+    """Patterns of one directory: what they begin with goes up to the first wildcard, also within a name."""
+    files = [f"/data/d/{i}.txt" for i in range(300)]
+    rows = spark.createDataFrame([(p,) for p in files], "path string")
+    globs = [p[:-4] + "*.t?t" for p in files] + ["/data/d/*7.txt", "/data/d/é𝄞?", "/data/d/[12]5.txt"]
+    index = patterns.pattern_index(spark.createDataFrame([(g,) for g in globs], "glob string"))
+    assert {r.glob: r.base for r in index.collect()} == {g: re.split(r"[*?\[]", g)[0] for g in globs}
+    rows = rows.union(spark.createDataFrame([("/data/d/é𝄞x",), ("/data/d/",), (None,)], "path string"))
+    got = {(r.glob, r.path) for r in patterns.match_many(rows, index).collect()}
+    assert got == {(g, p) for g in globs for p in [*files, "/data/d/é𝄞x"] if re.fullmatch(patterns.glob_to_regex(g), p)}
+    bases = {"/a/bc*": "/a/b", "/a/b.c": "/a/b", r"/a\.b": "/a.b", "/a|/b": "", "a/(b)": "a/", r"/a\d": "/a", "/a/b/": "/a/b/", "/ab{2}": "/a", "(?i)/a": "", "": ""}
+    assert {r: patterns.fixed_prefix(r) for r in bases} == bases
