@@ -11,7 +11,8 @@ similarity of at least ``SIMILARITY``. In each bucket one node, the hub, is comp
 link between components must be between a node that is far from the hub and a node with which it shares some of its
 *edits*, the shingles that only one of node and hub has: where common shingles weigh the same, similarity is a function of
 the two masses and of the mass of the edits that only one of the two nodes has. So nodes meet by hub and edit, and a pair is
-tested only if the edits that follow the one they meet in can still suffice (see ``edits``). Nodes whose common
+tested only if the edits that follow the one they meet in can still suffice (see ``edits``) and if the parities of their
+shingles do not differ in too many bits (see ``_meeting``). Nodes whose common
 shingles weigh differently from the hub's ("odd") are compared with all nodes of other components in their buckets,
 a few at a time, unless their distances from the hub, or the shingles that only one of either and hub has, rule a link
 out (see ``_possible``). So all links between components are found without listing all pairs of a group.
@@ -212,12 +213,12 @@ def _verified(pairs: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
 def _compared(pairs: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
     """Node a and hub b (``others``: the bucket has more nodes): their similarity, is a odd, and its edits if others are there.
 
-    ``apart`` and the columns of ``NUMBERS`` are what ``_possible`` asks for (see ``_apart``).
+    ``apart`` and the columns of ``NUMBERS`` are what ``_possible`` asks for (see ``_apart``), ``parity`` is what ``_meeting`` does.
     """
 
     def test(batches):
         for batch in batches:
-            like, odd, items, rest, s, apart, numbers = [], [], [], [], [], [], []
+            like, odd, items, rest, s, apart, numbers, parity = [], [], [], [], [], [], [], []
             for x, others in zip(_weighted_pairs(batch), batch.column("others").to_pylist()):
                 like.append(similarity(*x))
                 told = edits(*x, like[-1] >= least, least) if others else ((), (), 0.0)
@@ -226,19 +227,28 @@ def _compared(pairs: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
                 items.append(np.asarray(told[0], np.uint64).view(np.int64))
                 rest.append(np.asarray(told[1], np.int64))
                 s.append(float(told[2]))
+                parity.append(_parity(x[0], len(x[2])) if len(told[0]) else ())
                 only, told = _apart(*x) if others else (np.zeros(0, np.uint64), (0.0,) * len(NUMBERS))
                 apart.append(only.view(np.int64))
                 numbers.append(told)
             rows = [like, odd, pa.array(items, pa.list_(pa.int64())), pa.array(rest, pa.list_(pa.int64())), pa.array(s, pa.float64())]
             rows[:2] = [pa.array(like, pa.float64()), pa.array(odd, pa.bool_())]
             rows += [pa.array(apart, pa.list_(pa.int64())), *[pa.array(c, pa.float64()) for c in (np.array(numbers, float).reshape(-1, len(NUMBERS)).T)]]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *rows], ["a", "b", "like", "odd", "items", "rest", "s", "apart", *NUMBERS])
+            rows.append(pa.array(parity, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *rows], ["a", "b", "like", "odd", "items", "rest", "s", "apart", *NUMBERS, "parity"])
 
     return _with_shingles(pairs, shingles, "others").mapInArrow(
-        test, "a binary, b binary, like double, odd boolean, items array<bigint>, rest array<bigint>, s double, apart array<bigint>, " + ", ".join(f"{c} double" for c in NUMBERS)
+        test, "a binary, b binary, like double, odd boolean, items array<bigint>, rest array<bigint>, s double, apart array<bigint>, " + "".join(f"{c} double, " for c in NUMBERS) + "parity array<bigint>"
     )
 
 
+def _parity(shingles: np.ndarray, size: int) -> np.ndarray:
+    """Is the number of shingles that fall on each bit odd? As many bits as a hub of ``size`` shingles has or more, a power of two, in words."""
+    bits = 64 << max(0, (size - 1).bit_length() - 6)
+    odd = np.bincount((shingles % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _apart(sa, wa, sb, wb):
     """Shingles that only node a or only hub b has, and numbers in the order of ``NUMBERS``.
 
@@ -280,18 +290,26 @@ def _possible(least: float):
     return F.exists(shared, lambda n: inverse("", "_", n) + inverse("_", "", n) <= 1 / least + 1 + SLACK)
 
 
-def _meeting(compared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that may be linked by what their edits from a common hub tell."""
-    rows = _labelled(_labelled(compared.filter("size(items) > 0"), "a", labels), "b", labels, "_own")
+def _meeting(compared: DataFrame, labels: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Pairs (a, b) of different components that may be linked by what their edits from a common hub tell.
+
+    Each shingle that only one of two nodes has turns one bit of its parity, so they differ by at least as much mass as their parities
+    differ in bits; linked nodes that aren't odd differ by at most (1-t) / (1+t) of their masses (see ``edits``).
+    """
+    told = compared.filter("size(items) > 0").withColumn("words", F.size("parity"))
+    rows = _labelled(_labelled(told, "a", labels), "b", labels, "_own")
     each = F.explode(F.arrays_zip("items", "rest")).alias("_e")
-    rows = rows.select("a", "label", (F.col("label") != F.col("_own")).alias("far"), "s", F.col("b").alias("hub"), each)
+    rows = rows.select("a", "label", (F.col("label") != F.col("_own")).alias("far"), "s", "words", F.col("b").alias("hub"), each)
     met = F.xxhash64("hub", "_e.items").alias("met")
-    rows = cut(rows.select(met, "a", "label", "far", "s", F.col("_e.rest").alias("rest")), "edits")
+    rows = cut(rows.select(met, "a", "label", "far", "s", "words", F.col("_e.rest").alias("rest")), "edits")
     shared = rows.groupBy("met").agg(F.count(F.lit(1)).alias("_n"), F.max("far").alias("_far")).filter("_n > 1 and _far").select("met")
-    rows = cut(rows.join(shared, "met"), "met")
-    other = rows.select("met", *[F.col(c).alias(f"_{c}") for c in ("a", "label", "far", "s", "rest")])
+    parities = told.select("a", "words", "mass", "parity").dropDuplicates(["a", "words"])  # those of a node are equal
+    rows = cut(rows.join(shared, "met").join(parities, ["a", "words"]).drop("words"), "met")
+    other = rows.select("met", *[F.col(c).alias(f"_{c}") for c in ("a", "label", "far", "s", "rest", "mass", "parity")])
     may = F.least("rest", "_rest") >= (F.col("s") + F.col("_s")) / 2 - SLACK
-    pairs = rows.filter("far").join(other, "met").filter((F.col("label") != F.col("_label")) & may & (~F.col("_far") | (F.col("a") < F.col("_a"))))
+    turned = F.zip_with("parity", "_parity", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    may &= F.aggregate(turned, F.lit(0), lambda n, x: n + x) <= (1 - least) / (1 + least) * (F.col("mass") + F.col("_mass")) + SLACK
+    pairs = rows.filter("far").join(other, "met").filter((F.col("label") != F.col("_label")) & (~F.col("_far") | (F.col("a") < F.col("_a"))) & may)
     return pairs.select(F.least("a", "_a").alias("a"), F.greatest("a", "_a").alias("b")).distinct()
 
 
@@ -313,7 +331,7 @@ def links(docs: DataFrame, sketch: DataFrame, least: float = SIMILARITY) -> Data
     compared = cut(_compared(lookup_table(pairs, "few"), shingles, least), "compared")
     labels, tested = components(compared.filter(F.col("like") >= least)), compared.select("a", "b")
 
-    pairs = lookup_table(_meeting(compared, labels), "pairs")
+    pairs = lookup_table(_meeting(compared, labels, least), "pairs")
     tested = tested.unionByName(pairs)
     labels = _joined(labels, _verified(pairs, shingles, least))
 
