@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..errors import InvalidInputError
 from ..operators.filters import full_match
-from ..scratch import cut, small_table
+from ..scratch import BROADCAST_ROWS, cut, small_table
 
 
 def glob_to_regex(glob: str) -> str:
@@ -155,15 +155,19 @@ def match_many(df: DataFrame, index: DataFrame, path: str = "path", column: str
     """``column, path`` for every path of ``df`` and every pattern of a ``pattern_index`` it matches, once each.
 
     A path meets only the patterns whose fixed beginning (up to the first wildcard, within a name, too) it has, by a hash join on that
-    beginning, so the work goes with those and not with all patterns of a directory. Paths of one hot beginning are dealt over ``salts`` parts.
+    beginning, so the work goes with those and not with all patterns of a directory. At most ``BROADCAST_ROWS`` patterns go to all tasks; of
+    more, paths of one hot beginning are dealt over ``salts`` parts.
     """
-    lengths = [r[0] for r in index.select(F.length("base").alias("n")).distinct().orderBy("n").collect()]  # no more than a path is long
-    each = F.explode(F.array([F.lit(n) for n in lengths]).cast("array<int>")).alias("_n")
+    counts = index.groupBy(F.length("base").alias("n")).agg(F.count(F.lit(1)).alias("rows")).orderBy("n").collect()  # no more than a path is long
+    few = sum(r.rows for r in counts) <= BROADCAST_ROWS
+    salts = 1 if few else salts
+    each = F.explode(F.array([F.lit(r.n) for r in counts]).cast("array<int>")).alias("_n")
     rows = df.select(F.col(path).alias("_path"), F.pmod(F.xxhash64(path), F.lit(salts)).alias("_salt"), each)
     rows = rows.filter(F.col("_n") <= F.length("_path"))
     rows = rows.select("_path", "_salt", F.xxhash64(F.substring("_path", F.lit(1), F.col("_n"))).alias("_key"))
     salt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt")
     spread = index.select(column, "regex", F.xxhash64("base").alias("_key"), salt)
+    spread = F.broadcast(spread) if few else spread.hint("merge")  # its stored size doesn't tell that of its copies
     met = rows.join(spread, ["_key", "_salt"]).filter(F.regexp("_path", F.col("regex")))  # this tells equal hashes apart, too
     return met.select(column, F.col("_path").alias(path)).distinct()
 

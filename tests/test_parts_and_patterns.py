@@ -248,3 +248,16 @@ def test_a_path_meets_only_patterns_that_begin_as_it_does(spark):
     assert got == {(g, p) for g in globs for p in [*files, "/data/d/é𝄞x"] if re.fullmatch(patterns.glob_to_regex(g), p)}
     bases = {"/a/bc*": "/a/b", "/a/b.c": "/a/b", r"/a\.b": "/a.b", "/a|/b": "", "a/(b)": "a/", r"/a\d": "/a", "/a/b/": "/a/b/", "/ab{2}": "/a", "(?i)/a": "", "": ""}
     assert {r: patterns.fixed_prefix(r) for r in bases} == bases
+
+
+def test_many_patterns_are_not_sent_to_all_tasks(spark, monkeypatch):
+    """Few patterns are sent once, without a copy per salt; of more, copies are never sent, however small they are stored."""
+    files = [f"/data/d/{i}.txt" for i in range(50)]
+    rows = spark.createDataFrame([(p,) for p in files], "path string")
+    index = patterns.pattern_index(spark.createDataFrame([(p[:-3] + "*",) for p in files], "glob string"))
+    for limit, join in ((50, "BroadcastHashJoin"), (49, "SortMergeJoin")):
+        monkeypatch.setattr(patterns, "BROADCAST_ROWS", limit)
+        found = patterns.match_many(rows, index)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert join in plan
+        assert {(r.glob, r.path) for r in found.collect()} == {(p[:-3] + "*", p) for p in files}
